@@ -122,12 +122,17 @@ def attributed_sessions(sessions: DataFrame) -> DataFrame:
 
 def keyword_revenue_exact(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
                           order_by: Sequence[str] = ("hit_time_gmt",),
-                          session_keys: Sequence[str] = ("ip",)) -> DataFrame:
-    """Revenue per (domain, keyword) as exact decimals (session form)."""
+                          session_keys: Sequence[str] = ("ip",),
+                          report_by: Sequence[str] = ()) -> DataFrame:
+    """Revenue per (domain, keyword) as exact decimals (session form).
+
+    ``report_by`` adds leading report keys, e.g. ``("source_file",)`` for one
+    report per input file (each such key must also be a session key).
+    """
     sessions = attributed_sessions(visitor_sessions(
         enriched, attribution=attribution, strict=strict, order_by=order_by,
         session_keys=session_keys))
-    return sessions.groupBy("domain", "keyword").agg(
+    return sessions.groupBy(*report_by, "domain", "keyword").agg(
         F.sum("revenue").cast(REVENUE_TYPE).alias("revenue"))
 
 
