@@ -168,15 +168,18 @@ def purchase_sessions(purchases: DataFrame, session_keys: Sequence[str] = ("ip",
 
 
 def _salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt_buckets: int,
-                 salt_source: Sequence[str]) -> DataFrame:
+                 salt_source: Sequence[str] | None) -> DataFrame:
     """Equi-join where ``small`` has one row per key; hot keys of ``big`` are spread.
 
-    Each big row gets a deterministic salt from ``salt_source`` (stable across
-    task retries); the small side is replicated once per salt value.
+    Each big row gets a deterministic salt from ``salt_source`` (default: all
+    of its columns), so a retried task salts rows exactly as before; a random
+    salt could move rows between join partitions on recomputation. The small
+    side is replicated once per salt value.
     """
     if salt_buckets <= 1:
         return big.join(small, list(keys), "inner")
-    big_s = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_source), F.lit(salt_buckets)))
+    source = list(salt_source) if salt_source else big.columns
+    big_s = big.withColumn("_salt", F.pmod(F.xxhash64(*source), F.lit(salt_buckets)))
     small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"),
                                                              F.lit(salt_buckets - 1).cast("long"))))
     return big_s.join(small_s, [*keys, "_salt"], "inner").drop("_salt")
@@ -190,7 +193,7 @@ def attribution_join(touch: DataFrame, purchase_sess: DataFrame,
 
 def attributed_purchases(touch: DataFrame, purchases: DataFrame, *,
                          session_keys: Sequence[str] = ("ip",), salt_buckets: int = 1,
-                         salt_source: Sequence[str] = ("hit_id",)) -> DataFrame:
+                         salt_source: Sequence[str] | None = None) -> DataFrame:
     """One row per credited purchase: the purchase row plus its visitor's touch."""
     big = purchases.where(_keys_present(session_keys))
     return _salted_join(big, touch, session_keys, salt_buckets, salt_source)
@@ -199,12 +202,13 @@ def attributed_purchases(touch: DataFrame, purchases: DataFrame, *,
 def keyword_revenue_join(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
                          order_by: Sequence[str] = ("hit_time_gmt",),
                          session_keys: Sequence[str] = ("ip",), salt_buckets: int = 1,
-                         salt_source: Sequence[str] = ("hit_id",)) -> DataFrame:
+                         salt_source: Sequence[str] | None = None) -> DataFrame:
     """Join form of :func:`keyword_revenue` (touches x purchase rows, then sum)."""
     t = touches(enriched, attribution=attribution, strict=strict, order_by=order_by,
                 session_keys=session_keys)
     p = enriched.where(F.col("is_purchase") & (F.col("revenue") > 0))
-    rows = attributed_purchases(t, p.select(*session_keys, *salt_source, "revenue"),
+    ident = list(salt_source) if salt_source else [c for c in order_by if c not in session_keys]
+    rows = attributed_purchases(t, p.select(*session_keys, *ident, "product_list", "revenue"),
                                 session_keys=session_keys, salt_buckets=salt_buckets,
                                 salt_source=salt_source)
     return (rows.where(F.col("domain").isNotNull() & F.col("keyword").isNotNull())
