@@ -5,11 +5,11 @@ from .files import (decode_key, file_date_from_key, file_name, iso_utc, size_cla
 from .flags import is_purchase, is_search_referral, is_search_referral_lax
 from .products import line_price, line_revenue
 from .text import lenient_url_decode, py_strip
-from .urls import (clean_url, normalize_keyword, query_pairs, query_text, raw_keyword,
-                   referrer_domain, referrer_keyword, referrer_params)
+from .urls import (clean_url, keyword_from_query, normalize_keyword, query_pairs, query_text,
+                   raw_keyword, referrer_domain, referrer_keyword, referrer_params)
 
 __all__ = [
-    "clean_url", "decode_key", "file_date_from_key", "file_name", "is_purchase",
+    "clean_url", "decode_key", "keyword_from_query", "file_date_from_key", "file_name", "is_purchase",
     "is_search_referral", "is_search_referral_lax", "iso_utc", "lenient_url_decode",
     "line_price", "line_revenue", "normalize_keyword", "py_strip", "query_pairs",
     "query_text", "raw_keyword", "referrer_domain", "referrer_keyword", "referrer_params",

@@ -13,6 +13,7 @@ Semantics follow Python's ``urllib.parse`` as used by the original job:
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -70,6 +71,30 @@ def raw_keyword(pairs: Column, params: Sequence[str] = SEARCH_PARAMS) -> Column:
     return lenient_url_decode(F.coalesce(*picks))
 
 
+# A parameter name that needs decoding ('%xx' or '+') anywhere in the query.
+_ENCODED_NAME = r"(?:^|&)[^=&]*[%+][^=&]*="
+
+
+def _regex_pick(query: Column, name: str) -> Column:
+    # First pair whose raw name is exactly ``name`` and whose value is not blank.
+    found = F.regexp_extract(query, rf"(?:^|&){re.escape(name)}=([^&]+)", 1)
+    return F.when(found != "", found)
+
+
+def keyword_from_query(query: Column, params: Sequence[str] = SEARCH_PARAMS) -> Column:
+    """``raw_keyword(query_pairs(query))`` with a fast path.
+
+    When no parameter name carries an escape, names compare as raw text and
+    one anchored ``regexp_extract`` per name finds the first non-blank value;
+    this stays inside whole-stage codegen. Queries with encoded names take the
+    exact array path (split, decode names, filter), which Spark evaluates
+    without codegen.
+    """
+    fast = lenient_url_decode(F.coalesce(*[_regex_pick(query, n) for n in params]))
+    exact = raw_keyword(query_pairs(query), params)
+    return F.when(query.rlike(_ENCODED_NAME), exact).otherwise(fast)
+
+
 def normalize_keyword(raw: Column, case_sensitive: bool = False) -> Column:
     """Second decode, strip, lower-case (lower-casing skipped when asked)."""
     kw = py_strip(lenient_url_decode(raw))
@@ -79,7 +104,7 @@ def normalize_keyword(raw: Column, case_sensitive: bool = False) -> Column:
 def referrer_keyword(url: Column | str, case_sensitive: bool = False,
                      params: Sequence[str] = SEARCH_PARAMS) -> Column:
     u = _c(url)
-    raw = raw_keyword(query_pairs(query_text(u)), params)
+    raw = keyword_from_query(query_text(u), params)
     return F.when(u.isNull() | (u == ""), F.lit(None).cast("string")).otherwise(
         normalize_keyword(raw, case_sensitive))
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (is_purchase, is_search_referral, is_search_referral_lax, line_revenue,
-                         normalize_keyword, query_pairs, query_text, raw_keyword,
+from ..functions import (is_purchase, is_search_referral, is_search_referral_lax,
+                         keyword_from_query, line_revenue, normalize_keyword, query_text,
                          referrer_domain)
 from ..schema import DEFAULT_SITE
 
@@ -17,16 +17,21 @@ ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
 def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool = False) -> DataFrame:
     """Add domain, keyword, revenue and the flags in one projection chain.
 
-    The referrer's query string is parsed once (``_raw_kw``) and shared by the
-    keyword and both flags; Catalyst keeps the intermediate projection because
-    inlining it would duplicate non-trivial expressions.
+    The referrer's query string is cut out once (``_query``) and its keyword
+    value (``_raw_kw``) is shared by the keyword and both flags; Catalyst keeps
+    the intermediate projections because inlining them would duplicate
+    non-trivial expressions.
     """
     ref = F.col("referrer")
     has_ref = ref.isNotNull() & (ref != "")
-    step1 = hits.withColumns({
+    step0 = hits.withColumns({
         "domain": referrer_domain(ref),
-        "_raw_kw": F.when(has_ref, raw_keyword(query_pairs(query_text(ref)))),
+        "_query": query_text(ref),
     })
+    # Own projection: its rare exact path (arrays + lambdas) runs without
+    # codegen, and this keeps that from spreading to the other expressions.
+    step1 = step0.withColumn(
+        "_raw_kw", F.when(has_ref, keyword_from_query(F.col("_query")))).drop("_query")
     step2 = step1.withColumns({
         "search_keyword": normalize_keyword(F.col("_raw_kw"), case_sensitive),
         "revenue": line_revenue("product_list"),

@@ -91,7 +91,7 @@ def price(pl: str) -> str:
 HITS_CTE = r"""
 ev AS (
   SELECT event_id, ts, user_id, event_type, value,
-         TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
+         TRY_CAST(regexp_extract(props, '"k"\s*:\s*(-?[0-9]+)', 1) AS BIGINT) AS k
   FROM events
 ),
 hits AS (
@@ -99,7 +99,7 @@ hits AS (
     CASE event_type WHEN 'purchase' THEN '1' WHEN 'click' THEN '2' WHEN 'signup' THEN '12'
                     ELSE '' END AS event_list,
     CASE WHEN event_type = 'purchase'
-           THEN 'Electronics;Item;' || CAST(1 + k % 3 AS VARCHAR) || ';' || printf('%.2f', value) || ';'
+           THEN 'Electronics;Item;' || CAST(1 + k % 3 AS VARCHAR) || ';' || CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) || ';'
          WHEN event_type = 'click' THEN 'Electronics;Item;1;;' END AS product_list,
     CASE WHEN event_type = 'view' THEN
            CASE WHEN k % 4 = 0 THEN 'http://www.google.com/search?hl=en&q=Key+' || CAST(k % 7 AS VARCHAR)
