@@ -48,8 +48,9 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
     """Status-log rows plus the completion payload as JSON.
 
     Input: manifest rows with ``file_status``, ``file_ts`` and optional
-    ``bucket``/``content_type``/``error_message``. ``event_type`` is the arrival
-    notification for RECEIVED, otherwise the engine chosen by size class.
+    ``bucket``/``content_type``/``error_message``/``event_type``/
+    ``record_count``/``output_location``. A missing ``event_type`` is the
+    arrival notification for RECEIVED, otherwise the engine chosen by size class.
     Null fields are left out of the JSON (``to_json`` drops nulls).
     """
     cols = set(manifest_events.columns)
@@ -57,11 +58,12 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
     def opt(name: str) -> Column:
         return F.col(name) if name in cols else F.lit(None).cast("string")
 
+    derived_type = F.when(F.col("file_status") == "RECEIVED", F.lit("S3")).otherwise(
+        processing_engine(F.col("file_size")))
     ev = manifest_events.select(
-        *[c for c in ("event_seq",) if c in cols],
+        *[c for c in ("event_seq", "record_count", "output_location") if c in cols],
         "file_date", "file_key", "file_status", "file_size", "file_size_gb", "file_ts",
-        F.when(F.col("file_status") == "RECEIVED", F.lit("S3"))
-         .otherwise(processing_engine(F.col("file_size"))).alias("event_type"),
+        F.coalesce(F.nullif(opt("event_type"), F.lit("")), derived_type).alias("event_type"),
         _blank_to_default(opt("bucket"), bucket).alias("bucket"),
         _blank_to_default(opt("content_type"), content_type).alias("content_type"),
         iso_utc("file_ts").alias("file_datetime"),
