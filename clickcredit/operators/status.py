@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import decode_key, file_date_from_key, file_name, iso_utc, size_class, size_gb
-from ..schema import (DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, REQUIRED_EVENT_FIELDS,
-                      SIZE_THRESHOLD_BYTES)
+from ..schema import (DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, EVENT_ARRIVAL, EVENT_LARGE_FILE,
+                      EVENT_SMALL_FILE, REQUIRED_EVENT_FIELDS, SIZE_THRESHOLD_BYTES,
+                      STATUS_RECEIVED)
 
 
 def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
@@ -34,9 +35,9 @@ def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
 
 
 def processing_engine(file_size: Column) -> Column:
-    """Which engine handles a file: small files 'Lambda', large 'Glue' (label only)."""
-    return F.when(file_size < SIZE_THRESHOLD_BYTES, "Lambda").when(
-        file_size >= SIZE_THRESHOLD_BYTES, "Glue")
+    """Which processing path a file's size selects (a label; both paths are this job)."""
+    return F.when(file_size < SIZE_THRESHOLD_BYTES, EVENT_SMALL_FILE).when(
+        file_size >= SIZE_THRESHOLD_BYTES, EVENT_LARGE_FILE)
 
 
 def _blank_to_default(col: Column, default: str) -> Column:
@@ -58,7 +59,7 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
     def opt(name: str) -> Column:
         return F.col(name) if name in cols else F.lit(None).cast("string")
 
-    derived_type = F.when(F.col("file_status") == "RECEIVED", F.lit("S3")).otherwise(
+    derived_type = F.when(F.col("file_status") == STATUS_RECEIVED, F.lit(EVENT_ARRIVAL)).otherwise(
         processing_engine(F.col("file_size")))
     ev = manifest_events.select(
         *[c for c in ("event_seq", "record_count", "output_location") if c in cols],

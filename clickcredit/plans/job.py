@@ -26,7 +26,7 @@ from ..operators.attribution import keyword_revenue_exact
 from ..operators.enrich import enrich_hits
 from ..operators.status import file_manifest, status_events
 from ..operators.summary import report_summary, top_domains, top_keywords
-from ..schema import DEFAULT_SITE, STATUS_COMPLETE, STATUS_FAILED, STATUS_RECEIVED
+from ..schema import DEFAULT_SITE, EVENT_SPARK, STATUS_COMPLETE, STATUS_FAILED, STATUS_RECEIVED
 from ..session import checkpoint_root
 from ..sinks.eventlog import append_file_events
 from ..sinks.report import write_partitioned_report
@@ -69,7 +69,7 @@ def _event(spark: SparkSession, *, file_key: str, run_ts: dt.datetime, status: s
 def run_report_job(spark: SparkSession, input_path: str, output_root: str, log_path: str, *,
                    run_ts: dt.datetime, source_name: str | None = None, site: str = DEFAULT_SITE,
                    attribution: str = "last", strict: bool = True,
-                   case_sensitive: bool = False, engine: str = "Spark") -> JobResult:
+                   case_sensitive: bool = False, engine: str = EVENT_SPARK) -> JobResult:
     """Report for one input; sessions are scoped per file (``source_file``, ``ip``)."""
     run_date = run_ts.date().isoformat()
     name = source_name or input_path.rstrip("/").split("/")[-1]

@@ -239,8 +239,8 @@ def iso_utc(ts: str) -> str:
 STATUS_CTE = f"""
 status AS (
   SELECT event_seq, file_date, file_key, file_status, file_size, file_size_gb,
-    CASE WHEN file_status = 'RECEIVED' THEN 'S3'
-         WHEN file_size < 2147483648 THEN 'Lambda' WHEN file_size >= 2147483648 THEN 'Glue' END
+    CASE WHEN file_status = 'RECEIVED' THEN 'ARRIVAL'
+         WHEN file_size < 2147483648 THEN 'SMALL_FILE' WHEN file_size >= 2147483648 THEN 'LARGE_FILE' END
       AS event_type,
     '{DEFAULT_BUCKET}' AS bucket, '{DEFAULT_CONTENT_TYPE}' AS content_type,
     {iso_utc('file_ts')} AS file_datetime, file_ts,

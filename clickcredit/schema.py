@@ -24,6 +24,10 @@ STATUS_RECEIVED, STATUS_COMPLETE, STATUS_FAILED, STATUS_ERROR = (
     "RECEIVED", "COMPLETE", "FAILED", "ERROR")
 # Required status-event fields, in the order they are checked.
 REQUIRED_EVENT_FIELDS = ("file_key", "file_status", "event_type", "file_date")
+# Status-event types: a file arrived, or which processing path handled it
+# (chosen by size class), or this package's Spark job.
+EVENT_ARRIVAL, EVENT_SMALL_FILE, EVENT_LARGE_FILE, EVENT_SPARK = (
+    "ARRIVAL", "SMALL_FILE", "LARGE_FILE", "SPARK")
 # Defaults used when a status event carries no bucket / content type.
 DEFAULT_CONTENT_TYPE = "text/csv"
 DEFAULT_BUCKET = "source-bucket"

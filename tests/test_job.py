@@ -31,7 +31,7 @@ def test_report_job_writes_report_summary_and_log(spark, tmp_dir):
     assert open(parts[0]).read().splitlines()[1] == "google.com\tipod\t480.00"
     events = read_file_events(spark, log).collect()
     assert [(e.file_status, e.record_count, e.file_date, e.event_type) for e in events] == [
-        ("COMPLETE", 21, "2026-03-05", "Spark")]
+        ("COMPLETE", 21, "2026-03-05", "SPARK")]
 
 
 def test_report_job_logs_failure(spark, tmp_dir):
