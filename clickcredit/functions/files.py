@@ -3,70 +3,96 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from ..schema import SIZE_THRESHOLD_BYTES
-from .text import lenient_url_decode
+from .sqltext import expr, ref, s
+from .text import decode_sql
 
 GIB = 1024 ** 3
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
-
-
-def decode_key(raw_key: Column | str) -> Column:
+def decode_key_sql(raw_key: str) -> str:
     """Keys arrive URL-encoded in notifications (``unquote_plus``)."""
-    return lenient_url_decode(_c(raw_key))
+    return decode_sql(raw_key)
 
 
-def file_name(key: Column | str) -> Column:
-    return F.substring_index(_c(key), "/", -1)
+def file_name_sql(key: str) -> str:
+    return f"substring_index({key}, '/', -1)"
 
 
-def _last_part_value(key: Column, name: str) -> tuple[Column, Column]:
-    """(present, value) of the last ``/name=value`` path part (value ends at '=' or '/')."""
-    present = key.rlike(rf"(?:^|/){name}=")
-    value = F.regexp_extract(key, rf"(?s).*(?:^|/){name}=([^/=]*)", 1)
-    return present, value
+def _part(key: str, name: str) -> tuple[str, str]:
+    """(present, value) of the last ``/name=value`` path part (value ends at '=' or '/').
 
+    Plain string functions on ``'/' + key``: the text after the last
+    ``/name=``, cut at the next '/' and '='. No regex, so no backtracking and
+    the expression stays in generated code.
+    """
+    k = f"concat('/', {key})"
+    tag = s(f"/{name}=")
+    after = f"substring_index({k}, {tag}, -1)"
+    value = f"substring_index(substring_index({after}, '/', 1), '=', 1)"
+    return f"instr({k}, {tag}) > 0", value
 
-def zfill2(text: Column) -> Column:
+
+def zfill2_sql(x: str) -> str:
     """Python's ``str.zfill(2)``: pads, keeps a leading sign, never truncates."""
-    return (F.when(F.length(text) >= 2, text)
-            .when(text.isin("+", "-"), F.concat(text, F.lit("0")))
-            .otherwise(F.lpad(text, 2, "0")))
+    return (f"CASE WHEN length({x}) >= 2 THEN {x} WHEN {x} IN ('+', '-') THEN concat({x}, '0') "
+            f"ELSE lpad({x}, 2, '0') END")
 
 
-def file_date_from_key(key: Column | str, run_date: str | Column) -> Column:
+def file_date_sql(key: str, run_date: str) -> str:
     """``YYYY-MM-DD`` text from ``year=/month=/day=`` parts; else the run date.
 
     ``run_date`` is a parameter (text ``YYYY-MM-DD``), never the clock, so a
     re-run gives the same answer.
     """
-    k = _c(key)
-    y_ok, y = _last_part_value(k, "year")
-    m_ok, m = _last_part_value(k, "month")
-    d_ok, d = _last_part_value(k, "day")
-    fallback = run_date if isinstance(run_date, Column) else F.lit(run_date)
-    parsed = F.concat_ws("-", y, zfill2(m), zfill2(d))
-    return F.when(y_ok & (y != "") & m_ok & d_ok, parsed).otherwise(fallback)
+    y_ok, y = _part(key, "year")
+    m_ok, m = _part(key, "month")
+    d_ok, d = _part(key, "day")
+    return (f"CASE WHEN {y_ok} AND {y} <> '' AND {m_ok} AND {d_ok} "
+            f"THEN concat_ws('-', {y}, {zfill2_sql(m)}, {zfill2_sql(d)}) ELSE {s(run_date)} END")
 
 
-def size_gb(size_bytes: Column | str) -> Column:
+def size_gb_sql(size_bytes: str) -> str:
     """Bytes to GiB, rounded half-even to two places (as Python's ``round``)."""
-    return F.bround(_c(size_bytes).cast("double") / float(GIB), 2)
+    return f"bround(CAST({size_bytes} AS DOUBLE) / {GIB}D, 2)"
 
 
-def size_class(size_bytes: Column | str) -> Column:
-    b = _c(size_bytes)
-    return F.when(b < SIZE_THRESHOLD_BYTES, "small").when(b >= SIZE_THRESHOLD_BYTES, "large")
+def size_class_sql(size_bytes: str) -> str:
+    t = SIZE_THRESHOLD_BYTES
+    return f"CASE WHEN {size_bytes} < {t} THEN 'small' WHEN {size_bytes} >= {t} THEN 'large' END"
 
 
-def iso_utc(ts: Column | str) -> Column:
+def iso_utc_sql(ts: str) -> str:
     """``datetime.isoformat() + 'Z'``: microseconds only when non-zero."""
-    t = _c(ts)
-    frac = F.date_format(t, "SSSSSS")
-    return F.concat(F.date_format(t, "yyyy-MM-dd'T'HH:mm:ss"),
-                    F.when(frac != "000000", F.concat(F.lit("."), frac)).otherwise(""),
-                    F.lit("Z"))
+    frac = f"date_format({ts}, 'SSSSSS')"
+    return (f"concat(date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
+            f"CASE WHEN {frac} <> '000000' THEN concat('.', {frac}) ELSE '' END, 'Z')")
+
+
+def decode_key(raw_key: str) -> Column:
+    return expr(decode_key_sql(ref(raw_key)))
+
+
+def file_name(key: str) -> Column:
+    return expr(file_name_sql(ref(key)))
+
+
+def zfill2(text: str) -> Column:
+    return expr(zfill2_sql(ref(text)))
+
+
+def file_date_from_key(key: str, run_date: str) -> Column:
+    return expr(file_date_sql(ref(key), run_date))
+
+
+def size_gb(size_bytes: str) -> Column:
+    return expr(size_gb_sql(ref(size_bytes)))
+
+
+def size_class(size_bytes: str) -> Column:
+    return expr(size_class_sql(ref(size_bytes)))
+
+
+def iso_utc(ts: str) -> Column:
+    return expr(iso_utc_sql(ref(ts)))

@@ -8,9 +8,9 @@ number (so NaN/inf/'1d' are rejected); anything else gives revenue 0. Money is
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-from .text import py_strip
+from .sqltext import expr, ref, rx
+from .text import strip_sql
 
 _INT = r"^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
@@ -18,27 +18,30 @@ PRICE_TYPE = "decimal(18,4)"
 REVENUE_TYPE = "decimal(38,4)"
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _field(pl: str, i: int) -> str:
+    return strip_sql(f"get(split({pl}, ';'), {i})")
 
 
-def _field(product_list: Column, i: int) -> Column:
-    return py_strip(F.get(F.split(product_list, ";"), i))
+def price_value_sql(text: str) -> str:
+    return f"CASE WHEN {text} RLIKE {rx(_NUMBER)} THEN try_cast({text} AS {PRICE_TYPE}) END"
 
 
-def _price(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast(PRICE_TYPE))
-
-
-def line_revenue(product_list: Column | str) -> Column:
+def line_revenue_sql(pl: str) -> str:
     """quantity x price of the first product; 0 when absent or malformed."""
-    p = _c(product_list)
-    qty_txt, price_txt = _field(p, 2), _field(p, 3)
-    qty = F.when(qty_txt.rlike(_INT), qty_txt.try_cast("decimal(18,0)"))
-    amount = F.try_multiply(qty, _price(price_txt))
-    return F.coalesce(amount.cast(REVENUE_TYPE), F.lit(0).cast(REVENUE_TYPE))
+    qty, price = _field(pl, 2), _field(pl, 3)
+    qty_v = f"CASE WHEN {qty} RLIKE {rx(_INT)} THEN try_cast({qty} AS decimal(18,0)) END"
+    amount = f"try_multiply({qty_v}, {price_value_sql(price)})"
+    return f"coalesce(CAST({amount} AS {REVENUE_TYPE}), CAST(0 AS {REVENUE_TYPE}))"
 
 
-def line_price(product_list: Column | str) -> Column:
+def line_price_sql(pl: str) -> str:
     """Older rule: the price field alone; 0 when absent or malformed."""
-    return F.coalesce(_price(_field(_c(product_list), 3)), F.lit(0).cast(PRICE_TYPE))
+    return f"coalesce({price_value_sql(_field(pl, 3))}, CAST(0 AS {PRICE_TYPE}))"
+
+
+def line_revenue(product_list: str) -> Column:
+    return expr(line_revenue_sql(ref(product_list)))
+
+
+def line_price(product_list: str) -> Column:
+    return expr(line_price_sql(ref(product_list)))

@@ -1,39 +1,41 @@
-"""Text helpers shared by the URL and product-list rules (Column -> Column)."""
+"""Text helpers shared by the URL and product-list rules."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
+
+from .sqltext import expr, ref, rx
 
 # Fixed value: the characters Python's str.strip() removes (str.isspace), as a
 # regex class that both Java regex and RE2 accept.
 WHITESPACE_CLASS = (r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
-_STRIP = r"\A" + WHITESPACE_CLASS + r"+|" + WHITESPACE_CLASS + r"+\z"
+STRIP_PATTERN = r"\A" + WHITESPACE_CLASS + r"+|" + WHITESPACE_CLASS + r"+\z"
 # A '%' that does not start a two-hex-digit escape is kept as text.
-_BARE_PERCENT = r"%(?![0-9A-Fa-f]{2})"
-
+BARE_PERCENT = r"%(?![0-9A-Fa-f]{2})"
 
-def py_strip(col: Column) -> Column:
-    """Strip leading/trailing whitespace the way Python's ``str.strip()`` does.
 
-    Spark's ``trim`` only removes spaces; tabs, NBSP etc. must go too.
-    """
-    return F.regexp_replace(col, _STRIP, "")
+def strip_sql(x: str) -> str:
+    """Python's ``str.strip()``: Spark's ``trim`` only removes spaces."""
+    return f"regexp_replace({x}, {rx(STRIP_PATTERN)}, '')"
 
 
-def lenient_url_decode(col: Column) -> Column:
-    """``unquote_plus``: '+' is a space, %XX is a byte; a malformed escape stays text.
+def decode_sql(x: str) -> str:
+    """``unquote_plus``: '+' is a space, %XX a byte, a malformed escape stays text.
 
     ``url_decode`` raises on ``%zz``; escaping bare '%' first makes it total.
     """
-    return F.url_decode(F.regexp_replace(col, _BARE_PERCENT, "%25"))
+    return f"url_decode(regexp_replace({x}, {rx(BARE_PERCENT)}, '%25'))"
 
 
-def decode_if_escaped(col: Column) -> Column:
+def decode_if_escaped_sql(x: str) -> str:
     """Decode only when there is something to decode (cheap fast path)."""
-    return F.when(_has_escape(col), lenient_url_decode(col)).otherwise(col)
+    return f"CASE WHEN instr({x}, '%') > 0 OR instr({x}, '+') > 0 THEN {decode_sql(x)} ELSE {x} END"
+
+
+def py_strip(col: str) -> Column:
+    return expr(strip_sql(ref(col)))
 
 
-def _has_escape(col: Column) -> Column:
-    return (F.instr(col, "%") > 0) | (F.instr(col, "+") > 0)
+def lenient_url_decode(col: str) -> Column:
+    return expr(decode_sql(ref(col)))

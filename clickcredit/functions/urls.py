@@ -1,4 +1,4 @@
-"""Referrer URL rules as native Column expressions (no Python UDFs).
+"""Referrer URL rules as native Spark SQL expressions (no Python UDFs).
 
 Semantics follow Python's ``urllib.parse`` as used by the original job:
 
@@ -9,6 +9,9 @@ Semantics follow Python's ``urllib.parse`` as used by the original job:
   with a blank value is dropped, names and values are ``unquote_plus``-decoded.
 * keyword = the first value of the first present name in ``SEARCH_PARAMS``
   (list order, not URL order), decoded a second time, stripped, lower-cased.
+
+Functions ending in ``_sql`` take and return SQL text; the others take a
+column name (or SQL expression text) and return a ``Column``.
 """
 
 from __future__ import annotations
@@ -17,100 +20,122 @@ import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
 from ..schema import SEARCH_PARAMS
-from .text import decode_if_escaped, lenient_url_decode, py_strip
+from .sqltext import expr, ref, rx, s
+from .text import decode_if_escaped_sql, decode_sql, strip_sql
 
 _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
 _QUERY = r"^[^?#]*[?]([^#]*)"
 # urlsplit drops leading C0 controls/spaces and removes tab, CR, LF anywhere.
 _UNSAFE = r"\A[\x00-\x20]+|[\t\r\n]"
+# A parameter name that needs decoding ('%xx' or '+') anywhere in the query.
+_ENCODED_NAME = r"(?:^|&)[^=&]*[%+][^=&]*="
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _blank(u: str) -> str:
+    return f"{u} IS NULL OR {u} = ''"
 
 
-def clean_url(url: Column | str) -> Column:
+def clean_url_sql(u: str) -> str:
     """The URL text as ``urlsplit`` sees it."""
-    return F.regexp_replace(_c(url), _UNSAFE, "")
+    return f"regexp_replace({u}, {rx(_UNSAFE)}, '')"
+
+
+def domain_sql(u: str) -> str:
+    host = f"lower(regexp_extract({clean_url_sql(u)}, {rx(_NETLOC)}, 1))"
+    return f"CASE WHEN {_blank(u)} THEN CAST(NULL AS STRING) ELSE regexp_replace({host}, r'^www[.]', '') END"
+
 
+def query_sql(u: str) -> str:
+    return f"regexp_extract({clean_url_sql(u)}, {rx(_QUERY)}, 1)"
 
-def referrer_domain(url: Column | str) -> Column:
-    u = _c(url)
-    host = F.lower(F.regexp_extract(clean_url(u), _NETLOC, 1))
-    return F.when(u.isNull() | (u == ""), F.lit(None).cast("string")).otherwise(
-        F.regexp_replace(host, r"^www[.]", ""))
 
+def pairs_sql(q: str) -> str:
+    """``array<struct<n, v>>`` of kept pairs in URL order; ``n`` decoded, ``v`` raw."""
+    split = f"transform(split({q}, '&'), _p -> split(_p, '=', 2))"
+    kept = f"filter({split}, _nv -> size(_nv) = 2 AND get(_nv, 1) <> '')"
+    name = decode_if_escaped_sql("get(_nv, 0)")
+    return f"transform({kept}, _nv -> named_struct('n', {name}, 'v', get(_nv, 1)))"
 
-def query_text(url: Column | str) -> Column:
-    return F.regexp_extract(clean_url(url), _QUERY, 1)
 
+def raw_keyword_exact_sql(pairs: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
+    """First value of the first present parameter, by list order (once-decoded)."""
+    picks = ", ".join(f"get(filter({pairs}, _x -> _x.n = {s(n)}), 0).v" for n in params)
+    return decode_sql(f"coalesce({picks})")
 
-def query_pairs(query: Column) -> Column:
-    """``array<struct<n: string, v: string>>`` of kept pairs, in URL order.
 
-    ``n`` is decoded once; ``v`` is left raw so only the chosen value pays for
-    decoding.
+def raw_keyword_fast_sql(q: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
+    """Same result when no parameter name carries an escape: names compare as text."""
+    picks = ", ".join(
+        f"nullif(regexp_extract({q}, {rx('(?:^|&)' + re.escape(n) + '=([^&]+)')}, 1), '')"
+        for n in params)
+    return decode_sql(f"coalesce({picks})")
+
+
+def keyword_from_query_sql(q: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
+    """Raw keyword of a query string.
+
+    The fast path (one anchored ``regexp_extract`` per name) stays inside
+    whole-stage codegen; only queries with encoded names take the exact array
+    path (split, decode names, filter), which runs without codegen.
     """
-    split = F.transform(F.split(query, "&"), lambda p: F.split(p, "=", 2))
-    kept = F.filter(split, lambda nv: (F.size(nv) == 2) & (F.get(nv, 1) != ""))
-    return F.transform(kept, lambda nv: F.struct(
-        decode_if_escaped(F.get(nv, 0)).alias("n"), F.get(nv, 1).alias("v")))
+    return (f"CASE WHEN {q} RLIKE {rx(_ENCODED_NAME)} THEN {raw_keyword_exact_sql(pairs_sql(q), params)} "
+            f"ELSE {raw_keyword_fast_sql(q, params)} END")
 
 
-def _name_is(name: str):
-    # A one-argument lambda: PySpark reads two parameters as (element, index).
-    return lambda x: x["n"] == F.lit(name)
+def normalize_keyword_sql(raw: str, case_sensitive: bool = False) -> str:
+    """Second decode, strip, lower-case (lower-casing skipped when asked)."""
+    kw = strip_sql(decode_sql(raw))
+    return kw if case_sensitive else f"lower({kw})"
 
 
-def raw_keyword(pairs: Column, params: Sequence[str] = SEARCH_PARAMS) -> Column:
-    """First value of the first present search parameter (once-decoded)."""
-    picks = [F.get(F.filter(pairs, _name_is(name)), 0)["v"] for name in params]
-    return lenient_url_decode(F.coalesce(*picks))
+def referrer_keyword_sql(u: str, case_sensitive: bool = False,
+                         params: Sequence[str] = SEARCH_PARAMS) -> str:
+    raw = keyword_from_query_sql(query_sql(u), params)
+    return f"CASE WHEN {_blank(u)} THEN CAST(NULL AS STRING) ELSE {normalize_keyword_sql(raw, case_sensitive)} END"
 
 
-# A parameter name that needs decoding ('%xx' or '+') anywhere in the query.
-_ENCODED_NAME = r"(?:^|&)[^=&]*[%+][^=&]*="
+def params_sql(u: str) -> str:
+    """Decoded ``array<struct<name, value>>`` of a URL's query string (``parse_qs``)."""
+    return (f"transform({pairs_sql(query_sql(u))}, "
+            f"_kv -> named_struct('name', _kv.n, 'value', {decode_sql('_kv.v')}))")
 
 
-def _regex_pick(query: Column, name: str) -> Column:
-    # First pair whose raw name is exactly ``name`` and whose value is not blank.
-    found = F.regexp_extract(query, rf"(?:^|&){re.escape(name)}=([^&]+)", 1)
-    return F.when(found != "", found)
+# Column wrappers ------------------------------------------------------------
 
+def clean_url(url: str) -> Column:
+    return expr(clean_url_sql(ref(url)))
 
-def keyword_from_query(query: Column, params: Sequence[str] = SEARCH_PARAMS) -> Column:
-    """``raw_keyword(query_pairs(query))`` with a fast path.
 
-    When no parameter name carries an escape, names compare as raw text and
-    one anchored ``regexp_extract`` per name finds the first non-blank value;
-    this stays inside whole-stage codegen. Queries with encoded names take the
-    exact array path (split, decode names, filter), which Spark evaluates
-    without codegen.
-    """
-    fast = lenient_url_decode(F.coalesce(*[_regex_pick(query, n) for n in params]))
-    exact = raw_keyword(query_pairs(query), params)
-    return F.when(query.rlike(_ENCODED_NAME), exact).otherwise(fast)
+def referrer_domain(url: str) -> Column:
+    return expr(domain_sql(ref(url)))
 
 
-def normalize_keyword(raw: Column, case_sensitive: bool = False) -> Column:
-    """Second decode, strip, lower-case (lower-casing skipped when asked)."""
-    kw = py_strip(lenient_url_decode(raw))
-    return kw if case_sensitive else F.lower(kw)
+def query_text(url: str) -> Column:
+    return expr(query_sql(ref(url)))
+
+
+def query_pairs(query: str) -> Column:
+    return expr(pairs_sql(ref(query)))
+
+
+def raw_keyword(pairs: str, params: Sequence[str] = SEARCH_PARAMS) -> Column:
+    return expr(raw_keyword_exact_sql(ref(pairs), params))
+
+
+def keyword_from_query(query: str, params: Sequence[str] = SEARCH_PARAMS) -> Column:
+    return expr(keyword_from_query_sql(ref(query), params))
+
+
+def normalize_keyword(raw: str, case_sensitive: bool = False) -> Column:
+    return expr(normalize_keyword_sql(ref(raw), case_sensitive))
 
 
-def referrer_keyword(url: Column | str, case_sensitive: bool = False,
+def referrer_keyword(url: str, case_sensitive: bool = False,
                      params: Sequence[str] = SEARCH_PARAMS) -> Column:
-    u = _c(url)
-    raw = keyword_from_query(query_text(u), params)
-    return F.when(u.isNull() | (u == ""), F.lit(None).cast("string")).otherwise(
-        normalize_keyword(raw, case_sensitive))
+    return expr(referrer_keyword_sql(ref(url), case_sensitive, params))
 
 
-def referrer_params(url: Column | str) -> Column:
-    """Decoded ``array<struct<n, v>>`` of a URL's query string (``parse_qs``)."""
-    pairs = query_pairs(query_text(url))
-    return F.transform(pairs, lambda x: F.struct(x["n"].alias("name"),
-                                                 lenient_url_decode(x["v"]).alias("value")))
+def referrer_params(url: str) -> Column:
+    return expr(params_sql(ref(url)))

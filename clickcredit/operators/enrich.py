@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (is_purchase, is_search_referral, is_search_referral_lax,
-                         keyword_from_query, line_revenue, normalize_keyword, query_text,
-                         referrer_domain)
+from ..functions import (is_purchase, is_search_referral, is_search_referral_lax, line_revenue,
+                         normalize_keyword, query_text, referrer_domain)
+from ..functions.urls import keyword_from_query_sql
 from ..schema import DEFAULT_SITE
 
 ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
@@ -20,28 +20,26 @@ def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool
     The referrer's query string is cut out once (``_query``) and its keyword
     value (``_raw_kw``) is shared by the keyword and both flags; Catalyst keeps
     the intermediate projections because inlining them would duplicate
-    non-trivial expressions.
+    non-trivial expressions. ``_raw_kw`` has its own projection: its rare
+    exact path (arrays + lambdas) runs without codegen, and this keeps that
+    from spreading to the other expressions.
     """
-    ref = F.col("referrer")
-    has_ref = ref.isNotNull() & (ref != "")
     step0 = hits.withColumns({
-        "domain": referrer_domain(ref),
-        "_query": query_text(ref),
+        "domain": referrer_domain("referrer"),
+        "_query": query_text("referrer"),
     })
-    # Own projection: its rare exact path (arrays + lambdas) runs without
-    # codegen, and this keeps that from spreading to the other expressions.
-    step1 = step0.withColumn(
-        "_raw_kw", F.when(has_ref, keyword_from_query(F.col("_query")))).drop("_query")
+    step1 = step0.withColumn("_raw_kw", F.expr(
+        "CASE WHEN referrer IS NOT NULL AND referrer <> '' THEN "
+        f"{keyword_from_query_sql('_query')} END")).drop("_query")
     step2 = step1.withColumns({
-        "search_keyword": normalize_keyword(F.col("_raw_kw"), case_sensitive),
+        "search_keyword": normalize_keyword("_raw_kw", case_sensitive),
         "revenue": line_revenue("product_list"),
         "is_purchase": is_purchase("event_list"),
     })
     step3 = step2.withColumns({
-        "is_search_referral": is_search_referral(ref, F.col("domain"), F.col("_raw_kw"),
-                                                 F.col("search_keyword"), site),
-        "is_search_referral_lax": is_search_referral_lax(ref, F.col("domain"),
-                                                         F.col("_raw_kw"), site),
+        "is_search_referral": is_search_referral("referrer", "domain", "_raw_kw",
+                                                 "search_keyword", site),
+        "is_search_referral_lax": is_search_referral_lax("referrer", "domain", "_raw_kw", site),
     })
     return step3.drop("_raw_kw")
 

@@ -20,8 +20,7 @@ def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
     ``decode``: ``plus`` for notification keys (``unquote_plus``), ``none`` for
     keys that are already plain text.
     """
-    raw = F.col(key_col)
-    key = decode_key(raw) if decode == "plus" else raw
+    key = decode_key(key_col) if decode == "plus" else F.col(key_col)
     passthrough = [c for c in ("event_seq", "file_status", "file_ts") if c in files.columns]
     return files.withColumn("file_key", key).select(
         *passthrough,

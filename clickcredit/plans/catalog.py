@@ -21,6 +21,7 @@ from ..operators.enrich import enrich_hits, purchase_hits, search_hits
 from ..sinks.report import partition_columns, report_text
 from ..sources.files import load_file_records
 from ..sources.hits import load_event_hits
+from ..sources.tables import read_table
 from .oracle import RUN_DATE
 
 # Event-derived hits carry a microsecond timestamp plus the event id; that is
@@ -45,7 +46,7 @@ def _report_exact(spark: SparkSession, sf: str) -> DataFrame:
 def _urls(spark: SparkSession, sf: str) -> DataFrame:
     hits = _hits(spark, sf).where(F.col("referrer").isNotNull()).select(
         F.lit("hit").alias("source"), F.col("hit_id").alias("id"), F.col("referrer").alias("url"))
-    pages = spark.read.parquet(f"{sf}/pages.parquet").where(F.col("url").isNotNull()).select(
+    pages = read_table(spark, sf, "pages").where(F.col("url").isNotNull()).select(
         F.lit("page").alias("source"), F.col("page_id").alias("id"), F.col("url"))
     return hits.unionByName(pages)
 

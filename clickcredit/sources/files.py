@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tables import read_table
+
 
 def read_file_listing(spark: SparkSession, root: str, path_glob: str | None = None) -> DataFrame:
     """``(path, file_size, modified_ts)`` of every file under ``root``.
@@ -60,4 +62,4 @@ def file_records_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def load_file_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_records_from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return file_records_from_orders(read_table(spark, sf_dir, "orders"))

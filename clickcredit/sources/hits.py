@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import rx
 from ..schema import HIT_COLUMNS, HIT_SCHEMA
+from .tables import read_table
 
 
 def read_hits(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
@@ -35,9 +37,16 @@ def read_hits(spark: SparkSession, path: str | list[str], *, multiline: bool = F
 # gives the same value as a JSON path at a fraction of the cost.
 _K = r'"k"\s*:\s*(-?[0-9]+)'
 
-
-def _k(props: str = "props"):
-    return F.regexp_extract(F.col(props), _K, 1).try_cast("bigint")
+_VIEW_REFERRER = """CASE WHEN _k % 4 = 0 THEN concat('http://www.google.com/search?hl=en&q=Key+', CAST(_k % 7 AS STRING))
+     WHEN _k % 4 = 1 THEN concat('http://www.bing.com/search?q=key%20', CAST(_k % 7 AS STRING), '&form=QBLH')
+     WHEN _k % 4 = 2 THEN concat('http://search.yahoo.com/search?p=KEY+', CAST(_k % 7 AS STRING), '&toggle=1')
+     ELSE 'http://www.esshopzilla.com/search/?k=Key' END"""
+_ERROR_REFERRER = """CASE WHEN _k % 6 = 0 THEN 'https://www.google.com/search?q=C%2B%2B&hl=en'
+     WHEN _k % 6 = 1 THEN concat('https://duckduckgo.com/?q=&p=x', CAST(_k % 5 AS STRING))
+     WHEN _k % 6 = 2 THEN 'http://Search.Yahoo.com:8080/s?search=100%25+off#q=frag'
+     WHEN _k % 6 = 3 THEN '//m.example.org/find?keywords=Blue%2BRed'
+     WHEN _k % 6 = 4 THEN 'www.google.com/search?q=nohost'
+     ELSE 'https://www.bing.com/search?p=a&q=b&q=c' END"""
 
 
 def hits_from_events(events: DataFrame) -> DataFrame:
@@ -54,51 +63,32 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     * ``referrer``: views come from google / bing / yahoo / the own site by
       ``k % 4``; errors carry URL edge cases by ``k % 6``; others null.
     """
-    # Parse the JSON once; the rules below refer to k many times.
-    events = events.select("event_id", "ts", "user_id", "event_type", "value", _k().alias("_k"))
-    k = F.col("_k")
-    et = F.col("event_type")
-    k7 = (k % 7).cast("string")
-    view_ref = (F.when(k % 4 == 0, F.concat(F.lit("http://www.google.com/search?hl=en&q=Key+"), k7))
-                .when(k % 4 == 1, F.concat(F.lit("http://www.bing.com/search?q=key%20"), k7,
-                                           F.lit("&form=QBLH")))
-                .when(k % 4 == 2, F.concat(F.lit("http://search.yahoo.com/search?p=KEY+"), k7,
-                                           F.lit("&toggle=1")))
-                .otherwise(F.lit("http://www.esshopzilla.com/search/?k=Key")))
-    error_ref = (F.when(k % 6 == 0, F.lit("https://www.google.com/search?q=C%2B%2B&hl=en"))
-                 .when(k % 6 == 1, F.concat(F.lit("https://duckduckgo.com/?q=&p=x"),
-                                            (k % 5).cast("string")))
-                 .when(k % 6 == 2, F.lit("http://Search.Yahoo.com:8080/s?search=100%25+off#q=frag"))
-                 .when(k % 6 == 3, F.lit("//m.example.org/find?keywords=Blue%2BRed"))
-                 .when(k % 6 == 4, F.lit("www.google.com/search?q=nohost"))
-                 .otherwise(F.lit("https://www.bing.com/search?p=a&q=b&q=c")))
-    product = (F.when(et == "purchase",
-                      F.concat(F.lit("Electronics;Item;"), (1 + k % 3).cast("string"), F.lit(";"),
-                               F.col("value").cast("decimal(18,2)").cast("string"), F.lit(";")))
-               .when(et == "click", F.lit("Electronics;Item;1;;")))
-    event_list = (F.when(et == "purchase", "1").when(et == "click", "2")
-                  .when(et == "signup", "12").otherwise(""))
-    referrer = F.when(et == "view", view_ref).when(et == "error", error_ref)
-    ts = F.col("ts").cast("timestamp")
-    null = F.lit(None).cast("string")
-    return events.select(
-        F.col("event_id").alias("hit_id"),
-        ts.alias("ts"),
-        F.unix_seconds(ts).alias("hit_time_gmt"),
-        ts.alias("date_time"),
-        null.alias("user_agent"),
-        F.concat(F.lit("10.0.0."), F.col("user_id").cast("string")).alias("ip"),
-        event_list.alias("event_list"),
-        null.alias("geo_city"), null.alias("geo_region"), null.alias("geo_country"),
-        et.alias("pagename"),
-        null.alias("page_url"),
-        product.alias("product_list"),
-        referrer.alias("referrer"),
+    with_k = events.selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type",
+                               "value", f"try_cast(regexp_extract(props, {rx(_K)}, 1) AS BIGINT) AS _k")
+    return with_k.selectExpr(
+        "event_id AS hit_id",
+        "ts",
+        "unix_seconds(ts) AS hit_time_gmt",
+        "ts AS date_time",
+        "CAST(NULL AS STRING) AS user_agent",
+        "concat('10.0.0.', CAST(user_id AS STRING)) AS ip",
+        "CASE event_type WHEN 'purchase' THEN '1' WHEN 'click' THEN '2' WHEN 'signup' THEN '12' "
+        "ELSE '' END AS event_list",
+        "CAST(NULL AS STRING) AS geo_city",
+        "CAST(NULL AS STRING) AS geo_region",
+        "CAST(NULL AS STRING) AS geo_country",
+        "event_type AS pagename",
+        "CAST(NULL AS STRING) AS page_url",
+        "CASE WHEN event_type = 'purchase' THEN concat('Electronics;Item;', CAST(1 + _k % 3 AS STRING), "
+        "';', CAST(CAST(value AS DECIMAL(18,2)) AS STRING), ';') "
+        "WHEN event_type = 'click' THEN 'Electronics;Item;1;;' END AS product_list",
+        f"CASE WHEN event_type = 'view' THEN {_VIEW_REFERRER} "
+        f"WHEN event_type = 'error' THEN {_ERROR_REFERRER} END AS referrer",
     )
 
 
 def load_event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hits_from_events(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    return hits_from_events(read_table(spark, sf_dir, "events"))
 
 
 __all__ = ["HIT_COLUMNS", "hits_from_events", "load_event_hits", "read_hits"]
