@@ -36,6 +36,7 @@ def session() -> SparkSession:
              .config("spark.sql.shuffle.partitions", str(CPUS))
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
+             .config("spark.sql.codegen.hugeMethodLimit", "8000")
              .config("spark.driver.memory", "8g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -20,6 +20,11 @@ def ref(name_or_sql: str) -> str:
     return f"`{name_or_sql}`" if _IDENT.match(name_or_sql) else f"({name_or_sql})"
 
 
+def is_column_ref(sql: str) -> bool:
+    """Whether ``sql`` is a bare (back-quoted or plain) column name or lambda variable."""
+    return bool(_IDENT.match(sql) or re.match(r"^`[^`]+`$", sql))
+
+
 def rx(pattern: str) -> str:
     """A regex as a raw SQL literal (backslashes are passed through untouched)."""
     if "'" in pattern:

@@ -29,8 +29,9 @@ _NETLOC = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)"
 _QUERY = r"^[^?#]*[?]([^#]*)"
 # urlsplit drops leading C0 controls/spaces and removes tab, CR, LF anywhere.
 _UNSAFE = r"\A[\x00-\x20]+|[\t\r\n]"
-# A parameter name that needs decoding ('%xx' or '+') anywhere in the query.
-_ENCODED_NAME = r"(?:^|&)[^=&]*[%+][^=&]*="
+
+# SQL text cannot share a subexpression, so every builder below refers to its
+# input once; callers that need a value several times stage it as a column.
 
 
 def _blank(u: str) -> str:
@@ -62,31 +63,42 @@ def pairs_sql(q: str) -> str:
 def raw_keyword_exact_sql(pairs: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
     """First value of the first present parameter, by list order (once-decoded)."""
     picks = ", ".join(f"get(filter({pairs}, _x -> _x.n = {s(n)}), 0).v" for n in params)
-    return decode_sql(f"coalesce({picks})")
+    return decode_if_escaped_sql(f"coalesce({picks})")
 
 
-def raw_keyword_fast_sql(q: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
-    """Same result when no parameter name carries an escape: names compare as text."""
-    picks = ", ".join(
-        f"nullif(regexp_extract({q}, {rx('(?:^|&)' + re.escape(n) + '=([^&]+)')}, 1), '')"
-        for n in params)
-    return decode_sql(f"coalesce({picks})")
+def encoded_name_pattern(name: str) -> str:
+    """Regex for every raw spelling of ``name`` that decodes to exactly ``name``.
+
+    Each character may be written as itself or as its %XX byte (hex digits in
+    either case). '+' decodes to a space and a multi-byte or malformed escape
+    never decodes to an ASCII character, so for ASCII names this is exact.
+    """
+    if not name.isascii():
+        raise ValueError("search parameter names must be ASCII")
+    parts = []
+    for ch in name:
+        hx = "".join(f"[{d.upper()}{d.lower()}]" if d.isalpha() else d for d in f"{ord(ch):02x}")
+        parts.append(f"(?:{re.escape(ch)}|%{hx})")
+    return "".join(parts)
 
 
 def keyword_from_query_sql(q: str, params: Sequence[str] = SEARCH_PARAMS) -> str:
-    """Raw keyword of a query string.
+    """Raw keyword of a query string: first non-blank value of the first present name.
 
-    The fast path (one anchored ``regexp_extract`` per name) stays inside
-    whole-stage codegen; only queries with encoded names take the exact array
-    path (split, decode names, filter), which runs without codegen.
+    One anchored ``regexp_extract`` per name, in list order; the leftmost match
+    is the first pair with that (decoded) name and a non-blank value, as in
+    ``parse_qs``. No arrays or lambdas, so it runs inside whole-stage codegen.
+    The value is decoded once (the decode ``parse_qs`` does).
     """
-    return (f"CASE WHEN {q} RLIKE {rx(_ENCODED_NAME)} THEN {raw_keyword_exact_sql(pairs_sql(q), params)} "
-            f"ELSE {raw_keyword_fast_sql(q, params)} END")
+    picks = ", ".join(
+        f"nullif(regexp_extract({q}, {rx('(?:^|&)' + encoded_name_pattern(n) + '=([^&]+)')}, 1), '')"
+        for n in params)
+    return decode_sql(f"coalesce({picks})")
 
 
 def normalize_keyword_sql(raw: str, case_sensitive: bool = False) -> str:
     """Second decode, strip, lower-case (lower-casing skipped when asked)."""
-    kw = strip_sql(decode_sql(raw))
+    kw = strip_sql(decode_if_escaped_sql(raw))
     return kw if case_sensitive else f"lower({kw})"
 
 

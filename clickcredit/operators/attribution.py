@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PURCHASE_EVENT
-from .enrich import search_flag
+from .enrich import purchase_hits, search_flag
 
 REVENUE_TYPE = "decimal(38,4)"
 
@@ -108,10 +108,17 @@ def touches(enriched: DataFrame, *, attribution: str = "last", strict: bool = Tr
 
 def search_sessions_any(enriched: DataFrame, strict: bool = False,
                         session_keys: Sequence[str] = ("ip",)) -> DataFrame:
-    """The original job's arbitrary pick: ``dropDuplicates`` on the session key."""
-    rows = enriched.where(_keys_present(session_keys) & F.col(search_flag(strict)))
-    return (rows.select(*session_keys, "domain", F.col("search_keyword").alias("keyword"))
-            .dropDuplicates(list(session_keys)))
+    """The original job's arbitrary pick (``dropDuplicates`` on the session key).
+
+    Written as ``first(..., ignorenulls)`` per visitor, which is the same
+    arbitrary choice and combines map-side like the other session operators.
+    """
+    rows = contributing_rows(enriched, session_keys, purchases=False)
+    touch = F.when(F.col(search_flag(strict)),
+                   F.struct("domain", F.col("search_keyword").alias("keyword")))
+    grouped = rows.groupBy(*session_keys).agg(F.first(touch, ignorenulls=True).alias("_t"))
+    return grouped.where(F.col("_t").isNotNull()).select(
+        *session_keys, F.col("_t.domain").alias("domain"), F.col("_t.keyword").alias("keyword"))
 
 
 def attributed_sessions(sessions: DataFrame) -> DataFrame:
@@ -206,7 +213,7 @@ def keyword_revenue_join(enriched: DataFrame, *, attribution: str = "last", stri
     """Join form of :func:`keyword_revenue` (touches x purchase rows, then sum)."""
     t = touches(enriched, attribution=attribution, strict=strict, order_by=order_by,
                 session_keys=session_keys)
-    p = enriched.where(F.col("is_purchase") & (F.col("revenue") > 0))
+    p = purchase_hits(enriched)
     ident = list(salt_source) if salt_source else [c for c in order_by if c not in session_keys]
     rows = attributed_purchases(t, p.select(*session_keys, *ident, "product_list", "revenue"),
                                 session_keys=session_keys, salt_buckets=salt_buckets,

@@ -20,9 +20,8 @@ def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool
     The referrer's query string is cut out once (``_query``) and its keyword
     value (``_raw_kw``) is shared by the keyword and both flags; Catalyst keeps
     the intermediate projections because inlining them would duplicate
-    non-trivial expressions. ``_raw_kw`` has its own projection: its rare
-    exact path (arrays + lambdas) runs without codegen, and this keeps that
-    from spreading to the other expressions.
+    non-trivial expressions. Every expression is codegen-friendly, so the
+    chain runs as one whole-stage-codegen pipeline.
     """
     step0 = hits.withColumns({
         "domain": referrer_domain("referrer"),
@@ -48,10 +47,25 @@ def search_flag(strict: bool) -> str:
     return "is_search_referral" if strict else "is_search_referral_lax"
 
 
+def keep_where(df: DataFrame, flag: str) -> DataFrame:
+    """Rows whose already computed boolean column ``flag`` is true.
+
+    ``where(flag)`` would be pushed below the enrichment projections with the
+    URL rules inlined into the predicate: the rules then run twice per row and
+    the generated code can outgrow a Java method, which silently drops the
+    stage to interpreted mode. A generator that emits the row once when the
+    flag is true (``explode(array_repeat(true, int(flag)))``) filters at the
+    point where the flag is computed, inside the same codegen stage.
+    """
+    keep = F.explode(F.array_repeat(F.lit(True), F.coalesce(F.col(flag), F.lit(False)).cast("int")))
+    return df.withColumn("_keep", keep).drop("_keep")
+
+
 def search_hits(enriched: DataFrame, strict: bool = True) -> DataFrame:
-    return enriched.where(F.col(search_flag(strict)))
+    return keep_where(enriched, search_flag(strict))
 
 
 def purchase_hits(enriched: DataFrame) -> DataFrame:
     """Completed purchases with positive revenue."""
-    return enriched.where(F.col("is_purchase") & (F.col("revenue") > 0))
+    flagged = enriched.withColumn("_buy", F.col("is_purchase") & (F.col("revenue") > 0))
+    return keep_where(flagged, "_buy").drop("_buy")

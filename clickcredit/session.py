@@ -20,6 +20,10 @@ _LOCAL_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.shuffle.partitions": "8",
+    # HotSpot never JIT-compiles a method over 8000 bytes of bytecode; the URL
+    # rules make a large generated method, so let Spark fall back to
+    # per-operator code for such a stage instead of running it interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -42,3 +42,21 @@ def test_join_form_plan_has_one_join(spark):
     plan = _plan(df)
     assert plan.count("Join") >= 1
     assert "BatchEvalPython" not in plan
+
+
+def test_flag_filters_do_not_inline_url_rules(spark):
+    from clickcredit.operators.enrich import purchase_hits, search_hits
+    e = enrich_hits(load_event_hits(spark, SF))
+    for df in (search_hits(e), purchase_hits(e)):
+        plan = _plan(df)
+        filters = [line for line in plan.splitlines() if "Filter" in line]
+        assert not any("regexp" in line for line in filters), filters
+        assert "Generate explode(array_repeat(true" in plan
+
+
+def test_enrichment_rules_support_codegen(spark):
+    # No rule forces interpreted evaluation (arrays + lambdas would).
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    plan = _plan(enrich_hits(load_event_hits(spark, SF)))
+    projects = [line for line in plan.splitlines() if "Project [" in line]
+    assert projects and all(line.lstrip(" +-:").startswith("*(") for line in projects), projects

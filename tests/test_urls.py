@@ -34,7 +34,8 @@ SCHEMES = ["http://", "https://", "//", "", "HTTP://", "ftp:", "a1+.-:", "1x://"
 HOSTS = ["www.google.com", "Search.Yahoo.com:8080", "user:pw@host.org", "www.www.x.com", "",
          "esshopzilla.com", "WWW.Bing.com", "m.example.org"]
 PATHS = ["", "/", "/search", "/a b", "/x;y", "/r\tt"]
-NAMES = ["q", "Q", "query", "p", "search", "keywords", "k", "x", "%71", "q+", "", "k%20"]
+NAMES = ["q", "Q", "query", "p", "search", "keywords", "k", "x", "%71", "q+", "", "k%20", "%71uery",
+         "q%75%65ry", "%6B", "%6b", "%4B", "%6B%", "%2571", "se%61rch", "%70%", "+q", "%C5%B1"]
 VALUES = ["Ipod", "", "+", "C%2B%2B", "100%", "%zz", "a+b", "%2520", " x ", "caf%C3%A9",
           "%E2%80%83y%C2%A0", "%ff", "=", "a=b", "%", "Key%20+1", "\u00a0z\u2003"]
 
