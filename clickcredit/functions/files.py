@@ -64,10 +64,17 @@ def size_class_sql(size_bytes: str) -> str:
 
 
 def iso_utc_sql(ts: str) -> str:
-    """``datetime.isoformat() + 'Z'``: microseconds only when non-zero."""
-    frac = f"date_format({ts}, 'SSSSSS')"
-    return (f"concat(date_format({ts}, \"yyyy-MM-dd'T'HH:mm:ss\"), "
-            f"CASE WHEN {frac} <> '000000' THEN concat('.', {frac}) ELSE '' END, 'Z')")
+    """``datetime.isoformat() + 'Z'``: microseconds only when non-zero.
+
+    Built from the timestamp's text form: for a zone-less timestamp that text
+    is the stored wall clock, whereas ``date_format`` would first convert it
+    to the session time zone (and shift times that fall in a DST gap).
+    """
+    text = f"CAST({ts} AS STRING)"
+    base = f"replace(substring_index({text}, '.', 1), ' ', 'T')"
+    frac = (f"CASE WHEN instr({text}, '.') > 0 "
+            f"THEN concat('.', rpad(substring_index({text}, '.', -1), 6, '0')) ELSE '' END")
+    return f"concat({base}, {frac}, 'Z')"
 
 
 def decode_key(raw_key: str) -> Column:

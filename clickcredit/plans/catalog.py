@@ -76,7 +76,7 @@ def q_referrer_domain(spark, sf):
 def q_referrer_params(spark, sf):
     kv = _urls(spark, sf).select("source", "id", "url", referrer_params("url").alias("kv"))
     ex = kv.select("source", "id", "url", F.posexplode("kv").alias("pos0", "p"))
-    return ex.select("source", "id", "url", (F.col("pos0") + 1).alias("pos"),
+    return ex.select("source", "id", "url", (F.col("pos0") + 1).cast("long").alias("pos"),
                      F.col("p.name").alias("name"), F.col("p.value").alias("value"))
 
 

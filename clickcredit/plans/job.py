@@ -55,7 +55,7 @@ def _event(spark: SparkSession, *, file_key: str, run_ts: dt.datetime, status: s
            engine: str, record_count: int | None = None, output_location: str | None = None,
            error_message: str | None = None) -> DataFrame:
     """One status event for this run (a one-row frame)."""
-    schema = ("file_key string, file_ts timestamp, file_status string, event_type string, "
+    schema = ("file_key string, file_ts timestamp_ntz, file_status string, event_type string, "
               "record_count long, output_location string, error_message string")
     row = [(file_key, run_ts, status, engine, record_count, output_location, error_message)]
     df = spark.createDataFrame(row, schema).withColumns({
@@ -70,7 +70,10 @@ def run_report_job(spark: SparkSession, input_path: str, output_root: str, log_p
                    run_ts: dt.datetime, source_name: str | None = None, site: str = DEFAULT_SITE,
                    attribution: str = "last", strict: bool = True,
                    case_sensitive: bool = False, engine: str = EVENT_SPARK) -> JobResult:
-    """Report for one input; sessions are scoped per file (``source_file``, ``ip``)."""
+    """Report for one input; sessions are scoped per file (``source_file``, ``ip``).
+
+    ``run_ts`` is a naive UTC datetime (it is logged zone-less as ISO ``...Z``).
+    """
     run_date = run_ts.date().isoformat()
     name = source_name or input_path.rstrip("/").split("/")[-1]
     location = f"{output_root.rstrip('/')}/year={run_date[:4]}/month={run_date[5:7]}/date={run_date[8:]}/source_name={name}"
@@ -105,7 +108,7 @@ def route_new_files(spark: SparkSession, landing_root: str, log_path: str, *,
     label the original used to pick a processing engine.
     """
     listing = read_file_listing(spark, landing_root, path_glob).withColumns({
-        "file_ts": F.lit(run_ts).cast("timestamp"),
+        "file_ts": F.expr(f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ')}'"),
         "file_status": F.lit(STATUS_RECEIVED),
     })
     manifest = file_manifest(listing, run_ts.date().isoformat(), key_col="path", decode="none")

@@ -22,9 +22,11 @@ def to_log_rows(events: DataFrame) -> DataFrame:
     for field in STATUS_EVENT_SCHEMA.fields:
         c = F.col(field.name) if field.name in cols else F.lit(None)
         out.append(c.cast(field.dataType).alias(field.name))
-    ts = F.col("file_ts") if "file_ts" in cols else F.try_to_timestamp(F.col("file_datetime"))
+    # Event times are kept zone-less (as written in the ISO text, which is UTC).
+    ts = (F.col("file_ts") if "file_ts" in cols
+          else F.try_to_timestamp(F.regexp_replace("file_datetime", "Z$", "")).cast("timestamp_ntz"))
     seq = F.col("event_seq") if "event_seq" in cols else F.lit(None)
-    out += [ts.cast("timestamp").alias("file_ts"), seq.cast("long").alias("event_seq")]
+    out += [ts.cast("timestamp_ntz").alias("file_ts"), seq.cast("long").alias("event_seq")]
     return events.select(*out)
 
 

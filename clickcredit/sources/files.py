@@ -56,7 +56,7 @@ def file_records_from_orders(orders: DataFrame) -> DataFrame:
         F.col("o_orderkey").alias("event_seq"),
         raw_key.alias("raw_key"),
         F.floor(F.col("o_totalprice") * 16384).cast("long").alias("file_size"),
-        F.col("o_orderdate").cast("timestamp").alias("file_ts"),
+        F.col("o_orderdate").alias("file_ts"),  # zone-less, as stored
         status.alias("file_status"),
     )
 

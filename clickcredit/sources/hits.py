@@ -55,7 +55,8 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     The same rules exist as SQL in ``plans.oracle`` so both engines see the
     same input:
 
-    * ``ip`` = ``10.0.0.<user_id>``; order key ``(ts, hit_id)``.
+    * ``ip`` = ``10.0.0.<user_id>``; order key ``(ts, hit_id)``; ``ts`` stays a
+      zone-less timestamp, so results do not depend on the session time zone.
     * ``event_list``: purchase ``1``, click ``2``, signup ``12``, else blank.
     * ``k`` = the number in ``props`` (``{"k": n}``).
     * ``product_list``: purchase ``Electronics;Item;<1 + k % 3>;<value, 2 decimals>;``,
@@ -63,12 +64,15 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     * ``referrer``: views come from google / bing / yahoo / the own site by
       ``k % 4``; errors carry URL edge cases by ``k % 6``; others null.
     """
-    with_k = events.selectExpr("event_id", "CAST(ts AS TIMESTAMP) AS ts", "user_id", "event_type",
-                               "value", f"try_cast(regexp_extract(props, {rx(_K)}, 1) AS BIGINT) AS _k")
+    with_k = events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
+                               f"try_cast(regexp_extract(props, {rx(_K)}, 1) AS BIGINT) AS _k")
     return with_k.selectExpr(
         "event_id AS hit_id",
         "ts",
-        "unix_seconds(ts) AS hit_time_gmt",
+        # ts is a wall-clock timestamp (no zone); epoch seconds without any
+        # session-zone conversion, which could shift times near DST changes.
+        "unix_date(CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts) "
+        "AS hit_time_gmt",
         "ts AS date_time",
         "CAST(NULL AS STRING) AS user_agent",
         "concat('10.0.0.', CAST(user_id AS STRING)) AS ip",

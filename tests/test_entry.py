@@ -10,6 +10,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
+SF_TZ = "/root/testdata/sf0.01"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -54,3 +55,15 @@ def test_query_matches_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", ["hits_scan", "write_report", "file_event_log", "stream_keyword_revenue"])
 def test_io_queries_run(spark, name):
     assert E.queries()[name](spark, SF).count() > 0
+
+
+@pytest.mark.parametrize("name", ["status_events", "latest_file_status", "keyword_revenue", "first_touch"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    # Midnight does not exist on some DST-start days in this zone; zone-less
+    # timestamps must come through unchanged.
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        test_query_matches_oracle(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
