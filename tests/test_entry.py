@@ -10,7 +10,6 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-SF_TZ = "/root/testdata/sf0.01"
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
