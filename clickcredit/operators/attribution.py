@@ -65,7 +65,7 @@ def contributing_rows(enriched: DataFrame, session_keys: Sequence[str],
     """
     cond = F.lit(False)
     if touches:
-        cond = cond | (F.instr(F.col("referrer"), "?") > 0)
+        cond = cond | F.col("referrer").contains("?")
     if purchases:
         cond = cond | (F.col("event_list") == PURCHASE_EVENT)
     return enriched.where(_keys_present(session_keys) & cond)
