@@ -71,7 +71,7 @@ def hits_from_events(events: DataFrame) -> DataFrame:
         "ts",
         # ts is a wall-clock timestamp (no zone); epoch seconds without any
         # session-zone conversion, which could shift times near DST changes.
-        "unix_date(CAST(ts AS DATE)) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts) "
+        "CAST(unix_date(CAST(ts AS DATE)) AS BIGINT) * 86400 + hour(ts) * 3600 + minute(ts) * 60 + second(ts) "
         "AS hit_time_gmt",
         "ts AS date_time",
         "CAST(NULL AS STRING) AS user_agent",
