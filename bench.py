@@ -1,7 +1,7 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 3). Each query runs once to warm up, then BENCH_REPEAT
+BENCH_REPEAT (default 5). Each query runs once to warm up, then BENCH_REPEAT
 times; the median is reported. Queries are forced with the ``noop`` sink so
 the whole plan runs without pulling rows to the driver.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
-REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+REPEAT = int(os.environ.get("BENCH_REPEAT", "5"))
 
 
 def session() -> SparkSession:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, spread_if_few_splits
 
 
 def read_file_listing(spark: SparkSession, root: str, path_glob: str | None = None) -> DataFrame:
@@ -61,5 +61,6 @@ def file_records_from_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def load_file_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_records_from_orders(read_table(spark, sf_dir, "orders"))
+def load_file_records(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
+    orders = read_table(spark, sf_dir, "orders")
+    return file_records_from_orders(spread_if_few_splits(orders) if spread else orders)
