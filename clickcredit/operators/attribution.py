@@ -193,9 +193,9 @@ def _salted_join(big: DataFrame, small: DataFrame, keys: Sequence[str], salt_buc
 
 
 def attribution_join(touch: DataFrame, purchase_sess: DataFrame,
-                     session_keys: Sequence[str] = ("ip",)) -> DataFrame:
-    """Touch per visitor joined to that visitor's purchase amounts."""
-    return touch.join(purchase_sess, list(session_keys), "inner")
+                     session_keys: Sequence[str] = ("ip",), salt_buckets: int = 1) -> DataFrame:
+    """Touch per visitor joined to that visitor's purchase amounts (one row each)."""
+    return _salted_join(purchase_sess, touch, session_keys, salt_buckets, ("amount",))
 
 
 def attributed_purchases(touch: DataFrame, purchases: DataFrame, *,

@@ -140,7 +140,8 @@ def q_purchase_sessions(spark, sf):
 
 def q_attribution_join(spark, sf):
     e = _enriched(spark, sf)
-    j = A.attribution_join(A.touches(e, order_by=ORDER), A.purchase_sessions(purchase_hits(e)))
+    j = A.attribution_join(A.touches(e, order_by=ORDER), A.purchase_sessions(purchase_hits(e)),
+                           salt_buckets=4)
     return j.select("ip", "domain", "keyword", _dbl("amount"), "n")
 
 

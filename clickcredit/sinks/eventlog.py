@@ -35,12 +35,14 @@ def append_file_events(events: DataFrame, log_path: str) -> None:
 
     Status events are small and arrive one per file, so daily folders would
     mostly hold tiny files; monthly folders still prune by date. Rows are
-    clustered by month first so each folder gets one file per append rather
-    than one per writing task.
+    range-partitioned on (month, key) before writing: each month lands in one
+    or a few writer tasks instead of one file per task and month, and a month
+    holding a large share of the events is split over several tasks rather
+    than sent to one.
     """
     rows = to_log_rows(events).withColumn("file_month", F.substring("file_date", 1, 7))
-    (rows.repartition("file_month").write.mode("append").partitionBy("file_month")
-     .parquet(log_path))
+    (rows.repartitionByRange("file_month", "file_key").write.mode("append")
+     .partitionBy("file_month").parquet(log_path))
 
 
 def read_file_events(spark: SparkSession, log_path: str) -> DataFrame:
