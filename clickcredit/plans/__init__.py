@@ -1,0 +1 @@
+"""Composed plans: registered queries, the DuckDB oracle, the batch job and file router."""

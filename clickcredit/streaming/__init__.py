@@ -1,0 +1 @@
+"""Structured Streaming: one report per arriving hit file."""
