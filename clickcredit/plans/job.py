@@ -36,10 +36,13 @@ from ..sources.hits import read_hits
 
 def qualified_path(spark: SparkSession, path: str) -> str:
     """The path as file listings report it (scheme included), so log keys match."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return str(fs.makeQualified(hpath).toString())
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return str(fs.makeQualified(hpath).toString())
+    except Exception:  # no JVM gateway in this session type: keep the path as given
+        return path
 
 
 @dataclass

@@ -36,8 +36,9 @@ def spread_if_few_splits(df: DataFrame, min_splits: int | None = None) -> DataFr
     unchanged, so at scale this never adds a shuffle. Spark sorts rows before
     a round-robin repartition, so a retried task deals them out the same way.
     """
-    spark = df.sparkSession
-    target = min_splits or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_splits or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
         return df
-    return df.repartition(2 * target)
+    return df if splits >= target else df.repartition(2 * target)
