@@ -61,10 +61,18 @@ def write_report(report_exact: DataFrame, path: str, *, single_file: bool = True
 
 def write_partitioned_report(report_exact: DataFrame, root: str, run_date: str,
                              source_name: str) -> None:
-    """Write under ``root/year=Y/month=M/date=D/source_name=S``, replacing only that partition."""
-    out = partition_columns(report_text(report_exact.orderBy(
-        F.col("revenue").desc(), F.col("domain"), F.col("keyword"))), run_date,
-        F.lit(source_name)).coalesce(1)
+    """Write under ``root/year=Y/month=M/date=D/source_name=S``, replacing only that partition.
+
+    Rows are sorted within the writer task by the partition columns first and
+    then by revenue: that satisfies the ordering the partitioned writer needs,
+    so it adds no sort of its own that could reorder rows inside the file.
+    """
+    keys = ["year", "month", "date", "source_name"]
+    d, k, r = REPORT_HEADER
+    out = (partition_columns(report_exact, run_date, F.lit(source_name)).coalesce(1)
+           .sortWithinPartitions(*keys, F.col("revenue").desc(), "domain", "keyword")
+           .select(*keys, F.col("domain").alias(d), F.col("keyword").alias(k),
+                   revenue_text(F.col("revenue")).alias(r)))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("year", "month", "date", "source_name")
+     .partitionBy(*keys)
      .option("sep", "\t").option("header", True).option("lineSep", "\n").csv(root))

@@ -7,8 +7,9 @@ source never splits a file over batches, and each batch is a plain batch job
 keyed by ``(source_file, ip)``.
 
 The sink is idempotent: each batch overwrites only the ``source_id``
-partitions (a hash of the full file path) of the files it holds (dynamic partition overwrite), so a replayed
-batch after a failure rewrites the same output instead of duplicating it.
+partitions (a hash of the full file path) of the files it holds (dynamic
+partition overwrite), so a replayed batch after a failure rewrites the same
+output instead of duplicating it.
 The checkpoint lives under the shared ``spark.checkpoint.dir``.
 """
 
@@ -29,6 +30,7 @@ REPORT_KEYS = ("source_file",)
 def hit_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(HIT_SCHEMA)
             .option("header", True).option("sep", "\t")
+            .option("enforceSchema", False).option("mode", "PERMISSIVE")
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .csv(input_dir)

@@ -21,14 +21,16 @@ def test_report_job_writes_report_summary_and_log(spark, tmp_dir):
     os.makedirs(landing)
     src = write_sample(landing, "original")
     out, log = os.path.join(tmp_dir, "tgt"), os.path.join(tmp_dir, "log")
-    res = run_report_job(spark, src, out, log, run_ts=RUN)
+    res = run_report_job(spark, src, out, log, run_ts=RUN, case_sensitive=True)
     assert res.record_count == 21
-    assert res.summary == {"total_records": 2, "total_revenue": 730.0, "unique_domains": 2,
-                           "unique_keywords": 2}
+    assert res.summary == {"total_records": 3, "total_revenue": 730.0, "unique_domains": 2,
+                           "unique_keywords": 3}
     assert res.top_domains == [("google.com", 480.0), ("bing.com", 250.0)]
     parts = glob.glob(os.path.join(res.output_location, "part-*.csv"))
     assert len(parts) == 1
-    assert open(parts[0]).read().splitlines()[1] == "google.com\tipod\t480.00"
+    assert open(parts[0]).read().splitlines() == [
+        "Search Engine Domain\tSearch Keyword\tRevenue", "google.com\tIpod\t290.00",
+        "bing.com\tZune\t250.00", "google.com\tipod\t190.00"]
     events = read_file_events(spark, log).collect()
     assert [(e.file_status, e.record_count, e.file_date, e.event_type) for e in events] == [
         ("COMPLETE", 21, "2026-03-05", "SPARK")]
