@@ -167,6 +167,11 @@ def q_keyword_revenue(spark, sf):
     return A.keyword_revenue(_enriched(spark, sf), order_by=ORDER)
 
 
+def q_keyword_revenue_case_kept(spark, sf):
+    """Keywords keep their case (the rule behind the older expected reports)."""
+    return A.keyword_revenue(enrich_hits(_hits(spark, sf), case_sensitive=True), order_by=ORDER)
+
+
 def q_keyword_revenue_first(spark, sf):
     return A.keyword_revenue(_enriched(spark, sf), attribution="first", order_by=ORDER)
 
@@ -279,6 +284,7 @@ QUERIES: dict[str, Query] = {
     "visitor_revenue": q_visitor_revenue,
     "keyword_revenue": q_keyword_revenue,
     "keyword_revenue_first": q_keyword_revenue_first,
+    "keyword_revenue_case_kept": q_keyword_revenue_case_kept,
     "keyword_revenue_lax": q_keyword_revenue_lax,
     "keyword_revenue_join": q_keyword_revenue_join,
     "session_counts": q_session_counts,

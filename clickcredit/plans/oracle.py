@@ -335,6 +335,10 @@ SELECT coalesce(t.ip, y.ip) AS ip, t.domain, t.keyword, CAST(y.revenue AS DOUBLE
 FROM last_t t FULL OUTER JOIN buyer y ON t.ip = y.ip"""
     q["visitor_revenue"] = (f"{b} SELECT ip, CAST(revenue AS DOUBLE) AS revenue, n_purchases FROM buyer")
     q["keyword_revenue"] = f"{report} SELECT domain, keyword, CAST(revenue AS DOUBLE) AS revenue FROM report"
+    report_cs = with_(HITS_CTE, enriched_cte(case_sensitive=True),
+                      touch_cte("last_t", "is_search_referral", True), BUYS_CTE, REPORT)
+    q["keyword_revenue_case_kept"] = (f"{report_cs} SELECT domain, keyword, CAST(revenue AS DOUBLE) "
+                                      f"AS revenue FROM report")
     q["keyword_revenue_join"] = q["keyword_revenue"]
     q["keyword_revenue_lax"] = (f"{b} SELECT t.domain, t.keyword, CAST(sum(y.revenue) AS DOUBLE) AS revenue "
                                 f"FROM first_lax_t t JOIN buyer y USING (ip) "
