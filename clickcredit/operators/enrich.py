@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import (is_purchase, is_search_referral, is_search_referral_lax, line_revenue,
                          normalize_keyword, query_text, referrer_domain)
 from ..functions.urls import keyword_from_query_sql
-from ..schema import DEFAULT_SITE
+from ..schema import DEFAULT_SITE, PURCHASE_EVENT
 
 ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
                     "is_search_referral_lax", "is_purchase")
@@ -62,10 +62,21 @@ def keep_where(df: DataFrame, flag: str) -> DataFrame:
 
 
 def search_hits(enriched: DataFrame, strict: bool = True) -> DataFrame:
-    return keep_where(enriched, search_flag(strict))
+    """Hits that are search touches.
+
+    A touch needs a query string, so ``referrer`` containing '?' is checked
+    first on the raw column (it reaches the scan); the flag itself is then
+    applied where it is computed.
+    """
+    return keep_where(enriched.where(F.col("referrer").contains("?")), search_flag(strict))
 
 
 def purchase_hits(enriched: DataFrame) -> DataFrame:
-    """Completed purchases with positive revenue."""
-    flagged = enriched.withColumn("_buy", F.col("is_purchase") & (F.col("revenue") > 0))
+    """Completed purchases with positive revenue.
+
+    ``event_list = '1'`` is the purchase flag itself and a raw column, so it
+    reaches the scan; only those rows get their revenue parsed.
+    """
+    rows = enriched.where(F.col("event_list") == PURCHASE_EVENT)
+    flagged = rows.withColumn("_buy", F.col("revenue") > 0)
     return keep_where(flagged, "_buy").drop("_buy")
