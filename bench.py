@@ -1,8 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_REPEAT (default 5). Each query runs once to warm up, then BENCH_REPEAT
-times; the median is reported. Queries are forced with the ``noop`` sink so
+BENCH_REPEAT (default 5). Every query runs once in a warm-up pass, then each
+runs BENCH_REPEAT times; the median is reported. Queries are forced with the ``noop`` sink so
 the whole plan runs without pulling rows to the driver.
 
 Besides the registered queries, two stress shapes run on replicated hits
@@ -81,9 +81,12 @@ def main() -> None:
         enrich_hits(replicated_hits(spark, SF_DIR, 10, hot_share=1 / 3)), order_by=ORDER,
         salt_buckets=CPUS)
 
+    # One warm-up pass over every job first, so no query pays the JVM's
+    # warm-up for the others; then each query is timed in steady state.
+    for build in jobs.values():
+        build().write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name, build in jobs.items():
-        build().write.format("noop").mode("overwrite").save()  # warm-up
         runs = []
         for _ in range(REPEAT):
             t0 = time.perf_counter()
