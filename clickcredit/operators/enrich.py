@@ -20,8 +20,8 @@ def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool
     The referrer's query string is cut out once (``_query``) and its keyword
     value (``_raw_kw``) is shared by the keyword and both flags; Catalyst keeps
     the intermediate projections because inlining them would duplicate
-    non-trivial expressions. Every expression is codegen-friendly, so the
-    chain runs as one whole-stage-codegen pipeline.
+    non-trivial expressions. Every rule supports code generation (no arrays
+    or lambdas), so nothing forces the stage into interpreted evaluation.
     """
     step0 = hits.withColumns({
         "domain": referrer_domain("referrer"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import decode_key, file_date_from_key, file_name, iso_utc, size_class, size_gb
 from ..schema import (DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, EVENT_ARRIVAL, EVENT_LARGE_FILE,
                       EVENT_SMALL_FILE, REQUIRED_EVENT_FIELDS, SIZE_THRESHOLD_BYTES,
-                      STATUS_RECEIVED)
+                      STATUS_FAILED, STATUS_RECEIVED)
 
 
 def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
@@ -68,7 +68,7 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
         _blank_to_default(opt("content_type"), content_type).alias("content_type"),
         iso_utc("file_ts").alias("file_datetime"),
         F.coalesce(opt("error_message"),
-                   F.when(F.col("file_status") == "FAILED", F.lit("processing failed")))
+                   F.when(F.col("file_status") == STATUS_FAILED, F.lit("processing failed")))
          .alias("error_message"),
     )
     payload = F.to_json(F.struct(

@@ -39,7 +39,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     return enrich_hits(_hits(spark, sf))
 
 
-def _report_exact(spark: SparkSession, sf: str) -> DataFrame:
+def events_report_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship report on event-derived hits, revenue as exact decimals."""
     return A.keyword_revenue_exact(_enriched(spark, sf), order_by=ORDER)
 
 
@@ -59,7 +60,8 @@ def _manifest(spark: SparkSession, sf: str) -> DataFrame:
     return S.file_manifest(load_file_records(spark, sf), RUN_DATE)
 
 
-def _status(spark: SparkSession, sf: str) -> DataFrame:
+def orders_status_events(spark: SparkSession, sf: str) -> DataFrame:
+    """Status events for the file records derived from ``orders``."""
     return S.status_events(_manifest(spark, sf))
 
 
@@ -189,31 +191,31 @@ def q_session_counts(spark, sf):
 
 
 def q_report_summary(spark, sf):
-    return M.report_summary(_report_exact(spark, sf))
+    return M.report_summary(events_report_exact(spark, sf))
 
 
 def q_domain_revenue(spark, sf):
-    return M.domain_revenue(_report_exact(spark, sf))
+    return M.domain_revenue(events_report_exact(spark, sf))
 
 
 def q_keyword_totals(spark, sf):
-    return M.keyword_totals(_report_exact(spark, sf))
+    return M.keyword_totals(events_report_exact(spark, sf))
 
 
 def q_top_domains(spark, sf):
-    return M.top_domains(_report_exact(spark, sf))
+    return M.top_domains(events_report_exact(spark, sf))
 
 
 def q_top_keywords(spark, sf):
-    return M.top_keywords(_report_exact(spark, sf))
+    return M.top_keywords(events_report_exact(spark, sf))
 
 
 def q_report_text(spark, sf):
-    return report_text(_report_exact(spark, sf))
+    return report_text(events_report_exact(spark, sf))
 
 
 def q_report_partitioned(spark, sf):
-    rep = _report_exact(spark, sf)
+    rep = events_report_exact(spark, sf)
     return partition_columns(rep, RUN_DATE, source_name=F.lit("events")).select(
         "year", "month", "date", "source_name", "domain", "keyword", _dbl("revenue"))
 
@@ -228,15 +230,15 @@ def q_file_manifest(spark, sf):
 
 
 def q_status_events(spark, sf):
-    return _status(spark, sf).select("event_seq", "file_date", "file_key", "file_status", "event_type",
-                                     "bucket", "content_type", "file_datetime", "error_message",
-                                     "payload")
+    return orders_status_events(spark, sf).select(
+        "event_seq", "file_date", "file_key", "file_status", "event_type", "bucket", "content_type",
+        "file_datetime", "error_message", "payload")
 
 
 def raw_status_events(spark: SparkSession, sf: str) -> DataFrame:
     """Status events as they might arrive, with some required fields missing."""
     seq = F.col("event_seq")
-    return _status(spark, sf).select(
+    return orders_status_events(spark, sf).select(
         "event_seq",
         F.when(seq % 101 == 0, F.lit(None)).otherwise(F.col("file_key")).alias("file_key"),
         F.when(seq % 103 == 0, F.lit("")).otherwise(F.col("file_status")).alias("file_status"),
@@ -251,7 +253,7 @@ def q_status_events_rejected(spark, sf):
 
 def status_log(spark: SparkSession, sf: str) -> DataFrame:
     """The status log keyed by file name only (``o_orderkey % 500``): ~30 events per file."""
-    st = _status(spark, sf)
+    st = orders_status_events(spark, sf)
     key = F.concat(F.lit("hits/f"), (F.col("event_seq") % 500).cast("string"), F.lit(".csv"))
     return st.select("event_seq", key.alias("file_key"), "file_status", "event_type", "file_datetime",
                      "file_ts")

@@ -9,19 +9,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.attribution import keyword_revenue_exact
-from ..operators.enrich import enrich_hits
 from ..session import scratch_path
 from ..sinks.eventlog import append_file_events, read_file_events
 from ..sinks.hits import by_day, write_hits_tsv
 from ..sinks.report import write_report
 from ..sources.hits import load_event_hits, read_hits
 from ..streaming.file_stream import read_stream_output, start_report_stream
-from .catalog import ORDER, _report_exact, _status
+from .catalog import events_report_exact, orders_status_events
 
 
 def q_hits_scan(spark: SparkSession, sf: str) -> DataFrame:
-    """Event-derived hits written as landing files (one per day), scanned back."""
+    """Event-derived hits written as landing files (TSV with header), scanned back."""
     path = scratch_path(spark, "hits-tsv")
     write_hits_tsv(load_event_hits(spark, sf), path)
     return read_hits(spark, path)
@@ -30,14 +28,14 @@ def q_hits_scan(spark: SparkSession, sf: str) -> DataFrame:
 def q_write_report(spark: SparkSession, sf: str) -> DataFrame:
     """The report written as one TSV with a header, read back."""
     path = scratch_path(spark, "report")
-    write_report(_report_exact(spark, sf), path)
+    write_report(events_report_exact(spark, sf), path)
     return spark.read.option("header", True).option("sep", "\t").csv(path)
 
 
 def q_file_event_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Status events appended to the log (partitioned by file date), read back."""
+    """Status events appended to the log (partitioned by month), read back."""
     path = scratch_path(spark, "file-events")
-    append_file_events(_status(spark, sf), path)
+    append_file_events(orders_status_events(spark, sf), path)
     return read_file_events(spark, path)
 
 
@@ -57,5 +55,3 @@ IO_QUERIES = {
     "file_event_log": q_file_event_log,
     "stream_keyword_revenue": q_stream_keyword_revenue,
 }
-
-__all__ = ["IO_QUERIES", "ORDER", "enrich_hits", "keyword_revenue_exact"]
