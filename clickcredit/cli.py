@@ -46,6 +46,7 @@ def main(argv: list[str] | None = None) -> int:
     stream.add_argument("output")
     stream.add_argument("--checkpoint")
     stream.add_argument("--files-per-trigger", type=int, default=1)
+    stream.add_argument("--status-log", help="append a COMPLETE event per processed file")
     stream.add_argument("--once", action="store_true")
 
     args = parser.parse_args(argv)
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
     else:
         q = start_report_stream(spark, args.landing, args.output, checkpoint_dir=args.checkpoint,
                                 max_files_per_trigger=args.files_per_trigger,
-                                available_now=args.once)
+                                log_path=args.status_log, available_now=args.once)
         q.awaitTermination()
     return 0
 

@@ -15,14 +15,20 @@ The checkpoint lives under the shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import datetime as dt
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions import file_date_from_key
 from ..operators.attribution import keyword_revenue_exact
 from ..operators.enrich import enrich_hits
-from ..schema import DEFAULT_SITE, HIT_SCHEMA
+from ..operators.status import status_events
+from ..schema import DEFAULT_SITE, EVENT_SPARK, HIT_SCHEMA, STATUS_COMPLETE
 from ..session import scratch_path
+from ..sinks.eventlog import append_file_events
 
 REPORT_KEYS = ("source_file",)
 
@@ -50,17 +56,50 @@ def per_file_report(hits: DataFrame, *, site: str = DEFAULT_SITE, attribution: s
     })
 
 
+def file_completions(batch: DataFrame, output_dir: str, run_ts: dt.datetime) -> DataFrame:
+    """One COMPLETE status event per file in the batch, with its record count."""
+    counts = batch.groupBy("source_file").agg(F.count(F.lit(1)).alias("record_count"))
+    run = F.expr(f"TIMESTAMP_NTZ '{run_ts.isoformat(sep=' ')}'")
+    events = counts.select(
+        F.col("source_file").alias("file_key"),
+        F.lit(STATUS_COMPLETE).alias("file_status"),
+        F.lit(EVENT_SPARK).alias("event_type"),
+        "record_count",
+        F.concat(F.lit(output_dir.rstrip("/") + "/source_id="),
+                 F.substring(F.sha2(F.col("source_file"), 256), 1, 32)).alias("output_location"),
+        run.alias("file_ts"),
+        F.lit(None).cast("long").alias("file_size"),
+        F.lit(None).cast("double").alias("file_size_gb"),
+    ).withColumn("file_date", file_date_from_key("file_key", run_ts.date().isoformat()))
+    return status_events(events)
+
+
 def start_report_stream(spark: SparkSession, input_dir: str, output_dir: str, *,
                         checkpoint_dir: str | None = None, site: str = DEFAULT_SITE,
                         attribution: str = "last", strict: bool = True,
-                        max_files_per_trigger: int = 1,
+                        max_files_per_trigger: int = 1, log_path: str | None = None,
                         available_now: bool = True) -> StreamingQuery:
-    """Start the stream; ``available_now`` processes the backlog and stops."""
+    """Start the stream; ``available_now`` processes the backlog and stops.
+
+    With ``log_path`` every processed file also gets a COMPLETE event in the
+    status log. The batch is then persisted for its two uses (report and
+    counts) so its files are read once. A replayed batch appends its events
+    again; the latest status per file is unchanged by that.
+    """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rep = per_file_report(batch, site=site, attribution=attribution, strict=strict)
-        (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("source_id").parquet(output_dir))
+        if log_path:
+            batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rep = per_file_report(batch, site=site, attribution=attribution, strict=strict)
+            (rep.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("source_id").parquet(output_dir))
+            if log_path:
+                now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+                append_file_events(file_completions(batch, output_dir, now), log_path)
+        finally:
+            if log_path:
+                batch.unpersist()
 
     writer = (hit_stream(spark, input_dir, max_files_per_trigger).writeStream
               .foreachBatch(write_batch)

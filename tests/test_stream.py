@@ -6,6 +6,7 @@ import os
 
 from conftest import write_sample
 
+from clickcredit.sinks.eventlog import read_file_events
 from clickcredit.sources.hits import read_hits
 from clickcredit.streaming.file_stream import (per_file_report, read_stream_output,
                                                start_report_stream)
@@ -22,13 +23,19 @@ def test_stream_equals_batch_per_file(spark, tmp_dir):
         write_sample(landing, v)
     out = os.path.join(tmp_dir, "out")
     ckpt = os.path.join(tmp_dir, "ckpt")
-    q = start_report_stream(spark, landing, out, checkpoint_dir=ckpt, max_files_per_trigger=1)
+    log = os.path.join(tmp_dir, "log")
+    q = start_report_stream(spark, landing, out, checkpoint_dir=ckpt, max_files_per_trigger=1,
+                            log_path=log)
     q.awaitTermination()
     assert q.lastProgress is not None
     streamed = _rows(read_stream_output(spark, out))
     batch = _rows(per_file_report(read_hits(spark, landing)))
     assert streamed == batch
     assert {s for s, *_ in streamed} == {"hits_original.tsv", "hits_quantity.tsv", "hits_test.tsv"}
+    events = read_file_events(spark, log).collect()
+    assert sorted((e.file_key.split("/")[-1], e.file_status, e.record_count) for e in events) == [
+        ("hits_original.tsv", "COMPLETE", 21), ("hits_quantity.tsv", "COMPLETE", 21),
+        ("hits_test.tsv", "COMPLETE", 21)]
 
 
 def test_stream_restart_is_idempotent(spark, tmp_dir):
