@@ -204,3 +204,36 @@ def test_visitor_sessions_keeps_buyers_without_touch(spark, tmp_dir):
     hits = enrich_hits(read_hits(spark, write_hits(tmp_dir, rows)))
     got = {r.ip: (r.domain, r.revenue is not None) for r in visitor_sessions(hits).collect()}
     assert got == {"a": (None, True), "b": ("google.com", False)}
+
+
+def test_report_without_single_file_is_globally_ordered(spark, tmp_dir):
+    rows = []
+    for i in range(40):
+        rows += [touch(f"v{i}", G + f"k{i}"), buy(f"v{i}", i + 1)]
+    hits = enrich_hits(read_hits(spark, write_hits(tmp_dir, rows)))
+    out = os.path.join(tmp_dir, "out")
+    write_report(keyword_revenue_exact(hits), out, single_file=False)
+    parts = sorted(glob.glob(os.path.join(out, "part-*.csv")))
+    lines = []
+    for part in parts:
+        with open(part) as f:
+            body = f.read().splitlines()
+        assert body[0] == "Search Engine Domain\tSearch Keyword\tRevenue"
+        lines += body[1:]
+    revenues = [float(line.split("\t")[2]) for line in lines]
+    assert len(revenues) == 40 and revenues == sorted(revenues, reverse=True)
+
+
+def test_c15_rerun_replaces_only_its_partition(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "tgt")
+    for name, kw in [("file_a", "alpha"), ("file_b", "beta"), ("file_a", "gamma")]:
+        folder = os.path.join(tmp_dir, f"{name}-{kw}")
+        os.makedirs(folder)
+        hits = enrich_hits(read_hits(spark, write_hits(folder, [touch("a", G + kw), buy("a", 1)])))
+        write_partitioned_report(keyword_revenue_exact(hits), root, "2026-03-06", name)
+    base = os.path.join(root, "year=2026", "month=03", "date=06")
+    got = {}
+    for src in ("file_a", "file_b"):
+        (part,) = glob.glob(os.path.join(base, f"source_name={src}", "part-*.csv"))
+        got[src] = open(part).read().splitlines()[1].split("\t")[1]
+    assert got == {"file_a": "gamma", "file_b": "beta"}
