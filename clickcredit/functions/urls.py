@@ -43,13 +43,22 @@ def clean_url_sql(u: str) -> str:
     return f"regexp_replace({u}, {rx(_UNSAFE)}, '')"
 
 
-def domain_sql(u: str) -> str:
-    host = f"lower(regexp_extract({clean_url_sql(u)}, {rx(_NETLOC)}, 1))"
+def domain_from_clean_sql(u: str, cleaned: str) -> str:
+    """Domain of URL ``u`` given its cleaned text (``clean_url_sql(u)``)."""
+    host = f"lower(regexp_extract({cleaned}, {rx(_NETLOC)}, 1))"
     return f"CASE WHEN {_blank(u)} THEN CAST(NULL AS STRING) ELSE regexp_replace({host}, r'^www[.]', '') END"
 
 
+def query_from_clean_sql(cleaned: str) -> str:
+    return f"regexp_extract({cleaned}, {rx(_QUERY)}, 1)"
+
+
+def domain_sql(u: str) -> str:
+    return domain_from_clean_sql(u, clean_url_sql(u))
+
+
 def query_sql(u: str) -> str:
-    return f"regexp_extract({clean_url_sql(u)}, {rx(_QUERY)}, 1)"
+    return query_from_clean_sql(clean_url_sql(u))
 
 
 def pairs_sql(q: str) -> str:

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (is_purchase, is_search_referral, is_search_referral_lax, line_revenue,
-                         normalize_keyword, query_text, referrer_domain)
-from ..functions.urls import keyword_from_query_sql
+                         normalize_keyword)
+from ..functions.urls import (clean_url_sql, domain_from_clean_sql, keyword_from_query_sql,
+                              query_from_clean_sql)
 from ..schema import DEFAULT_SITE, PURCHASE_EVENT
 
 ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
@@ -17,16 +18,18 @@ ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
 def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool = False) -> DataFrame:
     """Add domain, keyword, revenue and the flags in one projection chain.
 
-    The referrer's query string is cut out once (``_query``) and its keyword
-    value (``_raw_kw``) is shared by the keyword and both flags; Catalyst keeps
+    The referrer is cleaned once (``_url``, shared by domain and query), its
+    query string cut out once (``_query``), and its keyword value (``_raw_kw``)
+    is shared by the keyword and both flags; Catalyst keeps
     the intermediate projections because inlining them would duplicate
     non-trivial expressions. Every rule supports code generation (no arrays
     or lambdas), so nothing forces the stage into interpreted evaluation.
     """
-    step0 = hits.withColumns({
-        "domain": referrer_domain("referrer"),
-        "_query": query_text("referrer"),
-    })
+    cleaned = hits.withColumn("_url", F.expr(clean_url_sql("referrer")))
+    step0 = cleaned.withColumns({
+        "domain": F.expr(domain_from_clean_sql("referrer", "_url")),
+        "_query": F.expr(query_from_clean_sql("_url")),
+    }).drop("_url")
     step1 = step0.withColumn("_raw_kw", F.expr(
         "CASE WHEN referrer IS NOT NULL AND referrer <> '' THEN "
         f"{keyword_from_query_sql('_query')} END")).drop("_query")
