@@ -26,14 +26,30 @@ def price_value_sql(text: str) -> str:
     return f"CASE WHEN {text} RLIKE {rx(_NUMBER)} THEN try_cast({text} AS {PRICE_TYPE}) END"
 
 
-def line_revenue_sql(pl: str) -> str:
-    """quantity x price of the first product; 0 when absent or malformed."""
-    qty, price = _field(pl, 2), _field(pl, 3)
+def quantity_field_sql(pl: str) -> str:
+    return _field(pl, 2)
+
+
+def price_field_sql(pl: str) -> str:
+    return _field(pl, 3)
+
+
+def revenue_from_fields_sql(qty: str, price: str) -> str:
+    """quantity x price from the stripped quantity and price fields.
+
+    Each field is referenced twice (check, then cast); pass column references
+    so the split and strip are not repeated.
+    """
     qty_v = f"CASE WHEN {qty} RLIKE {rx(_INT)} THEN try_cast({qty} AS decimal(18,0)) END"
     amount = f"try_multiply({qty_v}, {price_value_sql(price)})"
     return f"coalesce(CAST({amount} AS {REVENUE_TYPE}), CAST(0 AS {REVENUE_TYPE}))"
 
 
+def line_revenue_sql(pl: str) -> str:
+    """quantity x price of the first product; 0 when absent or malformed."""
+    return revenue_from_fields_sql(quantity_field_sql(pl), price_field_sql(pl))
+
+
 def line_price_sql(pl: str) -> str:
     """Older rule: the price field alone; 0 when absent or malformed."""
     return f"coalesce({price_value_sql(_field(pl, 3))}, CAST(0 AS {PRICE_TYPE}))"

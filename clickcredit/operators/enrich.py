@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import (is_purchase, is_search_referral, is_search_referral_lax, line_revenue,
-                         normalize_keyword)
+from ..functions import is_purchase, is_search_referral, is_search_referral_lax, normalize_keyword
+from ..functions.products import price_field_sql, quantity_field_sql, revenue_from_fields_sql
 from ..functions.urls import (clean_url_sql, domain_from_clean_sql, keyword_from_query_sql,
                               query_from_clean_sql)
 from ..schema import DEFAULT_SITE, PURCHASE_EVENT
@@ -18,24 +18,29 @@ ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
 def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool = False) -> DataFrame:
     """Add domain, keyword, revenue and the flags in one projection chain.
 
-    The referrer is cleaned once (``_url``, shared by domain and query), its
-    query string cut out once (``_query``), and its keyword value (``_raw_kw``)
-    is shared by the keyword and both flags; Catalyst keeps
-    the intermediate projections because inlining them would duplicate
-    non-trivial expressions. Every rule supports code generation (no arrays
-    or lambdas), so nothing forces the stage into interpreted evaluation.
+    SQL text cannot share a subexpression, so text that several rules read is
+    staged as a column first: the cleaned referrer (``_url``, for domain and
+    query), the stripped quantity and price fields (``_qty``, ``_price``), the
+    query string (``_query``) and its raw keyword value (``_raw_kw``, shared by
+    the keyword and both flags). Catalyst keeps these projections apart
+    because inlining them would repeat non-trivial expressions. Every rule
+    supports code generation (no arrays or lambdas).
     """
-    cleaned = hits.withColumn("_url", F.expr(clean_url_sql("referrer")))
-    step0 = cleaned.withColumns({
+    staged = hits.withColumns({
+        "_url": F.expr(clean_url_sql("referrer")),
+        "_qty": F.expr(quantity_field_sql("product_list")),
+        "_price": F.expr(price_field_sql("product_list")),
+    })
+    step0 = staged.withColumns({
         "domain": F.expr(domain_from_clean_sql("referrer", "_url")),
         "_query": F.expr(query_from_clean_sql("_url")),
-    }).drop("_url")
+        "revenue": F.expr(revenue_from_fields_sql("_qty", "_price")),
+    }).drop("_url", "_qty", "_price")
     step1 = step0.withColumn("_raw_kw", F.expr(
         "CASE WHEN referrer IS NOT NULL AND referrer <> '' THEN "
         f"{keyword_from_query_sql('_query')} END")).drop("_query")
     step2 = step1.withColumns({
         "search_keyword": normalize_keyword("_raw_kw", case_sensitive),
-        "revenue": line_revenue("product_list"),
         "is_purchase": is_purchase("event_list"),
     })
     step3 = step2.withColumns({
