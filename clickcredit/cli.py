@@ -11,8 +11,12 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import os
 import sys
 
+if not __package__:  # run as a script (spark-submit clickcredit/cli.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
 
 def _run_ts(text: str | None) -> dt.datetime:
     if text:
@@ -51,10 +55,10 @@ def main(argv: list[str] | None = None) -> int:
 
     args = parser.parse_args(argv)
 
-    from .plans.job import route_new_files, run_report_job
-    from .schema import DEFAULT_SITE
-    from .session import get_session
-    from .streaming.file_stream import start_report_stream
+    from clickcredit.plans.job import route_new_files, run_report_job
+    from clickcredit.schema import DEFAULT_SITE
+    from clickcredit.session import get_session
+    from clickcredit.streaming.file_stream import start_report_stream
 
     spark = get_session(app_name=f"clickcredit-{args.command}")
     if args.command == "report":
