@@ -16,6 +16,7 @@ FAILED) event to the status log. Differences from the original, on purpose:
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,7 +79,9 @@ def run_report_job(spark: SparkSession, input_path: str, output_root: str, log_p
     ``run_ts`` is a naive UTC datetime (it is logged zone-less as ISO ``...Z``).
     """
     run_date = run_ts.date().isoformat()
-    name = source_name or input_path.rstrip("/").split("/")[-1]
+    # Partition values with characters like '=' or ':' are escaped in directory
+    # names; keeping the name path-safe makes the reported location exact.
+    name = re.sub(r"[^A-Za-z0-9._-]", "_", source_name or input_path.rstrip("/").split("/")[-1])
     location = f"{output_root.rstrip('/')}/year={run_date[:4]}/month={run_date[5:7]}/date={run_date[8:]}/source_name={name}"
     checkpoint_root(spark)
     file_key = qualified_path(spark, input_path)

@@ -27,7 +27,7 @@ def test_report_job_writes_report_summary_and_log(spark, tmp_dir):
                            "unique_keywords": 3}
     assert res.top_domains == [("google.com", 480.0), ("bing.com", 250.0)]
     parts = glob.glob(os.path.join(res.output_location, "part-*.csv"))
-    assert len(parts) == 1
+    assert len(parts) == 1 and os.path.isdir(res.output_location)
     assert open(parts[0]).read().splitlines() == [
         "Search Engine Domain\tSearch Keyword\tRevenue", "google.com\tIpod\t290.00",
         "bing.com\tZune\t250.00", "google.com\tipod\t190.00"]
@@ -57,3 +57,17 @@ def test_router_then_job_latest_status(spark, tmp_dir):
     latest = latest_file_status(read_file_events(spark, log)).collect()
     assert [(r.file_key.endswith("hits_test.tsv"), r.file_status, r.n_events) for r in latest] == [
         (True, "COMPLETE", 2)]
+
+
+def test_report_job_on_a_folder_keeps_sessions_per_file(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing", "year=2026", "month=3", "day=5")
+    os.makedirs(landing)
+    write_sample(landing, "original")
+    write_sample(landing, "test")
+    res = run_report_job(spark, landing, os.path.join(tmp_dir, "tgt"), os.path.join(tmp_dir, "log"),
+                         run_ts=RUN, case_sensitive=True)
+    assert res.record_count == 42
+    assert res.output_location.endswith("source_name=day_5")
+    assert os.path.isdir(res.output_location)
+    # per file: original gives Ipod 290 / Zune 250 / ipod 190, test gives Ipod 500 / ipod 75 / Zune 50
+    assert res.top_keywords == [("Ipod", 790.0), ("Zune", 300.0), ("ipod", 265.0)]
