@@ -4,6 +4,8 @@ Commands:
   report   build the report for one input file or folder (report TSV, summary, status event)
   route    log a RECEIVED event and size class for every file under a landing folder
   stream   run the file stream over a landing folder (``--once`` processes the backlog and stops)
+  compact  fold the status log's appends for some months into few files
+  latest   write the current status per file (the keyed view of the log)
 """
 
 from __future__ import annotations
@@ -53,11 +55,20 @@ def main(argv: list[str] | None = None) -> int:
     stream.add_argument("--status-log", help="append a COMPLETE event per processed file")
     stream.add_argument("--once", action="store_true")
 
+    compact = sub.add_parser("compact", help="fold status-log appends")
+    compact.add_argument("status_log")
+    compact.add_argument("months", nargs="+", help="YYYY-MM")
+
+    latest = sub.add_parser("latest", help="current status per file")
+    latest.add_argument("status_log")
+    latest.add_argument("snapshot")
+
     args = parser.parse_args(argv)
 
     from clickcredit.plans.job import route_new_files, run_report_job
     from clickcredit.schema import DEFAULT_SITE
     from clickcredit.session import get_session
+    from clickcredit.sinks.eventlog import compact_file_events, write_latest_status
     from clickcredit.streaming.file_stream import start_report_stream
 
     spark = get_session(app_name=f"clickcredit-{args.command}")
@@ -74,6 +85,10 @@ def main(argv: list[str] | None = None) -> int:
                                    run_ts=_run_ts(args.run_ts), path_glob=args.glob)
         counts = manifest.groupBy("size_class").count().collect()
         print(json.dumps({r["size_class"]: r["count"] for r in counts}))
+    elif args.command == "compact":
+        compact_file_events(spark, args.status_log, args.months)
+    elif args.command == "latest":
+        write_latest_status(spark, args.status_log, args.snapshot)
     else:
         q = start_report_stream(spark, args.landing, args.output, checkpoint_dir=args.checkpoint,
                                 max_files_per_trigger=args.files_per_trigger,

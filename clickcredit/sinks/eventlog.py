@@ -50,3 +50,32 @@ def read_file_events(spark: SparkSession, log_path: str) -> DataFrame:
     schema = to_log_rows(spark.createDataFrame([], STATUS_EVENT_SCHEMA)).schema.add(
         "file_month", "string")
     return spark.read.option("basePath", log_path).schema(schema).parquet(log_path)
+
+
+def compact_file_events(spark: SparkSession, log_path: str, months: list[str],
+                        files_per_month: int = 1) -> None:
+    """Rewrite the given ``file_month`` partitions of the log as few files.
+
+    Appends leave one small file per batch; this folds them back. The month's
+    rows are first cut from the log with a reliable ``checkpoint()`` (in the
+    shared checkpoint folder), so the write below reads the checkpoint and
+    not the files it replaces; dynamic partition overwrite then swaps in only
+    those months. Row content is unchanged.
+    """
+    if not months:
+        return
+    from ..session import checkpoint_root
+    checkpoint_root(spark)
+    rows = read_file_events(spark, log_path).where(F.col("file_month").isin(list(months)))
+    frozen = rows.checkpoint(eager=True)
+    parts = max(1, files_per_month * len(months))
+    (frozen.repartitionByRange(parts, "file_month", "file_key").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("file_month").parquet(log_path))
+
+
+def write_latest_status(spark: SparkSession, log_path: str, snapshot_path: str,
+                        keys: tuple[str, ...] = ("file_date", "file_key")) -> None:
+    """Materialize the current status per file (the keyed view of the log)."""
+    from ..operators.status import latest_file_status
+    (latest_file_status(read_file_events(spark, log_path), keys=keys)
+     .write.mode("overwrite").parquet(snapshot_path))
