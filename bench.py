@@ -2,7 +2,7 @@
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
 BENCH_REPEAT (default 5). Every query runs once in a warm-up pass, then each
-runs BENCH_REPEAT times; the median is reported. Queries are forced with the ``noop`` sink so
+is timed BENCH_REPEAT times back to back; the median is reported. Queries are forced with the ``noop`` sink so
 the whole plan runs without pulling rows to the driver.
 
 Besides the registered queries, two stress shapes run on replicated hits
@@ -85,14 +85,16 @@ def main() -> None:
     # warm-up for the others; then each query is timed in steady state.
     for build in jobs.values():
         build().write.format("noop").mode("overwrite").save()
-    times: dict[str, float] = {}
-    for name, build in jobs.items():
-        runs = []
-        for _ in range(REPEAT):
-            t0 = time.perf_counter()
-            build().write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 4)
+    def timed(build) -> float:
+        t0 = time.perf_counter()
+        build().write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    # Each query is repeated back to back, like a dedicated job per input file.
+    # (Interleaving different queries measured 20-100% slower per query: the
+    # JIT sees a rotating mix of generated classes at the same call sites.)
+    runs = {name: [timed(build) for _ in range(REPEAT)] for name, build in jobs.items()}
+    times = {name: round(statistics.median(r), 4) for name, r in runs.items()}
 
     sf = os.path.basename(SF_DIR.rstrip("/")).replace("sf", "")
     total = round(sum(times[n] for n in headline), 4)
