@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schema import PURCHASE_EVENT
-from .enrich import purchase_hits, search_flag
+from .enrich import keep_where, purchase_hits, search_flag
 
 REVENUE_TYPE = "decimal(38,4)"
 
@@ -82,7 +82,10 @@ def visitor_sessions(enriched: DataFrame, *, attribution: str = "last", strict:
     """
     is_touch = F.col(search_flag(strict))
     is_buy = F.col("is_purchase") & (F.col("revenue") > 0)
-    rows = contributing_rows(enriched, session_keys)
+    # Rows that are neither a touch nor a purchase add nothing; drop them where
+    # the flags are computed so the sort under the partial aggregate is smaller.
+    rows = keep_where(contributing_rows(enriched, session_keys)
+                      .withColumn("_useful", is_touch | is_buy), "_useful").drop("_useful")
     grouped = rows.groupBy(*session_keys).agg(
         _pick(F.when(is_touch, _touch_value(order_by)), attribution).alias("_touch"),
         F.sum(F.when(is_buy, F.col("revenue"))).cast(REVENUE_TYPE).alias("revenue"),
@@ -98,7 +101,8 @@ def touches(enriched: DataFrame, *, attribution: str = "last", strict: bool = Tr
             session_keys: Sequence[str] = ("ip",)) -> DataFrame:
     """Winning search touch per visitor: ``(keys..., domain, keyword)``."""
     is_touch = F.col(search_flag(strict))
-    rows = contributing_rows(enriched, session_keys, purchases=False)
+    rows = keep_where(contributing_rows(enriched, session_keys, purchases=False),
+                      search_flag(strict))
     grouped = rows.groupBy(*session_keys).agg(
         _pick(F.when(is_touch, _touch_value(order_by)), attribution).alias("_touch"))
     return grouped.where(F.col("_touch").isNotNull()).select(
