@@ -10,9 +10,16 @@ from ..schema import HIT_COLUMNS
 
 def write_hits_tsv(hits: DataFrame, path: str, *, file_key: Column | None = None,
                    n_files: int | None = None) -> None:
-    """Write hit files; ``file_key`` groups rows into files (one folder per key)."""
+    """Write hit files; ``file_key`` groups rows into files: one folder and one file per key.
+
+    Sessions are scoped to a file, so all rows of a key must land in the same
+    file: rows are clustered by the key before the partitioned write (one
+    writer task per key) regardless of how the input was partitioned.
+    """
     out = hits.select(*HIT_COLUMNS, *([file_key.alias("file_key")] if file_key is not None else []))
-    if n_files:
+    if file_key is not None:
+        out = out.repartition("file_key")
+    elif n_files:
         out = out.repartition(n_files)
     writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
               .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("lineSep", "\n"))

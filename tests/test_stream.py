@@ -52,3 +52,16 @@ def test_stream_restart_is_idempotent(spark, tmp_dir):
     second = _rows(read_stream_output(spark, out))
     assert set(first) < set(second)
     assert len(second) == len(first) + 2
+
+
+def test_landing_writer_makes_one_file_per_key(spark, tmp_dir):
+    import glob
+
+    from clickcredit.sinks.hits import by_day, write_hits_tsv
+    from clickcredit.sources.hits import load_event_hits
+    hits = load_event_hits(spark, "/root/testdata/sf0.001").repartition(12)
+    out = os.path.join(tmp_dir, "landing")
+    write_hits_tsv(hits, out, file_key=by_day())
+    days = glob.glob(os.path.join(out, "file_key=*"))
+    assert days and all(len(glob.glob(os.path.join(d, "*.csv"))) == 1 for d in days)
+    assert read_hits(spark, out + "/*").count() == hits.count()
