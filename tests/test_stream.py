@@ -65,3 +65,18 @@ def test_landing_writer_makes_one_file_per_key(spark, tmp_dir):
     days = glob.glob(os.path.join(out, "file_key=*"))
     assert days and all(len(glob.glob(os.path.join(d, "*.csv"))) == 1 for d in days)
     assert read_hits(spark, out + "/*").count() == hits.count()
+
+
+def test_stream_equals_batch_on_event_landing(spark, tmp_dir):
+    from clickcredit.sinks.hits import by_day, write_hits_tsv
+    from clickcredit.sources.hits import load_event_hits
+    landing = os.path.join(tmp_dir, "landing")
+    write_hits_tsv(load_event_hits(spark, "/root/testdata/sf0.001"), landing, file_key=by_day())
+    out = os.path.join(tmp_dir, "out")
+    start_report_stream(spark, landing + "/*", out, checkpoint_dir=os.path.join(tmp_dir, "ckpt"),
+                        max_files_per_trigger=4).awaitTermination()
+    streamed = sorted((r.source_file, r.domain, r.keyword, float(r.revenue))
+                      for r in read_stream_output(spark, out).collect())
+    batch = sorted((r.source_file, r.domain, r.keyword, float(r.revenue))
+                   for r in per_file_report(read_hits(spark, landing + "/*")).collect())
+    assert streamed and streamed == batch
