@@ -66,3 +66,14 @@ def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
         test_query_matches_oracle(spark, duck, name)
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_io_queries_equal_their_in_memory_forms(spark):
+    q = E.queries()
+    as_rows = lambda df: sorted(tuple(str(x) for x in r) for r in df.collect())
+    assert as_rows(q["write_report"](spark, SF)) == as_rows(q["report_text"](spark, SF))
+    assert q["file_event_log"](spark, SF).count() == q["status_events"](spark, SF).count()
+    scanned = q["hits_scan"](spark, SF).drop("source_file")
+    assert scanned.count() == q["hits_count"](spark, SF).first()["hits"]
+    assert scanned.where("referrer IS NOT NULL").count() == \
+        q["referrer_domain"](spark, SF).where("source = 'hit'").count()
