@@ -82,7 +82,9 @@ def run_report_job(spark: SparkSession, input_path: str, output_root: str, log_p
     # Partition values with characters like '=' or ':' are escaped in directory
     # names; keeping the name path-safe makes the reported location exact.
     name = re.sub(r"[^A-Za-z0-9._-]", "_", source_name or input_path.rstrip("/").split("/")[-1])
-    location = f"{output_root.rstrip('/')}/year={run_date[:4]}/month={run_date[5:7]}/date={run_date[8:]}/source_name={name}"
+    year, month, day = run_date.split("-")
+    location = (f"{output_root.rstrip('/')}/year={year}/month={month}/date={day}"
+                f"/source_name={name}")
     checkpoint_root(spark)
     file_key = qualified_path(spark, input_path)
     try:
