@@ -82,3 +82,14 @@ def test_spreading_only_for_few_splits(spark, tmp_dir):
     assert splits > 1
     assert "RoundRobinPartitioning" not in _plan(spread_if_few_splits(many, splits))
     assert "RoundRobinPartitioning" in _plan(spread_if_few_splits(many, splits + 1))
+
+
+def test_join_form_pushes_both_sides_to_the_scan(spark, tmp_dir):
+    import os
+    path = os.path.join(tmp_dir, "hits.parquet")
+    load_event_hits(spark, SF, spread=False).write.parquet(path)
+    plan = _plan(keyword_revenue_join(enrich_hits(spark.read.parquet(path))))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    assert len(scans) == 2
+    assert any("EqualTo(event_list,1)" in line for line in scans)
+    assert any("StringContains(referrer,?)" in line for line in scans)
