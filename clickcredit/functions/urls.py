@@ -117,6 +117,19 @@ def referrer_keyword_sql(u: str, case_sensitive: bool = False,
     return f"CASE WHEN {_blank(u)} THEN CAST(NULL AS STRING) ELSE {normalize_keyword_sql(raw, case_sensitive)} END"
 
 
+def with_search_keyword(df, url: str, out: str = "keyword", case_sensitive: bool = False):
+    """``df`` plus the search keyword of column ``url``, with the query string staged once.
+
+    Same result as ``referrer_keyword(url)``; as SQL text the one-expression
+    form would cut the query string out again inside each per-name lookup.
+    """
+    u = ref(url)
+    staged = df.withColumn("_kw_query", expr(query_sql(u)))
+    raw = keyword_from_query_sql("`_kw_query`")
+    kw = f"CASE WHEN {_blank(u)} THEN CAST(NULL AS STRING) ELSE {normalize_keyword_sql(raw, case_sensitive)} END"
+    return staged.withColumn(out, expr(kw)).drop("_kw_query")
+
+
 def params_sql(u: str) -> str:
     """Decoded ``array<struct<name, value>>`` of a URL's query string (``parse_qs``)."""
     return (f"transform({pairs_sql(query_sql(u))}, "

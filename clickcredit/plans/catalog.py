@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import (line_price, line_revenue, referrer_domain, referrer_keyword,
-                         referrer_params)
+from ..functions import line_price, line_revenue, referrer_domain, referrer_params
+from ..functions.urls import with_search_keyword
 from ..operators import attribution as A
 from ..operators import status as S
 from ..operators import summary as M
@@ -83,7 +83,7 @@ def q_referrer_params(spark, sf):
 
 
 def q_referrer_keyword(spark, sf):
-    return _urls(spark, sf).select("source", "id", "url", referrer_keyword("url").alias("keyword"))
+    return with_search_keyword(_urls(spark, sf), "url").select("source", "id", "url", "keyword")
 
 
 def q_line_revenue(spark, sf):

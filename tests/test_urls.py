@@ -77,6 +77,9 @@ def test_keyword_edge_cases(spark):
     got = {r.u: r.k for r in df.select("u", referrer_keyword("u").alias("k")).collect()}
     for u, want in cases.items():
         assert got[u] == (want.strip() if want else want), u
+    from clickcredit.functions.urls import with_search_keyword
+    staged = {r.u: r.keyword for r in with_search_keyword(df, "u").collect()}
+    assert staged == got
 
 
 def test_params_follow_parse_qs(spark):
