@@ -93,3 +93,10 @@ def test_join_form_pushes_both_sides_to_the_scan(spark, tmp_dir):
     assert len(scans) == 2
     assert any("EqualTo(event_list,1)" in line for line in scans)
     assert any("StringContains(referrer,?)" in line for line in scans)
+
+
+def test_keep_where_treats_null_as_false(spark):
+    from clickcredit.operators.enrich import keep_where
+    df = spark.createDataFrame([(1, True), (2, False), (3, None), (4, True)], "id int, f boolean")
+    assert sorted(r.id for r in keep_where(df, "f").collect()) == [1, 4]
+    assert keep_where(df, "f").columns == ["id", "f"]
