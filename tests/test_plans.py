@@ -100,3 +100,20 @@ def test_keep_where_treats_null_as_false(spark):
     df = spark.createDataFrame([(1, True), (2, False), (3, None), (4, True)], "id int, f boolean")
     assert sorted(r.id for r in keep_where(df, "f").collect()) == [1, 4]
     assert keep_where(df, "f").columns == ["id", "f"]
+
+
+def test_landing_root_prunes_partitions(spark, tmp_dir):
+    import os
+
+    from conftest import write_sample
+
+    from clickcredit.sources.hits import read_hits
+    for day, variant in (("5", "original"), ("6", "test")):
+        folder = os.path.join(tmp_dir, "landing", "year=2026", "month=3", f"day={day}")
+        os.makedirs(folder)
+        write_sample(folder, variant)
+    hits = read_hits(spark, os.path.join(tmp_dir, "landing"), spread=False).where("day = 6")
+    scan = [line for line in _plan(hits).splitlines() if "FileScan csv" in line][0]
+    assert "PartitionFilters: [isnotnull(day" in scan and "(day#" in scan
+    files = {r.source_file.split("/")[-1] for r in hits.select("source_file").distinct().collect()}
+    assert files == {"hits_test.tsv"}
