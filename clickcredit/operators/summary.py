@@ -50,3 +50,19 @@ def top_domains(report_exact: DataFrame, n: int = 5) -> DataFrame:
 
 def top_keywords(report_exact: DataFrame, n: int = 5) -> DataFrame:
     return top_n(keyword_totals(report_exact), "keyword", n)
+
+
+def report_rollup(report_exact: DataFrame) -> DataFrame:
+    """Per-domain, per-keyword and grand totals in one aggregation (grouping sets).
+
+    Rows: ``level`` ``domain`` / ``keyword`` / ``total``, ``name`` (the domain or
+    keyword; null for the total), ``revenue``. One pass over the report instead
+    of one per total; the grouping id tells the levels apart (a null domain or
+    keyword in the data cannot be mistaken for a rolled-up row).
+    """
+    g = report_exact.groupingSets([["domain"], ["keyword"], []], "domain", "keyword").agg(
+        F.sum("revenue").cast("double").alias("revenue"), F.grouping_id().alias("_g"))
+    level = (F.when(F.col("_g") == 1, "domain").when(F.col("_g") == 2, "keyword")
+             .otherwise("total"))
+    name = F.when(F.col("_g") == 1, F.col("domain")).when(F.col("_g") == 2, F.col("keyword"))
+    return g.select(level.alias("level"), name.alias("name"), "revenue")

@@ -202,6 +202,10 @@ def q_keyword_totals(spark, sf):
     return M.keyword_totals(events_report_exact(spark, sf))
 
 
+def q_report_rollup(spark, sf):
+    return M.report_rollup(events_report_exact(spark, sf))
+
+
 def q_top_domains(spark, sf):
     return M.top_domains(events_report_exact(spark, sf))
 
@@ -293,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "report_summary": q_report_summary,
     "domain_revenue": q_domain_revenue,
     "keyword_totals": q_keyword_totals,
+    "report_rollup": q_report_rollup,
     "top_domains": q_top_domains,
     "top_keywords": q_top_keywords,
     "report_text": q_report_text,

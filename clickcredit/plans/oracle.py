@@ -357,6 +357,12 @@ FROM last_t t FULL OUTER JOIN buyer y ON t.ip = y.ip"""
                            f"FROM report GROUP BY domain")
     q["keyword_totals"] = (f"{report} SELECT keyword, CAST(sum(revenue) AS DOUBLE) AS revenue "
                            f"FROM report GROUP BY keyword")
+    q["report_rollup"] = f"""{report}
+SELECT 'domain' AS level, domain AS name, CAST(sum(revenue) AS DOUBLE) AS revenue FROM report GROUP BY domain
+UNION ALL
+SELECT 'keyword' AS level, keyword AS name, CAST(sum(revenue) AS DOUBLE) AS revenue FROM report GROUP BY keyword
+UNION ALL
+SELECT 'total' AS level, CAST(NULL AS VARCHAR) AS name, CAST(sum(revenue) AS DOUBLE) AS revenue FROM report"""
     q["top_domains"] = (f"{report} SELECT domain, CAST(sum(revenue) AS DOUBLE) AS revenue FROM report "
                         f"GROUP BY domain ORDER BY sum(revenue) DESC, domain LIMIT 5")
     q["top_keywords"] = (f"{report} SELECT keyword, CAST(sum(revenue) AS DOUBLE) AS revenue FROM report "

@@ -69,3 +69,11 @@ def test_yahoo_visitor_never_buys(spark, tmp_dir):
     hits = enrich_hits(read_hits(spark, write_sample(tmp_dir, "original")))
     domains = {r.domain for r in keyword_revenue(hits).collect()}
     assert "search.yahoo.com" not in domains
+
+
+def test_rollup_on_sample(spark, tmp_dir):
+    from clickcredit.operators.summary import report_rollup
+    hits = enrich_hits(read_hits(spark, write_sample(tmp_dir, "original")))
+    got = sorted((r.level, r.name or "", r.revenue) for r in report_rollup(keyword_revenue_exact(hits)).collect())
+    assert got == [("domain", "bing.com", 250.0), ("domain", "google.com", 480.0),
+                   ("keyword", "ipod", 480.0), ("keyword", "zune", 250.0), ("total", "", 730.0)]
