@@ -50,6 +50,7 @@ def main() -> None:
     from clickcredit.operators import attribution as A
     from clickcredit.operators.enrich import enrich_hits, search_hits
     from clickcredit.operators.status import latest_file_status
+    from clickcredit.operators.summary import report_rollup
     from clickcredit.plans.catalog import status_log
     from clickcredit.session import get_session, scratch_path
     from clickcredit.sinks.hits import write_hits_tsv
@@ -67,6 +68,7 @@ def main() -> None:
         ("keyword_revenue, TSV hits, sessions per file", A.keyword_revenue(ht, session_keys=("source_file", "ip"))),
         ("keyword_revenue_join (join form)", A.keyword_revenue_join(hp)),
         ("search_hits (filter on a computed flag)", search_hits(hp).select("ip", "domain", "search_keyword")),
+        ("report_rollup (grouping sets over the report)", report_rollup(A.keyword_revenue_exact(hp))),
         ("latest_file_status", latest_file_status(status_log(spark, args.sf_dir), keys=("file_key",))),
     ]
     with open(args.out, "w") as f:
