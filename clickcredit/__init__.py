@@ -19,15 +19,15 @@ from .operators.attribution import (attributed_purchases, attribution_join, keyw
 from .operators.enrich import enrich_hits, purchase_hits, search_hits
 from .operators.status import (file_manifest, latest_file_status, rejected_status_events,
                                status_events)
-from .operators.summary import (domain_revenue, keyword_totals, report_summary, top_domains,
-                                top_keywords)
+from .operators.summary import (domain_revenue, keyword_totals, report_rollup, report_summary,
+                                top_domains, top_keywords)
 from .sources.hits import read_hits
 
 __all__ = [
     "attributed_purchases", "attribution_join", "domain_revenue", "enrich_hits", "file_manifest",
     "keyword_revenue", "keyword_revenue_exact", "keyword_revenue_join", "keyword_totals",
     "latest_file_status", "purchase_hits", "purchase_sessions", "read_hits",
-    "rejected_status_events", "report_summary", "search_hits", "search_sessions_any",
+    "rejected_status_events", "report_rollup", "report_summary", "search_hits", "search_sessions_any",
     "session_counts", "status_events", "top_domains", "top_keywords", "touches",
     "visitor_sessions",
 ]
