@@ -7,6 +7,10 @@ visitors (and once more with one visitor holding a third of all rows), written
 as parquet under the shared checkpoint folder, and each attribution form is
 run with the ``noop`` sink. Shuffle bytes and records come from Spark's event
 log, written to a fresh folder under ``--scratch``. Prints one JSON line.
+
+This is a single-machine measurement tool (``local[N]``): the event log is
+written by the driver to a local folder; the replicated tables go to the
+session's shared checkpoint folder like every other scratch output.
 """
 
 from __future__ import annotations
