@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickcredit.llm import exact_dedup, packing, toxicity
+from clickcredit.llm import exact_dedup, packing, substring_dedup, toxicity
 from clickcredit.llm.shared import documents
 
 
@@ -17,6 +17,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_windows(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -27,11 +31,37 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_substring_dedup": op2_substring_dedup,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE = {
+    "op2_substring_dedup": """
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                             lambda x: x <> '') AS words
+  FROM documents
+), win AS (
+  SELECT doc_id, s, sha256(array_to_string(words[s:s + 49], ' ')) AS h
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS s FROM d WHERE len(words) >= 50)
+), hit AS (
+  SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY h) AS lo FROM win)
+  WHERE lo < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(s, s + 50)) AS p FROM hit
+), g AS (
+  SELECT doc_id, list(p) AS ps FROM gone GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+       CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(
+         CASE WHEN ps IS NULL THEN words
+              ELSE list_transform(list_filter(range(1, len(words) + 1),
+                                              lambda i: NOT list_contains(ps, i)), lambda i: words[i]) END,
+         ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)
+""",
     "op10_exact_dedup": """
 WITH t AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_points,
