@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickcredit.llm import exact_dedup, packing, substring_dedup, toxicity
+from clickcredit.llm import exact_dedup, ngram_join, packing, substring_dedup, toxicity
 from clickcredit.llm.shared import documents
 
 
@@ -21,6 +21,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_windows(documents(spark, sf_dir)).drop("kept")
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -32,6 +36,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
