@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clickcredit.llm import exact_dedup, ngram_join, packing, substring_dedup, toxicity
+from clickcredit.llm import (
+    decontamination,
+    exact_dedup,
+    line_dedup,
+    ngram_join,
+    packing,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from clickcredit.llm.shared import documents
 
 
@@ -25,6 +34,20 @@ def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(documents(spark, sf_dir),
+                                 spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.derivatives(warc.responses_of_pages(pages))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_chunks(documents(spark, sf_dir))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -37,6 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard": op3_ngram_jaccard,
+    "op4_decontamination": op4_decontamination,
+    "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
