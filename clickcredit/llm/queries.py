@@ -14,6 +14,7 @@ from clickcredit.llm import (
     ngram_join,
     packing,
     substring_dedup,
+    suffix_dedup,
     toxicity,
     warc,
 )
@@ -48,6 +49,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_chunks(documents(spark, sf_dir))
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(documents(spark, sf_dir)).drop("kept")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op8_suffix_array": op8_suffix_array,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
