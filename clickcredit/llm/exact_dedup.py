@@ -71,4 +71,5 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     keyed = docs.withColumn("__sha", digest)
     left = keyed.join(gone, keyed[id_col].eqNullSafe(gone["__gone_id"])
                       & (keyed["__sha"] == gone["__gone_sha"]), "left_anti")
-    return left.dropDuplicates(["__sha"]).drop("__sha")
+    # Rows that repeat id and text: partitioned as the join left them.
+    return left.dropDuplicates([id_col, "__sha"]).drop("__sha")

@@ -17,8 +17,8 @@ Hamming distance never exceeds the size of the symmetric difference.
 Defined results: A-Z are lower-cased; a text of one to four words is one n-gram; a null
 or empty text, or one of white space, has an empty set, n_shingles 0 and its own id as
 component. Rows that repeat an id each give a row, with the component of their own set;
-a null id never names a component unless no other id is in it. An empty table gives an
-empty result. Extra columns are ignored by ``link_documents`` and kept by ``drop_near``.
+a null id never names a component unless no other id is in it. ``drop_near`` treats rows of
+equal id and text as one document. An empty table gives an empty result. Extra columns are ignored by ``link_documents`` and kept by ``drop_near``.
 """
 
 from __future__ import annotations
@@ -87,9 +87,8 @@ class _Order:
     def prefix(self, s: np.ndarray) -> np.ndarray:
         k = _prefix_size(len(s))
         c = self.classes_of(s)
-        if not c[:k].any():  # ascending already, and no frequent one among the first
-            rare = np.flatnonzero(c[:k] == 0)
-            return s[rare]
+        if not c[:k].any():  # in this order already
+            return s[:k]
         return s[np.argsort(c, kind="stable")[:k]]
 
 
@@ -115,7 +114,8 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits = np.bincount((s & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64),
                                minlength=64 * BITMAP_WORDS) & 1
             bitmap.append(np.packbits(bits.astype(np.uint8)).view(np.int64).tolist())
-        yield pa.record_batch({"doc_id": batch["doc_id"], "n": pa.array(n, pa.int64()),
+        yield pa.record_batch({"doc_id": batch["doc_id"], "content": batch["content"],
+                               "n": pa.array(n, pa.int64()),
                                "node": pa.array(node, pa.int64()),
                                "bitmap": pa.array(bitmap, pa.list_(pa.int64()))})
 
@@ -190,17 +190,16 @@ def _linked(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, order: _Order)
                          ).select("a", "b")
 
 
-def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id of each row."""
-    texts = id_and_text(docs, id_col, text_col)
+def _links(texts: DataFrame) -> DataFrame:
+    """doc_id, n, content, node of each row, and ``first``: its component's first row."""
     cells = texts.mapInArrow(_count_cells, "cell int, n long").groupBy("cell").agg(
         F.sum("n").alias("n")).toPandas()
     counts = np.zeros(1 << CELL_BITS, np.int64)
     counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     order = _Order(counts)
 
-    described = written(texts.mapInArrow(_describe, "doc_id long, n long, node long, bitmap array<long>"),
-                        "sets")
+    described = written(texts.withColumn("content", F.xxhash64("text")).mapInArrow(
+        _describe, "doc_id long, content long, n long, node long, bitmap array<long>"), "sets")
     # First row of a node: any holds the same set.
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
@@ -228,15 +227,25 @@ def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = components(first.union(second))
 
     named = described.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    names = named.where("node IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component"))
-    return named.join(names, "root", "left").select(
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
+    firsts = named.where("node IS NOT NULL").groupBy("root").agg(F.min(place).alias("first"))
+    return named.join(firsts, "root", "left").select("doc_id", "n", "content", "node", "first")
+
+
+def link_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id of each row."""
+    return _links(id_and_text(docs, id_col, text_col)).select(
         "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("component_id"))
 
 
 def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each component the
-    document that names it, and every document without words."""
-    gone = (link_documents(docs, id_col, text_col).where("component_id != doc_id")
-            .select(F.col("doc_id").alias("__gone_id")))
-    return docs.join(gone, docs[id_col] == gone["__gone_id"], "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: the first document of each
+    component, and every document without words."""
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
+    gone = (_links(id_and_text(docs, id_col, text_col))
+            .where(F.col("first").isNotNull() & ~place.eqNullSafe(F.col("first")))
+            .select(F.col("doc_id").alias("__gone_id"), F.col("content").alias("__gone_content")).distinct())
+    keyed = docs.withColumn("__content", F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
+    return keyed.join(gone, keyed[id_col].eqNullSafe(gone["__gone_id"])
+                      & (keyed["__content"] == gone["__gone_content"]), "left_anti").drop("__content")

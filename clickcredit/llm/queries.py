@@ -13,6 +13,7 @@ from clickcredit.llm import (
     line_dedup,
     ngram_join,
     packing,
+    secret_scan,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -49,6 +50,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_chunks(documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.dedup_substrings(documents(spark, sf_dir)).drop("kept")
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_suffix_array": op8_suffix_array,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
