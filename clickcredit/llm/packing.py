@@ -17,12 +17,13 @@ repeated rows and null ids too. An empty table gives an empty result. Extra colu
 ignored. Sequence ids depend on how the input is partitioned; the ids of each document do
 not.
 
-Tokenising is cached by word. The tokenizer splits at white space, so a word's ids do not
-depend on its neighbours; a cache that has reached its bound starts anew.
+Tokenising is cached by word: a word's ids do not depend on its neighbours. A cache that
+has reached its bound starts anew.
 """
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterator
@@ -37,60 +38,65 @@ from clickcredit.llm.shared import id_and_text
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_CACHED_WORDS = 500_000
+# Texts that need the tokenizer's own normal form and split: characters from U+0250 on, a
+# capital that lowers to two characters, other white space, what may begin a special token.
+_SPECIAL = re.compile("[\u0250-\U0010ffff\u0130\x1c-\x1f\x85\xa0]|<\\|")
+# The tokenizer's first split, for all other characters.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼½¾"
+_PART = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\x20\\x09-\\x0D{_LETTER}{_NUMBER}]+")
+_CACHED_PARTS = 800_000
+
+
+def _byte_spelling() -> dict[int, str]:
+    """How byte-level vocabularies spell bytes: visible ones as themselves, the others, in
+    order, as characters from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+
+
+_SPELLING = _byte_spelling()
 _NEARLY = 8  # ids short of full at which an open window is left as it is
 
 
 class WordTokenizer:
-    """Ids of whole texts by a tokenizer file that splits at white space."""
+    """Ids of whole texts by a tokenizer file that lower-cases, drops white space and then
+    splits into words, single digits and runs of signs, each encoded on its own."""
 
     def __init__(self, path: str):
-        import regex
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        # The tokenizer's own first split, for words whose normal form is plain lower case.
-        self._part = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-        self._words: dict[str, bytes] = {}
-        self._parts: dict[str, bytes] = {}
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self._tokenizer.encode_batch(parts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self._words) > _CACHED_WORDS:
-            self._words.clear()
-        if len(self._parts) > _CACHED_WORDS:
-            self._parts.clear()
-        plain, other = {}, []
-        for w in words:
-            # Below U+0250 a text is in normal form C already; U+0130 lowers to two
-            # characters and "<|" may begin a special token.
-            if max(w) < "ɐ" and "İ" not in w and "<|" not in w:
-                plain[w] = self._part.findall(w.lower())
-            else:
-                other.append(w)
-        new = list({p for ps in plain.values() for p in ps if p not in self._parts})
-        self._parts.update(zip(new, self._encode(new), strict=True))
-        parts = self._parts
-        for w, ps in plain.items():
-            self._words[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
-        self._words.update(zip(other, self._encode(other), strict=True))
+        self._known: dict[str, bytes] = {}
+
+    def _learn(self, parts: set[str]) -> None:
+        if len(self._known) > _CACHED_PARTS:
+            self._known.clear()
+        model = self._tokenizer.model
+        for p in parts:
+            spelled = p if p.isascii() else p.encode().decode("latin1").translate(_SPELLING)
+            self._known[p] = b"".join([t.id.to_bytes(4, "little") for t in model.tokenize(spelled)])
+
+    def _plain(self, text: str) -> bytes:
+        parts = _PART.findall(text.lower())
+        try:
+            return b"".join(map(self._known.__getitem__, parts))
+        except KeyError:
+            self._learn(set(parts).difference(self._known))
+            if not all(map(self._known.__contains__, parts)):  # the cache was emptied
+                self._learn(set(parts))
+            return b"".join(map(self._known.__getitem__, parts))
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
-        words = _WORD.findall(text)
-        known = self._words
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            self._learn({w for w in words if w not in known})
-            known = self._words
-            if any(w not in known for w in words):  # the cache was emptied
-                self._learn(set(words))
-            return b"".join([self._words[w] for w in words])
+        if not _SPECIAL.search(text):
+            return self._plain(text)
+        return b"".join([self._whole(w) if _SPECIAL.search(w) else self._plain(w)
+                         for w in _WORD.findall(text)])
 
 
 class SumOfSquares:

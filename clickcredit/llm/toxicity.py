@@ -126,7 +126,7 @@ def _regress(rows: list, ratios: np.ndarray, steps: int = 40, rate: float = 0.05
 
 
 def fit(docs: DataFrame, labels: DataFrame, ratio_rows: int = 12_000,
-        fit_rows: int = 3_000) -> ToxicityModel:
+        fit_rows: int = 2_000) -> ToxicityModel:
     """Learn from labelled rows outside the held-out fifth."""
     counts = (_sample(docs, labels, ratio_rows).select("toxic", "text")
               .mapInArrow(_count, "cell int, clean long, toxic long")
