@@ -31,31 +31,36 @@ def _rotated(h: Column) -> Column:
     return F.shiftleft(h, 1).bitwiseOR(F.shiftrightunsigned(h, 63))
 
 
-def _chunked(texts: DataFrame, divisor: int) -> DataFrame:
-    """Adds ``chunks``: array of arrays of lines."""
-    with_lines = texts.withColumn("lines", F.split("text", "\n", -1)).withColumn(
-        "hashes", F.transform("lines", lambda x: F.xxhash64(x)))
-    last = F.size("lines") - 1
+def _chunks(text: Column, divisor: int) -> Column:
+    """The chunks of a text, each its lines with a space before and joined by line ends.
 
-    def ends(i: Column) -> Column:
-        rolled = F.when(i > 0, _rotated(F.get("hashes", i - 1))).otherwise(F.lit(0).cast("long"))
-        return (i == last) | (F.pmod(rolled.bitwiseXOR(F.get("hashes", i)), F.lit(divisor)) == 0)
+    Every line begins with a space, so an empty line between two lines can only be a
+    boundary and one split finds the chunks. Each array is used once, never inside a
+    lambda over another, so the work is linear in the text.
+    """
+    lines = F.split(text, "\n", -1)
+    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+    missing = F.lit(None).cast("long")
+    zipped = F.arrays_zip(lines.alias("line"),
+                          F.concat(F.array(missing), F.slice(hashes, 1, F.size(lines) - 1)).alias("h"),
+                          F.slice(F.concat(F.array(missing, missing), hashes), 1, F.size(lines)).alias("g"))
 
-    with_ends = with_lines.withColumn("ends", F.filter(F.sequence(F.lit(0), last), ends))
+    def marked(x: Column) -> Column:
+        rolled = _rotated(F.coalesce(x["g"], F.lit(0).cast("long"))).bitwiseXOR(x["h"])
+        begins = F.coalesce(F.pmod(rolled, F.lit(divisor)) == 0, F.lit(False))
+        return F.concat(F.when(begins, "\n ").otherwise(" "), x["line"])
 
-    def chunk(end: Column, k: Column) -> Column:
-        start = F.when(k > 0, F.get("ends", k - 1) + 1).otherwise(F.lit(0))
-        return F.slice("lines", start + 1, end - start + 1)
+    return F.split(F.array_join(F.transform(zipped, marked), "\n"), "\n\n", -1)
 
-    return with_ends.withColumn("chunks", F.transform("ends", chunk)).drop("hashes", "ends")
 
+def _lines(chunk: Column) -> Column:
+    return F.length(chunk) - F.length(F.replace(chunk, F.lit("\n"), F.lit(""))) + 1
 
-def _long_chunks(chunked: DataFrame) -> DataFrame:
-    """(doc_id, sha, at, body, h1, h2) of the chunks that may go."""
-    return (chunked.select("doc_id", "row", F.posexplode("chunks").alias("at", "chunk"))
-            .where(F.size("chunk") >= 2)
-            .select("doc_id", "row", "at", F.array_join("chunk", "\n").alias("body"))
-            .where(F.col("body").rlike(r"[^\x20\x09-\x0D]"))
+
+def _long_chunks(texts: DataFrame, divisor: int) -> DataFrame:
+    """(doc_id, row, at, body, h1, h2) of the chunks that may go."""
+    return (texts.select("doc_id", "row", F.posexplode(_chunks(F.col("text"), divisor)).alias("at", "body"))
+            .where(F.col("body").contains("\n") & F.col("body").rlike(r"[^\x20\x09-\x0D]"))
             .withColumn("h1", F.xxhash64("body")).withColumn("h2", F.xxhash64(F.lit(1), "body")))
 
 
@@ -63,7 +68,7 @@ def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                  divisor: int = DIVISOR) -> DataFrame:
     """doc_id, n_lines, n_chunks, n_removed_chunks, n_removed_lines, kept_text of each row."""
     texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
-    chunks = _long_chunks(_chunked(texts, divisor))
+    chunks = _long_chunks(texts, divisor)
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
     bodies = chunks.groupBy("h1", "h2", "body").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -77,10 +82,13 @@ def dedup_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .select(F.col("doc_id").alias("gone_id"), F.col("row").alias("gone_row"), "gone"))
     joined = texts.join(gone, texts["doc_id"].eqNullSafe(gone["gone_id"])
                         & (texts["row"] == gone["gone_row"]), "left").select("doc_id", "text", "gone")
-    cut = _chunked(joined.withColumn("gone", F.coalesce("gone", F.array().cast("array<int>"))), divisor)
+    cut = joined.select("doc_id", F.coalesce("gone", F.array().cast("array<int>")).alias("gone"),
+                        _chunks(F.col("text"), divisor).alias("chunks"))
     kept = F.filter("chunks", lambda x, k: ~F.array_contains("gone", k))
-    out = cut.withColumn("kept", F.flatten(kept))
-    return out.select("doc_id", F.size("lines").alias("n_lines"), F.size("chunks").alias("n_chunks"),
-                      F.size("gone").alias("n_removed_chunks"),
-                      (F.size("lines") - F.size("kept")).alias("n_removed_lines"),
-                      F.array_join("kept", "\n").alias("kept_text"))
+    # The spaces before lines go again.
+    kept_text = F.substr(F.replace(F.array_join("kept", "\n"), F.lit("\n "), F.lit("\n")), F.lit(2))
+    count = lambda chunks: F.aggregate(chunks, F.lit(0), lambda t, x: t + _lines(x))
+    return cut.withColumn("kept", kept).select(
+        "doc_id", count("chunks").alias("n_lines"), F.size("chunks").alias("n_chunks"),
+        F.size("gone").alias("n_removed_chunks"),
+        (count("chunks") - count("kept")).alias("n_removed_lines"), kept_text.alias("kept_text"))
