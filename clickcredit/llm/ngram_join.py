@@ -1,7 +1,7 @@
 """Jaccard self-join of word 5-gram sets by vertical partitioning.
 
-All n-grams share one global order: frequency class (from counts of every n-gram in a
-fixed number of cells), then hash, rare first. Two sets with a similarity of 0.8 or more
+All n-grams share one global order: frequency (the count, over all documents, of the
+n-gram's cell, one of a fixed number), then hash, rare first. Two sets with a similarity of 0.8 or more
 share an n-gram within the first n - ceil(0.8 n) + 1 of both, so only those prefixes are
 shuffled to find candidates. The order is cut into fragments; a candidate pair's overlap
 is counted in each fragment on its own and the partial counts are summed per pair.
@@ -34,7 +34,7 @@ from clickcredit.llm.shared import components, id_and_text, written
 from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 
 NGRAM = 5
-CELL_BITS = 16  # cells of the n-gram counts; fixed, so their total is bounded
+CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
 BITMAP_WORDS = 16
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
@@ -75,21 +75,20 @@ def _prefix_size(n: int) -> int:
 
 
 class _Order:
-    """The global order: class of each cell, then hash."""
+    """The global order: count of an n-gram's cell, then hash."""
 
     def __init__(self, counts: np.ndarray):
-        usual = 4 * max(1.0, counts.mean())
-        self.classes = np.floor(np.log2(np.maximum(1.0, counts / usual))).astype(np.uint8)
+        self.counts, self.usual = counts, 2 * counts.mean()
 
-    def classes_of(self, s: np.ndarray) -> np.ndarray:
-        return self.classes[s >> np.uint64(64 - CELL_BITS)]
+    def counts_of(self, s: np.ndarray) -> np.ndarray:
+        return self.counts[s >> np.uint64(64 - CELL_BITS)]
 
     def prefix(self, s: np.ndarray) -> np.ndarray:
-        k = _prefix_size(len(s))
-        c = self.classes_of(s)
-        if not c[:k].any():  # in this order already
-            return s[:k]
-        return s[np.argsort(c, kind="stable")[:k]]
+        return s[np.argsort(self.counts_of(s), kind="stable")[:_prefix_size(len(s))]]
+
+    def fragments(self, s: np.ndarray) -> np.ndarray:
+        return ((self.counts_of(s) > self.usual).astype(np.int32) << SEGMENT_BITS) + (
+            s >> np.uint64(64 - SEGMENT_BITS)).astype(np.int32)
 
 
 def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,16 +122,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(order: _Order):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, nodes, counts, seen = [], [], [], set()
+            hashes, nodes, sizes, counts, seen = [], [], [], [], set()
             for _, s in _sets(batch):
                 if len(s) and (node := _node(s)) not in seen:
                     seen.add(node)
                     hashes.append(order.prefix(s))
                     nodes.append(node)
+                    sizes.append(len(s))
                     counts.append(len(hashes[-1]))
             h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.record_batch({"h": h.view(np.int64),
-                                   "node": np.repeat(np.array(nodes, np.int64), counts)})
+                                   "node": np.repeat(np.array(nodes, np.int64), counts),
+                                   "n": np.repeat(np.array(sizes, np.int64), counts)})
 
     return emit
 
@@ -147,8 +148,7 @@ def _segments(order: _Order):
             for i, s in _sets(batch):
                 if not len(s) or _node(s) != wanted[i]:
                     continue
-                fragment = ((order.classes_of(s) > 0).astype(np.int32) << SEGMENT_BITS) + (
-                    s >> np.uint64(64 - SEGMENT_BITS)).astype(np.int32)
+                fragment = order.fragments(s)
                 for f in np.unique(fragment).tolist():
                     nodes.append(wanted[i])
                     fragments.append(f)
@@ -204,7 +204,7 @@ def _links(texts: DataFrame) -> DataFrame:
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
 
-    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long")
+    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long, n long")
     keys = (prefixes.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
             .where("lo < hi").select("h", "lo"))
     shared = written(prefixes.join(keys, "h").distinct(), "prefixes")
@@ -215,14 +215,16 @@ def _links(texts: DataFrame) -> DataFrame:
     first = written(_linked(written(_possible(leaders, nodes), "pairs"), texts, nodes, order), "linked")
     roots = components(first)
 
-    placed = (shared.select("h", "node").join(roots, "node", "left")
-              .select("h", "node", F.coalesce("root", "node").alias("root")))
+    placed = (shared.select("h", "node", "n").join(roots, "node", "left")
+              .select("h", "node", "n", F.coalesce("root", "node").alias("root")))
     mixed = (placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo < hi").select("h"))
     open_rows = placed.join(mixed, "h", "left_semi")
-    rest = (open_rows.select("h", F.col("node").alias("a"), F.col("root").alias("root_a"))
-            .join(open_rows.select("h", F.col("node").alias("b"), F.col("root").alias("root_b")), "h")
-            .where("a < b AND root_a != root_b").select("a", "b").distinct())
+    side = lambda x: open_rows.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
+                                      F.col("root").alias(f"root_{x}"))
+    rest = (side("a").join(side("b"), "h")
+            .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+            .select("a", "b").distinct())
     second = written(_linked(written(_possible(rest, nodes), "pairs"), texts, nodes, order), "linked")
     roots = components(first.union(second))
 

@@ -7,6 +7,11 @@ alignments of a match, the set has two residues with the same difference, so som
 below 31 puts both sides on cover positions: every match of 31 - 1 + 20 = 50 words shares
 an aligned anchor. Six anchors in 31 words are shuffled, not every window.
 
+Before that, copied stretches are set aside: window starts are cut into chunks at
+content-defined places, and a chunk (with all words that its windows cover) that a smaller
+document has too goes whole. Neither anchors nor windows of such chunks are shuffled; the
+smallest document that has a window never has it in such a chunk, so nothing is missed.
+
 From a shared anchor the match extends: only windows that hold one are candidates, and a
 candidate is hashed over its full 50 words and takes the smallest document that has it.
 The smallest document is a plain minimum (combined before the shuffle), never a list of
@@ -31,80 +36,130 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickcredit.llm.shared import id_and_text
-from clickcredit.llm.words import Words, find_words, runs, slices
+from clickcredit.llm.words import Words, find_words, runs, slices, spans
 
 WINDOW = 50
 PERIOD = 31
 COVER = (1, 5, 11, 24, 25, 27)  # every difference modulo 31 occurs
 ANCHOR = WINDOW - PERIOD + 1
+CHUNK_WORDS = 4
+CHUNK_MEAN = 32
+CHUNKS = "c1 long, c2 long, doc_id long, row long, chunk int"
 
 _ON_COVER = np.zeros(PERIOD, dtype=bool)
 _ON_COVER[list(COVER)] = True
 
 
-def _anchors(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, word index in the slice, hash) of each anchor in a document of at
-    least one window."""
-    if len(hashes) < WINDOW:
+def _chunk_starts(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, end of the windows, document) of each chunk. A chunk is a stretch of
+    window starts; boundaries depend on the next words alone, so copies share them."""
+    n = np.diff(words.bounds) - (WINDOW - 1)  # windows of each document
+    long = np.flatnonzero(n > 0)
+    if not len(long):
         none = np.zeros(0, np.int64)
         return none, none, none
     owner = words.document_of()
-    place = np.arange(len(hashes)) - words.bounds[owner]
-    room = words.bounds[owner + 1] - np.arange(len(hashes))
-    long = np.diff(words.bounds)[owner] >= WINDOW
-    at = np.flatnonzero(_ON_COVER[place % PERIOD] & (room >= ANCHOR) & long)
-    return owner[at], at, runs(hashes, ANCHOR)[at].view(np.int64)
+    marks = runs(hashes, CHUNK_WORDS)
+    at = np.flatnonzero(marks % np.uint64(CHUNK_MEAN) == 0)
+    at = at[at < (words.bounds[:-1] + n)[owner[at]]]
+    first = np.unique(np.concatenate([words.bounds[long], at]))
+    owner = owner[first]
+    end = np.minimum(np.append(first[1:], len(hashes)), words.bounds[owner] + n[owner])
+    return first, end, owner
 
 
-def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(h, doc_id) of each document's distinct anchors."""
+def _chunk_numbers(owner: np.ndarray) -> np.ndarray:
+    """Number of each chunk within its document; owners ascend."""
+    return np.arange(len(owner)) - np.searchsorted(owner, owner)
+
+
+def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hashes of all words that a chunk's windows cover, and where it is."""
     for batch in batches:
-        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
-        for first, _, data, offsets in slices(batch["text"]):
+        ids, rows = batch["doc_id"].to_numpy(), batch["row"].to_numpy()
+        for at, _, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
-            owner, _, h = _anchors(words, words.hashes())
-            yield pa.record_batch({"h": pa.array(h), "doc_id": pa.array(ids[first + owner], pa.int64())})
+            hashes = words.hashes()
+            first, end, owner = _chunk_starts(words, hashes)
+            yield pa.record_batch({
+                "c1": spans(hashes, first, end + WINDOW - 1).view(np.int64),
+                "c2": spans(hashes, first, end + WINDOW - 1, seed=1).view(np.int64),
+                "doc_id": ids[at + owner], "row": rows[at + owner],
+                "chunk": _chunk_numbers(owner).astype(np.int32)})
+
 
+def _cover(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which of n places lie in some range first:end."""
+    change = np.zeros(n + 1, np.int32)
+    np.add.at(change, first, 1)
+    np.add.at(change, end, -1)
+    return np.cumsum(change[:-1]) > 0
 
-def _candidates(words: Words, hashes: np.ndarray, shared: list) -> np.ndarray:
-    """Word indexes at which a window starts that holds a shared anchor."""
-    owner, at, h = _anchors(words, hashes)
-    hit = np.zeros(len(h), dtype=bool)
+
+def _own(words: Words, hashes: np.ndarray, copied: list) -> np.ndarray:
+    """Which window starts lie in chunks that no smaller document has."""
+    first, end, owner = _chunk_starts(words, hashes)
+    number, stays = _chunk_numbers(owner), np.ones(len(first), dtype=bool)
     for i in np.unique(owner):
-        if shared[i] is not None and len(shared[i]):
+        if copied[i] is not None:
             lo, hi = np.searchsorted(owner, (i, i + 1))
-            hit[lo:hi] = np.isin(h[lo:hi], shared[i])
-    owner, at = owner[hit], at[hit]
-    first = np.maximum(at - (PERIOD - 1), words.bounds[owner])
-    last = np.minimum(at, words.bounds[owner + 1] - WINDOW)
-    change = np.zeros(len(hashes) + 1, np.int32)
-    ok = last >= first
-    np.add.at(change, first[ok], 1)
-    np.add.at(change, last[ok] + 1, -1)
-    return np.flatnonzero(np.cumsum(change[:-1]) > 0)
+            stays[lo:hi] = ~np.isin(number[lo:hi], copied[i])
+    return _cover(len(hashes), first[stays], end[stays])
+
+
+def _lists(batch: pa.RecordBatch, column: str, first: int, end: int) -> list:
+    return [x.values.to_numpy() if x.is_valid else None for x in batch[column][first:end]]
 
 
-def _shared_lists(batch: pa.RecordBatch, first: int, end: int) -> list:
-    return [None if not x.is_valid else x.values.to_numpy() for x in batch["shared"][first:end]]
+def _anchors(words: Words, hashes: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, word index in the slice, hash) of each anchor in an own window."""
+    if len(hashes) < WINDOW:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    starts = np.flatnonzero(own)
+    owner = words.document_of()
+    place = np.arange(len(hashes)) - words.bounds[owner]
+    at = np.flatnonzero(_ON_COVER[place % PERIOD] & _cover(len(hashes), starts, starts + PERIOD))
+    return owner[at], at, runs(hashes, ANCHOR)[at].view(np.int64)
+
+
+def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, doc_id) of each anchor."""
+    for batch in batches:
+        ids = batch["doc_id"].to_numpy()
+        for first, end, data, offsets in slices(batch["text"]):
+            words = find_words(data, offsets)
+            hashes = words.hashes()
+            own = _own(words, hashes, _lists(batch, "copied", first, end))
+            owner, _, h = _anchors(words, hashes, own)
+            yield pa.record_batch({"h": pa.array(h), "doc_id": pa.array(ids[first + owner], pa.int64())})
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(w1, w2, doc_id) of each candidate window."""
+    """(w1, w2, doc_id) of each own window that holds a shared anchor."""
     for batch in batches:
-        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+        ids = batch["doc_id"].to_numpy()
         for first, end, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
             hashes = words.hashes()
-            at = _candidates(words, hashes, _shared_lists(batch, first, end))
-            owner = np.searchsorted(words.bounds, at, side="right") - 1
+            own = _own(words, hashes, _lists(batch, "copied", first, end))
+            owner, at, h = _anchors(words, hashes, own)
+            hit, shared = np.zeros(len(h), dtype=bool), _lists(batch, "shared", first, end)
+            for i in np.unique(owner):
+                lo, hi = np.searchsorted(owner, (i, i + 1))
+                hit[lo:hi] = np.isin(h[lo:hi], shared[i])
+            at = at[hit]
+            near = _cover(len(hashes), np.maximum(at - (PERIOD - 1), 0), at + 1)
+            starts = np.flatnonzero(own & near)
+            owner = np.searchsorted(words.bounds, starts, side="right") - 1
             yield pa.record_batch({
-                "w1": pa.array(runs(hashes, WINDOW)[at].view(np.int64)),
-                "w2": pa.array(runs(hashes, WINDOW, seed=1)[at].view(np.int64)),
+                "w1": pa.array(runs(hashes, WINDOW)[starts].view(np.int64)),
+                "w2": pa.array(runs(hashes, WINDOW, seed=1)[starts].view(np.int64)),
                 "doc_id": pa.array(ids[first + owner], pa.int64())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Remove each document's windows listed in ``gone`` (their w1 values)."""
+    """Remove the windows of copied chunks, and those whose w1 is in ``gone``."""
     for batch in batches:
         n = batch.num_rows
         n_words, n_removed = np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -112,20 +167,18 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for first, end, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
             n_words[first:end] = np.diff(words.bounds)
-            hashes = None
-            raw = data.tobytes()
-            for i in range(end - first):
+            hashes, raw = words.hashes(), data.tobytes()
+            copied = _lists(batch, "copied", first, end)
+            own = _own(words, hashes, copied)
+            for i, gone in enumerate(_lists(batch, "gone", first, end)):
                 lo, hi = words.bounds[i], words.bounds[i + 1]
-                gone, keep = batch["gone"][first + i], np.ones(hi - lo, dtype=bool)
-                if gone.is_valid and hi - lo >= WINDOW:
-                    if hashes is None:
-                        hashes = words.hashes()
-                    w = runs(hashes[lo:hi], WINDOW).view(np.int64)
-                    starts = np.flatnonzero(np.isin(w, gone.values.to_numpy()))
-                    change = np.zeros(hi - lo + 1, np.int32)
-                    change[starts] += 1
-                    change[starts + WINDOW] -= 1
-                    keep = np.cumsum(change[:-1]) == 0
+                keep = np.ones(hi - lo, dtype=bool)
+                if hi - lo >= WINDOW and (gone is not None or copied[i] is not None):
+                    lost = ~own[lo:hi - WINDOW + 1]
+                    if gone is not None:
+                        lost |= np.isin(runs(hashes[lo:hi], WINDOW).view(np.int64), gone)
+                    starts = np.flatnonzero(lost)
+                    keep = ~_cover(hi - lo, starts, starts + WINDOW)
                 n_removed[first + i] = (~keep).sum()
                 at = np.flatnonzero(keep) + lo
                 kept.append(b" ".join([raw[a:b] for a, b in
@@ -138,19 +191,24 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of each row."""
-    texts = id_and_text(docs, id_col, text_col)
-    anchors = texts.where("doc_id IS NOT NULL").mapInArrow(_emit_anchors, "h long, doc_id long")
+    texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
+    chunks = texts.where("doc_id IS NOT NULL").mapInArrow(_emit_chunks, CHUNKS)
+    least = chunks.groupBy("c1", "c2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    copied = (chunks.join(least, ["c1", "c2"]).where("doc_id > lo")
+              .groupBy("doc_id", "row").agg(F.collect_set("chunk").alias("copied")))  # within a document
+    marked = texts.join(copied, ["doc_id", "row"], "left")
+
+    known = marked.where("doc_id IS NOT NULL")
+    anchors = known.mapInArrow(_emit_anchors, "h long, doc_id long")
     keys = (anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
             .where("lo < hi").select("h"))
     shared = (anchors.join(keys, "h", "left_semi")
               .groupBy("doc_id").agg(F.collect_set("h").alias("shared")))  # within a document
-    marked = texts.join(shared, "doc_id", "left")
-    windows = (marked.where("shared IS NOT NULL")
-               .mapInArrow(_emit_windows, "w1 long, w2 long, doc_id long"))
+    windows = known.join(shared, "doc_id").mapInArrow(_emit_windows, "w1 long, w2 long, doc_id long")
     first = (windows.groupBy("w1", "w2")
              .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
              .select("w1", "w2", "lo"))
     gone = (windows.join(first, ["w1", "w2"]).where("doc_id > lo")
             .groupBy("doc_id").agg(F.collect_set("w1").alias("gone")))
-    return texts.join(gone, "doc_id", "left").mapInArrow(
+    return marked.join(gone, "doc_id", "left").mapInArrow(
         _cut, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary")

@@ -146,3 +146,14 @@ def runs(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     out = total[width:] - total[:-width]
     out *= powers(_inverse(base), n)
     return mix64(out)
+
+
+def spans(hashes: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Hash of each span hashes[start:end] of any length."""
+    total = np.zeros(len(hashes) + 1, np.uint64)
+    base = int(_WORD_BASE) + 2 * seed
+    np.cumsum(hashes * powers(base, len(hashes)), out=total[1:])
+    out = total[end] - total[start]
+    if len(out):
+        out *= powers(_inverse(base), len(hashes) + 1)[start]
+    return mix64(out + (end - start).astype(np.uint64))
