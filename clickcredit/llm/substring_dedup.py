@@ -44,7 +44,7 @@ COVER = (1, 5, 11, 24, 25, 27)  # every difference modulo 31 occurs
 ANCHOR = WINDOW - PERIOD + 1
 CHUNK_WORDS = 4
 CHUNK_MEAN = 32
-CHUNKS = "c1 long, c2 long, doc_id long, row long, chunk int"
+CHUNKS = "c1 long, c2 long, doc_id long"
 
 _ON_COVER = np.zeros(PERIOD, dtype=bool)
 _ON_COVER[list(COVER)] = True
@@ -68,15 +68,10 @@ def _chunk_starts(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, end, owner
 
 
-def _chunk_numbers(owner: np.ndarray) -> np.ndarray:
-    """Number of each chunk within its document; owners ascend."""
-    return np.arange(len(owner)) - np.searchsorted(owner, owner)
-
-
 def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all words that a chunk's windows cover, and where it is."""
+    """Two hashes of all words that a chunk's windows cover."""
     for batch in batches:
-        ids, rows = batch["doc_id"].to_numpy(), batch["row"].to_numpy()
+        ids = batch["doc_id"].to_numpy()
         for at, _, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
             hashes = words.hashes()
@@ -84,8 +79,7 @@ def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({
                 "c1": spans(hashes, first, end + WINDOW - 1).view(np.int64),
                 "c2": spans(hashes, first, end + WINDOW - 1, seed=1).view(np.int64),
-                "doc_id": ids[at + owner], "row": rows[at + owner],
-                "chunk": _chunk_numbers(owner).astype(np.int32)})
+                "doc_id": ids[at + owner]})
 
 
 def _cover(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -99,11 +93,11 @@ def _cover(n: int, first: np.ndarray, end: np.ndarray) -> np.ndarray:
 def _own(words: Words, hashes: np.ndarray, copied: list) -> np.ndarray:
     """Which window starts lie in chunks that no smaller document has."""
     first, end, owner = _chunk_starts(words, hashes)
-    number, stays = _chunk_numbers(owner), np.ones(len(first), dtype=bool)
+    content, stays = spans(hashes, first, end + WINDOW - 1).view(np.int64), np.ones(len(first), dtype=bool)
     for i in np.unique(owner):
         if copied[i] is not None:
             lo, hi = np.searchsorted(owner, (i, i + 1))
-            stays[lo:hi] = ~np.isin(number[lo:hi], copied[i])
+            stays[lo:hi] = ~np.isin(content[lo:hi], copied[i])
     return _cover(len(hashes), first[stays], end[stays])
 
 
@@ -191,12 +185,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of each row."""
-    texts = id_and_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
+    texts = id_and_text(docs, id_col, text_col)
     chunks = texts.where("doc_id IS NOT NULL").mapInArrow(_emit_chunks, CHUNKS)
     least = chunks.groupBy("c1", "c2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     copied = (chunks.join(least, ["c1", "c2"]).where("doc_id > lo")
-              .groupBy("doc_id", "row").agg(F.collect_set("chunk").alias("copied")))  # within a document
-    marked = texts.join(copied, ["doc_id", "row"], "left")
+              .groupBy("doc_id").agg(F.collect_set("c1").alias("copied")))  # within a document
+    # The only shuffle of the texts: all that follows joins by id too.
+    marked = texts.join(copied, "doc_id", "left")
 
     known = marked.where("doc_id IS NOT NULL")
     anchors = known.mapInArrow(_emit_anchors, "h long, doc_id long")
