@@ -17,7 +17,8 @@ candidate is hashed over its full 50 words and takes the smallest document that
 The smallest document is a plain minimum (combined before the shuffle), never a list of
 pairs, so copies cost their own number of rows however many there are.
 
-Hashes are two independent 64-bit values for windows; anchors only select candidates.
+Windows and chunks are compared by 96 bits (two independent hashes); anchors, of 64 bits,
+only select candidates.
 
 Defined results: null and empty texts, and texts of under 50 words, lose nothing. Of one
 document's own repeats none goes. Rows that repeat an id are one document with several
@@ -44,7 +45,8 @@ COVER = (1, 5, 11, 24, 25, 27)  # every difference modulo 31 occurs
 ANCHOR = WINDOW - PERIOD + 1
 CHUNK_WORDS = 4
 CHUNK_MEAN = 32
-CHUNKS = "c1 long, c2 long, doc_id long"
+CHUNKS = "c1 long, c2 int, doc_id long"
+WINDOWS = "w1 long, w2 int, doc_id long"
 
 _ON_COVER = np.zeros(PERIOD, dtype=bool)
 _ON_COVER[list(COVER)] = True
@@ -68,6 +70,10 @@ def _chunk_starts(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndar
     return first, end, owner
 
 
+def _half(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes of all words that a chunk's windows cover."""
     for batch in batches:
@@ -78,7 +84,7 @@ def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first, end, owner = _chunk_starts(words, hashes)
             yield pa.record_batch({
                 "c1": spans(hashes, first, end + WINDOW - 1).view(np.int64),
-                "c2": spans(hashes, first, end + WINDOW - 1, seed=1).view(np.int64),
+                "c2": _half(spans(hashes, first, end + WINDOW - 1, seed=1)),
                 "doc_id": ids[at + owner]})
 
 
@@ -126,7 +132,12 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             hashes = words.hashes()
             own = _own(words, hashes, _lists(batch, "copied", first, end))
             owner, _, h = _anchors(words, hashes, own)
-            yield pa.record_batch({"h": pa.array(h), "doc_id": pa.array(ids[first + owner], pa.int64())})
+            keep = np.lexsort((h, owner))  # each anchor of a document once
+            owner, h = owner[keep], h[keep]
+            new = np.ones(len(h), dtype=bool)
+            new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
+            yield pa.record_batch({"h": pa.array(h[new]),
+                                   "doc_id": pa.array(ids[first + owner[new]], pa.int64())})
 
 
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +159,7 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             owner = np.searchsorted(words.bounds, starts, side="right") - 1
             yield pa.record_batch({
                 "w1": pa.array(runs(hashes, WINDOW)[starts].view(np.int64)),
-                "w2": pa.array(runs(hashes, WINDOW, seed=1)[starts].view(np.int64)),
+                "w2": _half(runs(hashes, WINDOW, seed=1)[starts]),
                 "doc_id": pa.array(ids[first + owner], pa.int64())})
 
 
@@ -187,7 +198,7 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of each row."""
     texts = id_and_text(docs, id_col, text_col)
     chunks = texts.where("doc_id IS NOT NULL").mapInArrow(_emit_chunks, CHUNKS)
-    least = chunks.groupBy("c1", "c2").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
+    least = chunks.groupBy("c1", "c2").agg(F.min("doc_id").alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copied = (chunks.join(least, ["c1", "c2"]).where("doc_id > lo")
               .groupBy("doc_id").agg(F.collect_set("c1").alias("copied")))  # within a document
     # The only shuffle of the texts: all that follows joins by id too.
@@ -195,14 +206,12 @@ def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     known = marked.where("doc_id IS NOT NULL")
     anchors = known.mapInArrow(_emit_anchors, "h long, doc_id long")
-    keys = (anchors.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
-            .where("lo < hi").select("h"))
+    keys = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     shared = (anchors.join(keys, "h", "left_semi")
               .groupBy("doc_id").agg(F.collect_set("h").alias("shared")))  # within a document
-    windows = known.join(shared, "doc_id").mapInArrow(_emit_windows, "w1 long, w2 long, doc_id long")
+    windows = known.join(shared, "doc_id").mapInArrow(_emit_windows, WINDOWS)
     first = (windows.groupBy("w1", "w2")
-             .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
-             .select("w1", "w2", "lo"))
+             .agg(F.min("doc_id").alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     gone = (windows.join(first, ["w1", "w2"]).where("doc_id > lo")
             .groupBy("doc_id").agg(F.collect_set("w1").alias("gone")))
     return marked.join(gone, "doc_id", "left").mapInArrow(
