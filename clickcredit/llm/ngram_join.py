@@ -8,10 +8,9 @@ is counted in each fragment on its own and the partial counts are summed per pai
 
 Sets, not documents, are joined: equal sets share a node (64 bits of the set's hash), so
 copies add no pairs. In a group of sets that share an n-gram, each set is first compared
-with one leader only, the smallest node of the group that shares most of its prefix;
-groups of near copies thereby fall into one component. Then all remaining pairs of a
-group that lie in different components are compared, none left out. Two lossless tests
-drop pairs before their sets are moved: the sizes' ratio, and the parity bitmaps, whose
+with a few leaders only; groups of near copies thereby fall into one component. Then all
+remaining pairs of a group that lie in different components are compared, none left out.
+Two lossless tests drop pairs before their sets are moved: the sizes' ratio, and the parity bitmaps, whose
 Hamming distance never exceeds the size of the symmetric difference.
 
 Defined results: A-Z are lower-cased; a text of one to four words is one n-gram; a null
@@ -35,7 +34,7 @@ from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 
 NGRAM = 5
 CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
-BITMAP_WORDS = 16
+LEADERS = 3
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
 
@@ -70,6 +69,27 @@ def _node(s: np.ndarray) -> int:
                .view(np.int64)[0])
 
 
+def _bitmap(s: np.ndarray) -> bytes:
+    """Parity of the set's members in each of 2**k cells, at least one cell a member."""
+    cells = 1 << max(6, (len(s) - 1).bit_length())
+    parity = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(parity.astype(np.uint8)).tobytes()
+
+
+def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose bitmaps differ in no more cells than the sets may in members."""
+    for batch in batches:
+        n = batch["n_a"].to_numpy() + batch["n_b"].to_numpy()
+        keep = np.empty(batch.num_rows, dtype=bool)
+        for i, (a, b) in enumerate(zip(batch["bitmap_a"], batch["bitmap_b"], strict=True)):
+            x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (a, b))
+            size = min(len(x), len(y))  # cells of the finer one, halved, are those of the other
+            differ = np.bitwise_xor.reduce(x.reshape(-1, size)) ^ np.bitwise_xor.reduce(y.reshape(-1, size))
+            # overlap >= 4/9 (n_a + n_b), so the symmetric difference is at most a ninth.
+            keep[i] = 9 * int(np.bitwise_count(differ).sum()) <= n[i]
+        yield batch.drop_columns(["bitmap_a", "bitmap_b"]).filter(pa.array(keep))
+
+
 def _prefix_size(n: int) -> int:
     return n - (4 * n + 4) // 5 + 1
 
@@ -110,30 +130,26 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, s in _sets(batch):
             n.append(len(s))
             node.append(_node(s) if len(s) else None)
-            bits = np.bincount((s & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64),
-                               minlength=64 * BITMAP_WORDS) & 1
-            bitmap.append(np.packbits(bits.astype(np.uint8)).view(np.int64).tolist())
+            bitmap.append(_bitmap(s) if len(s) else None)
         yield pa.record_batch({"doc_id": batch["doc_id"], "content": batch["content"],
                                "n": pa.array(n, pa.int64()),
                                "node": pa.array(node, pa.int64()),
-                               "bitmap": pa.array(bitmap, pa.list_(pa.int64()))})
+                               "bitmap": pa.array(bitmap, pa.binary())})
 
 
 def _prefixes(order: _Order):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, nodes, sizes, counts, seen = [], [], [], [], set()
+            hashes, nodes, counts, seen = [], [], [], set()
             for _, s in _sets(batch):
                 if len(s) and (node := _node(s)) not in seen:
                     seen.add(node)
                     hashes.append(order.prefix(s))
                     nodes.append(node)
-                    sizes.append(len(s))
                     counts.append(len(hashes[-1]))
             h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.record_batch({"h": h.view(np.int64),
-                                   "node": np.repeat(np.array(nodes, np.int64), counts),
-                                   "n": np.repeat(np.array(sizes, np.int64), counts)})
+                                   "node": np.repeat(np.array(nodes, np.int64), counts)})
 
     return emit
 
@@ -162,32 +178,40 @@ def _segments(order: _Order):
 
 def _possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) that sizes and bitmaps don't rule out, with both sizes."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                                  F.col("bitmap").alias(f"bitmap_{x}"))
-    differ = F.aggregate(F.zip_with("bitmap_a", "bitmap_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                         F.lit(0), lambda t, x: t + x)
-    # overlap >= 4/9 (n_a + n_b), so the symmetric difference is at most a ninth of the sum.
-    return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .where((5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
-                   & (9 * differ <= F.col("n_a") + F.col("n_b")))
-            .select("a", "b", "n_a", "n_b"))
-
-
-def _linked(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, order: _Order) -> DataFrame:
-    """The pairs whose exact similarity is 0.8 or more."""
-    wanted = (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-              .distinct().join(nodes.select("node", "doc_id"), "node"))
-    segments = written(texts.join(wanted, "doc_id").select("text", "node").mapInArrow(
-        _segments(order), "node long, fragment int, grams array<long>")
-        .dropDuplicates(["node", "fragment"]), "segments")
+    size = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"))
+    bits = lambda x: nodes.select(F.col("node").alias(x), F.col("bitmap").alias(f"bitmap_{x}"))
+    tested = (pairs.join(size("a"), "a").join(size("b"), "b")
+              .where("5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"))
+    names = tested.columns
+    both = tested.join(bits("a"), "a").join(bits("b"), "b").select(*names, "bitmap_a", "bitmap_b")
+    return both.mapInArrow(_may_link, tested.schema)
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return (pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+            .distinct())
+
+
+def _sets_of(wanted: DataFrame, texts: DataFrame, nodes: DataFrame, order: _Order) -> DataFrame:
+    """(node, fragment, grams) of the wanted nodes, each from its first document."""
+    # Written, so that its size is known: a small list is broadcast, a large one is not.
+    wanted = written(wanted.join(nodes.select("node", "doc_id"), "node"), "wanted")
+    rows = texts.join(wanted, "doc_id").select("text", "node")
+    return written(rows.mapInArrow(_segments(order), "node long, fragment int, grams array<long>")
+                   .dropDuplicates(["node", "fragment"]), "segments")
+
+
+def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
+    """The pairs whose exact similarity is 0.8 or more: overlaps counted by fragment."""
     left = segments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("grams_a"))
     right = segments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("grams_b"))
-    overlap = (pairs.join(left, "a").join(right, ["b", "fragment"])
+    overlap = (pairs.select("a", "b", "n_a", "n_b").join(left, "a").join(right, ["b", "fragment"])
                .select("a", "b", "n_a", "n_b",
                        F.size(F.array_intersect("grams_a", "grams_b")).alias("part"))
                .groupBy("a", "b", "n_a", "n_b").agg(F.sum("part").alias("common")))
-    return overlap.where(100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common"))
-                         ).select("a", "b")
+    linked = overlap.where(
+        100 * F.col("common") >= 80 * (F.col("n_a") + F.col("n_b") - F.col("common"))).select("a", "b")
+    return written(linked, "linked")
 
 
 def _links(texts: DataFrame) -> DataFrame:
@@ -199,23 +223,38 @@ def _links(texts: DataFrame) -> DataFrame:
     order = _Order(counts)
 
     described = written(texts.withColumn("content", F.xxhash64("text")).mapInArrow(
-        _describe, "doc_id long, content long, n long, node long, bitmap array<long>"), "sets")
+        _describe, "doc_id long, content long, n long, node long, bitmap binary"), "sets")
     # First row of a node: any holds the same set.
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
 
-    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long, n long")
-    keys = (prefixes.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-            .where("lo < hi").select("h", "lo"))
-    shared = written(prefixes.join(keys, "h").distinct(), "prefixes")
-
-    votes = shared.where("node != lo").groupBy("node", "lo").agg(F.count(F.lit(1)).alias("n"))
-    leaders = (votes.groupBy("node").agg(F.max(F.struct("n", "lo")).alias("best"))
-               .select(F.col("node").alias("a"), F.col("best.lo").alias("b")))
-    first = written(_linked(written(_possible(leaders, nodes), "pairs"), texts, nodes, order), "linked")
+    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long")
+    keys = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
+    shared = written(prefixes.join(keys, "h", "left_semi").distinct(), "prefixes")
+
+    # Leaders of a group: its first nodes in LEADERS fixed orders. Of the leaders that sizes
+    # and bitmaps allow, a node is compared with the one of each order it shares most with.
+    rank = lambda k: F.xxhash64(F.lit(k), "node") if k else F.col("node")
+    leaders = shared.groupBy("h").agg(*[F.min(F.struct(rank(k).alias("rank"), "node")).alias(f"l{k}")
+                                        for k in range(LEADERS)])
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"l{k}.node").alias("b"))
+                               for k in range(LEADERS)]))
+    votes = (shared.join(leaders, "h").select(F.col("node").alias("a"), each.alias("x"))
+             .select("a", "x.b", "x.k").where("a != b")
+             .groupBy("a", "b", "k").agg(F.count(F.lit(1)).alias("votes")))
+    chosen = (_possible(votes, nodes).groupBy("a", "k").agg(
+        F.max(F.struct("votes", "b", "n_a", "n_b")).alias("best"))
+        .select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"),
+                F.when(F.col("a") < F.col("best.b"), F.col("best.n_a")).otherwise(F.col("best.n_b")).alias("n_a"),
+                F.when(F.col("a") < F.col("best.b"), F.col("best.n_b")).otherwise(F.col("best.n_a")).alias("n_b"))
+        .distinct())
+    chosen = written(chosen, "pairs")
+    sets = _sets_of(_nodes_of(chosen), texts, nodes, order)
+    first = _linked(chosen, sets)
     roots = components(first)
 
-    placed = (shared.select("h", "node", "n").join(roots, "node", "left")
+    # All pairs of a group that are in different components by now.
+    placed = (shared.join(nodes.select("node", "n"), "node").join(roots, "node", "left")
               .select("h", "node", "n", F.coalesce("root", "node").alias("root")))
     mixed = (placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
              .where("lo < hi").select("h"))
@@ -225,8 +264,9 @@ def _links(texts: DataFrame) -> DataFrame:
     rest = (side("a").join(side("b"), "h")
             .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
             .select("a", "b").distinct())
-    second = written(_linked(written(_possible(rest, nodes), "pairs"), texts, nodes, order), "linked")
-    roots = components(first.union(second))
+    rest = written(_possible(rest, nodes).join(chosen, ["a", "b"], "left_anti"), "pairs")
+    more = _sets_of(_nodes_of(rest).join(sets.select("node"), "node", "left_anti"), texts, nodes, order)
+    roots = components(first.union(_linked(rest, sets.union(more))))
 
     named = described.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
