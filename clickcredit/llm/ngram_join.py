@@ -26,14 +26,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickcredit.llm.shared import components, id_and_text, written
 from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 
 NGRAM = 5
-CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
+CELL_BITS = 20  # cells of the n-gram counts; fixed, so their total is bounded
 LEADERS = 3
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
@@ -98,7 +98,8 @@ class _Order:
     """The global order: count of an n-gram's cell, then hash."""
 
     def __init__(self, counts: np.ndarray):
-        self.counts, self.usual = counts, 2 * counts.mean()
+        self.counts = np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32)
+        self.usual = 2 * counts.mean()
 
     def counts_of(self, s: np.ndarray) -> np.ndarray:
         return self.counts[s >> np.uint64(64 - CELL_BITS)]
@@ -232,8 +233,9 @@ def _links(texts: DataFrame) -> DataFrame:
     keys = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
     shared = written(prefixes.join(keys, "h", "left_semi").distinct(), "prefixes")
 
-    # Leaders of a group: its first nodes in LEADERS fixed orders. Of the leaders that sizes
-    # and bitmaps allow, a node is compared with the one of each order it shares most with.
+    # Leaders of a group: its first nodes in LEADERS fixed orders. Of the leaders of each
+    # order that a node shares most with, it is compared with the best that sizes and bitmaps
+    # allow. This only saves work: what it leaves out, the last step compares.
     rank = lambda k: F.xxhash64(F.lit(k), "node") if k else F.col("node")
     leaders = shared.groupBy("h").agg(*[F.min(F.struct(rank(k).alias("rank"), "node")).alias(f"l{k}")
                                         for k in range(LEADERS)])
@@ -242,6 +244,8 @@ def _links(texts: DataFrame) -> DataFrame:
     votes = (shared.join(leaders, "h").select(F.col("node").alias("a"), each.alias("x"))
              .select("a", "x.b", "x.k").where("a != b")
              .groupBy("a", "b", "k").agg(F.count(F.lit(1)).alias("votes")))
+    most = Window.partitionBy("a", "k").orderBy(F.desc("votes"), "b")
+    votes = votes.withColumn("place", F.row_number().over(most)).where(F.col("place") <= LEADERS).drop("place")
     chosen = (_possible(votes, nodes).groupBy("a", "k").agg(
         F.max(F.struct("votes", "b", "n_a", "n_b")).alias("best"))
         .select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"),

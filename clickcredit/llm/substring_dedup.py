@@ -77,6 +77,7 @@ def _half(hashes: np.ndarray) -> np.ndarray:
 def _emit_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Two hashes of all words that a chunk's windows cover."""
     for batch in batches:
+        batch = batch.filter(batch["doc_id"].is_valid())
         ids = batch["doc_id"].to_numpy()
         for at, _, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
@@ -126,6 +127,7 @@ def _anchors(words: Words, hashes: np.ndarray, own: np.ndarray) -> tuple[np.ndar
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, doc_id) of each anchor."""
     for batch in batches:
+        batch = batch.filter(batch["doc_id"].is_valid())
         ids = batch["doc_id"].to_numpy()
         for first, end, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
@@ -143,6 +145,7 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(w1, w2, doc_id) of each own window that holds a shared anchor."""
     for batch in batches:
+        batch = batch.filter(batch["doc_id"].is_valid())
         ids = batch["doc_id"].to_numpy()
         for first, end, data, offsets in slices(batch["text"]):
             words = find_words(data, offsets)
@@ -152,7 +155,8 @@ def _emit_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             hit, shared = np.zeros(len(h), dtype=bool), _lists(batch, "shared", first, end)
             for i in np.unique(owner):
                 lo, hi = np.searchsorted(owner, (i, i + 1))
-                hit[lo:hi] = np.isin(h[lo:hi], shared[i])
+                if shared[i] is not None:
+                    hit[lo:hi] = np.isin(h[lo:hi], shared[i])
             at = at[hit]
             near = _cover(len(hashes), np.maximum(at - (PERIOD - 1), 0), at + 1)
             starts = np.flatnonzero(own & near)
@@ -197,19 +201,19 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the kept text of each row."""
     texts = id_and_text(docs, id_col, text_col)
-    chunks = texts.where("doc_id IS NOT NULL").mapInArrow(_emit_chunks, CHUNKS)
+    chunks = texts.mapInArrow(_emit_chunks, CHUNKS)
     least = chunks.groupBy("c1", "c2").agg(F.min("doc_id").alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copied = (chunks.join(least, ["c1", "c2"]).where("doc_id > lo")
               .groupBy("doc_id").agg(F.collect_set("c1").alias("copied")))  # within a document
-    # The only shuffle of the texts: all that follows joins by id too.
+    # The only shuffle of the texts: all that follows joins by id too. Outer joins without a
+    # filter keep the exchange the same in each place, so that Spark reuses it.
     marked = texts.join(copied, "doc_id", "left")
 
-    known = marked.where("doc_id IS NOT NULL")
-    anchors = known.mapInArrow(_emit_anchors, "h long, doc_id long")
+    anchors = marked.mapInArrow(_emit_anchors, "h long, doc_id long")
     keys = anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h")
     shared = (anchors.join(keys, "h", "left_semi")
               .groupBy("doc_id").agg(F.collect_set("h").alias("shared")))  # within a document
-    windows = known.join(shared, "doc_id").mapInArrow(_emit_windows, WINDOWS)
+    windows = marked.join(shared, "doc_id", "left").mapInArrow(_emit_windows, WINDOWS)
     first = (windows.groupBy("w1", "w2")
              .agg(F.min("doc_id").alias("lo"), F.count(F.lit(1)).alias("n")).where("n > 1"))
     gone = (windows.join(first, ["w1", "w2"]).where("doc_id > lo")
