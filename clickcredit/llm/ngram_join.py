@@ -218,7 +218,7 @@ def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 def _links(texts: DataFrame) -> DataFrame:
     """doc_id, n, content, node of each row, and ``first``: its component's first row."""
     cells = texts.mapInArrow(_count_cells, "cell int, n long").groupBy("cell").agg(
-        F.sum("n").alias("n")).toPandas()
+        F.sum("n").alias("n")).toArrow()  # a row per cell at most
     counts = np.zeros(1 << CELL_BITS, np.int64)
     counts[cells["cell"].to_numpy()] = cells["n"].to_numpy()
     order = _Order(counts)

@@ -131,7 +131,7 @@ def fit(docs: DataFrame, labels: DataFrame, ratio_rows: int = 12_000,
     counts = (_sample(docs, labels, ratio_rows).select("toxic", "text")
               .mapInArrow(_count, "cell int, clean long, toxic long")
               .groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-              .toPandas())
+              .toArrow())  # a row per cell at most
     seen = np.zeros((2, CELLS + 1))
     for k, name in enumerate(("clean", "toxic")):
         seen[k, counts["cell"].to_numpy()] = counts[name].to_numpy()  # -1: the totals
