@@ -33,8 +33,9 @@ from clickcredit.llm.shared import components, id_and_text, written
 from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 
 NGRAM = 5
-CELL_BITS = 20  # cells of the n-gram counts; fixed, so their total is bounded
+CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
 LEADERS = 3
+ROUNDS = 3
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
 
@@ -233,44 +234,59 @@ def _links(texts: DataFrame) -> DataFrame:
     keys = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
     shared = written(prefixes.join(keys, "h", "left_semi").distinct(), "prefixes")
 
-    # Leaders of a group: its first nodes in LEADERS fixed orders. Of the leaders of each
-    # order that a node shares most with, it is compared with the best that sizes and bitmaps
-    # allow. This only saves work: what it leaves out, the last step compares.
-    rank = lambda k: F.xxhash64(F.lit(k), "node") if k else F.col("node")
-    leaders = shared.groupBy("h").agg(*[F.min(F.struct(rank(k).alias("rank"), "node")).alias(f"l{k}")
-                                        for k in range(LEADERS)])
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"l{k}.node").alias("b"))
-                               for k in range(LEADERS)]))
-    votes = (shared.join(leaders, "h").select(F.col("node").alias("a"), each.alias("x"))
-             .select("a", "x.b", "x.k").where("a != b")
-             .groupBy("a", "b", "k").agg(F.count(F.lit(1)).alias("votes")))
-    most = Window.partitionBy("a", "k").orderBy(F.desc("votes"), "b")
-    votes = votes.withColumn("place", F.row_number().over(most)).where(F.col("place") <= LEADERS).drop("place")
-    chosen = (_possible(votes, nodes).groupBy("a", "k").agg(
-        F.max(F.struct("votes", "b", "n_a", "n_b")).alias("best"))
-        .select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b"),
-                F.when(F.col("a") < F.col("best.b"), F.col("best.n_a")).otherwise(F.col("best.n_b")).alias("n_a"),
-                F.when(F.col("a") < F.col("best.b"), F.col("best.n_b")).otherwise(F.col("best.n_a")).alias("n_b"))
-        .distinct())
-    chosen = written(chosen, "pairs")
-    sets = _sets_of(_nodes_of(chosen), texts, nodes, order)
-    first = _linked(chosen, sets)
-    roots = components(first)
+    sized = nodes.select("node", "n")
+    links, sets = None, None
+    placed = shared.withColumn("root", F.col("node"))
+
+    def settle(pairs: DataFrame) -> DataFrame:
+        """Compare the pairs and name the components of all links so far."""
+        nonlocal links, sets
+        wanted = _nodes_of(pairs)
+        if sets is not None:
+            wanted = wanted.join(sets.select("node"), "node", "left_anti")
+        more = _sets_of(wanted, texts, nodes, order)
+        sets = more if sets is None else sets.union(more)
+        found = _linked(pairs, sets)
+        links = found if links is None else links.union(found)
+        return components(links)
+
+    def open_groups() -> DataFrame:
+        """Rows of groups whose nodes are in several components."""
+        mixed = (placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+                 .where("lo < hi").select("h"))
+        return placed.join(mixed, "h", "left_semi")
+
+    # Leaders of a group: its first nodes in LEADERS fixed orders, others in each round. Of
+    # the leaders of each order that a node shares most with, it is compared with the best
+    # that sizes and bitmaps allow. This only saves work: what it leaves out, the last step
+    # compares.
+    for r in range(ROUNDS):
+        rows = open_groups()
+        leaders = rows.groupBy("h").agg(*[
+            F.min(F.struct(F.xxhash64(F.lit(r * LEADERS + k), "node").alias("rank"), "node", "root")).alias(f"l{k}")
+            for k in range(LEADERS)])
+        each = F.explode(F.array(*[
+            F.struct(F.lit(k).alias("k"), F.col(f"l{k}.node").alias("b"), F.col(f"l{k}.root").alias("root_b"))
+            for k in range(LEADERS)]))
+        votes = (rows.join(leaders, "h").select(F.col("node").alias("a"), "root", each.alias("x"))
+                 .where("root != x.root_b").select("a", "x.b", "x.k")
+                 .groupBy("a", "b", "k").agg(F.count(F.lit(1)).alias("votes")))
+        most = Window.partitionBy("a", "k").orderBy(F.desc("votes"), "b")
+        votes = votes.withColumn("place", F.row_number().over(most)).where(F.col("place") <= LEADERS).drop("place")
+        best = _possible(votes, nodes).groupBy("a", "k").agg(F.max(F.struct("votes", "b")).alias("best"))
+        chosen = (best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
+                  .join(sized.toDF("a", "n_a"), "a").join(sized.toDF("b", "n_b"), "b"))
+        roots = settle(written(chosen, "pairs"))
+        placed = shared.join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
 
     # All pairs of a group that are in different components by now.
-    placed = (shared.join(nodes.select("node", "n"), "node").join(roots, "node", "left")
-              .select("h", "node", "n", F.coalesce("root", "node").alias("root")))
-    mixed = (placed.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-             .where("lo < hi").select("h"))
-    open_rows = placed.join(mixed, "h", "left_semi")
-    side = lambda x: open_rows.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                                      F.col("root").alias(f"root_{x}"))
+    rows = open_groups().join(sized, "node")
+    side = lambda x: rows.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
+                                 F.col("root").alias(f"root_{x}"))
     rest = (side("a").join(side("b"), "h")
             .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
             .select("a", "b").distinct())
-    rest = written(_possible(rest, nodes).join(chosen, ["a", "b"], "left_anti"), "pairs")
-    more = _sets_of(_nodes_of(rest).join(sets.select("node"), "node", "left_anti"), texts, nodes, order)
-    roots = components(first.union(_linked(rest, sets.union(more))))
+    roots = settle(written(_possible(rest, nodes), "pairs"))
 
     named = described.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "content")
