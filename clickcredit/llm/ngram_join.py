@@ -35,7 +35,7 @@ from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 NGRAM = 5
 CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
 LEADERS = 3
-ROUNDS = 3
+ROUNDS = 2
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
 
