@@ -85,7 +85,7 @@ def visitor_sessions(enriched: DataFrame, *, attribution: str = "last", strict:
     rows = contributing_rows(enriched, session_keys)
     grouped = rows.groupBy(*session_keys).agg(
         _pick(F.when(is_touch, _touch_value(order_by)), attribution).alias("_touch"),
-        F.sum(F.when(is_buy, F.col("revenue"))).cast(REVENUE_TYPE).alias("revenue"),
+        F.try_sum(F.when(is_buy, F.col("revenue"))).cast(REVENUE_TYPE).alias("revenue"),
         F.count(F.when(is_buy, F.lit(1))).alias("n_purchases"),
     )
     grouped = grouped.where(F.col("_touch").isNotNull() | F.col("revenue").isNotNull())
@@ -140,7 +140,7 @@ def keyword_revenue_exact(enriched: DataFrame, *, attribution: str = "last", str
         enriched, attribution=attribution, strict=strict, order_by=order_by,
         session_keys=session_keys))
     return sessions.groupBy(*report_by, "domain", "keyword").agg(
-        F.sum("revenue").cast(REVENUE_TYPE).alias("revenue"))
+        F.try_sum("revenue").cast(REVENUE_TYPE).alias("revenue"))
 
 
 def keyword_revenue(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
@@ -220,7 +220,7 @@ def keyword_revenue_join(enriched: DataFrame, *, attribution: str = "last", stri
                                 salt_source=salt_source)
     return (rows.where(F.col("domain").isNotNull() & F.col("keyword").isNotNull())
             .groupBy("domain", "keyword")
-            .agg(F.sum("revenue").cast(REVENUE_TYPE).cast("double").alias("revenue")))
+            .agg(F.try_sum("revenue").cast(REVENUE_TYPE).cast("double").alias("revenue")))
 
 
 def session_counts(enriched: DataFrame, *, strict: bool = True,

@@ -67,9 +67,7 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
         _blank_to_default(opt("bucket"), bucket).alias("bucket"),
         _blank_to_default(opt("content_type"), content_type).alias("content_type"),
         iso_utc("file_ts").alias("file_datetime"),
-        F.coalesce(opt("error_message"),
-                   F.when(F.col("file_status") == STATUS_FAILED, F.lit("processing failed")))
-         .alias("error_message"),
+        F.nullif(opt("error_message"), F.lit("")).alias("error_message"),
     )
     payload = F.to_json(F.struct(
         "file_date", "file_key", "bucket", "content_type", "event_type", "file_datetime",
@@ -107,7 +105,9 @@ def latest_file_status(log: DataFrame, *, keys: Sequence[str] = ("file_date", "f
     ``max(struct(order..., carried...))`` combines map-side, so a file with a
     huge event history never lands in one task as a whole.
     """
-    latest = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)],
+    # Among events of one time and sequence, a file is received before it is done.
+    done = (F.col("file_status") != STATUS_RECEIVED).alias("_done")
+    latest = F.max(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)], done,
                             *[F.col(c) for c in carry]))
     agg = log.groupBy(*keys).agg(latest.alias("_l"), F.count(F.lit(1)).alias("n_events"))
     return agg.select(*keys, *[F.col(f"_l.{c}").alias(c) for c in carry], "n_events")

@@ -17,14 +17,14 @@ def report_summary(report_exact: DataFrame) -> DataFrame:
     """
     return report_exact.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.coalesce(F.sum("revenue"), F.lit(0)).cast("double").alias("total_revenue"),
+        F.coalesce(F.try_sum("revenue"), F.lit(0)).cast("double").alias("total_revenue"),
         F.count_distinct("domain").alias("unique_domains"),
         F.count_distinct("keyword").alias("unique_keywords"),
     )
 
 
 def _totals(report_exact: DataFrame, key: str) -> DataFrame:
-    return report_exact.groupBy(key).agg(F.sum("revenue").cast("double").alias("revenue"))
+    return report_exact.groupBy(key).agg(F.try_sum("revenue").cast("double").alias("revenue"))
 
 
 def domain_revenue(report_exact: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def report_rollup(report_exact: DataFrame) -> DataFrame:
     keyword in the data cannot be mistaken for a rolled-up row).
     """
     g = report_exact.groupingSets([["domain"], ["keyword"], []], "domain", "keyword").agg(
-        F.sum("revenue").cast("double").alias("revenue"), F.grouping_id().alias("_g"))
+        F.try_sum("revenue").cast("double").alias("revenue"), F.grouping_id().alias("_g"))
     level = (F.when(F.col("_g") == 1, "domain").when(F.col("_g") == 2, "keyword")
              .otherwise("total"))
     name = F.when(F.col("_g") == 1, F.col("domain")).when(F.col("_g") == 2, F.col("keyword"))

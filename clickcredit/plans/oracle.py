@@ -244,7 +244,7 @@ status AS (
       AS event_type,
     '{DEFAULT_BUCKET}' AS bucket, '{DEFAULT_CONTENT_TYPE}' AS content_type,
     {iso_utc('file_ts')} AS file_datetime, file_ts,
-    CASE WHEN file_status = 'FAILED' THEN 'processing failed' END AS error_message
+    CAST(NULL AS VARCHAR) AS error_message
   FROM manifest2
 )"""
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 # Settings a local or test session needs. Applied only where unset.
@@ -33,12 +34,14 @@ def get_session(master: str | None = None, app_name: str = "clickcredit",
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
+    SparkContext._ensure_initialized()  # so that SparkConf sees what spark-submit was given
+    submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
-    builder = builder.master(master or os.environ.get("CLICKCREDIT_MASTER", "local[8]"))
-    conf = dict(_LOCAL_DEFAULTS)
-    conf.update(extra or {})
-    for key, value in conf.items():
-        builder = builder.config(key, value)
+    if master or not submitted.contains("spark.master"):
+        builder = builder.master(master or os.environ.get("CLICKCREDIT_MASTER", "local[8]"))
+    for key, value in {**_LOCAL_DEFAULTS, **(extra or {})}.items():
+        if not submitted.contains(key):
+            builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
@@ -54,6 +57,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = f"/tmp/clickcredit-checkpoints-{uuid.uuid4().hex[:8]}"
         spark.conf.set("spark.checkpoint.dir", root)

@@ -22,7 +22,8 @@ def write_hits_tsv(hits: DataFrame, path: str, *, file_key: Column | None = None
     elif n_files:
         out = out.repartition(n_files)
     writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
-              .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("lineSep", "\n"))
+              .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("lineSep", "\n")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if file_key is not None:
         writer = writer.partitionBy("file_key")
     writer.csv(path)

@@ -53,7 +53,8 @@ def write_report(report_exact: DataFrame, path: str, *, single_file: bool = True
     if single_file:
         out = out.coalesce(1)
     writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
-              .option("lineSep", "\n"))
+              .option("lineSep", "\n")
+              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
@@ -63,16 +64,9 @@ def write_partitioned_report(report_exact: DataFrame, root: str, run_date: str,
                              source_name: str) -> None:
     """Write under ``root/year=Y/month=M/date=D/source_name=S``, replacing only that partition.
 
-    Rows are sorted within the writer task by the partition columns first and
-    then by revenue: that satisfies the ordering the partitioned writer needs,
-    so it adds no sort of its own that could reorder rows inside the file.
+    The folder itself is written, so an empty report leaves a header-only file and
+    replaces an earlier report.
     """
-    keys = ["year", "month", "date", "source_name"]
-    d, k, r = REPORT_HEADER
-    out = (partition_columns(report_exact, run_date, F.lit(source_name)).coalesce(1)
-           .sortWithinPartitions(*keys, F.col("revenue").desc(), "domain", "keyword")
-           .select(*keys, F.col("domain").alias(d), F.col("keyword").alias(k),
-                   revenue_text(F.col("revenue")).alias(r)))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*keys)
-     .option("sep", "\t").option("header", True).option("lineSep", "\n").csv(root))
+    year, month, day = run_date.split("-")
+    write_report(report_exact, f"{root.rstrip('/')}/year={year}/month={month}/date={day}"
+                               f"/source_name={source_name}")

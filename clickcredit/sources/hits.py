@@ -7,19 +7,19 @@ from pyspark.sql import functions as F
 
 from ..functions.sqltext import rx
 from ..schema import HIT_COLUMNS, HIT_SCHEMA
-from .tables import read_table, spread_if_few_splits
+from .tables import read_table
 
 
 def read_hits(spark: SparkSession, path: str | list[str], *, multiline: bool = False,
-              with_source: bool = True, spread: bool = True) -> DataFrame:
+              with_source: bool = True) -> DataFrame:
     """Scan hit files: header row, tab-separated, explicit schema.
 
     ``enforceSchema=false`` makes a header that does not match the schema an
     error instead of silently shifting columns. Short rows become nulls
     (PERMISSIVE). ``multiLine`` allows quoted newlines but stops file
     splitting, so it is off by default. ``source_file`` scopes sessions to one
-    file when a whole folder is read. ``spread`` deals a few-split input over
-    all cores (see ``sources.tables.spread_if_few_splits``).
+    file when a whole folder is read. Split sizes are the session's
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitionNum``).
     """
     reader = (spark.read.schema(HIT_SCHEMA)
               .option("header", True)
@@ -31,7 +31,7 @@ def read_hits(spark: SparkSession, path: str | list[str], *, multiline: bool = F
     df = reader.csv(path)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
-    return spread_if_few_splits(df) if spread else df
+    return df
 
 
 # props holds one flat object like {"k": 69}; reading the number by pattern
@@ -92,9 +92,8 @@ def hits_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def load_event_hits(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
-    return hits_from_events(spread_if_few_splits(events) if spread else events)
+def load_event_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits_from_events(read_table(spark, sf_dir, "events"))
 
 
 __all__ = ["HIT_COLUMNS", "hits_from_events", "load_event_hits", "read_hits"]

@@ -23,22 +23,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     schema = TABLE_SCHEMAS.get(name)
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
-
-
-def spread_if_few_splits(df: DataFrame, min_splits: int | None = None) -> DataFrame:
-    """Spread an input that arrives in fewer splits than the cluster has cores.
-
-    A parquet row group or a small file is read by one task, and everything up
-    to the first shuffle (parsing every URL) would run on one core. When the
-    scan has fewer partitions than ``min_splits`` (default: the default
-    parallelism) the rows are dealt round-robin to twice that many partitions.
-    A large input already has far more splits than that and is returned
-    unchanged, so at scale this never adds a shuffle. Spark sorts rows before
-    a round-robin repartition, so a retried task deals them out the same way.
-    """
-    try:
-        target = min_splits or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave as is
-        return df
-    return df if splits >= target else df.repartition(2 * target)

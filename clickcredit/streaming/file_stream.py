@@ -18,7 +18,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -33,12 +33,18 @@ from ..sinks.eventlog import append_file_events
 REPORT_KEYS = ("source_file",)
 
 
+def source_id(path: Column) -> Column:
+    """Partition value of a file: names repeat across folders, paths don't."""
+    return F.sha2(path, 256)
+
+
 def hit_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
     return (spark.readStream.schema(HIT_SCHEMA)
             .option("header", True).option("sep", "\t")
             .option("enforceSchema", False).option("mode", "PERMISSIVE")
             .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
             .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFileAge", "36500d")  # late files with old times count too
             .csv(input_dir)
             .withColumn("source_file", F.col("_metadata.file_path")))
 
@@ -52,7 +58,7 @@ def per_file_report(hits: DataFrame, *, site: str = DEFAULT_SITE, attribution: s
     return rep.withColumns({
         "source_name": F.substring_index(F.col("source_file"), "/", -1),
         # File names repeat across date folders; the partition key is the whole path.
-        "source_id": F.substring(F.sha2(F.col("source_file"), 256), 1, 32),
+        "source_id": source_id(F.col("source_file")),
     })
 
 
@@ -66,7 +72,7 @@ def file_completions(batch: DataFrame, output_dir: str, run_ts: dt.datetime) ->
         F.lit(EVENT_SPARK).alias("event_type"),
         "record_count",
         F.concat(F.lit(output_dir.rstrip("/") + "/source_id="),
-                 F.substring(F.sha2(F.col("source_file"), 256), 1, 32)).alias("output_location"),
+                 source_id(F.col("source_file"))).alias("output_location"),
         run.alias("file_ts"),
         F.lit(None).cast("long").alias("file_size"),
         F.lit(None).cast("double").alias("file_size_gb"),

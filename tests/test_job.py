@@ -71,3 +71,23 @@ def test_report_job_on_a_folder_keeps_sessions_per_file(spark, tmp_dir):
     assert os.path.isdir(res.output_location)
     # per file: original gives Ipod 290 / Zune 250 / ipod 190, test gives Ipod 500 / ipod 75 / Zune 50
     assert res.top_keywords == [("Ipod", 790.0), ("Zune", 300.0), ("ipod", 265.0)]
+
+
+def test_input_without_credit_gives_a_header_only_report(spark, tmp_dir):
+    import glob
+
+    from clickcredit.schema import HIT_COLUMNS
+    lines = {
+        "nothing": [],
+        "buyer_without_touch": ["1\t2009-09-27 06:34:40\tua\t1.1.1.1\t1\tc\tr\tUS\tp\thttp://s/\tE;I;1;10;\t"],
+    }
+    out, log = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "log")
+    for rows in lines.values():
+        path = os.path.join(tmp_dir, "hits.tsv")
+        with open(path, "w") as f:
+            f.write("\n".join(["\t".join(HIT_COLUMNS), *rows]) + "\n")
+        res = run_report_job(spark, path, out, log, run_ts=dt.datetime(2026, 3, 6))
+        assert res.record_count == len(rows)
+        (part,) = glob.glob(os.path.join(res.output_location, "part-*.csv"))
+        with open(part) as f:
+            assert len(f.read().splitlines()) == 1

@@ -15,7 +15,7 @@ def _plan(df) -> str:
 
 
 def test_flagship_plan_shape(spark):
-    df = keyword_revenue(enrich_hits(load_event_hits(spark, SF, spread=False)), order_by=ORDER)
+    df = keyword_revenue(enrich_hits(load_event_hits(spark, SF)), order_by=ORDER)
     plan = _plan(df)
     # no Python worker anywhere
     for op in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF"):
@@ -25,7 +25,7 @@ def test_flagship_plan_shape(spark):
     assert plan.count("Exchange rangepartitioning") == 1
     assert "Join" not in plan
     # map-side partial aggregation on both group-bys
-    assert "partial_max" in plan and "partial_sum" in plan
+    assert "partial_max" in plan and "partial_try_sum" in plan
     # only the needed columns are read (value is needed for the price text)
     scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in scan
@@ -34,7 +34,7 @@ def test_flagship_plan_shape(spark):
 def test_cheap_prefilter_reaches_scan(spark, tmp_dir):
     import os
     path = os.path.join(tmp_dir, "hits.parquet")
-    load_event_hits(spark, SF, spread=False).write.parquet(path)
+    load_event_hits(spark, SF).write.parquet(path)
     df = keyword_revenue(enrich_hits(spark.read.parquet(path)))
     scan = [line for line in _plan(df).splitlines() if "FileScan parquet" in line][0]
     assert "PushedFilters: [IsNotNull(ip), Or(StringContains(referrer,?),EqualTo(event_list,1))]" in scan
@@ -43,7 +43,7 @@ def test_cheap_prefilter_reaches_scan(spark, tmp_dir):
 
 
 def test_join_form_plan_has_one_join(spark):
-    df = keyword_revenue_join(enrich_hits(load_event_hits(spark, SF, spread=False)), order_by=ORDER)
+    df = keyword_revenue_join(enrich_hits(load_event_hits(spark, SF)), order_by=ORDER)
     plan = _plan(df)
     assert plan.count("Join") >= 1
     assert "BatchEvalPython" not in plan
@@ -51,7 +51,7 @@ def test_join_form_plan_has_one_join(spark):
 
 def test_flag_filters_do_not_inline_url_rules(spark):
     from clickcredit.operators.enrich import purchase_hits, search_hits
-    e = enrich_hits(load_event_hits(spark, SF, spread=False))
+    e = enrich_hits(load_event_hits(spark, SF))
     for df in (search_hits(e), purchase_hits(e)):
         plan = _plan(df)
         filters = [line for line in plan.splitlines() if "Filter" in line]
@@ -64,30 +64,15 @@ def test_flag_filters_do_not_inline_url_rules(spark):
 def test_enrichment_rules_support_codegen(spark):
     # No rule forces interpreted evaluation (arrays + lambdas would).
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
-    plan = _plan(enrich_hits(load_event_hits(spark, SF, spread=False)))
+    plan = _plan(enrich_hits(load_event_hits(spark, SF)))
     projects = [line for line in plan.splitlines() if "Project [" in line]
     assert projects and all(line.lstrip(" +-:").startswith("*(") for line in projects), projects
 
 
-def test_spreading_only_for_few_splits(spark, tmp_dir):
-    import os
-
-    from clickcredit.sources.tables import spread_if_few_splits
-    one = spark.range(1000).coalesce(1)
-    assert spread_if_few_splits(one, 8).rdd.getNumPartitions() == 16
-    path = os.path.join(tmp_dir, "many")
-    spark.range(100000).repartition(12).write.parquet(path)
-    many = spark.read.option("maxPartitionBytes", 4096).parquet(path)
-    splits = many.rdd.getNumPartitions()
-    assert splits > 1
-    assert "RoundRobinPartitioning" not in _plan(spread_if_few_splits(many, splits))
-    assert "RoundRobinPartitioning" in _plan(spread_if_few_splits(many, splits + 1))
-
-
 def test_join_form_pushes_both_sides_to_the_scan(spark, tmp_dir):
     import os
     path = os.path.join(tmp_dir, "hits.parquet")
-    load_event_hits(spark, SF, spread=False).write.parquet(path)
+    load_event_hits(spark, SF).write.parquet(path)
     plan = _plan(keyword_revenue_join(enrich_hits(spark.read.parquet(path))))
     scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
     assert len(scans) == 2
@@ -112,7 +97,7 @@ def test_landing_root_prunes_partitions(spark, tmp_dir):
         folder = os.path.join(tmp_dir, "landing", "year=2026", "month=3", f"day={day}")
         os.makedirs(folder)
         write_sample(folder, variant)
-    hits = read_hits(spark, os.path.join(tmp_dir, "landing"), spread=False).where("day = 6")
+    hits = read_hits(spark, os.path.join(tmp_dir, "landing")).where("day = 6")
     scan = [line for line in _plan(hits).splitlines() if "FileScan csv" in line][0]
     assert "PartitionFilters: [isnotnull(day" in scan and "(day#" in scan
     files = {r.source_file.split("/")[-1] for r in hits.select("source_file").distinct().collect()}

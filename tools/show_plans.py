@@ -58,11 +58,11 @@ def main() -> None:
 
     spark = get_session()
     pq, tsv = scratch_path(spark, "plans-parquet"), scratch_path(spark, "plans-tsv")
-    hits = load_event_hits(spark, args.sf_dir, spread=False)
+    hits = load_event_hits(spark, args.sf_dir)
     hits.write.parquet(pq)
     write_hits_tsv(hits, tsv)
     hp = enrich_hits(spark.read.parquet(pq))
-    ht = enrich_hits(read_hits(spark, tsv, spread=False))
+    ht = enrich_hits(read_hits(spark, tsv))
     sections = [
         ("keyword_revenue, parquet hits (session form, the default)", A.keyword_revenue(hp)),
         ("keyword_revenue, TSV hits, sessions per file", A.keyword_revenue(ht, session_keys=("source_file", "ip"))),
