@@ -99,14 +99,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _regress(rows: list, ratios: np.ndarray, steps: int = 40, rate: float = 0.05,
              ridge: float = 1e-4) -> tuple[np.ndarray, float]:
     """Logistic regression by full-batch Adam over the scaled features; deterministic."""
-    found = [np.frombuffer(r["cells"], np.int32) for r in rows]
     y = np.array([r["toxic"] for r in rows], np.float64)
-    ends = np.cumsum([len(f) for f in found])
-    cell = np.concatenate(found) if len(found) else np.zeros(0, np.int32)
-    x = ratios[cell].astype(np.float32)
-    owner = np.repeat(np.arange(len(y), dtype=np.int32), [len(f) for f in found])
-    norm = np.sqrt(np.bincount(owner, weights=x.astype(np.float64) ** 2, minlength=len(y)).mean()) or 1.0
-    x /= np.float32(norm)
+    blocks = []  # of documents: (first, end, start of each, cells, scaled values)
+    for k in range(0, len(rows), 128):
+        found = [np.frombuffer(r["cells"], np.int32) for r in rows[k:k + 128]]
+        cell = np.concatenate(found)
+        blocks.append((k, k + len(found), np.repeat(np.arange(len(found), dtype=np.int32), [len(f) for f in found]),
+                       cell, ratios[cell].astype(np.float32)))
+    rows.clear()
+    norm = float(np.sqrt(sum(float(np.dot(b[-1], b[-1])) for b in blocks) / len(y))) or 1.0
     share = y.mean()
     bias = float(np.log(share / (1 - share)))
     weight = np.where(y == 1, 0.7 + 0.3 * (1 - share) / share, 1.0)
@@ -114,14 +115,16 @@ def _regress(rows: list, ratios: np.ndarray, steps: int = 40, rate: float = 0.05
     w = np.zeros(CELLS)
     first, second = np.zeros(CELLS), np.zeros(CELLS)
     for step in range(1, steps + 1):
-        z = np.bincount(owner, weights=x * w.astype(np.float32)[cell], minlength=len(y)) + bias
-        error = (1 / (1 + np.exp(-z)) - y) * weight
-        slope = np.bincount(cell, weights=x * error.astype(np.float32)[owner], minlength=CELLS) + ridge * w
+        slope, total = ridge * w, 0.0
+        for lo, hi, owner, cell, x in blocks:
+            z = np.bincount(owner, weights=x * w[cell], minlength=hi - lo) / norm + bias
+            error = (1 / (1 + np.exp(-z)) - y[lo:hi]) * weight[lo:hi]
+            slope += np.bincount(cell, weights=x * error[owner], minlength=CELLS) / norm
+            total += float(error.sum())
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope * slope
         w -= rate * (first / (1 - 0.9 ** step)) / (np.sqrt(second / (1 - 0.99 ** step)) + 1e-9)
-        bias -= float(error.sum())
-    assert ends.size == len(y)
+        bias -= total
     return w / norm, bias
 
 

@@ -3,7 +3,7 @@
 A word is a run of bytes other than 0x20 and 0x09-0x0D. That rule reads bytes, so
 it is safe on UTF-8. Null texts count as empty. All work is on flat numpy arrays;
 a batch is cut into slices of whole documents so that temporary arrays stay at a
-few tens of MB however large the Arrow batch is.
+few MB however large the Arrow batch is.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
