@@ -10,8 +10,9 @@ Sets, not documents, are joined: equal sets share a node (64 bits of the set's h
 copies add no pairs. In a group of sets that share an n-gram, each set is first compared
 with a few leaders only; groups of near copies thereby fall into one component. Then all
 remaining pairs of a group that lie in different components are compared, none left out.
-Two lossless tests drop pairs before their sets are moved: the sizes' ratio, and the parity bitmaps, whose
-Hamming distance never exceeds the size of the symmetric difference.
+Two lossless tests drop pairs before their sets are moved: the sizes' ratio, and parity
+bitmaps, whose Hamming distance never exceeds the size of the symmetric difference. The join
+that makes all remaining pairs tests the sizes and a bitmap of fixed size itself.
 
 Defined results: A-Z are lower-cased; a text of one to four words is one n-gram; a null
 or empty text, or one of white space, has an empty set, n_shingles 0 and its own id as
@@ -36,6 +37,7 @@ NGRAM = 5
 CELL_BITS = 18  # cells of the n-gram counts; fixed, so their total is bounded
 LEADERS = 3
 ROUNDS = 2
+CELL_WORDS = 16  # longs of the bitmap of fixed size that the last join tests
 SEGMENT_BITS = 2  # fragments for each of the rare and the frequent n-grams
 
 
@@ -77,6 +79,13 @@ def _bitmap(s: np.ndarray) -> bytes:
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
 
+def _small_bitmap(s: np.ndarray) -> list[int]:
+    """Parity of the set's members in each of CELL_WORDS * 64 cells."""
+    cells = CELL_WORDS * 64
+    parity = np.bincount((s & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64).tolist()
+
+
 def _may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows whose bitmaps differ in no more cells than the sets may in members."""
     for batch in batches:
@@ -126,17 +135,19 @@ def _count_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, n, node, bitmap) of each row."""
+    """(doc_id, content, n, node, bitmap, cells) of each row."""
     for batch in batches:
-        n, node, bitmap = [], [], []
+        n, node, bitmap, cells = [], [], [], []
         for _, s in _sets(batch):
             n.append(len(s))
             node.append(_node(s) if len(s) else None)
             bitmap.append(_bitmap(s) if len(s) else None)
+            cells.append(_small_bitmap(s) if len(s) else None)
         yield pa.record_batch({"doc_id": batch["doc_id"], "content": batch["content"],
                                "n": pa.array(n, pa.int64()),
                                "node": pa.array(node, pa.int64()),
-                               "bitmap": pa.array(bitmap, pa.binary())})
+                               "bitmap": pa.array(bitmap, pa.binary()),
+                               "cells": pa.array(cells, pa.list_(pa.int64()))})
 
 
 def _prefixes(order: _Order):
@@ -225,10 +236,11 @@ def _links(texts: DataFrame) -> DataFrame:
     order = _Order(counts)
 
     described = written(texts.withColumn("content", F.xxhash64("text")).mapInArrow(
-        _describe, "doc_id long, content long, n long, node long, bitmap binary"), "sets")
+        _describe, "doc_id long, content long, n long, node long, bitmap binary, cells array<long>"), "sets")
     # First row of a node: any holds the same set.
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"))
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"),
+        F.first("cells").alias("cells"))
 
     prefixes = texts.mapInArrow(_prefixes(order), "h long, node long")
     keys = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
@@ -279,12 +291,15 @@ def _links(texts: DataFrame) -> DataFrame:
         roots = settle(written(chosen, "pairs"))
         placed = shared.join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
 
-    # All pairs of a group that are in different components by now.
-    rows = open_groups().join(sized, "node")
+    # All pairs of a group that are in different components by now. Sizes and the bitmaps of
+    # fixed size are tested in the join itself, so that pairs they rule out are never rows.
+    rows = open_groups().join(nodes.select("node", "n", "cells"), "node")
     side = lambda x: rows.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                                 F.col("root").alias(f"root_{x}"))
+                                 F.col("root").alias(f"root_{x}"), F.col("cells").alias(f"cells_{x}"))
+    differ = " + ".join(f"bit_count(cells_a[{k}] ^ cells_b[{k}])" for k in range(CELL_WORDS))
     rest = (side("a").join(side("b"), "h")
-            .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)")
+            .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
+                   f" AND 9 * ({differ}) <= n_a + n_b")
             .select("a", "b").distinct())
     roots = settle(written(_possible(rest, nodes), "pairs"))
 
