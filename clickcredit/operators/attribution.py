@@ -7,9 +7,8 @@ Two forms compute the same report:
   and sums purchase revenue in the same pass; a second ``groupBy`` sums per
   (domain, keyword). Both aggregations combine map-side, so a visitor holding
   a third of all hits costs one partial row per map task, never one giant group.
-* **join form** (the original job's shape): touches joined to purchase rows.
-  Each touch side has one row per visitor; a hot visitor on the purchase side
-  is spread over ``salt_buckets`` reducers and further split by AQE skew-join.
+* **join form** (the original job's shape): touches joined to purchases, which are
+  summed per visitor first, so both sides have one row per visitor.
 
 Attribution policy (which search hit wins per visitor) is explicit:
 ``last`` (default) or ``first`` by ``order_by`` then domain, keyword, which makes
@@ -208,16 +207,17 @@ def attributed_purchases(touch: DataFrame, purchases: DataFrame, *,
 
 def keyword_revenue_join(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
                          order_by: Sequence[str] = ("hit_time_gmt",),
-                         session_keys: Sequence[str] = ("ip",), salt_buckets: int = 1,
-                         salt_source: Sequence[str] | None = None) -> DataFrame:
-    """Join form of :func:`keyword_revenue` (touches x purchase rows, then sum)."""
+                         session_keys: Sequence[str] = ("ip",)) -> DataFrame:
+    """Join form of :func:`keyword_revenue`: touches joined to revenue, one row per visitor each.
+
+    Purchases are summed per visitor before the join (combined map-side), so a hot
+    visitor is one partial row per task and the join is one to one.
+    """
     t = touches(enriched, attribution=attribution, strict=strict, order_by=order_by,
                 session_keys=session_keys)
-    p = purchase_hits(enriched)
-    ident = list(salt_source) if salt_source else [c for c in order_by if c not in session_keys]
-    rows = attributed_purchases(t, p.select(*session_keys, *ident, "product_list", "revenue"),
-                                session_keys=session_keys, salt_buckets=salt_buckets,
-                                salt_source=salt_source)
+    spent = (purchase_hits(enriched).where(_keys_present(session_keys)).groupBy(*session_keys)
+             .agg(F.try_sum("revenue").cast(REVENUE_TYPE).alias("revenue")))
+    rows = t.join(spent, list(session_keys))
     return (rows.where(F.col("domain").isNotNull() & F.col("keyword").isNotNull())
             .groupBy("domain", "keyword")
             .agg(F.try_sum("revenue").cast(REVENUE_TYPE).cast("double").alias("revenue")))

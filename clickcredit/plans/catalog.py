@@ -142,16 +142,14 @@ def q_purchase_sessions(spark, sf):
 
 def q_attribution_join(spark, sf):
     e = _enriched(spark, sf)
-    j = A.attribution_join(A.touches(e, order_by=ORDER), A.purchase_sessions(purchase_hits(e)),
-                           salt_buckets=4)
+    j = A.attribution_join(A.touches(e, order_by=ORDER), A.purchase_sessions(purchase_hits(e)))
     return j.select("ip", "domain", "keyword", _dbl("amount"), "n")
 
 
 def q_attributed_purchases(spark, sf):
     e = _enriched(spark, sf)
     rows = A.attributed_purchases(A.touches(e, order_by=ORDER),
-                                  purchase_hits(e).select("hit_id", "ip", "revenue"),
-                                  salt_buckets=4)
+                                  purchase_hits(e).select("hit_id", "ip", "revenue"))
     return rows.select("hit_id", "ip", "domain", "keyword", _dbl("revenue"))
 
 
@@ -183,7 +181,7 @@ def q_keyword_revenue_lax(spark, sf):
 
 
 def q_keyword_revenue_join(spark, sf):
-    return A.keyword_revenue_join(_enriched(spark, sf), order_by=ORDER, salt_buckets=4)
+    return A.keyword_revenue_join(_enriched(spark, sf), order_by=ORDER)
 
 
 def q_session_counts(spark, sf):

@@ -1,13 +1,14 @@
 """Registered queries that go through files: scan, sinks, status log, stream.
 
 Each one writes data Spark derives from the driver tables into a fresh folder
-under the shared checkpoint root, then reads it back; the result is checked by
-row count (there is no SQL form of "what the writer produced").
+under the shared checkpoint root, then reads it back. Columns that hold the folder's random
+name are left out or cut to the day, so that SQL over the tables gives the same rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 from ..sinks.eventlog import append_file_events, read_file_events
@@ -22,7 +23,9 @@ def q_hits_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Event-derived hits written as landing files (TSV with header), scanned back."""
     path = scratch_path(spark, "hits-tsv")
     write_hits_tsv(load_event_hits(spark, sf), path)
-    return read_hits(spark, path)
+    return read_hits(spark, path).select(
+        "hit_time_gmt", F.substring(F.col("date_time").cast("string"), 1, 19).alias("date_time"), "ip",
+        "event_list", "pagename", "product_list", "referrer")
 
 
 def q_write_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -36,7 +39,9 @@ def q_file_event_log(spark: SparkSession, sf: str) -> DataFrame:
     """Status events appended to the log (partitioned by month), read back."""
     path = scratch_path(spark, "file-events")
     append_file_events(orders_status_events(spark, sf), path)
-    return read_file_events(spark, path)
+    return read_file_events(spark, path).select(
+        "event_seq", "file_date", "file_key", "file_status", "event_type", "bucket", "content_type",
+        "file_datetime", "error_message")
 
 
 def q_stream_keyword_revenue(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,7 +51,9 @@ def q_stream_keyword_revenue(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "stream-out")
     query = start_report_stream(spark, landing + "/*", out, max_files_per_trigger=8)
     query.awaitTermination()
-    return read_stream_output(spark, out)
+    return read_stream_output(spark, out).select(
+        F.regexp_extract("source_file", "file_key=([0-9-]+)", 1).alias("day"), "domain", "keyword",
+        F.col("revenue").cast("double").alias("revenue"))
 
 
 IO_QUERIES = {

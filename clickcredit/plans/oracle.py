@@ -392,4 +392,23 @@ WHERE file_key IS NULL OR file_key = '' OR file_status IS NULL OR file_status =
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY file_ts DESC, event_seq DESC) AS rn,
                     count(*) OVER (PARTITION BY file_key) AS n_events FROM log)
 SELECT file_key, file_status, event_type, file_datetime, n_events FROM ranked WHERE rn = 1"""
+    # Queries that go through files: a blank field of a written hit reads back as null.
+    q["hits_scan"] = f"""{with_(HITS_CTE)}
+SELECT CAST(floor(epoch(h.ts)) AS BIGINT) AS hit_time_gmt, strftime(h.ts, '%Y-%m-%d %H:%M:%S') AS date_time,
+       h.ip, nullif(h.event_list, '') AS event_list, e.event_type AS pagename, h.product_list, h.referrer
+FROM hits h JOIN events e ON e.event_id = h.hit_id"""
+    q["write_report"] = q["report_text"]
+    q["file_event_log"] = (f"{files} SELECT event_seq, file_date, file_key, file_status, event_type, bucket, "
+                           f"content_type, file_datetime, error_message FROM status")
+    q["stream_keyword_revenue"] = f"""{with_(HITS_CTE, enriched_cte())}
+, daily AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM enriched WHERE ip IS NOT NULL)
+, touch AS (
+  SELECT day, ip, domain, search_keyword AS keyword,
+         row_number() OVER (PARTITION BY day, ip ORDER BY floor(epoch(ts)) DESC, domain DESC,
+                            search_keyword DESC) AS rn
+  FROM daily WHERE is_search_referral)
+, spent AS (SELECT day, ip, sum(revenue) AS revenue FROM daily WHERE is_purchase AND revenue > 0
+            GROUP BY day, ip)
+SELECT day, domain, keyword, CAST(sum(revenue) AS DOUBLE) AS revenue
+FROM touch JOIN spent USING (day, ip) WHERE rn = 1 GROUP BY day, domain, keyword"""
     return q

@@ -16,13 +16,16 @@ def write_hits_tsv(hits: DataFrame, path: str, *, file_key: Column | None = None
     file: rows are clustered by the key before the partitioned write (one
     writer task per key) regardless of how the input was partitioned.
     """
-    out = hits.select(*HIT_COLUMNS, *([file_key.alias("file_key")] if file_key is not None else []))
+    # Times as text: the CSV writer's format option does not reach zone-less timestamps.
+    columns = [F.substring(F.col(c).cast("string"), 1, 19).alias(c) if c == "date_time" else F.col(c)
+               for c in HIT_COLUMNS]
+    out = hits.select(*columns, *([file_key.alias("file_key")] if file_key is not None else []))
     if file_key is not None:
         out = out.repartition("file_key")
     elif n_files:
         out = out.repartition(n_files)
     writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
-              .option("timestampFormat", "yyyy-MM-dd HH:mm:ss").option("lineSep", "\n")
+              .option("lineSep", "\n")
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if file_key is not None:
         writer = writer.partitionBy("file_key")

@@ -22,7 +22,7 @@ def test_cli_route_and_report(spark, tmp_dir, capsys):
     assert main(["report", src, os.path.join(tmp_dir, "tgt"), log, "--run-ts", "2026-03-06T12:05:00Z",
                  "--case-sensitive"]) == 0
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert out["record_count"] == 21
+    assert out["record_count"] == 12
     assert out["top_keywords"] == [["Ipod", 290.0], ["Zune", 250.0], ["ipod", 190.0]]
 
 

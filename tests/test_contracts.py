@@ -189,7 +189,7 @@ def test_join_form_equals_session_form_with_hot_visitor(spark, tmp_dir):
     rows += [touch(f"v{i}", B + f"w{i % 5}", 1) for i in range(40)] + [buy(f"v{i}", i + 1, t=5) for i in range(40)]
     hits = enrich_hits(read_hits(spark, write_hits(tmp_dir, rows)))
     a = sorted(keyword_revenue(hits).collect())
-    b = sorted(keyword_revenue_join(hits, salt_buckets=8).collect())
+    b = sorted(keyword_revenue_join(hits).collect())
     assert a == b
 
 

@@ -47,7 +47,7 @@ def test_case_kept_report(spark, tmp_dir, variant):
 def test_forms_agree_on_samples(spark, tmp_dir, attribution):
     hits = enrich_hits(read_hits(spark, write_sample(tmp_dir, "quantity")))
     a = sorted(_rows(keyword_revenue(hits, attribution=attribution)))
-    b = sorted(_rows(keyword_revenue_join(hits, attribution=attribution, salt_buckets=3)))
+    b = sorted(_rows(keyword_revenue_join(hits, attribution=attribution)))
     assert a == b
 
 

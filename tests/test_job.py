@@ -22,7 +22,7 @@ def test_report_job_writes_report_summary_and_log(spark, tmp_dir):
     src = write_sample(landing, "original")
     out, log = os.path.join(tmp_dir, "tgt"), os.path.join(tmp_dir, "log")
     res = run_report_job(spark, src, out, log, run_ts=RUN, case_sensitive=True)
-    assert res.record_count == 21
+    assert res.record_count == 12
     assert res.summary == {"total_records": 3, "total_revenue": 730.0, "unique_domains": 2,
                            "unique_keywords": 3}
     assert res.top_domains == [("google.com", 480.0), ("bing.com", 250.0)]
@@ -33,7 +33,7 @@ def test_report_job_writes_report_summary_and_log(spark, tmp_dir):
         "bing.com\tZune\t250.00", "google.com\tipod\t190.00"]
     events = read_file_events(spark, log).collect()
     assert [(e.file_status, e.record_count, e.file_date, e.event_type) for e in events] == [
-        ("COMPLETE", 21, "2026-03-05", "SPARK")]
+        ("COMPLETE", 12, "2026-03-05", "SPARK")]
 
 
 def test_report_job_logs_failure(spark, tmp_dir):
@@ -66,7 +66,7 @@ def test_report_job_on_a_folder_keeps_sessions_per_file(spark, tmp_dir):
     write_sample(landing, "test")
     res = run_report_job(spark, landing, os.path.join(tmp_dir, "tgt"), os.path.join(tmp_dir, "log"),
                          run_ts=RUN, case_sensitive=True)
-    assert res.record_count == 42
+    assert res.record_count == 24
     assert res.output_location.endswith("source_name=day_5")
     assert os.path.isdir(res.output_location)
     # per file: original gives Ipod 290 / Zune 250 / ipod 190, test gives Ipod 500 / ipod 75 / Zune 50

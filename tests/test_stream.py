@@ -34,8 +34,8 @@ def test_stream_equals_batch_per_file(spark, tmp_dir):
     assert {s for s, *_ in streamed} == {"hits_original.tsv", "hits_quantity.tsv", "hits_test.tsv"}
     events = read_file_events(spark, log).collect()
     assert sorted((e.file_key.split("/")[-1], e.file_status, e.record_count) for e in events) == [
-        ("hits_original.tsv", "COMPLETE", 21), ("hits_quantity.tsv", "COMPLETE", 21),
-        ("hits_test.tsv", "COMPLETE", 21)]
+        ("hits_original.tsv", "COMPLETE", 12), ("hits_quantity.tsv", "COMPLETE", 12),
+        ("hits_test.tsv", "COMPLETE", 12)]
 
 
 def test_stream_restart_is_idempotent(spark, tmp_dir):
