@@ -237,6 +237,39 @@ def test_line_chunks(docs):
             assert line in everything
 
 
+def test_repeated_runs_of_lines_go(spark):
+    r = random.Random(3)
+    say = lambda n: " ".join(r.choice("abcdefgh") * r.randint(1, 4) for _ in range(n))
+    passages = [[say(9) for _ in range(n)] for n in (2, 2, 2, 2, 3, 3, 3, 4, 6, 9)]
+    passages += [["top", "", "", "", "", "bottom " + say(5)], ["only one line of this " + say(6)]]
+    rows = []
+    for k in range(60):
+        middle = [x for p in r.sample(passages, 3) for x in [*p, f"{k} {say(8)}"]]
+        rows.append((k, "\n".join([f"{k} {say(7)}", *middle])))
+    rows += [(100 + k, "\n".join(p)) for k, p in enumerate(passages)] + [(200, rows[5][1]), (None, rows[6][1])]
+    seen, want = set(), {}
+    for i, t in rows:
+        lines = t.split("\n")
+        lost = set()
+        for at, pair in enumerate(itertools.pairwise(lines)):
+            if "".join(pair).strip() and pair in seen:
+                lost |= {at, at + 1}
+            seen.add(pair)
+        want[i] = lost, [x for k, x in enumerate(lines) if k not in lost]
+    got = {x.doc_id: x for x in line_dedup.dedup_chunks(
+        spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert len(got) == len(rows)
+    for i, (lost, kept) in want.items():
+        x = got[i]
+        # Empty lines among empty ones may go with their chunk as well.
+        assert [y for y in x.kept_text.split("\n") if y] == [y for y in kept if y], i
+        assert x.n_removed_lines >= len(lost) and 0 <= x.n_removed_chunks <= x.n_chunks
+        assert bool(x.n_removed_lines) == bool(x.n_removed_chunks)
+    for i in (*range(100, 111), 200, None):  # whole copies of two lines or more
+        assert got[i].kept_text.strip("\n") == "", i
+    assert got[111].n_removed_lines == 0
+
+
 def test_secrets(docs):
     assign = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
     want = []
