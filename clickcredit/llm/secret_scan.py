@@ -5,9 +5,14 @@ Base kinds (leftmost, non-overlapping per kind): ``assign`` (a name such as pass
 separator and a value of 12 characters or more), ``access`` (AKIA and capitals or digits,
 18 or more) and ``hex`` (16 or more of 0-9a-f). The battery adds kind ``random``.
 
-Battery. A token is 20 or more of A-Z a-z 0-9 + / _ - (and = at its end) that holds a
-letter and a digit and is not all 0-9a-f (a base kind). Its encoding is inferred from the
-characters it uses: hexadecimal capitals, base 32, base 36 of either case, base 62 or base 64.
+Battery. A token is a run of 20 or more of A-Z a-z 0-9 + / or of A-Z a-z 0-9 _ - (and = at
+its end). As a key may stand behind or before words of a path, the parts between the marks
++ / _ - are tokens as well: from the begin of each part, and back from the end of each, the
+shortest sequence of parts with 20 characters that no mark of the other class splits. A
+token that holds no letter or is all 0-9a-f (a base kind) is not tested. Its encoding is
+inferred from the characters it uses: letters of either or both cases, hexadecimal capitals,
+base 32, base 36 of either case, base 62 or base 64. The letters of one case are ordered
+with vowels and rare letters first, so that words alternate between halves.
 Under the hypothesis that each character is drawn uniformly from that alphabet, three
 tests give p-values: chi-squared of the character counts (upper tail, normal with the exact
 moments, as counts are small), Wald-Wolfowitz runs of characters above and below the
@@ -15,10 +20,10 @@ middle of the alphabet, and lag-one serial correlation of the character values (
 sided). Fisher's rule combines them (six degrees of freedom).
 
 Discovery control. Rejecting the hypothesis says "not random". In each stratum of token
-length (its power of two) the Benjamini-Hochberg step-up at rate ``rate`` rejects; strata
+length (its power of two; tokens of letters alone apart) the Benjamini-Hochberg step-up at rate ``rate`` rejects; strata
 are controlled apart because long tokens are told from random far more surely than short
-ones and would otherwise set the threshold for them. What is not rejected is a secret. The
-step-up reads a histogram of p (steps of 1/32 in -ln p), some hundred rows per stratum at
+ones and would otherwise set the threshold for them. What is not rejected is a secret;
+secrets that overlap are one span. The step-up reads a histogram of p (steps of 1/32 in -ln p), some hundred rows per stratum at
 most, made by a grouped count over all tokens of all documents.
 
 Positions are code points, end exclusive: Java's split and match lists alternate, so a
@@ -44,10 +49,25 @@ ASSIGN = (r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"'
 ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]{16,}"  # what is left of the runs [0-9a-f]+ after dropping shorter ones
 ASSIGN_LEAST, ACCESS_LEAST = 12, 18
-TOKEN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
 KINDS = ("assign", "access", "hex", "random")
+RANDOM = KINDS.index("random")
+
+
+def _run(marks: str) -> str:
+    return f"[A-Za-z0-9{marks}]{{20,}}={{0,2}}"
+
+
+def _parts(marks: str) -> str:
+    """Group 1: the shortest sequence of parts from here that is long enough and is no whole
+    run. Only its first character is consumed, so that the next may overlap it."""
+    return (f"(?<![A-Za-z0-9])(?=([A-Za-z0-9][A-Za-z0-9{marks}]{{18,}}?[A-Za-z0-9])(?![A-Za-z0-9]))"
+            f"(?:(?<=[{marks}])|(?=\\1[{marks}]))[A-Za-z0-9]")
+
 
 ALPHABETS = {
+    "LETTERS": "AEIOUYQJXZWVKBCDFGHLMNPRST",
+    "letters": "aeiouyqjxzwvkbcdfghlmnprst",
+    "Letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "HEX": "0123456789ABCDEF",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
@@ -56,23 +76,44 @@ ALPHABETS = {
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
 }
+LETTERS = 64  # added to the stratum of tokens of letters alone
 STEPS = 32  # histogram steps per unit of -ln p
 MAX_LOG = 40.0
 
 
-def _found(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """Array of (kind, gap, size, ok, body) of all matches: ``gap`` characters lie between
-    the last match and this one."""
+def _found(text: Column, source: int, kind: int, pattern: str, group: int = 0, least: int = 0,
+           holds: str = "", part: bool = False, back: bool = False) -> Column:
+    """Array of (source, kind, gap, size, ahead, ok, body) of all matches: ``gap`` characters
+    lie between the last match and this one, and its span has ``ahead`` characters, for a
+    ``part`` those of the group. ``back`` is for a reversed text."""
     gaps, whole = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    parts = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
-    rows = F.transform(parts, lambda x: F.struct(
-        F.lit(KINDS.index(kind)).alias("kind"), F.length(x["gap"]).alias("gap"),
-        F.length(x["whole"]).alias("size"), (F.length(x["value"]) >= least).alias("ok"),
-        (x["whole"] if kind == "random" else F.lit(None).cast("string")).alias("body")))
+    pieces = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
+    rows = F.transform(pieces, lambda x: F.struct(
+        F.lit(source).alias("source"), F.lit(kind).alias("kind"), F.length(x["gap"]).alias("gap"),
+        F.length(x["whole"]).alias("size"), F.length(x["value"] if part else x["whole"]).alias("ahead"),
+        ((F.length(x["value"]) >= least) & x["value"].rlike(holds)).alias("ok"),
+        ((F.reverse(x["value"]) if back else x["value"]) if kind == RANDOM
+         else F.lit(None).cast("string")).alias("body")))
     # Most texts have no match: test before the four passes that positions need.
     return F.when(text.rlike(pattern), rows).otherwise(F.array().cast(
-        "array<struct<kind:int,gap:int,size:int,ok:boolean,body:string>>"))
+        "array<struct<source:int,kind:int,gap:int,size:int,ahead:int,ok:boolean,body:string>>"))
+
+
+BACK = 7  # the first source that reads the reversed text
+
+
+def _all_found(text: Column) -> Column:
+    """Every token once: what holds no mark is of the class + /."""
+    back = F.reverse(text)
+    return F.concat(
+        _found(text, 0, 0, ASSIGN, 2, ASSIGN_LEAST), _found(text, 1, 1, ACCESS, 0, ACCESS_LEAST),
+        _found(text, 2, 2, HEX),
+        _found(text, 3, RANDOM, _run("+/")), _found(text, 4, RANDOM, _run("_-"), holds="[_-]"),
+        _found(text, 5, RANDOM, _parts("+/"), 1, part=True),
+        _found(text, 6, RANDOM, _parts("_-"), 1, holds="[_-]", part=True),
+        _found(back, BACK, RANDOM, _parts("+/"), 1, part=True, back=True),
+        _found(back, BACK + 1, RANDOM, _parts("_-"), 1, holds="[_-]", part=True, back=True))
 
 
 def _two_sided(z: Column) -> Column:
@@ -86,9 +127,11 @@ def _two_sided(z: Column) -> Column:
 def _with_tests(tokens: DataFrame) -> DataFrame:
     """Adds the combined p of each token ``body``; null if it is no candidate."""
     body = F.regexp_replace("body", "=+$", "")
-    plain = (F.col("kind") == KINDS.index("random")) & F.col("body").rlike("[0-9]") & \
-        F.col("body").rlike("[A-Za-z]") & ~F.col("body").rlike("^[0-9a-f]+$")
-    encoding = (F.when(~plain, F.lit(None)).when(body.rlike("^[0-9A-F]+$"), "HEX")
+    plain = (F.col("kind") == RANDOM) & F.col("ok") & F.col("body").rlike("[A-Za-z]") & \
+        ~F.col("body").rlike("^[0-9a-f]+$")
+    encoding = (F.when(~plain, F.lit(None)).when(body.rlike("^[A-Z]+$"), "LETTERS")
+                .when(body.rlike("^[a-z]+$"), "letters").when(body.rlike("^[A-Za-z]+$"), "Letters")
+                .when(body.rlike("^[0-9A-F]+$"), "HEX")
                 .when(body.rlike("^[A-Z2-7]+$"), "base32").when(body.rlike("^[A-Z0-9]+$"), "BASE36")
                 .when(body.rlike("^[a-z0-9]+$"), "base36")
                 .when(body.rlike("^[A-Za-z0-9]+$"), "base62").when(body.rlike("^[A-Za-z0-9+/]+$"), "base64")
@@ -126,7 +169,8 @@ def _with_tests(tokens: DataFrame) -> DataFrame:
     # Fisher: -2 sum ln p is chi-squared with six degrees of freedom.
     log_p = half - F.log1p(half + half * half / 2)
     return (rows.withColumn("step", F.floor(F.least(F.greatest(log_p, F.lit(0.0)), F.lit(MAX_LOG)) * STEPS))
-            .withColumn("stratum", F.when(F.col("encoding").isNotNull(), F.floor(F.log2(n))))
+            .withColumn("stratum", F.when(F.col("encoding").isNotNull(), F.floor(F.log2(n)) + F.when(
+                F.lower("encoding") == "letters", LETTERS).otherwise(0)))
             .drop("alphabet", "chars", "values", "above", "mean", "centred", "half", "body"))
 
 
@@ -145,22 +189,32 @@ def _least_rejected(tokens: DataFrame, rate: float) -> DataFrame:
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate: float = 0.05) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random of each row."""
     texts = id_and_text(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
-    text = F.col("text")
-    found = F.concat(_found(text, "assign", ASSIGN, 2, ASSIGN_LEAST), _found(text, "access", ACCESS, 0, ACCESS_LEAST),
-                     _found(text, "hex", HEX), _found(text, "random", TOKEN))
-    matches = texts.select("row", "doc_id", found.alias("found")).select(
-        "row", "doc_id", F.posexplode_outer("found").alias("at", "x")).select("row", "doc_id", "at", "x.*")
-    before = Window.partitionBy("row", "kind").orderBy("at")
+    matches = texts.select("row", "doc_id", F.length("text").alias("n"), _all_found(F.col("text")).alias("found")).select(
+        "row", "doc_id", "n", F.posexplode_outer("found").alias("at", "x")).select("row", "doc_id", "n", "at", "x.*")
+    before = Window.partitionBy("row", "source").orderBy("at")
+    back = F.col("source") >= BACK
     # Tested before the shuffle, so token texts stay behind.
-    placed = written(_with_tests(matches).withColumn("end", F.sum(F.col("gap") + F.col("size")).over(before))
-                     .withColumn("start", F.col("end") - F.col("size"))
-                     .select("row", "doc_id", "kind", "start", "end", "ok", "step", "stratum"), "spans")
-    # At most one row per power of two of a token's length: below 64 rows.
+    placed = (_with_tests(matches).withColumn("from", F.sum(F.col("gap") + F.col("size")).over(before) - F.col("size"))
+              .withColumn("start", F.when(back, F.col("n") - F.col("from") - F.col("ahead")).otherwise(F.col("from")))
+              .withColumn("end", F.col("start") + F.col("ahead")))
+    # A sequence of parts found from both its ends is one token.
+    same = Window.partitionBy("row", "kind", "start", "end").orderBy(F.desc("ok"), "source")
+    placed = written(placed.withColumn("turn", F.row_number().over(same)).select(
+        "row", "doc_id", "kind", "start", "end", "ok", "step",
+        F.when(F.col("turn") == 1, F.col("stratum")).alias("stratum")), "spans")
+    # At most one row per power of two of a token's length, for letters apart: below 128 rows.
     cuts = F.broadcast(_least_rejected(placed, rate))
-    random = KINDS.index("random")
     judged = placed.join(cuts, F.col("stratum") == F.col("cut_stratum"), "left").withColumn(
-        "is_span", F.coalesce(F.when(F.col("kind") == random, F.col("stratum").isNotNull() & (
+        "is_span", F.coalesce(F.when(F.col("kind") == RANDOM, F.col("stratum").isNotNull() & (
             F.col("cut").isNull() | (F.col("step") < F.col("cut")))).otherwise(F.col("ok")), F.lit(False)))
+    # Random spans that overlap are one: a span begins where all before it have ended.
+    in_order = Window.partitionBy("row", "kind", "is_span").orderBy("start", "end")
+    first = F.coalesce(F.col("start") >= F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(True))
+    judged = (judged.withColumn("first", ~F.col("is_span") | (F.col("kind") != RANDOM) | first)
+              .withColumn("island", F.sum(F.col("first").cast("int")).over(in_order.rowsBetween(
+                  Window.unboundedPreceding, 0)))
+              .groupBy("row", "kind", "is_span", "island").agg(
+                  F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max("end").alias("end")))
     span = F.when(F.col("is_span"), F.struct("start", "kind", "end"))
 
     def joined(spans: Column) -> Column:
@@ -172,7 +226,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rate:
     by_row = judged.groupBy("row").agg(  # within a document
         F.first("doc_id").alias("doc_id"), *[count(k).alias(f"n_{x}") for k, x in enumerate(KINDS)],
         F.array_sort(F.collect_list(span)).alias("all"))
-    base = F.filter("all", lambda s: s["kind"] != random)
+    base = F.filter("all", lambda s: s["kind"] != RANDOM)
     return by_row.select("doc_id", "n_assign", "n_access", "n_hex",
                          F.sha2(joined(base), 256).alias("base_sha256"),
                          joined(F.col("all")).alias("spans"), "n_random")

@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import random
 import re
+import string
 import zlib
 from collections import Counter, defaultdict
 
@@ -286,6 +287,24 @@ def test_secrets(docs):
     assert next(i for i, t in unique() if t.startswith("key Zk3")) in random_spans
 
 
+def test_secrets_in_paths_and_of_letters(spark):
+    key, aws = "9f8AXk2LmQ7wZ3vTb1YcR5uN", "wJalrXUtnFEMI/K7MDENGq/bPxRfiCY9Zk3EwQ"
+    letters = "".join(random.Random(1).choices(string.ascii_letters, k=32))
+    texts = {f"go com/reset-password/{key} now": key, f"/my-bucket/{aws}": aws, f"x {letters} y": letters,
+             f"é path/of/many/plain/words/that/go/on/and/on/{key}/and/so/on": key,
+             f"of-some-plain-words-in-a-name-{key}-and-more_{letters}": key}
+    plain = ["the/usual/words/of/some/path/here", "one-more-name-of-plain-words", "getTheNameOfThisElementHere"] * 20
+    rows = [(k, t) for k, t in enumerate([*texts, *plain])]
+    got = {r.doc_id: r for r in secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(got) == len(rows)
+    for k, (t, want) in enumerate(texts.items()):
+        spans = [tuple(map(int, x.split(":")[1:])) for x in got[k].spans.split(",") if x.startswith("random:")]
+        a = t.index(want)
+        assert any(start <= a and a + len(want) <= end for start, end in spans), (t, spans)
+        assert got[k].n_random == len(spans) and all(x[1] <= y[0] for x, y in itertools.pairwise(spans))
+    assert not any(got[k].n_random for k in range(len(texts), len(rows)))
+
+
 def test_byte_strings(docs):
     seen, want = set(), []
     for i, t in unique():
