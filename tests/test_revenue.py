@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from clickcredit.functions import line_price, line_revenue
+from clickcredit.operators.summary import domain_revenue, keyword_totals, report_rollup, report_summary
 
 NUMBER = re.compile(r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?")
 INTEGER = re.compile(r"[+-]?[0-9]+")
@@ -54,3 +55,14 @@ def test_revenue_matches_spec(spark, lists):
         parts = row.p.split(";") if row.p is not None else []
         want_price = py_price(parts[3].strip()) if len(parts) > 3 else None
         assert row.price == (want_price if want_price is not None else Decimal(0)), row.p
+
+
+def test_totals_beyond_decimal_are_kept(spark):
+    top = Decimal(9) * Decimal(10) ** 33
+    report = spark.createDataFrame([("d", "k", top), ("d", "k2", top), ("e", "k", top)],
+                                   "domain string, keyword string, revenue decimal(38,4)")
+    assert abs(report_summary(report).first().total_revenue / 2.7e34 - 1) < 1e-12
+    got = {r.domain: r.revenue for r in domain_revenue(report).collect()}
+    assert abs(got["d"] / 1.8e34 - 1) < 1e-12 and got["e"] == 9e33
+    assert abs({r.keyword: r.revenue for r in keyword_totals(report).collect()}["k"] / 1.8e34 - 1) < 1e-12
+    assert all(r.revenue is not None for r in report_rollup(report).collect())
