@@ -14,6 +14,9 @@ Two lossless tests drop pairs before their sets are moved: the sizes' ratio, and
 bitmaps, whose Hamming distance never exceeds the size of the symmetric difference. The join
 that makes all remaining pairs tests the sizes and a bitmap of fixed size itself.
 
+The result is the join's connected components, not its pairs: pairs that already lie in one
+component are skipped, so neither similarities nor a document's number of links is known.
+
 Defined results: A-Z are lower-cased; a text of one to four words is one n-gram; a null
 or empty text, or one of white space, has an empty set, n_shingles 0 and its own id as
 component. Rows that repeat an id each give a row, with the component of their own set;
