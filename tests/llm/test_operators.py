@@ -416,3 +416,47 @@ def test_pipeline_equals_brute_force(spark, docs, items, tmp_path):
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == want
     assert [name for name, _ in corpus_pipeline.STAGES] == [
         "toxicity", "exact_dedup", "ngram_jaccard", "decontamination", "packing"]
+
+
+def test_pipeline_stage_by_stage_with_toxic_documents(spark, items, tmp_path):
+    r = random.Random(11)
+    say = lambda words: " ".join(r.choice(words) for _ in range(40))
+    toxic = [(1000 + k, say(["zzvile", "qqfoul", "xxnasty", "jjrotten"])) for k in range(20)]
+    clean = [(2000 + k, say(["garden", "river", "window", "summer", "market", "letter", "music"])) for k in range(60)]
+    rows = [(i, t, *x) for i, t, *x in ROWS] + [(i, t, "en", "s", 1, 5, "", "") for i, t in toxic + clean]
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(i, 0, int(1000 <= i < 2000)) for i, *_ in rows], "doc_id long, quality int, toxic int").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    docs = corpus_pipeline.documents(spark, str(tmp_path))
+    left = sorted({(i, t or "") for i, t, *_ in rows} - set(toxic))
+    stages = dict(corpus_pipeline.STAGES)
+
+    def after(name):
+        nonlocal docs
+        docs = corpus_pipeline.written(stages[name](spark, docs, str(tmp_path)), name)
+        return {x.doc_id for x in docs.collect()}
+
+    assert after("toxicity") == {i for i, _ in left}
+    kept = {min(g)[1] for g in exact_groups(left).values()}
+    left = [x for x in left if x[0] in kept]
+    assert after("exact_dedup") == {i for i, _ in left}
+    component, _ = near_components(left)
+    left = [x for x in left if component[x[0]] == x[0]]
+    assert after("ngram_jaccard") == {i for i, _ in left}
+    leaked = set()
+    for item in items.collect():
+        w = WORD.findall(lower(item.text or ""))
+        if not w:
+            continue
+        width = min(5, len(w))
+        grams = lambda x, k=width: Counter(tuple(x[i:i + k]) for i in range(len(x) - k + 1))
+        for i, t in left:
+            d = WORD.findall(lower(t))
+            n = min(len(d), len(w))
+            for start in range(len(d) - n + 1):
+                a, b = grams(d[start:start + n]), grams(w)
+                if sum((a & b).values()) >= 0.8 * sum((a | b).values()) > 0:
+                    leaked.add(i)
+    assert leaked and after("decontamination") == {i for i, _ in left} - leaked
+    assert after("packing") == {i for i, _ in left} - leaked
