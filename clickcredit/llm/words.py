@@ -57,6 +57,11 @@ def powers(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def is_space(data: np.ndarray) -> np.ndarray:
+    """Which bytes are 0x20 or 0x09-0x0D."""
+    return _SPACE[data]
+
+
 def flat(texts: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string array: document i is bytes[offsets[i]:offsets[i+1]]."""
     if isinstance(texts, pa.ChunkedArray):
