@@ -4,7 +4,8 @@ Commands:
   report   build the report for one input file or folder (report TSV, summary, status event)
   route    log a RECEIVED event and size class for every file under a landing folder
   stream   run the file stream over a landing folder (``--once`` processes the backlog and stops)
-  compact  fold the status log's appends for some months into few files
+  pending  report every received file that has no outcome yet, in one job
+  compact  fold the status log's appends into few files
   latest   write the current status per file (the keyed view of the log)
 """
 
@@ -47,6 +48,12 @@ def main(argv: list[str] | None = None) -> int:
     route.add_argument("--run-ts")
     route.add_argument("--glob")
 
+    pending = sub.add_parser("pending", help="report all received files")
+    pending.add_argument("output_root")
+    pending.add_argument("status_log")
+    pending.add_argument("--run-ts")
+    pending.add_argument("--dated-by", choices=["run", "file"], default="run")
+
     stream = sub.add_parser("stream", help="one report per arriving file")
     stream.add_argument("landing")
     stream.add_argument("output")
@@ -57,7 +64,6 @@ def main(argv: list[str] | None = None) -> int:
 
     compact = sub.add_parser("compact", help="fold status-log appends")
     compact.add_argument("status_log")
-    compact.add_argument("months", nargs="+", help="YYYY-MM")
 
     latest = sub.add_parser("latest", help="current status per file")
     latest.add_argument("status_log")
@@ -65,7 +71,7 @@ def main(argv: list[str] | None = None) -> int:
 
     args = parser.parse_args(argv)
 
-    from clickcredit.plans.job import route_new_files, run_report_job
+    from clickcredit.plans.job import route_new_files, run_pending, run_report_job
     from clickcredit.schema import DEFAULT_SITE
     from clickcredit.session import get_session
     from clickcredit.sinks.eventlog import compact_file_events, write_latest_status
@@ -78,6 +84,7 @@ def main(argv: list[str] | None = None) -> int:
                              site=args.site or DEFAULT_SITE, attribution=args.attribution,
                              strict=not args.lax, case_sensitive=args.case_sensitive)
         print(json.dumps({"output_location": res.output_location, "record_count": res.record_count,
+                          "inexact_lines": res.inexact_lines,
                           "summary": res.summary, "top_domains": res.top_domains,
                           "top_keywords": res.top_keywords}))
     elif args.command == "route":
@@ -85,8 +92,12 @@ def main(argv: list[str] | None = None) -> int:
                                    run_ts=_run_ts(args.run_ts), path_glob=args.glob)
         counts = manifest.groupBy("size_class").count().collect()
         print(json.dumps({r["size_class"]: r["count"] for r in counts}))
+    elif args.command == "pending":
+        events = run_pending(spark, args.output_root, args.status_log, run_ts=_run_ts(args.run_ts),
+                             dated_by=args.dated_by)
+        print(json.dumps({"reported": events.count()}))
     elif args.command == "compact":
-        compact_file_events(spark, args.status_log, args.months)
+        print(json.dumps({"generation": compact_file_events(spark, args.status_log)}))
     elif args.command == "latest":
         write_latest_status(spark, args.status_log, args.snapshot)
     else:

@@ -63,6 +63,27 @@ def size_class_sql(size_bytes: str) -> str:
     return f"CASE WHEN {size_bytes} < {t} THEN 'small' WHEN {size_bytes} >= {t} THEN 'large' END"
 
 
+# Content types by the last part of a file name, as object stores report them.
+CONTENT_TYPES = {
+    "csv": "text/csv",
+    "tsv": "text/tab-separated-values",
+    "tab": "text/tab-separated-values",
+    "txt": "text/plain",
+    "json": "application/json",
+    "gz": "application/gzip",
+    "zip": "application/zip",
+}
+OTHER_CONTENT_TYPE = "binary/octet-stream"
+
+
+def content_type_sql(name: str) -> str:
+    """Content type by the name's ending, whatever its case; names without a known one are binary."""
+    ending = f"lower(substring_index({name}, '.', -1))"
+    cases = " ".join(f"WHEN {s(k)} THEN {s(v)}" for k, v in CONTENT_TYPES.items())
+    return (f"CASE WHEN {name} IS NULL THEN NULL WHEN instr({name}, '.') = 0 THEN {s(OTHER_CONTENT_TYPE)} "
+            f"ELSE CASE {ending} {cases} ELSE {s(OTHER_CONTENT_TYPE)} END END")
+
+
 def iso_utc_sql(ts: str) -> str:
     """``datetime.isoformat() + 'Z'``: microseconds only when non-zero.
 
@@ -103,3 +124,7 @@ def size_class(size_bytes: str) -> Column:
 
 def iso_utc(ts: str) -> Column:
     return expr(iso_utc_sql(ref(ts)))
+
+
+def content_type(name: str) -> Column:
+    return expr(content_type_sql(ref(name)))

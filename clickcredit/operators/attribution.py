@@ -25,8 +25,7 @@ from pyspark.sql import functions as F
 
 from ..schema import PURCHASE_EVENT
 from .enrich import purchase_hits, search_flag
-
-REVENUE_TYPE = "decimal(38,4)"
+from .money import OVER, as_double, carried, positive, sums, with_double
 
 
 def _keys_present(keys: Sequence[str]) -> Column:
@@ -36,8 +35,14 @@ def _keys_present(keys: Sequence[str]) -> Column:
     return cond
 
 
-def _touch_value(order_by: Sequence[str]) -> Column:
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order_by)]
+def _touch_value(order_by: Sequence[str], attribution: str) -> Column:
+    """Order key, then domain and keyword. A null in the order key loses to any value: it sorts
+    lowest on its own, and for the first touch a leading flag puts it last."""
+    fields = []
+    for i, c in enumerate(order_by):
+        if attribution == "first":
+            fields.append(F.col(c).isNull().alias(f"_n{i}"))
+        fields.append(F.col(c).alias(f"_o{i}"))
     return F.struct(*fields, F.col("domain").alias("domain"),
                     F.col("search_keyword").alias("keyword"))
 
@@ -80,16 +85,16 @@ def visitor_sessions(enriched: DataFrame, *, attribution: str = "last", strict:
     purchase/touch.
     """
     is_touch = F.col(search_flag(strict))
-    is_buy = F.col("is_purchase") & (F.col("revenue") > 0)
+    is_buy = F.col("is_purchase") & positive()
     rows = contributing_rows(enriched, session_keys)
     grouped = rows.groupBy(*session_keys).agg(
-        _pick(F.when(is_touch, _touch_value(order_by)), attribution).alias("_touch"),
-        F.try_sum(F.when(is_buy, F.col("revenue"))).cast(REVENUE_TYPE).alias("revenue"),
+        _pick(F.when(is_touch, _touch_value(order_by, attribution)), attribution).alias("_touch"),
+        *sums(is_buy),
         F.count(F.when(is_buy, F.lit(1))).alias("n_purchases"),
     )
     grouped = grouped.where(F.col("_touch").isNotNull() | F.col("revenue").isNotNull())
     return grouped.select(*session_keys, F.col("_touch.domain").alias("domain"),
-                          F.col("_touch.keyword").alias("keyword"), "revenue", "n_purchases")
+                          F.col("_touch.keyword").alias("keyword"), "revenue", OVER, "n_purchases")
 
 
 def touches(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
@@ -99,7 +104,7 @@ def touches(enriched: DataFrame, *, attribution: str = "last", strict: bool = Tr
     is_touch = F.col(search_flag(strict))
     rows = contributing_rows(enriched, session_keys, purchases=False)
     grouped = rows.groupBy(*session_keys).agg(
-        _pick(F.when(is_touch, _touch_value(order_by)), attribution).alias("_touch"))
+        _pick(F.when(is_touch, _touch_value(order_by, attribution)), attribution).alias("_touch"))
     return grouped.where(F.col("_touch").isNotNull()).select(
         *session_keys, F.col("_touch.domain").alias("domain"),
         F.col("_touch.keyword").alias("keyword"))
@@ -130,7 +135,7 @@ def keyword_revenue_exact(enriched: DataFrame, *, attribution: str = "last", str
                           order_by: Sequence[str] = ("hit_time_gmt",),
                           session_keys: Sequence[str] = ("ip",),
                           report_by: Sequence[str] = ()) -> DataFrame:
-    """Revenue per (domain, keyword) as exact decimals (session form).
+    """Revenue per (domain, keyword) as exact decimals in two limbs (session form).
 
     ``report_by`` adds leading report keys, e.g. ``("source_file",)`` for one
     report per input file (each such key must also be a session key).
@@ -138,8 +143,48 @@ def keyword_revenue_exact(enriched: DataFrame, *, attribution: str = "last", str
     sessions = attributed_sessions(visitor_sessions(
         enriched, attribution=attribution, strict=strict, order_by=order_by,
         session_keys=session_keys))
-    return sessions.groupBy(*report_by, "domain", "keyword").agg(
-        F.try_sum("revenue").cast(REVENUE_TYPE).alias("revenue"))
+    return carried(sessions.groupBy(*report_by, "domain", "keyword").agg(*sums()))
+
+
+def quiet_hits(hits: DataFrame) -> DataFrame:
+    """Blank the referrer and product list of hits that neither can make a touch nor a
+    purchase, so that the URL and money rules cost nothing on them."""
+    return hits.withColumns({
+        "referrer": F.when(F.col("referrer").contains("?"), F.col("referrer")),
+        "product_list": F.when(F.col("event_list") == PURCHASE_EVENT, F.col("product_list"))})
+
+
+def keyword_revenue_counted(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
+                            order_by: Sequence[str] = ("hit_time_gmt",),
+                            file_keys: Sequence[str] = ("source_file",), visitor: str = "ip",
+                            report_by: Sequence[str] = ()) -> DataFrame:
+    """The exact report and the number of hits from one scan.
+
+    Rows of :func:`keyword_revenue_exact` (sessions by ``file_keys`` and ``visitor``) with ``n_hits``
+    and ``n_inexact``, the purchases beyond the exact money types, of the visitors credited there;
+    and one row with null domain and keyword for all other hits. The counts of all rows add up to
+    all hits. Hits that can't contribute meet in one session without a visitor, one partial row
+    a task.
+    """
+    may = (F.col(visitor).isNotNull() & _keys_present(file_keys)
+           & (F.col("referrer").contains("?") | (F.col("event_list") == PURCHASE_EVENT)))
+    is_touch = may & F.col(search_flag(strict))
+    is_buy = may & F.col("is_purchase") & positive()
+    sessions = enriched.groupBy(*file_keys, F.when(may, F.col(visitor)).alias("_visitor")).agg(
+        _pick(F.when(is_touch, _touch_value(order_by, attribution)), attribution).alias("_touch"),
+        *sums(is_buy), F.count(F.lit(1)).alias("n_hits"),
+        F.count(F.when(F.col("is_purchase") & F.col("revenue_inexact"), 1)).alias("n_inexact"))
+    credited = (F.col("_visitor").isNotNull() & F.col("_touch.domain").isNotNull()
+                & F.col("_touch.keyword").isNotNull() & F.col("revenue").isNotNull())
+    placed = sessions.withColumns({"domain": F.when(credited, F.col("_touch.domain")),
+                                   "keyword": F.when(credited, F.col("_touch.keyword"))})
+    return carried(placed.groupBy(*report_by, "domain", "keyword").agg(
+        *sums(F.col("domain").isNotNull()), F.sum("n_hits").alias("n_hits"), F.sum("n_inexact").alias("n_inexact")))
+
+
+def credited_rows(counted: DataFrame) -> DataFrame:
+    """The report's rows of :func:`keyword_revenue_counted`."""
+    return counted.where(F.col("domain").isNotNull()).drop("n_hits", "n_inexact")
 
 
 def keyword_revenue(enriched: DataFrame, *, attribution: str = "last", strict: bool = True,
@@ -148,7 +193,7 @@ def keyword_revenue(enriched: DataFrame, *, attribution: str = "last", strict: b
     """The report: ``(domain, keyword, revenue double)``, highest revenue first."""
     exact = keyword_revenue_exact(enriched, attribution=attribution, strict=strict,
                                   order_by=order_by, session_keys=session_keys)
-    out = exact.select("domain", "keyword", F.col("revenue").cast("double").alias("revenue"))
+    out = exact.select("domain", "keyword", as_double("revenue").alias("revenue"))
     return report_order(out) if ordered else out
 
 
@@ -162,14 +207,14 @@ def report_order(report: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def purchase_sessions(purchases: DataFrame, session_keys: Sequence[str] = ("ip",)) -> DataFrame:
-    """Purchase amounts per visitor as a multiset: ``(keys..., amount, n)``.
+    """Purchase amounts per visitor as a multiset: ``(keys..., amount, amount_over, n)``.
 
     The original collected every amount of a visitor into one list; a list per
     visitor is unbounded, so the same information is kept as rows, one per
     distinct amount with its multiplicity, shuffled by (keys, amount).
     """
     return (purchases.where(_keys_present(session_keys))
-            .groupBy(*session_keys, F.col("revenue").alias("amount"))
+            .groupBy(*session_keys, F.col("revenue").alias("amount"), F.col(OVER).alias("amount_over"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 
@@ -216,11 +261,10 @@ def keyword_revenue_join(enriched: DataFrame, *, attribution: str = "last", stri
     t = touches(enriched, attribution=attribution, strict=strict, order_by=order_by,
                 session_keys=session_keys)
     spent = (purchase_hits(enriched).where(_keys_present(session_keys)).groupBy(*session_keys)
-             .agg(F.try_sum("revenue").cast(REVENUE_TYPE).alias("revenue")))
+             .agg(*sums()))
     rows = t.join(spent, list(session_keys))
-    return (rows.where(F.col("domain").isNotNull() & F.col("keyword").isNotNull())
-            .groupBy("domain", "keyword")
-            .agg(F.try_sum("revenue").cast(REVENUE_TYPE).cast("double").alias("revenue")))
+    return with_double(rows.where(F.col("domain").isNotNull() & F.col("keyword").isNotNull())
+                       .groupBy("domain", "keyword").agg(*sums()))
 
 
 def session_counts(enriched: DataFrame, *, strict: bool = True,

@@ -6,13 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import is_purchase, is_search_referral, is_search_referral_lax, normalize_keyword
-from ..functions.products import price_field_sql, quantity_field_sql, revenue_from_fields_sql
+from ..functions.products import (amount_sql, far_amount_sql, over_sql, price_field_sql,
+                                  quantity_field_sql, revenue_sql)
 from ..functions.urls import (clean_url_sql, domain_from_clean_sql, keyword_from_query_sql,
                               query_from_clean_sql)
 from ..schema import DEFAULT_SITE, PURCHASE_EVENT
+from .money import positive
 
-ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "is_search_referral",
-                    "is_search_referral_lax", "is_purchase")
+ENRICHED_COLUMNS = ("domain", "search_keyword", "revenue", "revenue_over", "revenue_inexact",
+                    "is_search_referral", "is_search_referral_lax", "is_purchase")
 
 
 def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool = False) -> DataFrame:
@@ -34,8 +36,15 @@ def enrich_hits(hits: DataFrame, site: str = DEFAULT_SITE, case_sensitive: bool
     step0 = staged.withColumns({
         "domain": F.expr(domain_from_clean_sql("referrer", "_url")),
         "_query": F.expr(query_from_clean_sql("_url")),
-        "revenue": F.expr(revenue_from_fields_sql("_qty", "_price")),
-    }).drop("_url", "_qty", "_price")
+        "_amount": F.expr(amount_sql("_qty", "_price")),
+    }).drop("_url")
+    # Beyond the exact types (rare): the product as a double, and both limbs from what is known.
+    step0 = step0.withColumn("_far", F.expr(far_amount_sql("_qty", "_price", "_amount"))).drop("_qty", "_price")
+    step0 = step0.withColumns({
+        "revenue": F.expr(revenue_sql("_amount", "_far")),
+        "revenue_over": F.expr(over_sql("_amount", "_far")),
+        "revenue_inexact": F.col("_far").isNotNull(),
+    }).drop("_amount", "_far")
     step1 = step0.withColumn("_raw_kw", F.expr(
         "CASE WHEN referrer IS NOT NULL AND referrer <> '' THEN "
         f"{keyword_from_query_sql('_query')} END")).drop("_query")
@@ -86,5 +95,5 @@ def purchase_hits(enriched: DataFrame) -> DataFrame:
     reaches the scan; only those rows get their revenue parsed.
     """
     rows = enriched.where(F.col("event_list") == PURCHASE_EVENT)
-    flagged = rows.withColumn("_buy", F.col("revenue") > 0)
+    flagged = rows.withColumn("_buy", positive())
     return keep_where(flagged, "_buy").drop("_buy")

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import decode_key, file_date_from_key, file_name, iso_utc, size_class, size_gb
+from ..functions import (content_type as content_type_of, decode_key, file_date_from_key, file_name, iso_utc,
+                         size_class, size_gb)
+from ..functions.files import file_name_sql
 from ..schema import (DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, EVENT_ARRIVAL, EVENT_LARGE_FILE,
                       EVENT_SMALL_FILE, REQUIRED_EVENT_FIELDS, SIZE_THRESHOLD_BYTES,
                       STATUS_FAILED, STATUS_RECEIVED)
@@ -15,13 +17,17 @@ from ..schema import (DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, EVENT_ARRIVAL, EVENT
 
 def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
                   decode: str = "plus") -> DataFrame:
-    """Key, name, date, size, size in GiB and size class per file.
+    """Key, name, date, size, size in GiB, size class and content type per file.
+
+    A ``content_type`` that the input gives is kept unless blank; else the name's ending tells.
 
     ``decode``: ``plus`` for notification keys (``unquote_plus``), ``none`` for
     keys that are already plain text.
     """
     key = decode_key(key_col) if decode == "plus" else F.col(key_col)
-    passthrough = [c for c in ("event_seq", "file_status", "file_ts") if c in files.columns]
+    passthrough = [c for c in ("event_seq", "file_status", "file_ts", "modified_ts", "bucket", "event_type",
+                               "record_count", "output_location", "error_message") if c in files.columns]
+    given = F.nullif(F.col("content_type"), F.lit("")) if "content_type" in files.columns else F.lit(None)
     return files.withColumn("file_key", key).select(
         *passthrough,
         "file_key",
@@ -30,6 +36,7 @@ def file_manifest(files: DataFrame, run_date: str, *, key_col: str = "raw_key",
         F.col("file_size"),
         size_gb("file_size").alias("file_size_gb"),
         size_class("file_size").alias("size_class"),
+        F.coalesce(given, content_type_of(file_name_sql("`file_key`"))).alias("content_type"),
     )
 
 
@@ -61,7 +68,7 @@ def status_events(manifest_events: DataFrame, *, bucket: str = DEFAULT_BUCKET,
     derived_type = F.when(F.col("file_status") == STATUS_RECEIVED, F.lit(EVENT_ARRIVAL)).otherwise(
         processing_engine(F.col("file_size")))
     ev = manifest_events.select(
-        *[c for c in ("event_seq", "record_count", "output_location") if c in cols],
+        *[c for c in ("event_seq", "record_count", "output_location", "modified_ts") if c in cols],
         "file_date", "file_key", "file_status", "file_size", "file_size_gb", "file_ts",
         F.coalesce(F.nullif(opt("event_type"), F.lit("")), derived_type).alias("event_type"),
         _blank_to_default(opt("bucket"), bucket).alias("bucket"),
@@ -96,6 +103,16 @@ def rejected_status_events(events: DataFrame) -> DataFrame:
     return validate_status_events(events).where(F.col("reject_reason").isNotNull())
 
 
+def new_files(listing: DataFrame, log: DataFrame) -> DataFrame:
+    """Listed files (path, modified_ts, file_size) that no event of the log is about yet.
+
+    A file that was delivered again, with another time or size, is new.
+    """
+    known = (log.where(F.col("modified_ts").isNotNull())
+             .select(F.col("file_key").alias("path"), "modified_ts", "file_size").distinct())
+    return listing.join(known, ["path", "modified_ts", "file_size"], "left_anti")
+
+
 def latest_file_status(log: DataFrame, *, keys: Sequence[str] = ("file_date", "file_key"),
                        order_by: Sequence[str] = ("file_ts", "event_seq"),
                        carry: Sequence[str] = ("file_status", "event_type", "file_datetime")

@@ -1,19 +1,15 @@
 """Report summary, per-domain / per-keyword totals and top-k lists.
 
 All of these take the exact (decimal) report so totals do not depend on the
-order in which floating-point values are added; they cast to double last. A total that
-no decimal holds is added as doubles instead of being lost.
+order in which floating-point values are added; the limbs are joined as doubles last.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _total() -> Column:
-    """Exact sum of ``revenue`` as double; beyond ``DECIMAL(38,4)`` the sum of doubles."""
-    return F.coalesce(F.try_sum("revenue").cast("double"), F.sum(F.col("revenue").cast("double")))
+from .money import total
 
 
 def report_summary(report_exact: DataFrame) -> DataFrame:
@@ -23,14 +19,14 @@ def report_summary(report_exact: DataFrame) -> DataFrame:
     """
     return report_exact.agg(
         F.count(F.lit(1)).alias("total_records"),
-        F.coalesce(_total(), F.lit(0.0)).alias("total_revenue"),
+        F.coalesce(total(report_exact), F.lit(0.0)).alias("total_revenue"),
         F.count_distinct("domain").alias("unique_domains"),
         F.count_distinct("keyword").alias("unique_keywords"),
     )
 
 
 def _totals(report_exact: DataFrame, key: str) -> DataFrame:
-    return report_exact.groupBy(key).agg(_total().alias("revenue"))
+    return report_exact.groupBy(key).agg(total(report_exact).alias("revenue"))
 
 
 def domain_revenue(report_exact: DataFrame) -> DataFrame:
@@ -67,7 +63,7 @@ def report_rollup(report_exact: DataFrame) -> DataFrame:
     keyword in the data cannot be mistaken for a rolled-up row).
     """
     g = report_exact.groupingSets([["domain"], ["keyword"], []], "domain", "keyword").agg(
-        _total().alias("revenue"), F.grouping_id().alias("_g"))
+        total(report_exact).alias("revenue"), F.grouping_id().alias("_g"))
     level = (F.when(F.col("_g") == 1, "domain").when(F.col("_g") == 2, "keyword")
              .otherwise("total"))
     name = F.when(F.col("_g") == 1, F.col("domain")).when(F.col("_g") == 2, F.col("keyword"))

@@ -17,8 +17,10 @@ from ..functions.urls import with_search_keyword
 from ..operators import attribution as A
 from ..operators import status as S
 from ..operators import summary as M
+from ..operators.money import as_double
 from ..operators.enrich import enrich_hits, purchase_hits, search_hits
-from ..sinks.report import partition_columns, report_text
+from ..sinks.report import report_text
+from ..sources import notifications as N
 from ..sources.files import load_file_records
 from ..sources.hits import load_event_hits
 from ..sources.tables import read_table
@@ -52,10 +54,6 @@ def _urls(spark: SparkSession, sf: str) -> DataFrame:
     return hits.unionByName(pages)
 
 
-def _dbl(col: str, alias: str | None = None):
-    return F.col(col).cast("double").alias(alias or col)
-
-
 def _manifest(spark: SparkSession, sf: str) -> DataFrame:
     return S.file_manifest(load_file_records(spark, sf), RUN_DATE)
 
@@ -89,12 +87,12 @@ def q_referrer_keyword(spark, sf):
 def q_line_revenue(spark, sf):
     return (_hits(spark, sf).where(F.col("product_list").isNotNull())
             .select("hit_id", "product_list",
-                    line_revenue("product_list").cast("double").alias("revenue")))
+                    line_revenue("product_list").alias("revenue")))
 
 
 def q_line_price(spark, sf):
     return (_hits(spark, sf).where(F.col("product_list").isNotNull())
-            .select("hit_id", "product_list", line_price("product_list").cast("double").alias("price")))
+            .select("hit_id", "product_list", line_price("product_list").alias("price")))
 
 
 def q_is_search_referral(spark, sf):
@@ -110,7 +108,7 @@ def q_is_purchase(spark, sf):
 
 
 def q_enriched_hits(spark, sf):
-    return _enriched(spark, sf).select("hit_id", "ip", "domain", "search_keyword", _dbl("revenue"),
+    return _enriched(spark, sf).select("hit_id", "ip", "domain", "search_keyword", as_double("revenue").alias("revenue"),
                                        "is_search_referral", "is_search_referral_lax", "is_purchase")
 
 
@@ -120,7 +118,7 @@ def q_search_hits(spark, sf):
 
 def q_purchase_hits(spark, sf):
     return (purchase_hits(_enriched(spark, sf)).where(F.col("ip").isNotNull())
-            .select("hit_id", "ip", _dbl("revenue")))
+            .select("hit_id", "ip", as_double("revenue").alias("revenue")))
 
 
 def q_last_touch(spark, sf):
@@ -137,30 +135,30 @@ def q_search_sessions_any(spark, sf):
 
 def q_purchase_sessions(spark, sf):
     ps = A.purchase_sessions(purchase_hits(_enriched(spark, sf)))
-    return ps.select("ip", _dbl("amount"), "n")
+    return ps.select("ip", as_double("amount", "amount_over").alias("amount"), "n")
 
 
 def q_attribution_join(spark, sf):
     e = _enriched(spark, sf)
     j = A.attribution_join(A.touches(e, order_by=ORDER), A.purchase_sessions(purchase_hits(e)))
-    return j.select("ip", "domain", "keyword", _dbl("amount"), "n")
+    return j.select("ip", "domain", "keyword", as_double("amount", "amount_over").alias("amount"), "n")
 
 
 def q_attributed_purchases(spark, sf):
     e = _enriched(spark, sf)
     rows = A.attributed_purchases(A.touches(e, order_by=ORDER),
-                                  purchase_hits(e).select("hit_id", "ip", "revenue"))
-    return rows.select("hit_id", "ip", "domain", "keyword", _dbl("revenue"))
+                                  purchase_hits(e).select("hit_id", "ip", "revenue", "revenue_over"))
+    return rows.select("hit_id", "ip", "domain", "keyword", as_double("revenue").alias("revenue"))
 
 
 def q_visitor_sessions(spark, sf):
     s = A.visitor_sessions(_enriched(spark, sf), order_by=ORDER)
-    return s.select("ip", "domain", "keyword", _dbl("revenue"), "n_purchases")
+    return s.select("ip", "domain", "keyword", as_double("revenue").alias("revenue"), "n_purchases")
 
 
 def q_visitor_revenue(spark, sf):
     s = A.visitor_sessions(_enriched(spark, sf), order_by=ORDER)
-    return s.where(F.col("revenue").isNotNull()).select("ip", _dbl("revenue"), "n_purchases")
+    return s.where(F.col("revenue").isNotNull()).select("ip", as_double("revenue").alias("revenue"), "n_purchases")
 
 
 def q_keyword_revenue(spark, sf):
@@ -216,12 +214,6 @@ def q_report_text(spark, sf):
     return report_text(events_report_exact(spark, sf))
 
 
-def q_report_partitioned(spark, sf):
-    rep = events_report_exact(spark, sf)
-    return partition_columns(rep, RUN_DATE, source_name=F.lit("events")).select(
-        "year", "month", "date", "source_name", "domain", "keyword", _dbl("revenue"))
-
-
 def q_file_date_from_key(spark, sf):
     return _manifest(spark, sf).select("event_seq", "file_key", "file_date")
 
@@ -253,6 +245,58 @@ def q_status_events_rejected(spark, sf):
     return S.rejected_status_events(raw_status_events(spark, sf)).select("event_seq", "reject_reason")
 
 
+def q_accepted_status_events(spark, sf):
+    return S.accepted_status_events(raw_status_events(spark, sf)).select(
+        "event_seq", "file_key", "file_status", "event_type", "file_date")
+
+
+def arrival_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Notifications as JSON text, one message an order: with two records on every 5th, without
+    records on every 89th, cut off on every 97th; bucket and content type filled, blank or missing."""
+    files = load_file_records(spark, sf)
+    seq = F.col("event_seq")
+    time = F.concat(F.regexp_replace(F.col("file_ts").cast("string"), " ", "T"), F.lit(".5Z"))
+    bucket = F.when(seq % 3 == 0, "").when(seq % 3 == 1, "landing-a")
+    kind = F.when(seq % 4 == 0, "text/plain").when(seq % 4 == 1, "")
+
+    def record(key, size):
+        return F.struct(F.lit("ObjectCreated").alias("eventName"), time.alias("eventTime"), F.struct(
+            F.struct(bucket.alias("name")).alias("bucket"),
+            F.struct(key.alias("key"), size.alias("size"), kind.alias("contentType")).alias("object")).alias("s3"))
+
+    one = record(F.col("raw_key"), F.col("file_size"))
+    two = record(F.concat("raw_key", F.lit(".2.json")), F.col("file_size") + 1)
+    text = F.to_json(F.struct(F.when(seq % 5 == 0, F.array(one, two)).otherwise(F.array(one)).alias("Records")))
+    return files.withColumn("text", text).select(
+        "event_seq", F.when(seq % 89 == 0, F.lit('{"Event":"Test"}'))
+        .when(seq % 97 == 0, F.substring("text", 1, 40)).otherwise(F.col("text")).alias("value"))
+
+
+def q_arrival_notifications(spark, sf):
+    files = N.notified_files(N.read_notifications(arrival_messages(spark, sf)))
+    events = S.status_events(S.file_manifest(files, RUN_DATE))
+    return events.select("event_seq", "file_key", "file_date", "file_size", "file_size_gb", "bucket", "content_type",
+                         "file_status", "event_type", "file_datetime")
+
+
+def q_arrival_notifications_rejected(spark, sf):
+    return N.rejected_notifications(N.read_notifications(arrival_messages(spark, sf))).select(
+        "event_seq", "reject_reason")
+
+
+def q_completion_events(spark, sf):
+    """Completion payloads as JSON text, read back as status events."""
+    seq = F.col("event_seq")
+    filled = _manifest(spark, sf).withColumns({
+        "bucket": F.when(seq % 3 == 0, "").when(seq % 3 == 1, "landing-a"),
+        "content_type": F.when(seq % 4 == 0, "text/plain").otherwise(F.col("content_type")),
+        "error_message": F.when(F.col("file_status") == "FAILED", F.concat(F.lit("code "), seq.cast("string")))})
+    messages = S.status_events(filled).select("event_seq", F.col("payload").alias("value"))
+    return S.status_events(N.read_completions(messages, f"{RUN_DATE} 00:00:00")).select(
+        "event_seq", "file_date", "file_key", "file_status", "event_type", "bucket", "content_type",
+        "file_datetime", "error_message", "payload")
+
+
 def status_log(spark: SparkSession, sf: str) -> DataFrame:
     """The status log keyed by file name only (``o_orderkey % 500``): ~30 events per file."""
     st = orders_status_events(spark, sf)
@@ -299,10 +343,13 @@ QUERIES: dict[str, Query] = {
     "top_domains": q_top_domains,
     "top_keywords": q_top_keywords,
     "report_text": q_report_text,
-    "report_partitioned": q_report_partitioned,
     "file_date_from_key": q_file_date_from_key,
     "file_manifest": q_file_manifest,
     "status_events": q_status_events,
     "status_events_rejected": q_status_events_rejected,
+    "accepted_status_events": q_accepted_status_events,
+    "arrival_notifications": q_arrival_notifications,
+    "arrival_notifications_rejected": q_arrival_notifications_rejected,
+    "completion_events": q_completion_events,
     "latest_file_status": q_latest_file_status,
 }

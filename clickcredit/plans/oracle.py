@@ -14,9 +14,10 @@ BIGINT)`` rounds (so integers are matched by regex first), JSON keeps nulls.
 from __future__ import annotations
 
 from ..functions.text import WHITESPACE_CLASS
-from ..schema import DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, DEFAULT_SITE, SEARCH_PARAMS
+from ..schema import DEFAULT_BUCKET, DEFAULT_CONTENT_TYPE, DEFAULT_SITE, HIT_COLUMNS, SEARCH_PARAMS
 
 RUN_DATE = "2026-03-06"
+LANDING_SPLITS = 4  # parts of the visitors that a day's landing files are split by
 SITE = DEFAULT_SITE
 
 # --------------------------------------------------------------------------
@@ -72,16 +73,16 @@ def revenue(pl: str) -> str:
     parts = f"string_split({pl}, ';')"
     qty = strip(f"{parts}[3]")
     price = strip(f"{parts}[4]")
-    qty_v = f"(CASE WHEN regexp_full_match({qty}, '[+-]?[0-9]+') THEN TRY_CAST({qty} AS DECIMAL(18,0)) END)"
+    qty_v = f"(CASE WHEN regexp_full_match({qty}, '[+-]?[0-9]+') THEN TRY_CAST({qty} AS DECIMAL(13,0)) END)"
     price_v = (f"(CASE WHEN regexp_full_match({price}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
-               f"THEN TRY_CAST({price} AS DECIMAL(18,4)) END)")
-    return f"coalesce(CAST({qty_v} * {price_v} AS DECIMAL(38,4)), CAST(0 AS DECIMAL(38,4)))"
+               f"THEN TRY_CAST({price} AS DECIMAL(24,10)) END)")
+    return f"coalesce(CAST({qty_v} * {price_v} AS DECIMAL(38,10)), CAST(0 AS DECIMAL(38,10)))"
 
 
 def price(pl: str) -> str:
     p = strip(f"string_split({pl}, ';')[4]")
     return (f"coalesce(CASE WHEN regexp_full_match({p}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?') "
-            f"THEN TRY_CAST({p} AS DECIMAL(18,4)) END, CAST(0 AS DECIMAL(18,4)))")
+            f"THEN TRY_CAST({p} AS DOUBLE) END, 0.0)")
 
 
 # --------------------------------------------------------------------------
@@ -369,10 +370,20 @@ SELECT 'total' AS level, CAST(NULL AS VARCHAR) AS name, CAST(sum(revenue) AS DOU
                          f"GROUP BY keyword ORDER BY sum(revenue) DESC, keyword LIMIT 5")
     q["report_text"] = (f'{report} SELECT domain AS "Search Engine Domain", keyword AS "Search Keyword", '
                         f'CAST(CAST(revenue AS DECIMAL(38,2)) AS VARCHAR) AS "Revenue" FROM report')
-    y, m, d = RUN_DATE.split("-")
-    q["report_partitioned"] = (f"{report} SELECT '{y}' AS year, '{m}' AS month, '{d}' AS date, "
-                               f"'events' AS source_name, domain, keyword, "
-                               f"CAST(revenue AS DOUBLE) AS revenue FROM report")
+    q["report_partitioned"] = f"""{with_(HITS_CTE, enriched_cte())}
+, own AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM enriched WHERE ip IS NOT NULL)
+, touch AS (
+  SELECT day, ip, domain, search_keyword AS keyword,
+         row_number() OVER (PARTITION BY day, ip ORDER BY ts DESC, hit_id DESC) AS rn
+  FROM own WHERE is_search_referral)
+, spent AS (SELECT day, ip, sum(revenue) AS revenue FROM own WHERE is_purchase AND revenue > 0 GROUP BY day, ip)
+, lines AS (
+  SELECT DISTINCT day, ip, concat_ws(chr(9), 'Search Engine Domain', 'Search Keyword', 'Revenue') AS line FROM own
+  UNION ALL
+  SELECT day, ip, concat_ws(chr(9), domain, keyword, CAST(CAST(revenue AS DECIMAL(38,2)) AS VARCHAR))
+  FROM touch JOIN spent USING (day, ip) WHERE rn = 1)
+SELECT split_part(day, '-', 1) AS year, split_part(day, '-', 2) AS month, split_part(day, '-', 3) AS date,
+       sha256('hits/' || day || '/' || ip) AS source_id, line FROM lines"""
     q["file_date_from_key"] = (f"{with_(FILES_CTE, MANIFEST_CTE)} SELECT event_seq, file_key, file_date "
                                f"FROM manifest2")
     q["file_manifest"] = (f"{with_(FILES_CTE, MANIFEST_CTE)} SELECT event_seq, file_key, file_name, "
@@ -388,6 +399,40 @@ SELECT event_seq, CASE
 FROM raw_events
 WHERE file_key IS NULL OR file_key = '' OR file_status IS NULL OR file_status = ''
    OR event_type IS NULL OR event_type = '' OR file_date IS NULL OR file_date = ''"""
+    q["accepted_status_events"] = f"""{with_(FILES_CTE, MANIFEST_CTE, STATUS_CTE, RAW_EVENTS_CTE)}
+SELECT event_seq, file_key, file_status, event_type, file_date FROM raw_events
+WHERE file_key <> '' AND file_status <> '' AND event_type <> '' AND file_date <> ''"""
+    q["file_event_log_checked"] = f"""{q["status_events_rejected"]}
+UNION ALL SELECT event_seq, CAST(NULL AS VARCHAR) FROM raw_events
+WHERE file_key <> '' AND file_status <> '' AND event_type <> '' AND file_date <> ''"""
+    # Messages are built from the same columns, so what should be read is known without JSON.
+    records = f"""{with_(FILES_CTE)}
+, recs AS (
+  SELECT event_seq, file_ts, raw_key, file_size, false AS second FROM files
+  WHERE event_seq % 89 <> 0 AND event_seq % 97 <> 0
+  UNION ALL
+  SELECT event_seq, file_ts, raw_key || '.2.json', file_size + 1, true FROM files
+  WHERE event_seq % 89 <> 0 AND event_seq % 97 <> 0 AND event_seq % 5 = 0)
+, keyed AS (SELECT *, {decode('raw_key')} AS file_key FROM recs)"""
+    q["arrival_notifications"] = f"""{records}
+SELECT event_seq, file_key, {file_date('file_key')} AS file_date, file_size, {size_gb('file_size')} AS file_size_gb,
+       CASE WHEN event_seq % 3 = 1 THEN 'landing-a' ELSE '{DEFAULT_BUCKET}' END AS bucket,
+       CASE WHEN event_seq % 4 = 0 THEN 'text/plain' WHEN second THEN 'application/json' ELSE 'text/csv' END
+         AS content_type,
+       'RECEIVED' AS file_status, 'ARRIVAL' AS event_type,
+       strftime(file_ts, '%Y-%m-%dT%H:%M:%S') || '.500000Z' AS file_datetime
+FROM keyed"""
+    q["arrival_notifications_rejected"] = f"""{with_(FILES_CTE)}
+SELECT event_seq, CASE WHEN event_seq % 89 = 0 THEN 'no record' ELSE 'not JSON' END AS reject_reason
+FROM files WHERE event_seq % 89 = 0 OR event_seq % 97 = 0"""
+    q["completion_events"] = f"""{files}
+, filled AS (
+  SELECT event_seq, file_date, file_key, file_status, event_type, file_datetime,
+         CASE WHEN event_seq % 3 = 1 THEN 'landing-a' ELSE bucket END AS bucket,
+         CASE WHEN event_seq % 4 = 0 THEN 'text/plain' ELSE content_type END AS content_type,
+         CASE WHEN file_status = 'FAILED' THEN 'code ' || CAST(event_seq AS VARCHAR) END AS error_message
+  FROM status)
+SELECT *, {PAYLOAD} AS payload FROM filled"""
     q["latest_file_status"] = f"""{with_(FILES_CTE, MANIFEST_CTE, STATUS_CTE, LOG_CTE)}
 , ranked AS (SELECT *, row_number() OVER (PARTITION BY file_key ORDER BY file_ts DESC, event_seq DESC) AS rn,
                     count(*) OVER (PARTITION BY file_key) AS n_events FROM log)
@@ -397,6 +442,26 @@ SELECT file_key, file_status, event_type, file_datetime, n_events FROM ranked WH
 SELECT CAST(floor(epoch(h.ts)) AS BIGINT) AS hit_time_gmt, strftime(h.ts, '%Y-%m-%d %H:%M:%S') AS date_time,
        h.ip, nullif(h.event_list, '') AS event_list, e.event_type AS pagename, h.product_list, h.referrer
 FROM hits h JOIN events e ON e.event_id = h.hit_id"""
+    # A landing file: the header, and for each hit its fields with tabs between; blank text is "".
+    header = len("\t".join(HIT_COLUMNS)) + 1
+    q["file_listing"] = f"""{with_(HITS_CTE)}
+, sized AS (
+  SELECT strftime(h.ts, '%Y-%m-%d') AS day,
+         CAST({header} + sum({len(HIT_COLUMNS)} + 19 + strlen(CAST(CAST(floor(epoch(h.ts)) AS BIGINT) AS VARCHAR))
+              + strlen(coalesce(h.ip, '')) + CASE WHEN h.event_list = '' THEN 2 ELSE strlen(h.event_list) END
+              + strlen(coalesce(e.event_type, '')) + strlen(coalesce(h.product_list, ''))
+              + strlen(coalesce(h.referrer, ''))) AS BIGINT) AS file_size
+  FROM hits h JOIN events e ON e.event_id = h.hit_id GROUP BY 1)
+SELECT day, '{RUN_DATE}' AS file_date, file_size, {size_gb('file_size')} AS file_size_gb,
+       CASE WHEN file_size < 2147483648 THEN 'small' ELSE 'large' END AS size_class, 'text/csv' AS content_type
+FROM sized"""
+    q["report_job"] = f"""{with_(HITS_CTE)}
+SELECT strftime(ts, '%Y-%m-%d') AS day, '{RUN_DATE}' AS file_date, 'COMPLETE' AS file_status, 'SPARK' AS event_type,
+       count(*) AS record_count, '{RUN_DATE}T12:05:00Z' AS file_datetime, CAST(2 AS BIGINT) AS n_events
+FROM hits GROUP BY 1"""
+    q["stream_file_events"] = f"""{with_(HITS_CTE)}
+SELECT strftime(ts, '%Y-%m-%d') AS day, 'COMPLETE' AS file_status, count(*) AS hits,
+       CAST(0 AS BIGINT) AS n_without_report FROM hits GROUP BY 1"""
     q["write_report"] = q["report_text"]
     q["file_event_log"] = (f"{files} SELECT event_seq, file_date, file_key, file_status, event_type, bucket, "
                            f"content_type, file_datetime, error_message FROM status")

@@ -12,15 +12,19 @@ import uuid
 from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
-# Settings a local or test session needs. Applied only where unset.
+# Settings that only a local or test session needs. Applied only where unset and the
+# master is local: on a cluster, parallelism and the rest are the platform's.
 _LOCAL_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.sql.shuffle.partitions": "8",
+}
+# Settings that the results or plans rely on. Applied only where unset.
+_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.shuffle.partitions": "8",
     # HotSpot never JIT-compiles a method over 8000 bytes of bytecode; the URL
     # rules make a large generated method, so let Spark fall back to
     # per-operator code for such a stage instead of running it interpreted.
@@ -28,6 +32,12 @@ _LOCAL_DEFAULTS = {
 }
 
 
+def session_defaults(master: str, extra: dict[str, str] | None = None) -> dict[str, str]:
+    """Settings for a session on ``master``, where nothing else was submitted."""
+    local = master == "local" or master.startswith("local[")
+    return {**_DEFAULTS, **(_LOCAL_DEFAULTS if local else {}), **(extra or {})}
+
+
 def get_session(master: str | None = None, app_name: str = "clickcredit",
                 extra: dict[str, str] | None = None) -> SparkSession:
     """Return the active session, or build a local one with sane defaults."""
@@ -37,9 +47,11 @@ def get_session(master: str | None = None, app_name: str = "clickcredit",
     SparkContext._ensure_initialized()  # so that SparkConf sees what spark-submit was given
     submitted = SparkConf()
     builder = SparkSession.builder.appName(app_name)
-    if master or not submitted.contains("spark.master"):
-        builder = builder.master(master or os.environ.get("CLICKCREDIT_MASTER", "local[8]"))
-    for key, value in {**_LOCAL_DEFAULTS, **(extra or {})}.items():
+    where = submitted.get("spark.master", None)
+    if master or not where:
+        where = master or os.environ.get("CLICKCREDIT_MASTER", "local[8]")
+        builder = builder.master(where)
+    for key, value in session_defaults(where, extra).items():
         if not submitted.contains(key):
             builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -67,6 +79,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever file system the path names."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/clickcredit/{name}-{uuid.uuid4().hex[:12]}"

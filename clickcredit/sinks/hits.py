@@ -9,26 +9,27 @@ from ..schema import HIT_COLUMNS
 
 
 def write_hits_tsv(hits: DataFrame, path: str, *, file_key: Column | None = None,
-                   n_files: int | None = None) -> None:
-    """Write hit files; ``file_key`` groups rows into files: one folder and one file per key.
+                   splits: int = 1, visitor: str = "ip") -> None:
+    """Write hit files; ``file_key`` groups rows into files: a folder for each key.
 
-    Sessions are scoped to a file, so all rows of a key must land in the same
-    file: rows are clustered by the key before the partitioned write (one
-    writer task per key) regardless of how the input was partitioned.
+    Sessions are scoped to a file, so a visitor's rows of a key must land in one file: rows are
+    clustered by the key, and by the visitor's hash modulo ``splits``, before the partitioned write
+    (one writer task and file for each). With ``splits`` a hot key is many files; reports per
+    key are then the sums of its files' reports.
     """
     # Times as text: the CSV writer's format option does not reach zone-less timestamps.
     columns = [F.substring(F.col(c).cast("string"), 1, 19).alias(c) if c == "date_time" else F.col(c)
                for c in HIT_COLUMNS]
     out = hits.select(*columns, *([file_key.alias("file_key")] if file_key is not None else []))
     if file_key is not None:
-        out = out.repartition("file_key")
-    elif n_files:
-        out = out.repartition(n_files)
+        out = out.withColumn("split", F.pmod(F.xxhash64(visitor), F.lit(splits)).cast("int"))
+        out = out.repartition("file_key", "split")
+        out = out if splits > 1 else out.drop("split")
     writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
               .option("lineSep", "\n")
               .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
     if file_key is not None:
-        writer = writer.partitionBy("file_key")
+        writer = writer.partitionBy("file_key", *(["split"] if splits > 1 else []))
     writer.csv(path)
 
 

@@ -1,32 +1,37 @@
-"""Report sinks: formatted text, single-file TSV, date-partitioned output."""
+"""Report sinks: formatted text, an ordered TSV, and one report per file in a partitioned tree."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.money import as_text, over_of
 from ..schema import REPORT_HEADER
+from ..session import checkpoint_root
+
+# Partition columns of a report tree, outermost first.
+PLACE = ("year", "month", "date", "source_id")
 
 
-def revenue_text(revenue: Column) -> Column:
+def revenue_text(revenue: Column, over: Column | None = None) -> Column:
     """Two decimals, half-even, as text (``480.00``); exact on decimal input."""
-    return F.bround(revenue.cast("decimal(38,4)"), 2).cast("decimal(38,2)").cast("string")
+    return as_text(revenue, F.lit(0).cast("decimal(38,0)") if over is None else over)
+
+
+def _text_columns(report: DataFrame) -> list[Column]:
+    names = (F.col("domain"), F.col("keyword"), revenue_text(F.col("revenue"), over_of(report)))
+    return [c.alias(n) for c, n in zip(names, REPORT_HEADER, strict=True)]
 
 
 def report_text(report_exact: DataFrame) -> DataFrame:
     """The report as the file shows it: header names and 2-decimal revenue text."""
-    d, k, r = REPORT_HEADER
-    return report_exact.select(F.col("domain").alias(d), F.col("keyword").alias(k),
-                               revenue_text(F.col("revenue")).alias(r))
+    return report_exact.select(*_text_columns(report_exact))
 
 
 def partition_columns(report: DataFrame, run_date: str, source_name: Column | None = None) -> DataFrame:
-    """Add ``year``, ``month``, ``date`` (from the run date) and the source name.
-
-    Output paths are ``year=/month=/date=`` like the original, plus the source
-    file name so two runs on the same day over different inputs never
-    overwrite each other.
-    """
+    """Add ``year``, ``month``, ``date`` (from the run date) and the source name."""
     y, m, d = run_date.split("-")
     out = report.withColumns({"year": F.lit(y), "month": F.lit(m), "date": F.lit(d)})
     if source_name is not None:
@@ -34,39 +39,101 @@ def partition_columns(report: DataFrame, run_date: str, source_name: Column | No
     return out
 
 
-def _ordered_text(report_exact: DataFrame) -> DataFrame:
-    ordered = report_exact.orderBy(F.col("revenue").desc(), F.col("domain"), F.col("keyword"))
-    return report_text(ordered)
+def source_id(path: Column) -> Column:
+    """Partition value of an input: names repeat across folders, whole paths don't."""
+    return F.sha2(path, 256)
+
+
+def with_places(files: DataFrame, date: Column, source: str = "source_file") -> DataFrame:
+    """Add the place (``PLACE``) of each input's report: a date as ``YYYY-MM-DD`` text, and the
+    digest of the input's whole path."""
+    part = lambda n: F.split_part(date, F.lit("-"), F.lit(n))
+    return files.withColumns({"year": part(1), "month": part(2), "date": part(3), "source_id": source_id(F.col(source))})
+
+
+def place_path(root: str) -> Column:
+    """The folder of a row's place."""
+    parts = [F.concat(F.lit(f"/{c}="), F.col(c)) for c in PLACE]
+    return F.concat(F.lit(root.rstrip("/")), *parts)
 
 
-def write_report(report_exact: DataFrame, path: str, *, single_file: bool = True,
+def _order(report: DataFrame) -> list[Column]:
+    return [over_of(report).desc(), F.col("revenue").desc(), F.col("domain").asc(), F.col("keyword").asc()]
+
+
+def _csv(writer):
+    return (writer.option("sep", "\t").option("lineSep", "\n")
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+
+
+def write_report(report_exact: DataFrame, path: str, *, single_file: bool = False,
                  max_records_per_file: int = 0) -> None:
     """Write the report as tab-separated text with a header.
 
-    ``single_file``: the report is an aggregate (one row per domain/keyword),
-    so one ordered file is the expected shape: a range-partitioned sort, then
-    the ordered partitions are concatenated by one writer task. An empty
-    report still yields a header-only file. For very large reports pass
-    ``single_file=False``: every task writes its own sorted range.
+    Range partitions, each sorted, are written side by side as numbered files: their names in
+    order give the report, and each has the header. A small report is one file, as adaptive
+    execution merges small ranges; an empty one is a header-only file. ``single_file`` forces one
+    file and with it one task.
     """
-    out = _ordered_text(report_exact)
+    out = report_text(report_exact.orderBy(*_order(report_exact)))
     if single_file:
         out = out.coalesce(1)
-    writer = (out.write.mode("overwrite").option("sep", "\t").option("header", True)
-              .option("lineSep", "\n")
-              .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    writer = _csv(out.write.mode("overwrite").option("header", True))
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
     writer.csv(path)
 
 
 def write_partitioned_report(report_exact: DataFrame, root: str, run_date: str,
-                             source_name: str) -> None:
-    """Write under ``root/year=Y/month=M/date=D/source_name=S``, replacing only that partition.
+                             source_name: str, source_path: str | None = None) -> str:
+    """Write one input's report under ``root/year=Y/month=M/date=D/[source_id=I/]source_name=S``
+    and return that folder; only it is replaced.
 
-    The folder itself is written, so an empty report leaves a header-only file and
-    replaces an earlier report.
+    ``source_path``, the input's whole path, gives inputs of one name a place each. The folder
+    itself is written, so an empty report leaves a header-only file and replaces an earlier report.
     """
     year, month, day = run_date.split("-")
-    write_report(report_exact, f"{root.rstrip('/')}/year={year}/month={month}/date={day}"
-                               f"/source_name={source_name}")
+    folder = f"{root.rstrip('/')}/year={year}/month={month}/date={day}"
+    if source_path is not None:
+        import hashlib
+
+        folder += f"/source_id={hashlib.sha256(source_path.encode()).hexdigest()}"
+    folder += f"/source_name={source_name}"
+    write_report(report_exact, folder)
+    return folder
+
+
+def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Sequence[str] = PLACE) -> None:
+    """Write the reports of many inputs in one job, each to its own place under ``root``.
+
+    ``reports`` holds domain, keyword and revenue with the place columns; ``places`` one row per
+    expected place, also of inputs without credit: these get a header-only file. Only the places
+    given are replaced (dynamic overwrite), so a repeated job writes the same tree. Rows are
+    range-partitioned by place and report order: a place is not bound to one task, and the names of
+    its files in order give its report.
+    """
+    by = list(by)
+    # Partition columns that are never null, nor known constants, so that the writer takes the rows
+    # as they are sorted; otherwise it sorts them once more, by those columns alone.
+    reports, places = (df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by})
+                       for df in (reports, places))
+    checkpoint_root(reports.sparkSession)
+    reports = reports.checkpoint(eager=True)
+    rows = (reports.repartitionByRange(*by, *_order(reports)).sortWithinPartitions(*by, *_order(reports))
+            .select(*_text_columns(reports), *by))
+    empty = (places.select(*by).distinct().join(reports.select(*by).distinct(), by, "left_anti")
+             .select(*[F.lit(n).alias(n) for n in REPORT_HEADER], *by))
+    for part, header in ((rows, True), (empty, False)):  # of an empty place, the header is the row
+        writer = part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
+        _csv(writer.option("header", header)).csv(root)
+
+
+def read_file_reports(spark: SparkSession, root: str, by: Sequence[str] = PLACE) -> DataFrame:
+    """Rows of all reports under ``root`` as text, with their places; none for empty reports."""
+    schema = ", ".join(f"`{n}` string" for n in (*REPORT_HEADER, *by))
+    return spark.read.schema(schema).option("header", True).option("sep", "\t").csv(root)
+
+
+def read_report_lines(spark: SparkSession, root: str, by: Sequence[str] = PLACE) -> DataFrame:
+    """The text lines of all files under ``root`` with their places, headers included."""
+    return spark.read.schema(", ".join(["value string", *(f"{c} string" for c in by)])).text(root)

@@ -53,6 +53,19 @@ def test_c1_tie_on_time_is_deterministic(spark, tmp_dir):
     assert report(spark, tmp_dir, rows, attribution="first") == [("google.com", "aa", 5.0)]
 
 
+def test_c1_touch_without_a_time_loses(spark):
+    from clickcredit.schema import HIT_SCHEMA
+    hit = lambda t, ref, event=None, plist=None: (
+        t, None, None, "a", event, None, None, None, None, None, plist, ref)
+    rows = [hit(None, G + "zz-untimed"), hit(10, G + "one"), hit(20, G + "two"), hit(None, B + "aa-untimed"),
+            hit(30, None, "1", "E;X;1;10;")]
+    hits = enrich_hits(spark.createDataFrame(rows, HIT_SCHEMA))
+    for how, want in (("first", "one"), ("last", "two")):
+        assert [r.keyword for r in keyword_revenue(hits, attribution=how).collect()] == [want]
+    untimed = enrich_hits(spark.createDataFrame([rows[0], rows[-1]], HIT_SCHEMA))
+    assert [r.keyword for r in keyword_revenue(untimed, attribution="first").collect()] == ["zz-untimed"]
+
+
 def test_c2_purchase_before_search_still_credited(spark, tmp_dir):
     rows = [buy("a", 7, t=1), touch("a", G + "late", 2)]
     assert report(spark, tmp_dir, rows) == [("google.com", "late", 7.0)]

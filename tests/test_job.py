@@ -91,3 +91,112 @@ def test_input_without_credit_gives_a_header_only_report(spark, tmp_dir):
         (part,) = glob.glob(os.path.join(res.output_location, "part-*.csv"))
         with open(part) as f:
             assert len(f.read().splitlines()) == 1
+
+
+def test_inputs_of_one_name_do_not_overwrite_each_other(spark, tmp_dir):
+    out, log = os.path.join(tmp_dir, "tgt"), os.path.join(tmp_dir, "log")
+    places = {}
+    for day, variant in (("5", "original"), ("6", "test")):
+        folder = os.path.join(tmp_dir, "landing", "year=2026", "month=3", f"day={day}")
+        os.makedirs(folder)
+        places[day] = run_report_job(spark, write_sample(folder, variant, "hits.tsv"), out, log,
+                                     run_ts=RUN).output_location
+    assert places["5"] != places["6"]
+    text = {d: open(glob.glob(os.path.join(p, "part-*.csv"))[0]).read().splitlines()[1] for d, p in places.items()}
+    assert text == {"5": "google.com\tipod\t480.00", "6": "google.com\tipod\t575.00"}
+
+
+def test_routing_again_adds_nothing_and_keeps_the_outcome(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "landing", "year=2026", "month=3", "day=5")
+    os.makedirs(landing)
+    src, log = write_sample(landing, "original"), os.path.join(tmp_dir, "log")
+    open(os.path.join(landing, "empty.tsv"), "w").close()
+    root = os.path.join(tmp_dir, "landing")
+    assert route_new_files(spark, root, log, run_ts=RUN).count() == 2
+    run_report_job(spark, src, os.path.join(tmp_dir, "tgt"), log, run_ts=RUN + dt.timedelta(minutes=1))
+    assert route_new_files(spark, root, log, run_ts=RUN + dt.timedelta(minutes=2)).count() == 0
+    status = lambda: {r.file_key.split("/")[-1]: (r.file_status, r.n_events) for r in latest_file_status(
+        read_file_events(spark, log)).collect()}
+    assert status() == {"hits_original.tsv": ("COMPLETE", 2), "empty.tsv": ("RECEIVED", 1)}
+    # Delivered anew with other content, the file is new again; so is a later one.
+    write_sample(landing, "quantity", "hits_original.tsv")
+    with open(src, "a") as f:
+        f.write("\n")
+    write_sample(landing, "test")
+    again = route_new_files(spark, root, log, run_ts=RUN + dt.timedelta(minutes=3))
+    assert sorted(r.file_name for r in again.collect()) == ["hits_original.tsv", "hits_test.tsv"]
+    assert status()["hits_original.tsv"] == ("RECEIVED", 3)
+
+
+def test_pending_files_are_reported_in_one_job(spark, tmp_dir):
+    from clickcredit.plans.job import run_pending
+    from clickcredit.sinks.report import read_file_reports
+    for day, variant in (("5", "original"), ("6", "test")):
+        folder = os.path.join(tmp_dir, "landing", "year=2026", "month=3", f"day={day}")
+        os.makedirs(folder)
+        write_sample(folder, variant, "hits.tsv")
+    open(os.path.join(folder, "empty.tsv"), "w").close()
+    log, out = os.path.join(tmp_dir, "log"), os.path.join(tmp_dir, "out")
+    route_new_files(spark, os.path.join(tmp_dir, "landing"), log, run_ts=RUN)
+    done = run_pending(spark, out, log, run_ts=RUN + dt.timedelta(minutes=1), dated_by="file")
+    assert sorted((r.file_date, r.record_count) for r in done.collect()) == [
+        ("2026-03-05", 12), ("2026-03-06", 0), ("2026-03-06", 12)]
+    rows = read_file_reports(spark, out).collect()
+    assert sorted((r.date, r["Search Keyword"], r.Revenue) for r in rows) == [
+        ("05", "ipod", "480.00"), ("05", "zune", "250.00"), ("06", "ipod", "575.00"), ("06", "zune", "50.00")]
+    assert len(glob.glob(os.path.join(out, "year=2026", "month=03", "date=*", "source_id=*"))) == 3
+    # Nothing is pending any more; a job of nothing is fine.
+    assert run_pending(spark, out, log, run_ts=RUN + dt.timedelta(minutes=2)).count() == 0
+    # A file that can't be read: its event says so, and the error is raised.
+    with open(os.path.join(folder, "bad.tsv"), "w") as f:
+        f.write("no\theader\n1\t2\n")
+    route_new_files(spark, os.path.join(tmp_dir, "landing"), log, run_ts=RUN)
+    with pytest.raises(Exception):
+        run_pending(spark, out, log, run_ts=RUN + dt.timedelta(minutes=3))
+    failed = read_file_events(spark, log).where("file_status = 'FAILED'").collect()
+    assert [r.file_key.split("/")[-1] for r in failed] == ["bad.tsv"] and failed[0].error_message
+
+
+def test_many_reports_in_parallel_ranges(spark, tmp_dir):
+    """A place whose rows lie in several tasks: its files in the order of their names are the report."""
+    from pyspark.sql import functions as F
+
+    from clickcredit.sinks.report import with_places, write_file_reports
+    reports = spark.range(4000).select(
+        F.when(F.col("id") % 10 < 8, "a").otherwise("b").alias("source_file"), F.lit("d").alias("domain"),
+        F.concat(F.lit("k"), "id").alias("keyword"),
+        (F.hash("id") % 1000 + 1000).cast("decimal(38,10)").alias("revenue"))
+    files = spark.createDataFrame([("a",), ("b",), ("none",)], "source_file string")
+    out = os.path.join(tmp_dir, "out")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # so that small ranges stay apart
+    try:
+        for _ in range(2):  # a repeated job writes the same tree
+            write_file_reports(with_places(reports, F.lit("2026-03-06")), with_places(files, F.lit("2026-03-06")), out)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    sizes = {}
+    for place in glob.glob(os.path.join(out, "year=2026", "month=03", "date=06", "source_id=*")):
+        parts = sorted(glob.glob(os.path.join(place, "part-*.csv")))
+        bodies = []
+        for part in parts:
+            head, *body = open(part).read().splitlines()
+            assert head == "Search Engine Domain\tSearch Keyword\tRevenue"
+            bodies += body
+        key = [(-float(line.split("\t")[2]), line.split("\t")[1]) for line in bodies]
+        assert key == sorted(key)
+        sizes[len(bodies)] = len(parts)
+    assert sorted(sizes) == [0, 800, 3200] and sizes[3200] > 2 and sizes[0] == 1
+
+
+def test_job_scans_its_input_once(spark, tmp_dir):
+    """The report and the record count come from one plan with one scan."""
+    from clickcredit.operators.attribution import keyword_revenue_counted, quiet_hits
+    from clickcredit.operators.enrich import enrich_hits
+    from clickcredit.sources.hits import read_hits
+    counted = keyword_revenue_counted(enrich_hits(quiet_hits(read_hits(spark, write_sample(tmp_dir, "original")))))
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "Join" not in plan
+    assert sum(r.n_hits for r in counted.collect()) == 12
+    source = open(os.path.join(os.path.dirname(__file__), "..", "clickcredit", "plans", "job.py")).read()
+    assert "hits.count()" not in source

@@ -18,3 +18,13 @@ def test_checkpoint_uses_a_reliable_folder(spark):
     assert spark.sparkContext.getCheckpointDir() is not None
     df = spark.range(10).checkpoint(eager=True)
     assert df.count() == 10
+
+
+def test_parallelism_is_set_on_a_local_master_only():
+    from clickcredit.session import session_defaults
+    assert session_defaults("local[4]")["spark.sql.shuffle.partitions"] == "8"
+    for master in ("yarn", "spark://host:7077", "k8s://https://host", "local-cluster[2,1,1024]"):
+        settings = session_defaults(master)
+        assert "spark.sql.shuffle.partitions" not in settings
+        assert settings["spark.sql.adaptive.enabled"] == "true"
+    assert session_defaults("yarn", {"a": "b"})["a"] == "b"
