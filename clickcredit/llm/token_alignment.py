@@ -11,9 +11,9 @@ per document, so a pair that all documents hold is one short row a block. Counts
 to the blocks by a join, and each block's documents are summed in one Arrow row. The most frequent
 count of each A id is broadcast; it has no more rows than A's vocabulary.
 
-Tokens of a word with the white space before it don't depend on what is around it, so such
-stretches are tokenised once per cache. This is checked in the tokenizer files; with others,
-whole texts are tokenised. When the cache has reached its bound, what was not met since the last
+Tokens of a word with the white space before it don't depend on what is around it, and both
+tokenizers end a token at its end, so such stretches are tokenised and sliced once per cache. This is
+checked in the tokenizer files; with others, whole texts are tokenised and sliced. When the cache has reached its bound, what was not met since the last
 time goes.
 
 Defined results: a null or empty text, and one whose tokens of A or B don't spell a space
@@ -111,6 +111,34 @@ class TokenizerB:
         return self._model.encode(text)
 
 
+def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many tokens of A and of B end up to each byte where both end."""
+    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
+    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
+    common = sorted(filter(index_b.__contains__, index_a))
+    return (np.fromiter(map(index_a.__getitem__, common), np.int64, len(common)),
+            np.fromiter(map(index_b.__getitem__, common), np.int64, len(common)))
+
+
+class GroupsText:
+    """Writes groups as ``a1,a2|b1;a3|b2,b3``, the ids of each in order."""
+
+    def __init__(self, n_a: int, n_b: int):
+        self._a, self._b = ([np.array([f"{i}{mark}" for i in range(n)], dtype=object) for mark in marks]
+                            for n, marks in ((n_a, ",|"), (n_b, ",;")))
+
+    def pieces(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[str]:
+        """One text for each token, in the order of the groups."""
+        n_a, n_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
+        out = np.empty(len(ids_a) + len(ids_b), dtype=object)
+        place_a = np.arange(len(ids_a)) + np.repeat(cuts_b - n_b, n_a)
+        place_b = np.arange(len(ids_b)) + np.repeat(cuts_a, n_b)
+        for (inner, closing), ids, place, cuts in ((self._a, ids_a, place_a, cuts_a), (self._b, ids_b, place_b, cuts_b)):
+            out[place] = inner[ids]
+            out[place[cuts - 1]] = closing[ids[cuts - 1]]
+        return out.tolist()
+
+
 class Pair:
     """Both tokenizers, with a cache of stretches."""
 
@@ -121,95 +149,85 @@ class Pair:
         # Texts with white space that is in pieces, or that is white space to Python's patterns
         # alone, are tokenised whole.
         self._whole = re.compile("[" + re.escape("".join(sorted({*self.b.spaces, *"\x1c\x1d\x1e\x1f"}))) + "]")
-        self._known: dict[str, tuple[bytes, bytes] | bool] = {}  # False: spelled otherwise
+        self._text = GroupsText(len(self.a.tokens), len(self.b.tokens))
+        # Ids and tokens per group of A and of B as bytes, and the groups' text.
+        self._known: dict[str, tuple[bytes, bytes, bytes, bytes, str]] = {}
         self._older = self._known  # of which what is met again moves on
+        self._misspelled: set[str] = set()  # stretches whose tokens spell something else
 
-    def _encode(self, text: str, row: bool = False) -> tuple[bytes, bytes] | None:
+    def _encode(self, text: str, row: bool = False) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of a text that begins with a space; None if A or B spells something else."""
         raw = text.encode()
         ids_a, ids_b = self.a.encode_row(text) if row else self.a.encode(text), self.b.encode(text[1:])
         if (b"".join(map(self.a.tokens.__getitem__, ids_a)) != raw
                 or b"".join(map(self.b.tokens.__getitem__, ids_b)) != raw):
             return None
-        return np.array(ids_a, "<i4").tobytes(), np.array(ids_b, "<i4").tobytes()
-
-    def _learn(self, stretches: list[str]) -> None:
+        return np.array(ids_a, "<i4"), np.array(ids_b, "<i4")
+
+    def _grouped(self, ids_a: np.ndarray, ids_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return common_ends(np.cumsum(self.size_a[ids_a]), np.cumsum(self.size_b[ids_b]))
+
+    def _store(self, stretches: list[str], sizes: list[int], ids_a: np.ndarray, ids_b: np.ndarray) -> bool:
+        """Cut the tokens of stretches in a row, behind two bytes, apart; False if a token of A or B
+        goes over an end."""
+        cuts_a, cuts_b = self._grouped(ids_a, ids_b)
+        group_ends = np.cumsum(self.size_a[ids_a])[cuts_a - 1]  # bytes
+        wanted = np.cumsum([2, *sizes])
+        at = np.searchsorted(group_ends, wanted)
+        if not np.array_equal(group_ends[np.minimum(at, len(group_ends) - 1)], wanted):
+            return False
+        n_a, n_b = np.diff(cuts_a, prepend=0).astype("<i4"), np.diff(cuts_b, prepend=0).astype("<i4")
+        pieces = self._text.pieces(ids_a, ids_b, cuts_a, cuts_b)
+        to_a, to_b, groups = cuts_a[at].tolist(), cuts_b[at].tolist(), (at + 1).tolist()
+        all_a, all_b, all_n_a, all_n_b = (x.tobytes() for x in (ids_a, ids_b, n_a, n_b))
+        for k, s in enumerate(stretches):
+            a, end_a, b, end_b, g, end_g = to_a[k], to_a[k + 1], to_b[k], to_b[k + 1], groups[k], groups[k + 1]
+            self._known[s] = (all_a[4 * a:4 * end_a], all_b[4 * b:4 * end_b], all_n_a[4 * g:4 * end_g],
+                              all_n_b[4 * g:4 * end_g], "".join(pieces[a + b:end_a + end_b]))
+        return True
+
+    def _learn(self, new: set[str]) -> None:
         """Short stretches that end in a word are encoded in a row and cut apart again; a long one,
         or white space that ends a text and would run on into the next, alone."""
-        if len(self._known) > _CACHED:
-            self._known, self._older = {}, self._known
-        new = [s for s in dict.fromkeys(stretches) if s not in self._known]
-        self._known.update((s, self._older[s]) for s in new if s in self._older)
-        new = [s for s in new if s not in self._known]
-        short = [s for s in new if len(s) <= _CACHED_CHARS and not s[-1].isspace()]
-        both = self._encode(" a" + "".join(short), row=True)
-        ends = np.cumsum([2, *(len(s.encode()) for s in short)])
-        cuts = []
-        for ids, size in zip(both or (), (self.size_a, self.size_b), strict=False):
-            at = np.cumsum(size[np.frombuffer(ids, "<i4")])
-            place = np.searchsorted(at, ends)
-            if np.array_equal(at[place], ends):
-                cuts.append((4 * (place + 1)).tolist())
-        if len(cuts) == 2:
-            (ids_a, ids_b), (cuts_a, cuts_b) = both, cuts
-            self._known.update(zip(short, [
-                (ids_a[lo_a:hi_a], ids_b[lo_b:hi_b])
-                for lo_a, hi_a, lo_b, hi_b in zip(cuts_a[:-1], cuts_a[1:], cuts_b[:-1], cuts_b[1:], strict=True)],
-                strict=True))
-        # Else one of them is spelled otherwise.
-        self._known.update((s, self._alone(s)) for s in new if s not in self._known)
-
-    def _alone(self, stretch: str) -> tuple[bytes, bytes] | bool:
-        both, lead = self._encode(" a" + stretch), self._encode(" a")
-        return bool(both and lead) and (both[0][len(lead[0]):], both[1][len(lead[1]):])
-
-    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """A's and B's ids of a space and the text; None if one of them spells something else."""
+        met = {s: self._older[s] for s in new if s in self._older}
+        self._known.update(met)
+        short = [s for s in new if s not in met and len(s) <= _CACHED_CHARS and not s[-1].isspace()]
+        row = self._encode(" a" + "".join(short), row=True)
+        stored = row is not None and self._store(short, [len(s.encode()) for s in short], *row)
+        for s in new.difference(self._known) if not stored or len(short) + len(met) < len(new) else ():
+            ids = self._encode(" a" + s)
+            if ids is None or not self._store([s], [len(s.encode())], *ids):
+                self._known[s] = (b"", b"", b"", b"", "")
+                self._misspelled.add(s)
+
+    def align(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, str] | None:
+        """A's and B's ids of a space and the text, how many tokens of A and of B end up to the end of
+        each group, and the groups' text; None if A or B spells something else."""
         if not text:
             return None
-        if self.by_stretch and not self._whole.search(text):
-            stretches = _STRETCH.findall(" " + text)
-            parts = list(map(self._known.get, stretches))
-            if None in parts:
-                self._learn(stretches)
-                parts = list(map(self._known.__getitem__, stretches))
-                for s in {s for s in stretches if len(s) > _CACHED_CHARS}:
-                    del self._known[s]
-            if False in parts:
-                return None
-            both = b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
-        else:
+        if not self.by_stretch or self._whole.search(text):
             both = self._encode(" " + text)
             if both is None:
                 return None
-        return np.frombuffer(both[0], "<i4"), np.frombuffer(both[1], "<i4")
-
-
-def common_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """How many tokens of A and of B end up to each byte where both end."""
-    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1), strict=True))
-    index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1), strict=True))
-    common = sorted(filter(index_b.__contains__, index_a))
-    return (np.fromiter(map(index_a.__getitem__, common), np.int64, len(common)),
-            np.fromiter(map(index_b.__getitem__, common), np.int64, len(common)))
-
-
-class GroupsText:
-    """Writes groups as ``a1,a2|b1;a3|b2,b3``, the ids of each in order."""
-
-    def __init__(self, n_a: int, n_b: int):
-        self._a, self._b = ([np.array([f"{i}{mark}" for i in range(n)], dtype=object) for mark in marks]
-                            for n, marks in ((n_a, ",|"), (n_b, ",;")))
+            cuts = self._grouped(*both)
+            return *both, *cuts, "".join(self._text.pieces(*both, *cuts))[:-1]
+        stretches = _STRETCH.findall(" " + text)
+        if len(self._known) > _CACHED:
+            self._known, self._older = {}, self._known
+            self._misspelled.intersection_update(self._older)
+        if new := set(stretches).difference(self._known):
+            self._learn(new)
+        ids_a, ids_b, n_a, n_b, texts = zip(*map(self._known.__getitem__, stretches), strict=True)
+        for s in [s for s in new if len(s) > _CACHED_CHARS]:
+            del self._known[s]
+        if self._misspelled and not self._misspelled.isdisjoint(stretches):
+            return None
+        ids_a, ids_b, n_a, n_b = (np.frombuffer(b"".join(x), "<i4") for x in (ids_a, ids_b, n_a, n_b))
+        return ids_a, ids_b, np.cumsum(n_a, dtype=np.int64), np.cumsum(n_b, dtype=np.int64), "".join(texts)[:-1]
 
-    def __call__(self, ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> str:
-        n_a, n_b = np.diff(cuts_a, prepend=0), np.diff(cuts_b, prepend=0)
-        out = np.empty(len(ids_a) + len(ids_b), dtype=object)
-        place_a = np.arange(len(ids_a)) + np.repeat(cuts_b - n_b, n_a)
-        place_b = np.arange(len(ids_b)) + np.repeat(cuts_a, n_b)
-        for (inner, closing), ids, place, cuts in ((self._a, ids_a, place_a, cuts_a), (self._b, ids_b, place_b, cuts_b)):
-            out[place] = inner[ids]
-            out[place[cuts - 1]] = closing[ids[cuts - 1]]
-        return "".join(out.tolist())[:-1]
+    def ids(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
+        found = self.align(text)
+        return found and found[:2]
 
 
 def _summed(codes: np.ndarray, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +272,6 @@ def links(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.n
 def _blocks(path_a: str, path_b: str, block_links: int, with_groups: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(path_a, path_b)
-        groups_text = GroupsText(len(pair.a.tokens), len(pair.b.tokens))
         rows: list[tuple] = []
         found: list[tuple[np.ndarray, np.ndarray]] = []
         total = 0
@@ -276,14 +293,12 @@ def _blocks(path_a: str, path_b: str, block_links: int, with_groups: bool):
         none = np.zeros(0, np.int64)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                both = pair.ids(text.as_py())
-                if both is None:
+                aligned = pair.align(text.as_py())
+                if aligned is None:
                     rows.append((doc_id.as_py(), 0, 0, 0, 0, ""))
                     found.append((none, none))
                 else:
-                    ids_a, ids_b = both
-                    cuts = common_ends(np.cumsum(pair.size_a[ids_a]), np.cumsum(pair.size_b[ids_b]))
-                    groups = groups_text(ids_a, ids_b, *cuts)
+                    ids_a, ids_b, *cuts, groups = aligned
                     if not with_groups:
                         groups = hashlib.sha256(groups.encode()).hexdigest()
                     found.append(links(ids_a, ids_b, *cuts))
