@@ -91,7 +91,6 @@ def main() -> None:
     forms = {
         "session": lambda e: keyword_revenue(e),
         "join": lambda e: keyword_revenue_join(e),
-        "join_salted8": lambda e: keyword_revenue_join(e, salt_buckets=8),
     }
     result: dict[str, dict] = {}
     answers = {}
