@@ -30,15 +30,6 @@ def report_text(report_exact: DataFrame) -> DataFrame:
     return report_exact.select(*_text_columns(report_exact))
 
 
-def partition_columns(report: DataFrame, run_date: str, source_name: Column | None = None) -> DataFrame:
-    """Add ``year``, ``month``, ``date`` (from the run date) and the source name."""
-    y, m, d = run_date.split("-")
-    out = report.withColumns({"year": F.lit(y), "month": F.lit(m), "date": F.lit(d)})
-    if source_name is not None:
-        out = out.withColumn("source_name", source_name)
-    return out
-
-
 def source_id(path: Column) -> Column:
     """Partition value of an input: names repeat across folders, whole paths don't."""
     return F.sha2(path, 256)
