@@ -12,7 +12,8 @@ with a few leaders only; groups of near copies thereby fall into one component.
 remaining pairs of a group that lie in different components are compared, none left out.
 Two lossless tests drop pairs before their sets are moved: the sizes' ratio, and parity
 bitmaps, whose Hamming distance never exceeds the size of the symmetric difference. The join
-that makes all remaining pairs tests the sizes and a bitmap of fixed size itself.
+that makes all remaining pairs tests the sizes, the places of the shared n-gram and a bitmap of
+fixed size itself.
 
 The result is the join's connected components, not its pairs: pairs that already lie in one
 component are skipped, so neither similarities nor a document's number of links is known.
@@ -156,16 +157,18 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(order: _Order):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes, nodes, counts, seen = [], [], [], set()
+            hashes, nodes, counts, places, seen = [], [], [], [], set()
             for _, s in _sets(batch):
                 if len(s) and (node := _node(s)) not in seen:
                     seen.add(node)
                     hashes.append(order.prefix(s))
                     nodes.append(node)
                     counts.append(len(hashes[-1]))
+                    places.append(np.arange(counts[-1]))
             h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
             yield pa.record_batch({"h": h.view(np.int64),
-                                   "node": np.repeat(np.array(nodes, np.int64), counts)})
+                                   "node": np.repeat(np.array(nodes, np.int64), counts),
+                                   "place": np.concatenate([np.zeros(0, np.int64), *places])})
 
     return emit
 
@@ -245,7 +248,7 @@ def _links(texts: DataFrame) -> DataFrame:
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"),
         F.first("cells").alias("cells"))
 
-    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long")
+    prefixes = texts.mapInArrow(_prefixes(order), "h long, node long, place long")
     keys = prefixes.groupBy("h").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("h")
     shared = written(prefixes.join(keys, "h", "left_semi").distinct(), "prefixes")
 
@@ -292,16 +295,20 @@ def _links(texts: DataFrame) -> DataFrame:
         chosen = (best.select(F.least("a", "best.b").alias("a"), F.greatest("a", "best.b").alias("b")).distinct()
                   .join(sized.toDF("a", "n_a"), "a").join(sized.toDF("b", "n_b"), "b"))
         roots = settle(written(chosen, "pairs"))
-        placed = shared.join(roots, "node", "left").select("h", "node", F.coalesce("root", "node").alias("root"))
+        placed = shared.join(roots, "node", "left").select("h", "node", "place", F.coalesce("root", "node").alias("root"))
 
-    # All pairs of a group that are in different components by now. Sizes and the bitmaps of
-    # fixed size are tested in the join itself, so that pairs they rule out are never rows.
+    # All pairs of a group that are in different components by now. Sizes, places and the bitmaps of
+    # fixed size are tested in the join itself, so that pairs they rule out are never rows. At a
+    # pair's first shared n-gram, all that is shared lies from its place on in both sets, and that
+    # must be 4/9 of both sizes; a pair is no row at a later one where too little is left.
     rows = open_groups().join(nodes.select("node", "n", "cells"), "node")
     side = lambda x: rows.select("h", F.col("node").alias(x), F.col("n").alias(f"n_{x}"),
-                                 F.col("root").alias(f"root_{x}"), F.col("cells").alias(f"cells_{x}"))
+                                 F.col("root").alias(f"root_{x}"), F.col("place").alias(f"place_{x}"),
+                                 F.col("cells").alias(f"cells_{x}"))
     differ = " + ".join(f"bit_count(cells_a[{k}] ^ cells_b[{k}])" for k in range(CELL_WORDS))
     rest = (side("a").join(side("b"), "h")
             .where("a < b AND root_a != root_b AND 5 * least(n_a, n_b) >= 4 * greatest(n_a, n_b)"
+                   " AND 9 * least(n_a - place_a, n_b - place_b) >= 4 * (n_a + n_b)"
                    f" AND 9 * ({differ}) <= n_a + n_b")
             .select("a", "b").distinct())
     roots = settle(written(_possible(rest, nodes), "pairs"))
