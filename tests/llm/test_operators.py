@@ -122,11 +122,34 @@ def test_exact_copies(docs):
     got = exact_dedup.exact_copies(docs)
     assert got.count() == len(ROWS)
     assert by_id(got, "keep_id", "group_size", "kept", "text_sha256") == sorted(want, key=repr)
+    # Every group in slots of its own, and every group in one place: the same rows.
+    for slot_bytes in (1, 1 << 40):
+        assert by_id(exact_dedup.exact_copies(docs, slot_bytes=slot_bytes),
+                     "keep_id", "group_size", "kept", "text_sha256") == sorted(want, key=repr)
     kept = exact_dedup.drop_copies(docs)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(min(g)[1] for g in exact_groups(unique()).values())
 
 
+def test_exact_copies_by_neighbours(docs, monkeypatch):
+    """The window takes the range exchange and its sort as they are; light groups need no join by digest."""
+    tables = {}
+
+    def kept(df, name):
+        tables[name] = df
+        return df
+
+    monkeypatch.setattr(exact_dedup, "written", kept)
+    exact_dedup.exact_copies(docs, slot_bytes=1 << 40)
+    plan = tables["judged"]._jdf.queryExecution().executedPlan().toString()
+    window = plan[plan.index("Window"):plan.index("rangepartitioning")]
+    assert "Exchange hashpartitioning" not in window and window.count("Sort [") == 1, plan
+    many = docs.sparkSession.range(4000).selectExpr("id AS doc_id", "concat('text ', id % 3000) AS text")
+    exact_dedup.exact_copies(many)
+    rows = tables["judged"].collect()
+    assert not any(r.heavy for r in rows) and sum(r.n == 2 for r in rows) == 2000
+
+
 def test_word_windows(docs):
     words = {i: WORD.findall(t) for i, t in unique()}
     first = {}
