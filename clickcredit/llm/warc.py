@@ -9,13 +9,21 @@ Record ids are made from the source id and the record's kind, so a rerun (or a r
 task) makes the same records. There is no shuffle.
 
 ``write`` puts out WARC files with Spark's text writer (a record is one value, the two
-line ends after it the separator), ``read`` parses them again by Content-Length.
+line ends after it the separator; gzip is by file, not by record). ``read`` parses records
+of any WARC files by Content-Length, plain or gzip, also with a gzip member for each record,
+and ``responses_of_records`` takes the responses out of them, with their header lines and
+payload digests, for ``derivatives``. A file is one row of Spark's file source, so files
+should stay at the usual 1 GB or less.
 
 Defined results: a null payload counts as empty; its conversion record has an empty block.
 Null URI, date, headers or id: the header line is left out (id: made from the payload
-digest and URI). Comments, scripts and styles that are never closed reach to the end.
-Repeated rows give repeated records. An empty table gives an empty result. Extra columns
-are ignored.
+digest and URI). Comments, scripts, styles and tags that are never closed reach to the
+end; for the title, language and links a tag also ends before the next "<". A record cut
+short by the end of its file is kept with the bytes that are there; what follows the last
+record and isn't one is left. Bytes that are not UTF-8 read as U+FFFD, so the digest of the
+source's bytes is kept from its header (WARC-Payload-Digest) where it has one. Repeated
+rows give repeated records. An empty table gives an empty result. Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +33,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -35,15 +44,18 @@ FIELDS = ("source_key", "record_id", "warc_type", "refers_to", "target_uri", "wa
           "content_type", "block_digest", "source_payload_digest", "header", "block")
 SCHEMA = ", ".join(f"{x} string" for x in FIELDS) + ", content_length long"
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*>.*?(?:</\1\s*>|\Z)",
-                     re.S | re.I)
+# Each pattern either ends at the next "<" or matches to the end, so a page is read a fixed
+# number of times whatever it holds.
+_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|title)\b[^>]*"
+                     r"(?:>.*?(?:</\1\s*>|\Z)|\Z)", re.S | re.I)
 _BREAK = re.compile(r"</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|article|section|nav|header|footer|"
-                    r"body|html|head|blockquote|pre|hr|dd|dt|dl|form|main|aside)\b[^>]*>", re.I)
+                    r"body|html|head|blockquote|pre|hr|dd|dt|dl|form|main|aside)\b[^>]*(?:>|\Z)", re.I)
 _TAG = re.compile(r"<[!/?a-zA-Z][^>]*(?:>|\Z)")
 _BLANKS = re.compile(r"[ \t\r\f\v\xa0]+")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_LINE_END = re.compile(r"\r?\n")
+_TITLE = re.compile(r"<title\b[^<>]*>(.*?)(?:</title\s*>|\Z)", re.S | re.I)
+_LANG = re.compile(r"<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.I)
+_LINK = re.compile(r"<a\b[^<>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
 def plain_text(page: str) -> str:
@@ -65,17 +77,17 @@ def _header(lines: list[tuple[str, str | None]]) -> str:
     return "\r\n".join(["WARC/1.1", *(f"{k}: {v}" for k, v in lines if v is not None)])
 
 
-def _derive(key, record_id, uri, date, headers, payload) -> Iterator[tuple]:
+def _derive(key, record_id, uri, date, headers, payload, given_digest) -> Iterator[tuple]:
     page = payload or ""
     raw = page.encode()
-    source_digest = digest(raw)
+    source_digest = given_digest or digest(raw)
     if record_id is None:
         record_id = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{uri}|{source_digest}')}>"
     own = {k: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{record_id}|{k}')}>"
            for k in ("metadata", "conversion")}
     title, lang = _TITLE.search(page), _LANG.search(page)
     fields = [("title", _one_line(title[1]) if title else None), ("language", lang[1] if lang else None)]
-    fields += [("source-header", x) for x in (headers or "").split("\r\n") if x]
+    fields += [("source-header", x) for x in _LINE_END.split(headers or "") if x]
     fields += [("source-payload-digest", source_digest), ("source-payload-length", str(len(raw)))]
     fields += [("outlink", _one_line(a or b or c)) for a, b, c in _LINK.findall(page)]
     blocks = {"metadata": "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None),
@@ -102,7 +114,7 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
 
 def derivatives(responses: DataFrame) -> DataFrame:
     """Metadata and conversion records of ``responses`` (source_key, record_id, target_uri,
-    warc_date, http_headers, payload: all strings)."""
+    warc_date, http_headers, payload and, if known, payload_digest: all strings)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
@@ -114,7 +126,9 @@ def derivatives(responses: DataFrame) -> DataFrame:
             yield _table(rows)
 
     names = ("source_key", "record_id", "target_uri", "warc_date", "http_headers", "payload")
-    return responses.select([responses[n].cast("string").alias(n) for n in names]).mapInArrow(run, SCHEMA)
+    given = responses["payload_digest"] if "payload_digest" in responses.columns else F.lit(None)
+    return responses.select(*[responses[n].cast("string").alias(n) for n in names],
+                            given.cast("string").alias("payload_digest")).mapInArrow(run, SCHEMA)
 
 
 def responses_of_pages(pages: DataFrame, warc_date: str = "1970-01-01T00:00:00Z") -> DataFrame:
@@ -140,28 +154,78 @@ def write(records: DataFrame, path: str, max_records_per_file: int = 50_000,
      .option("maxRecordsPerFile", max_records_per_file).text(path))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of WARC files that ``write`` made (header, block and length)."""
+def _inflated(content: bytes) -> bytes:
+    """The bytes of a gzip file of one or more members; of a cut one, what is there."""
+    parts = []
+    while content:
+        member = zlib.decompressobj(wbits=31)
+        try:
+            parts.append(member.decompress(content))
+        except zlib.error:
+            break
+        content = member.unused_data
+    return b"".join(parts)
+
+
+def _fields(header: str) -> dict[str, str]:
+    """Fields of a record header by lower-cased name; a line that begins with a blank goes on."""
+    out: dict[str, str] = {}
+    name = None
+    for line in _LINE_END.split(header)[1:]:
+        if line[:1] in (" ", "\t") and name:
+            out[name] += " " + line.strip()
+        elif ":" in line:
+            name, value = line.split(":", 1)
+            name = name.strip().lower()
+            out[name] = value.strip()
+    return out
+
+
+def _records(data: bytes) -> Iterator[tuple]:
+    at = data.find(b"WARC/")
+    while 0 <= at < len(data):
+        end = data.find(b"\r\n\r\n", at)
+        header = data[at:end if end >= 0 else len(data)].decode("utf-8", "replace")
+        fields = _fields(header)
+        length = fields.get("content-length", "")
+        size = int(length) if length.isascii() and length.isdigit() else 0
+        start = end + 4 if end >= 0 else len(data)
+        block = data[start:start + size]
+        yield (None, fields.get("warc-record-id"), fields.get("warc-type"), fields.get("warc-refers-to"),
+               fields.get("warc-target-uri"), fields.get("warc-date"), fields.get("content-type"),
+               fields.get("warc-block-digest"),
+               fields.get("warc-source-payload-digest") or fields.get("warc-payload-digest"),
+               header, block.decode("utf-8", "replace"), len(block))
+        at = data.find(b"WARC/", start + len(block))
+
+
+def read(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
+    """Records of the WARC files under ``path`` whose names match ``glob``; content_length
+    counts the bytes that are there."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
-
         for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"].to_pylist(), strict=True):
-                data = gzip.decompress(content) if name.endswith(".gz") else content
-                at, rows = 0, []
-                while at < len(data):
-                    end = data.index(b"\r\n\r\n", at)
-                    header = data[at:end].decode()
-                    fields = dict(x.split(": ", 1) for x in header.split("\r\n")[1:])
-                    size = int(fields["Content-Length"])
-                    block = data[end + 4:end + 4 + size].decode()
-                    at = end + 4 + size + 4
-                    rows.append((None, fields["WARC-Record-ID"], fields["WARC-Type"],
-                                 fields.get("WARC-Refers-To"), fields.get("WARC-Target-URI"),
-                                 fields.get("WARC-Date"), fields.get("Content-Type"),
-                                 fields.get("WARC-Block-Digest"), fields.get("WARC-Source-Payload-Digest"),
-                                 header, block, size))
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                data = content.as_py()
+                rows: list[tuple] = []
+                for row in _records(_inflated(data) if name.as_py().endswith(".gz") else data):
+                    rows.append(row)
+                    if len(rows) >= 1000:
+                        yield _table(rows)
+                        rows = []
                 yield _table(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return files.select("path", "content").mapInArrow(run, SCHEMA)
+
+
+def responses_of_records(records: DataFrame) -> DataFrame:
+    """The HTTP responses among ``records`` (of ``read``) as input of ``derivatives``: the
+    header lines end at the first empty line of the block."""
+    block = F.col("block")
+    border = F.regexp_instr(block, F.lit(r"\r?\n\r?\n"))
+    cut = F.when(border > 0, border).otherwise(F.length(block) + 1)
+    return records.where("lower(warc_type) = 'response'").select(
+        F.coalesce("source_key", "record_id").alias("source_key"), "record_id", "target_uri", "warc_date",
+        F.substr(block, F.lit(1), cut - 1).alias("http_headers"),
+        F.regexp_replace(F.substr(block, cut), r"\A\r?\n\r?\n", "").alias("payload"),
+        F.col("source_payload_digest").alias("payload_digest"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import itertools
 import random
 import re
 import string
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -242,6 +244,52 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.derivatives(warc.responses_of_pages(pages.limit(0))).count() == 0
 
 
+def test_warc_foreign_records(spark, tmp_path):
+    """Records as crawlers write them: a gzip member each, mixed case, foreign types, cut files."""
+    def record(kind, body, **fields):
+        lines = [f"WARC-Type: {kind}", *(f"{k.replace('_', '-')}: {v}" for k, v in fields.items()),
+                 f"content-length:{len(body)}"]
+        return b"WARC/1.0\r\n" + "\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+
+    page = b"HTTP/1.1 200 OK\r\nServer: x\r\nX-Note: WARC/1.0\r\n\r\n<p>one</p>\r\n\r\n<a href=/z>WARC/1.0</a>"
+    good = record("response", page, WARC_Record_ID="<urn:a>", WARC_Target_URI="http://a/\r\n more",
+                  WARC_Date="2020-01-01T00:00:00Z", WARC_Payload_Digest="sha1:KEPT")
+    latin = record("response", b"HTTP/1.0 200 OK\n\nh\xe9", WARC_Record_ID="<urn:b>")
+    parts = [record("warcinfo", b"software: x\r\n"), good, record("request", b"GET / HTTP/1.1\r\n\r\n"), latin]
+    (tmp_path / "a.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in parts))
+    (tmp_path / "cut.warc.gz").write_bytes(gzip.compress(good) + gzip.compress(good * 50)[:-30])
+    (tmp_path / "cut.warc").write_bytes(good + record("response", b"HTTP/1.1 200 OK\r\n\r\nabcdef")[:-7])
+    (tmp_path / "empty.warc").write_bytes(b"")
+    assert [r.warc_type for r in warc.read(spark, str(tmp_path), "a.*").collect()] == [
+        "warcinfo", "response", "request", "response"]
+    assert warc.read(spark, str(tmp_path), "cut.warc.gz").count() >= 1
+    assert [(r.content_length, r.block[-3:]) for r in warc.read(spark, str(tmp_path), "cut.warc").collect()] == [
+        (len(page), "/a>"), (22, "abc")]
+    assert warc.read(spark, str(tmp_path), "empty.warc").count() == 0
+
+    made = warc.derivatives(warc.responses_of_records(warc.read(spark, str(tmp_path), "a.*"))).collect()
+    text = {(r.refers_to, r.warc_type): r for r in made}
+    assert len(made) == len(text) == 4
+    meta = text["<urn:a>", "metadata"]
+    assert meta.target_uri == "http://a/ more" and meta.source_payload_digest == "sha1:KEPT"
+    assert meta.block.splitlines() == [
+        "source-header: HTTP/1.1 200 OK", "source-header: Server: x", "source-header: X-Note: WARC/1.0",
+        "source-payload-digest: sha1:KEPT", f"source-payload-length: {len(page) - page.index(b'<p>')}",
+        "outlink: /z"]
+    assert text["<urn:a>", "conversion"].block == "one\nWARC/1.0"
+    assert text["<urn:b>", "conversion"].block == "h\ufffd"
+    assert "source-header: HTTP/1.0 200 OK\r\n" in text["<urn:b>", "metadata"].block
+
+
+@pytest.mark.parametrize("piece", ["<a ", "<html ", "<title ", "<script ", "<p ", "<!--", "<a href=", "<a href='",
+                                   "</script ", "<title>", "<", "&amp;", "<a href = "])
+def test_warc_long_odd_pages(piece):
+    """A megabyte of any opening takes about as long as a megabyte of text."""
+    page, began = piece * (1_000_000 // len(piece)), time.process_time()
+    assert len(list(warc._derive("k", None, None, None, None, page, None))) == 2
+    assert time.process_time() - began < 4
+
+
 def test_line_chunks(docs):
     rows = [r.asDict() for r in line_dedup.dedup_chunks(docs).collect()]
     texts = dict(unique())
