@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickcredit.llm.shared import components, id_and_text, written
+from clickcredit.llm.shared import components, id_and_text, small_batches, written
 from clickcredit.llm.words import Words, find_words, mix64, runs, slices
 
 NGRAM = 5
@@ -235,6 +235,7 @@ def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
 def _links(texts: DataFrame) -> DataFrame:
     """doc_id, n, content, node of each row, and ``first``: its component's first row."""
+    small_batches(texts.sparkSession)
     cells = texts.mapInArrow(_count_cells, "cell int, n long").groupBy("cell").agg(
         F.sum("n").alias("n")).toArrow()  # a row per cell at most
     counts = np.zeros(1 << CELL_BITS, np.int64)

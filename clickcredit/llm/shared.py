@@ -32,6 +32,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of an Arrow batch, where the session doesn't say: Spark's 10,000 whole texts would be
+    held at once by the JVM, outside its heap, and by the Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, None) is None:
+        spark.conf.set(key, str(rows))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
