@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,12 @@ from ..session import checkpoint_root
 
 # Partition columns of a report tree, outermost first.
 PLACE = ("year", "month", "date", "source_id")
+# Files that one task writes: opening a small file costs more than filling it.
+FILES_PER_TASK = 100
+# Of many reports, those with more rows may be divided among tasks.
+LARGE_REPORT = 100_000
+# Tasks that list the folders of a tree, where the session doesn't say.
+LISTING_TASKS = 64
 
 
 def revenue_text(revenue: Column, over: Column | None = None) -> Column:
@@ -48,8 +55,11 @@ def place_path(root: str) -> Column:
     return F.concat(F.lit(root.rstrip("/")), *parts)
 
 
-def _order(report: DataFrame) -> list[Column]:
-    return [over_of(report).desc(), F.col("revenue").desc(), F.col("domain").asc(), F.col("keyword").asc()]
+def _order(report: DataFrame, where: Column | None = None) -> list[Column]:
+    """Report order; ``where`` limits it to some rows, the others are all equal."""
+    own = lambda c: c if where is None else F.when(where, c)
+    return [own(over_of(report)).desc(), own(F.col("revenue")).desc(), own(F.col("domain")).asc(),
+            own(F.col("keyword")).asc()]
 
 
 def _csv(writer):
@@ -94,6 +104,15 @@ def write_partitioned_report(report_exact: DataFrame, root: str, run_date: str,
     return folder
 
 
+def _dealt(rows: DataFrame, n_files: int, *ranges: Column | str) -> DataFrame:
+    """Range partitions; of many files a fixed number, which adaptive execution doesn't merge."""
+    tasks = -(-n_files // FILES_PER_TASK)
+    if tasks <= 1:
+        return rows.repartitionByRange(*ranges)
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(max(tasks, least), *ranges)
+
+
 def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Sequence[str] = PLACE) -> None:
     """Write the reports of many inputs in one job, each to its own place under ``root``.
 
@@ -101,7 +120,8 @@ def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Seq
     expected place, also of inputs without credit: these get a header-only file. Only the places
     given are replaced (dynamic overwrite), so a repeated job writes the same tree. Rows are
     range-partitioned by place and report order: a place is not bound to one task, and the names of
-    its files in order give its report.
+    its files in order give its report. Many places are dealt by their number, however few their
+    rows, as each costs a file; of these only large reports are divided.
     """
     by = list(by)
     # Partition columns that are never null, nor known constants, so that the writer takes the rows
@@ -110,21 +130,46 @@ def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Seq
                        for df in (reports, places))
     checkpoint_root(reports.sparkSession)
     reports = reports.checkpoint(eager=True)
-    rows = (reports.repartitionByRange(*by, *_order(reports)).sortWithinPartitions(*by, *_order(reports))
+    filled = reports.groupBy(*by).agg(F.count("*").alias("n_rows")).checkpoint(eager=True)
+    empty = places.select(*by).distinct().join(filled, by, "left_anti").checkpoint(eager=True)
+    n_filled, n_empty = filled.count(), empty.count()
+    if n_filled > FILES_PER_TASK:
+        reports = reports.join(filled, by)
+        ranges = _order(reports, F.col("n_rows") > LARGE_REPORT)
+    else:
+        ranges = _order(reports)
+    rows = (_dealt(reports, n_filled, *by, *ranges).sortWithinPartitions(*by, *_order(reports))
             .select(*_text_columns(reports), *by))
-    empty = (places.select(*by).distinct().join(reports.select(*by).distinct(), by, "left_anti")
+    empty = (_dealt(empty, n_empty, *by).sortWithinPartitions(*by)
              .select(*[F.lit(n).alias(n) for n in REPORT_HEADER], *by))
     for part, header in ((rows, True), (empty, False)):  # of an empty place, the header is the row
         writer = part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
         _csv(writer.option("header", header)).csv(root)
 
 
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """List folders in ``LISTING_TASKS`` tasks, not up to 10,000 of one folder each."""
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, str(LISTING_TASKS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
+
+
 def read_file_reports(spark: SparkSession, root: str, by: Sequence[str] = PLACE) -> DataFrame:
     """Rows of all reports under ``root`` as text, with their places; none for empty reports."""
     schema = ", ".join(f"`{n}` string" for n in (*REPORT_HEADER, *by))
-    return spark.read.schema(schema).option("header", True).option("sep", "\t").csv(root)
+    with _few_listing_tasks(spark):
+        return spark.read.schema(schema).option("header", True).option("sep", "\t").csv(root)
 
 
 def read_report_lines(spark: SparkSession, root: str, by: Sequence[str] = PLACE) -> DataFrame:
     """The text lines of all files under ``root`` with their places, headers included."""
-    return spark.read.schema(", ".join(["value string", *(f"{c} string" for c in by)])).text(root)
+    schema = ", ".join(["value string", *(f"{c} string" for c in by)])
+    with _few_listing_tasks(spark):
+        return spark.read.schema(schema).text(root)

@@ -189,6 +189,40 @@ def test_many_reports_in_parallel_ranges(spark, tmp_dir):
     assert sorted(sizes) == [0, 800, 3200] and sizes[3200] > 2 and sizes[0] == 1
 
 
+def test_many_small_reports_are_dealt_by_their_number(spark, tmp_dir, monkeypatch):
+    """Many places are written by several tasks, however few their rows; a small report stays one
+    file, and a large one among them is divided."""
+    from pyspark.sql import functions as F
+
+    from clickcredit.sinks import report as sink
+    monkeypatch.setattr(sink, "FILES_PER_TASK", 10, raising=False)
+    monkeypatch.setattr(sink, "LARGE_REPORT", 500, raising=False)
+    reports = spark.range(1100).select(
+        F.when(F.col("id") < 200, F.concat(F.lit("f"), (F.col("id") % 40).cast("string"))).otherwise("large")
+        .alias("source_file"), F.lit("d").alias("domain"), F.concat(F.lit("k"), F.format_string("%04d", "id")).alias("keyword"),
+        F.lit(5).cast("decimal(38,10)").alias("revenue"))
+    files = spark.range(80).select(F.concat(F.lit("f"), F.col("id").cast("string")).alias("source_file"))
+    day, out = F.lit("2026-03-06"), os.path.join(tmp_dir, "out")
+    sink.write_file_reports(sink.with_places(reports, day), sink.with_places(files, day), out)
+    tasks, sizes, large = {0: set(), 5: set()}, [], []
+    for place in glob.glob(os.path.join(out, "year=2026", "month=03", "date=06", "source_id=*")):
+        parts = sorted(glob.glob(os.path.join(place, "part-*.csv")))
+        bodies = [open(part).read().splitlines() for part in parts]
+        assert all(body[0] == "Search Engine Domain\tSearch Keyword\tRevenue" for body in bodies)
+        lines = [line for body in bodies for line in body[1:]]
+        assert lines == sorted(lines)
+        if len(lines) in tasks:
+            assert len(parts) == 1
+            tasks[len(lines)].add(os.path.basename(parts[0]).split("-")[1])
+            sizes.append(len(lines))
+        else:
+            large += [len(lines), len(parts)]
+    assert sizes.count(0) == 40 and sizes.count(5) == 40 and large[0] == 900 and large[1] > 1
+    assert len(tasks[0]) >= 4 and len(tasks[5]) >= 2
+    rows = sink.read_report_lines(spark, out)
+    assert rows.where("value NOT LIKE 'Search Engine Domain%'").count() == 1100
+
+
 def test_job_scans_its_input_once(spark, tmp_dir):
     """The report and the record count come from one plan with one scan."""
     from clickcredit.operators.attribution import keyword_revenue_counted, quiet_hits
