@@ -1,4 +1,4 @@
-"""Repeated 100-byte strings by a distributed difference-cover suffix sort.
+"""Repeated 100-byte strings by a distributed suffix sort, dealt by anchors.
 
 A byte goes if it lies in a 100-byte string that also starts earlier (smaller id, or same
 document and earlier start). Suffixes are ordered by their first 100 bytes:
@@ -6,19 +6,16 @@ document and earlier start). Suffixes are ordered by their first 100 bytes:
 1. Candidates. The smallest of a 100-byte string's 69 hashes of 32 bytes is its anchor;
    equal strings have equal anchors. A string can only be repeated if its anchor is found
    in two places; other positions never enter the sort. Equal documents enter once.
-2. Sampled positions, 1 and 2 modulo 3 in each candidate region, are sorted by 32 bytes
-   and named by rank (adjacent keys compared).
-3. Recursion on names: triples (name[i], name[i+33], name[i+66]) with the two bytes between
-   are sorted and named: ranks of 98 bytes. As 33 and 66 are multiples of 3, all three are
-   sampled; one recursion reaches the length that matters, so there is no further one.
-4. Merge. Of any two suffixes, some offset of 0, 1 or 2 puts both on sampled positions, so
-   they compare by at most two leading bytes and a rank. Each suffix enters the two orders
-   that its class takes part in; suffixes with equal first 100 bytes are adjacent, by
+2. Pieces. Neighbouring strings of one anchor travel as one piece of text, about 4 bytes a
+   string, and all pieces of an anchor meet in one task.
+3. Suffix array. A task sorts the suffixes of whole anchors by prefix doubling: ranks of 8
+   bytes, then 16, 32, 64 and 100. Suffixes with equal first 100 bytes are adjacent, by
    place, and every one but the first is removed.
-
-Each sort is Spark's range partitioning by sampled splitters with an external sort. The
-last sort also splits by place, so a string that a third of all suffixes share is spread
-over many tasks; the first row of each task is settled by the previous task's last one.
+4. An anchor of very many documents is not bound to a task: each task sorts the suffixes
+   that it has and keeps the first of each kind; these are ordered by Spark's range
+   partitioning by their 100 bytes and their place, so a string that a third of all
+   documents share is spread over many tasks; the first row of each task is settled by the
+   previous task's last one.
 
 Defined results: null and empty texts, and texts under 100 bytes, lose nothing. Rows that
 repeat id and text are one document; rows that repeat the id alone are ordered by a hash
@@ -30,22 +27,23 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickcredit.llm.shared import id_and_text, shuffle_partitions, written
 from clickcredit.llm.words import mix64, runs, slices
 
 LENGTH = 100
-KEY = 32  # bytes of a first name; three of them and the two bytes between make 98
-STEP = KEY + 1
-RANKED = 3 * KEY + 2
 GRAM = 32
 REACH = LENGTH - GRAM + 1  # grams in a string
+SPREAD = 1000  # documents of an anchor from which it is not bound to one task
+SORTED_BYTES = 1 << 19  # text sorted at once, whole anchors
+ROWS_OUT = 20000
 
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
 
@@ -100,186 +98,204 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                "content": np.concatenate(owners or none)})
 
 
-REGIONS = "region long, doc_id long, content long, start int, body binary"
+PIECES = "anchor long, spread boolean, doc_id long, content long, start int, body binary"
+
+
+def _piece_batch(out: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*out, strict=True)) if out else [[]] * 6
+    types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+    names = ("anchor", "spread", "doc_id", "content", "start", "body")
+    return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
 
 
-def _emit_regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of positions at which a repeated string can start, with their bytes."""
+def _emit_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches of positions with one anchor at which a repeated string can start, with their bytes."""
     for batch in batches:
-        ids, contents, shared = batch["doc_id"].to_pylist(), batch["content"].to_pylist(), batch["shared"]
+        ids, contents = batch["doc_id"].to_pylist(), batch["content"].to_pylist()
         out: list[tuple] = []
         for i, data in _texts(batch):
             least = _least(data)[1].view(np.int64)
-            new = np.concatenate([[True], least[1:] != least[:-1]])
-            hit = np.isin(least[new], shared[i].values.to_numpy())[np.cumsum(new) - 1]
-            open_ = np.concatenate([[False], hit, [False]])
-            turns = np.flatnonzero(open_[1:] != open_[:-1]).tolist()
-            for s, e in zip(turns[::2], turns[1::2], strict=True):
-                out.append((ids[i], contents[i], s, data[s:e + LENGTH - 1].tobytes()))
-        columns = list(zip(*out, strict=True)) if out else [[]] * 4
-        names = mix64(np.array(columns[0], np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                      + mix64(np.array(columns[1], np.int64).view(np.uint64))
-                      + np.array(columns[2], np.int64).view(np.uint64))
-        yield pa.record_batch({
-            "region": pa.array(names.view(np.int64)), "doc_id": pa.array(columns[0], pa.int64()),
-            "content": pa.array(columns[1], pa.int64()), "start": pa.array(columns[2], pa.int32()),
-            "body": pa.array(columns[3], pa.binary())})
-
-
-def _sampled(n: int) -> np.ndarray:
-    at = np.arange(max(n, 0))
-    return at[at % 3 != 0]
+            start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+            end, anchor = np.append(start[1:], len(least)), least[start]
+            hit = np.isin(anchor, batch["shared"][i].values.to_numpy())
+            spread = np.isin(anchor[hit], batch["spread"][i].values.to_numpy())
+            for a, far, s, e in zip(anchor[hit].tolist(), spread.tolist(), start[hit].tolist(), end[hit].tolist(),
+                                    strict=True):
+                out.append((a, far, ids[i], contents[i], s, data[s:e + LENGTH - 1].tobytes()))
+            if len(out) > ROWS_OUT:
+                yield _piece_batch(out)
+                out = []
+        yield _piece_batch(out)
+
+
+def _ranks(values: np.ndarray) -> np.ndarray:
+    return np.unique(values, return_inverse=True)[1].astype(np.uint64)
+
+
+def _sorted_suffixes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, new): the suffixes at ``at`` sorted by their LENGTH bytes, equal ones as given, and
+    whether each differs from the one before."""
+    view = np.lib.stride_tricks.sliding_window_view(data, 8)
+    rank, width = _ranks(np.ascontiguousarray(view).view(">u8")[:, 0].astype(np.uint64)), 8
+    while 2 * width <= LENGTH:
+        rank = _ranks(rank[:-width] << np.uint64(32) | rank[width:])
+        width *= 2
+    key = rank[at] << np.uint64(32) | rank[at + LENGTH - width]
+    order = np.argsort(key, kind="stable")
+    new = np.ones(len(at), dtype=bool)
+    new[1:] = key[order[1:]] != key[order[:-1]]
+    return order, new
+
+
+def _judged(table: pa.Table) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
+    """(row, start, repeated by position, bytes) of the pieces of whole anchors, which come by place;
+    the same piece of a repeated row counts once."""
+    places = np.stack([table[c].to_numpy() for c in ("anchor", "doc_id", "content", "start")])
+    new = np.ones(len(table), dtype=bool)
+    new[1:] = (places[:, 1:] != places[:, :-1]).any(axis=0)
+    rows = np.flatnonzero(new)
+    bodies = [x.as_py() for x in table["body"].combine_chunks().take(pa.array(rows))]
+    known: dict[bytes, int] = {}  # a piece that equals one before it is repeated throughout
+    fresh = [known.setdefault(x, k) == k for k, x in enumerate(bodies)]
+    sizes = np.array([len(x) - LENGTH + 1 for x in known])
+    first = np.cumsum(sizes) - sizes
+    at = np.arange(sizes.sum()) + np.repeat(np.arange(len(sizes)) * (LENGTH - 1), sizes)
+    order, different = _sorted_suffixes(np.frombuffer(b"".join(known), np.uint8), at)
+    repeated = np.zeros(len(at), dtype=bool)
+    repeated[order] = ~different
+    spans = iter(zip(first.tolist(), sizes.tolist(), strict=True))
+    for row, body, own in zip(rows.tolist(), bodies, fresh, strict=True):
+        if own:
+            f, n = next(spans)
+            yield row, int(places[3, row]), repeated[f:f + n], body
+        else:
+            yield row, int(places[3, row]), np.ones(len(body) - LENGTH + 1, dtype=bool), body
 
 
-def _ordered(x: np.ndarray) -> np.ndarray:
-    """Unsigned values as signed ones of the same order."""
-    return (x ^ np.uint64(1 << 63)).view(np.int64)
+def _stretches(flags: np.ndarray) -> Iterator[tuple[int, int]]:
+    edge = np.concatenate([[False], flags, [False]])
+    turns = np.flatnonzero(edge[1:] != edge[:-1]).tolist()
+    return zip(turns[::2], turns[1::2], strict=True)
 
 
-def _emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k0..k3, region, at): the first KEY bytes of each sampled position."""
-    for batch in batches:
-        regions = batch["region"].to_numpy()
-        for first, end, data, offsets in slices(batch["body"], 1 << 19):
-            keys, places, owners = [], [], []
-            for i in range(end - first):
-                body = data[offsets[i]:offsets[i + 1]]
-                at = _sampled(len(body) - KEY + 1)
-                view = np.lib.stride_tricks.sliding_window_view(body, KEY)[at]
-                keys.append(np.ascontiguousarray(view).view(">u8").astype(np.uint64))
-                places.append(at)
-                owners.append(np.full(len(at), regions[first + i]))
-            k = _ordered(np.concatenate(keys))
-            yield pa.record_batch({**{f"k{j}": np.ascontiguousarray(k[:, j]) for j in range(4)},
-                                   "region": np.concatenate(owners),
-                                   "at": np.concatenate(places).astype(np.int32)})
-
-
-def _namer(columns: list[str]):
-    """Name the rows of a sorted partition by rank; equal keys lie in one partition."""
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, rank = None, TaskContext.get().partitionId() << 40
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = np.stack([batch[c].to_numpy() for c in columns])
-            new = np.ones(batch.num_rows, dtype=bool)
-            new[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-            new[0] = last is None or (keys[:, 0] != last).any()
-            names = rank + np.cumsum(new)
-            last, rank = keys[:, -1], int(names[-1])
-            yield pa.record_batch({"region": batch["region"], "at": batch["at"], "name": names})
+GONE = "doc_id long, content long, start int, end int"
+WINDOWS = GONE + ", body binary"
 
-    return name
 
+def _gone_batch(out: list[tuple], bodies: bool = False) -> pa.RecordBatch:
+    names = ("doc_id", "content", "start", "end", "body")[:5 if bodies else 4]
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+    columns = list(zip(*out, strict=True)) if out else [[]] * len(names)
+    return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, types)})
 
-def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
-    n = shuffle_partitions(rows.sparkSession)
-    return (rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-            .mapInArrow(_namer(keys), "region long, at int, name long"))
 
+def _sort_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition sorted by anchor and place: the stretches of suffixes that are repeated."""
 
-def _with_names(regions: DataFrame, names: DataFrame) -> DataFrame:
-    """Regions with the names of their own sampled positions, in order."""
-    by_region = names.groupBy("region").agg(
-        F.array_sort(F.collect_list(F.struct("at", "name"))).alias("names"))  # within a region
-    return regions.join(by_region, "region").withColumn("at", F.col("names.at")).withColumn(
-        "name", F.col("names.name")).drop("names")
+    def settle(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        ids, contents = table["doc_id"].to_numpy(), table["content"].to_numpy()
+        yield _gone_batch([(int(ids[row]), int(contents[row]), start + s, start + e)
+                           for row, start, repeated, _ in _judged(table) for s, e in _stretches(repeated)])
 
-
-def _tables(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, bytes, name by place) of each region."""
-    for i in range(batch.num_rows):
-        body = np.frombuffer(batch["body"][i].as_buffer(), np.uint8)
-        by_place = np.zeros(len(body) + 1, np.int64)
-        by_place[batch["at"][i].values.to_numpy()] = batch["name"][i].values.to_numpy()
-        yield i, body, by_place
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch["body"].nbytes
+        if size < SORTED_BYTES:
+            continue
+        table = pa.Table.from_batches(held)
+        anchors = table["anchor"].to_numpy()
+        ends = np.flatnonzero(anchors[1:] != anchors[:-1]) + 1  # of the anchors that are complete
+        if not len(ends):
+            continue
+        yield from settle(table.slice(0, int(ends[-1])))
+        held = table.slice(int(ends[-1])).combine_chunks().to_batches()
+        size = sum(x["body"].nbytes for x in held)
+    if held:
+        yield from settle(pa.Table.from_batches(held))
 
 
-def _emit_triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of any pieces: the stretches of suffixes that are repeated in the batch, without a body, and
+    each other suffix with its LENGTH bytes."""
     for batch in batches:
-        regions, parts = batch["region"].to_numpy(), []
-        for i, body, names in _tables(batch):
-            at = _sampled(len(body) - RANKED + 1)
-            parts.append((names[at], body[at + KEY], names[at + STEP], body[at + STEP + KEY],
-                          names[at + 2 * STEP], np.full(len(at), regions[i]), at))
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 7
-        yield pa.record_batch({
-            "k0": columns[0], "k1": columns[1].astype(np.int64) * 256 + columns[3],
-            "k2": columns[2], "k3": columns[4], "region": columns[5],
-            "at": columns[6].astype(np.int32)})
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in ("anchor", "doc_id", "content", "start")])
+        ids, contents = table["doc_id"].to_numpy(), table["content"].to_numpy()
+        out: list[tuple] = []
+        for row, start, repeated, body in _judged(table):
+            place = (int(ids[row]), int(contents[row]))
+            out += [(*place, start + s, start + e, None) for s, e in _stretches(repeated)]
+            out += [(*place, start + s, start + s + 1, body[s:s + LENGTH]) for s in np.flatnonzero(~repeated).tolist()]
+            if len(out) > ROWS_OUT:
+                yield _gone_batch(out, bodies=True)
+                out = []
+        yield _gone_batch(out, bodies=True)
 
 
-def _emit_suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(k0, k1, doc_id, content, place): each candidate suffix in the two orders it takes
-    part in. k0 holds the order and the bytes outside the rank k1."""
-    for batch in batches:
-        ids, contents, starts = (batch[c].to_numpy() for c in ("doc_id", "content", "start"))
-        parts = []
-        for i, body, rank in _tables(batch):
-            b = body.astype(np.int64)
-            at = np.arange(len(body) - LENGTH + 1)
-            c0, c1, c2 = (at[at % 3 == k] for k in range(3))
-            for order, s in ((0, np.concatenate([c0, c1])), (1, np.concatenate([c0, c2])),
-                             (2, np.concatenate([c1, c2]))):
-                first, second = ((b[s], b[s + LENGTH - 1]) if order == 0 else
-                                 (b[s], b[s + 1]) if order == 1 else
-                                 (b[s + RANKED], b[s + RANKED + 1]))
-                lead = (1, 2, 0)[order]
-                parts.append(((order << 16) + first * 256 + second, rank[s + lead],
-                              np.full(len(s), ids[i]), np.full(len(s), contents[i]), s + starts[i]))
-        columns = [np.concatenate(x) for x in zip(*parts, strict=True)] if parts else [np.zeros(0, np.int64)] * 5
-        yield pa.record_batch({"k0": columns[0], "k1": columns[1], "doc_id": columns[2],
-                               "content": columns[3], "place": columns[4].astype(np.int64)})
-
-
-PLACED = "part int, first boolean, last boolean, repeated boolean, k0 long, k1 long, " \
-         "doc_id long, content long, place long"
+PLACED = "part int, first boolean, last boolean, repeated boolean, body binary, " \
+         "doc_id long, content long, start int"
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a sorted partition: the rows whose key equals the one before, and the first and
-    last row, which the neighbouring partitions need."""
+    """Of a sorted partition: the rows whose bytes equal the ones before, at another place, and the
+    first and last row, which the neighbouring partitions need."""
     part, last = TaskContext.get().partitionId(), None
+    columns = ("body", "doc_id", "content", "start")
 
     def out(batch: pa.RecordBatch, first: bool, is_last: bool, repeated: bool) -> pa.RecordBatch:
         n = batch.num_rows
-        flags = {"part": pa.array([part] * n, pa.int32()), "first": pa.array([first] * n),
-                 "last": pa.array([is_last] * n), "repeated": pa.array([repeated] * n)}
-        return pa.record_batch({**flags, **{c: batch[c] for c in ("k0", "k1", "doc_id", "content", "place")}})
+        flags = {"part": pa.array([part] * n, pa.int32()), "first": pa.array([first] * n, pa.bool_()),
+                 "last": pa.array([is_last] * n, pa.bool_()), "repeated": pa.array([repeated] * n, pa.bool_())}
+        bodies = batch["body"] if not repeated else pa.nulls(n, pa.binary())
+        return pa.record_batch({**flags, "body": bodies, **{c: batch[c] for c in columns[1:]}})
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        k0, k1 = batch["k0"].to_numpy(), batch["k1"].to_numpy()
-        same = np.zeros(batch.num_rows, dtype=bool)
-        same[1:] = (k0[1:] == k0[:-1]) & (k1[1:] == k1[:-1])
         if last is None:
             yield out(batch.slice(0, 1), True, False, False)
-        else:
-            same[0] = last["k0"][0].as_py() == k0[0] and last["k1"][0].as_py() == k1[0]
+        bodies = batch["body"].to_pylist()
+        places = list(zip(*(batch[c].to_pylist() for c in columns[1:]), strict=True))
+        before = [last["body"][0].as_py() if last is not None else None, *bodies[:-1]]
+        at = [tuple(last[c][0].as_py() for c in columns[1:]) if last is not None else None, *places[:-1]]
+        same = [x == y and p != q for x, y, p, q in zip(bodies, before, places, at, strict=True)]
         yield out(batch.filter(pa.array(same)), False, False, True)
         last = batch.slice(batch.num_rows - 1, 1)
     if last is not None:
         yield out(last, False, True, False)
 
 
-def _repeated(suffixes: DataFrame) -> DataFrame:
-    """(doc_id, content, place) of the suffixes that have an equal one before them."""
-    order = ["k0", "k1", "doc_id", "content", "place"]
-    rows = written(suffixes.repartitionByRange(shuffle_partitions(suffixes.sparkSession), *order)
+def _repeated(windows: DataFrame) -> DataFrame:
+    """The places of the suffixes that have an equal one before them."""
+    order = ["body", "doc_id", "content", "start"]
+    rows = written(windows.select(order).repartitionByRange(shuffle_partitions(windows.sparkSession), *order)
                    .sortWithinPartitions(*order).mapInArrow(_compare, PLACED), "adjacent")
     # Two rows per task: its first, and the last of the nearest task before it.
-    lasts = rows.where("last").select(F.col("part").alias("end_part"), F.col("k0").alias("e0"),
-                                      F.col("k1").alias("e1"))
-    firsts = rows.where("first").select("part", "k0", "k1", "doc_id", "content", "place")
-    previous = (firsts.join(lasts, F.col("end_part") < F.col("part"))
-                .groupBy("part", "k0", "k1", "doc_id", "content", "place")
-                .agg(F.max(F.struct("end_part", "e0", "e1")).alias("before")))
-    crossing = previous.where("before.e0 = k0 AND before.e1 = k1")
-    place = ["doc_id", "content", "place"]
-    return rows.where("repeated").select(place).union(crossing.select(place))
+    lasts = rows.where("last").select(F.col("part").alias("end_part"), F.col("body").alias("end_body"))
+    firsts = rows.where("first").select("part", *order)
+    previous = (firsts.join(lasts, F.col("end_part") < F.col("part")).groupBy("part", *order)
+                .agg(F.max(F.struct("end_part", "end_body")).alias("before")))
+    place = ["doc_id", "content", "start", (F.col("start") + 1).alias("end")]
+    return (rows.where("repeated").select(place)
+            .union(previous.where("before.end_body = body").select(place)))
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """A job's shuffle files go when its result is written, not when the driver collects garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    if spark.conf.get(key, None) is not None:
+        yield
+        return
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,9 +308,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lost[:] = True
             elif gone.is_valid:
                 change = np.zeros(len(raw) + 1, np.int32)
-                at = np.unique(gone.values.to_numpy())
-                change[at] += 1
-                change[at + LENGTH] -= 1
+                np.add.at(change, gone.values.field("start").to_numpy(), 1)
+                np.add.at(change, gone.values.field("end").to_numpy() + LENGTH - 1, -1)
                 lost = np.cumsum(change[:-1]) > 0
             rest = np.frombuffer(raw, np.uint8)[~lost].tobytes()
             n_bytes.append(len(raw))
@@ -315,27 +330,25 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     owners = known.groupBy("content").agg(F.min("doc_id").alias("owner"))
 
     anchors = known.select("content", "text").mapInArrow(_emit_anchors, "a long, content long")
-    keys = (anchors.groupBy("a").agg(F.min("content").alias("lo"), F.max("content").alias("hi"))
-            .where("lo < hi").select("a"))
-    shared = (anchors.join(keys, "a", "left_semi")
-              .groupBy("content").agg(F.collect_set("a").alias("shared")))  # within a document
-    sources = owners.join(shared, "content")
-    regions = written(
-        known.join(sources.withColumnRenamed("content", "source"),
-                   (F.col("content") == F.col("source")) & (F.col("doc_id") == F.col("owner")))
-        .select("doc_id", "content", "text", "shared").mapInArrow(_emit_regions, REGIONS)
-        .dropDuplicates(["region"]), "regions")
-
-    key_columns = [f"k{j}" for j in range(4)]
-    names = _named(regions.select("region", "body").mapInArrow(
-        _emit_keys, "k0 long, k1 long, k2 long, k3 long, region long, at int"), key_columns)
-    triples = _with_names(regions.select("region", "body"), names).mapInArrow(
-        _emit_triples, "k0 long, k1 long, k2 long, k3 long, region long, at int")
-    ranks = _named(written(triples, "triples"), key_columns)
-    suffixes = _with_names(regions, ranks).mapInArrow(
-        _emit_suffixes, "k0 long, k1 long, doc_id long, content long, place long")
-    gone = (_repeated(written(suffixes, "suffixes")).groupBy("doc_id", "content")
-            .agg(F.collect_list(F.col("place").cast("int")).alias("gone")))  # within a document
+    keys = (anchors.groupBy("a").agg(F.min("content").alias("lo"), F.max("content").alias("hi"),
+                                     F.count("*").alias("n"))
+            .where("lo < hi").select("a", (F.col("n") > SPREAD).alias("far")))
+    shared = (anchors.join(keys, "a").groupBy("content")  # within a document
+              .agg(F.collect_set("a").alias("shared"), F.collect_set(F.when(F.col("far"), F.col("a"))).alias("spread")))
+    sources = owners.join(shared, "content").withColumnRenamed("content", "source")
+    spark = docs.sparkSession
+    with _shuffles_removed(spark):
+        sources = written(sources, "shared")
+        pieces = written(
+            known.join(sources, (F.col("content") == F.col("source")) & (F.col("doc_id") == F.col("owner")))
+            .select("doc_id", "content", "text", "shared", "spread").mapInArrow(_emit_pieces, PIECES), "pieces")
+        windows = written(pieces.where("spread").mapInArrow(_first_windows, WINDOWS), "windows")
+        far = (windows.where("body IS NULL").drop("body")
+               .union(_repeated(windows.where("body IS NOT NULL"))))
+        near = (pieces.where("NOT spread").drop("spread").repartition(shuffle_partitions(spark), "anchor")
+                .sortWithinPartitions("anchor", "doc_id", "content", "start").mapInArrow(_sort_anchors, GONE))
+        gone = written(near.union(far), "gone").groupBy("doc_id", "content").agg(
+            F.collect_list(F.struct("start", "end")).alias("gone"))  # within a document
 
     marked = (texts.join(owners, "content", "left")
               .withColumn("copy", F.coalesce(F.col("doc_id") > F.col("owner"), F.lit(False)))

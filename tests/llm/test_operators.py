@@ -392,6 +392,59 @@ def test_byte_strings(docs):
     assert by_id(got, "n_bytes", "n_removed", "n_spans", "kept_sha256") == sorted(want, key=repr)
 
 
+def removed_bytes(texts):
+    seen, want = set(), []
+    for i, t in enumerate(texts):
+        b = t.encode()
+        lost = [False] * len(b)
+        for s in range(len(b) - 99):
+            if b[s:s + 100] in seen:
+                lost[s:s + 100] = [True] * 100
+            seen.add(b[s:s + 100])
+        kept = bytes(x for x, gone in zip(b, lost, strict=True) if not gone)
+        want.append((i, sum(lost), hashlib.sha256(kept).hexdigest()))
+    return want
+
+
+def test_byte_strings_of_common_anchors(spark, monkeypatch):
+    """Anchors that many documents share are sorted by all tasks; the rows are the same."""
+    draw = random.Random(5)
+    word = lambda n: "".join(draw.choices(string.ascii_lowercase + " é", k=n))
+    line, passage = word(60), word(300)
+    texts = [word(draw.randrange(150)) + line + word(80) + (passage[draw.randrange(100):] if i % 3 else "") + word(20)
+             for i in range(60)] + ["a" * 700, "b" + "a" * 400, line * 9, "", passage]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    want = removed_bytes(texts)
+    for spread in (1000, 5, 0):
+        monkeypatch.setattr(suffix_dedup, "SPREAD", spread, raising=False)
+        monkeypatch.setattr(suffix_dedup, "SORTED_BYTES", 3000, raising=False)
+        got = suffix_dedup.dedup_substrings(rows.union(rows)).distinct()
+        assert by_id(got, "n_removed", "kept_sha256") == sorted(want, key=repr), spread
+
+
+def test_byte_strings_travel_as_pieces(spark, monkeypatch):
+    """What the operator writes stays near the size of the text, also where most of it repeats."""
+    import os
+
+    draw = random.Random(6)
+    texts = []
+    for _ in range(40):
+        t = "".join(draw.choices(string.ascii_letters, k=6000))
+        texts += [t, "".join(t[k:k + 299] + "#" for k in range(0, 6000, 300)) + "."]
+    paths, plain = [], suffix_dedup.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        paths.extend(x.removeprefix("file://").removeprefix("file:") for x in out.inputFiles())
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", counted)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.dedup_substrings(rows)
+    assert by_id(got, "n_removed", "kept_sha256") == sorted(removed_bytes(texts), key=repr)
+    assert paths and sum(map(os.path.getsize, paths)) < 4 * sum(map(len, texts))
+
+
 def test_packing(docs):
     import public_tokenizers
     from tokenizers import Tokenizer
