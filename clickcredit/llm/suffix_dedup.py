@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickcredit.llm.shared import id_and_text, shuffle_partitions, written
+from clickcredit.llm.shared import id_and_text, shuffle_partitions, small_batches, written
 from clickcredit.llm.words import mix64, runs, slices
 
 LENGTH = 100
@@ -43,6 +43,7 @@ GRAM = 32
 REACH = LENGTH - GRAM + 1  # grams in a string
 SPREAD = 1000  # documents of an anchor from which it is not bound to one task
 SORTED_BYTES = 1 << 19  # text sorted at once, whole anchors
+WINDOW_BYTES = 3 << 19  # text sorted at once, of anchors that are not bound to a task
 ROWS_OUT = 20000
 
 _BYTES = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -83,8 +84,11 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, content) of the distinct anchors of each text; an anchor that a text holds twice
     also comes under the inverted content, so that it counts as shared."""
+    seen: set[int] = set()
     for batch in batches:
-        contents, hashes, owners, seen = batch["content"].to_numpy(), [], [], set()
+        contents, hashes, owners = batch["content"].to_numpy(), [], []
+        if len(seen) > ROWS_OUT:  # equal texts far apart come again
+            seen.clear()
         for i, data in _texts(batch):
             c = int(contents[i])
             if c in seen:
@@ -129,18 +133,36 @@ def _emit_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
-    return np.unique(values, return_inverse=True)[1].astype(np.uint64)
+    """Place of each value among the different ones, in four bytes."""
+    order = np.argsort(values)
+    ordered = values[order]
+    new = ordered[1:] != ordered[:-1]
+    del ordered
+    rank = np.zeros(len(values), np.uint32)
+    rank[order[1:]] = np.cumsum(new, dtype=np.uint32)
+    return rank
+
+
+def _pairs(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    out = high.astype(np.uint64)
+    out <<= np.uint64(32)
+    out |= low
+    return out
 
 
 def _sorted_suffixes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, new): the suffixes at ``at`` sorted by their LENGTH bytes, equal ones as given, and
     whether each differs from the one before."""
-    view = np.lib.stride_tricks.sliding_window_view(data, 8)
-    rank, width = _ranks(np.ascontiguousarray(view).view(">u8")[:, 0].astype(np.uint64)), 8
+    key, width = np.zeros(len(data) - 7, np.uint64), 8
+    for k in range(width):
+        key <<= np.uint64(8)
+        key |= data[k:k + len(key)]
+    rank = _ranks(key)
     while 2 * width <= LENGTH:
-        rank = _ranks(rank[:-width] << np.uint64(32) | rank[width:])
+        key = _pairs(rank[:-width], rank[width:])
+        rank = _ranks(key)
         width *= 2
-    key = rank[at] << np.uint64(32) | rank[at + LENGTH - width]
+    key = _pairs(rank[at], rank[at + LENGTH - width])
     order = np.argsort(key, kind="stable")
     new = np.ones(len(at), dtype=bool)
     new[1:] = key[order[1:]] != key[order[:-1]]
@@ -218,12 +240,11 @@ def _sort_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of any pieces: the stretches of suffixes that are repeated in the batch, without a body, and
-    each other suffix with its LENGTH bytes."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch]).sort_by([(c, "ascending") for c in ("anchor", "doc_id", "content", "start")])
+    """Of any pieces, about WINDOW_BYTES at a time: the stretches of suffixes that are repeated among
+    them, without a body, and each other suffix with its LENGTH bytes."""
+
+    def settle(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).sort_by([(c, "ascending") for c in ("anchor", "doc_id", "content", "start")])
         ids, contents = table["doc_id"].to_numpy(), table["content"].to_numpy()
         out: list[tuple] = []
         for row, start, repeated, body in _judged(table):
@@ -235,6 +256,18 @@ def _first_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 out = []
         yield _gone_batch(out, bodies=True)
 
+    held, size = [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        size += batch["body"].nbytes
+        if size >= WINDOW_BYTES:
+            yield from settle(held)
+            held, size = [], 0
+    if held:
+        yield from settle(held)
+
 
 PLACED = "part int, first boolean, last boolean, repeated boolean, body binary, " \
          "doc_id long, content long, start int"
@@ -326,6 +359,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each row."""
     texts = id_and_text(docs, id_col, text_col).withColumn("content", F.xxhash64("text"))
+    small_batches(docs.sparkSession)
     known = texts.where("doc_id IS NOT NULL")
     owners = known.groupBy("content").agg(F.min("doc_id").alias("owner"))
 
@@ -347,11 +381,13 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                .union(_repeated(windows.where("body IS NOT NULL"))))
         near = (pieces.where("NOT spread").drop("spread").repartition(shuffle_partitions(spark), "anchor")
                 .sortWithinPartitions("anchor", "doc_id", "content", "start").mapInArrow(_sort_anchors, GONE))
-        gone = written(near.union(far), "gone").groupBy("doc_id", "content").agg(
-            F.collect_list(F.struct("start", "end")).alias("gone"))  # within a document
-
-    marked = (texts.join(owners, "content", "left")
-              .withColumn("copy", F.coalesce(F.col("doc_id") > F.col("owner"), F.lit(False)))
-              .join(gone, ["doc_id", "content"], "left").select("doc_id", "text", "copy", "gone"))
+        gone = written(near.union(far), "gone").groupBy("content").agg(
+            F.collect_list(F.struct("start", "end")).alias("gone"))  # within a document, the owner
+
+    # All small tables first: the texts are shuffled and sorted once.
+    marks = owners.join(gone, "content", "left")
+    marked = texts.join(marks, "content", "left").select(
+        "doc_id", "text", F.coalesce(F.col("doc_id") > F.col("owner"), F.lit(False)).alias("copy"),
+        F.when(F.col("doc_id") == F.col("owner"), F.col("gone")).alias("gone"))
     return marked.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, "
                                    "kept_sha256 string, kept binary")
