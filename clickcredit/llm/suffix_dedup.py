@@ -11,11 +11,14 @@ document and earlier start). Suffixes are ordered by their first 100 bytes:
 3. Suffix array. A task sorts the suffixes of whole anchors by prefix doubling: ranks of 8
    bytes, then 16, 32, 64 and 100. Suffixes with equal first 100 bytes are adjacent, by
    place, and every one but the first is removed.
-4. An anchor of very many documents is not bound to a task: each task sorts the suffixes
-   that it has and keeps the first of each kind; these are ordered by Spark's range
-   partitioning by their 100 bytes and their place, so a string that a third of all
-   documents share is spread over many tasks; the first row of each task is settled by the
-   previous task's last one.
+4. A piece of an anchor of very many documents is cut into parts of about 9 strings, dealt
+   by the 92 bytes that all strings of a part share; of equal pieces in a batch only the first
+   by place is cut, the others are repeated throughout. So a common anchor in different
+   surroundings is many small keys, in the sort of step 3.
+5. 92 bytes that are very common too are not bound to a task: their parts are ordered by their
+   bytes and dealt by ranges, each task keeps the first of each kind of suffix that it has, and
+   these are ordered by Spark's range partitioning by their 100 bytes and their place; the
+   first row of each task is settled by the previous task's last one.
 
 Defined results: null and empty texts, and texts under 100 bytes, lose nothing. Rows that
 repeat id and text are one document; rows that repeat the id alone are ordered by a hash
@@ -26,6 +29,7 @@ empty result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -41,7 +45,9 @@ from clickcredit.llm.words import mix64, runs, slices
 LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM + 1  # grams in a string
-SPREAD = 1000  # documents of an anchor from which it is not bound to one task
+SPREAD = 1000  # documents of an anchor, or pieces of a core, from which it is not bound to one task
+STEP = 9  # strings of a very common anchor that are dealt by one core
+CORE = LENGTH - STEP + 1
 SORTED_BYTES = 1 << 19  # text sorted at once, whole anchors
 WINDOW_BYTES = 3 << 19  # text sorted at once, of anchors that are not bound to a task
 ROWS_OUT = 20000
@@ -102,34 +108,68 @@ def _emit_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                                "content": np.concatenate(owners or none)})
 
 
-PIECES = "anchor long, spread boolean, doc_id long, content long, start int, body binary"
+PIECES = "anchor long, spread boolean, doc_id long, content long, start int, body binary, end int"
 
 
-def _piece_batch(out: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*out, strict=True)) if out else [[]] * 6
+def _piece_batch(out: list[tuple], gone: list[tuple] | None = None) -> pa.RecordBatch:
+    """Pieces, and with ``gone`` those (anchor, doc_id, content, start, end) that are repeated throughout."""
+    rows = out + [(a, True, i, c, s, None) for a, i, c, s, _ in gone or ()]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
     types = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
     names = ("anchor", "spread", "doc_id", "content", "start", "body")
-    return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)})
+    ends = {"end": pa.array([None] * len(out) + [x[4] for x in gone], pa.int32())} if gone is not None else {}
+    return pa.record_batch({n: pa.array(c, t) for n, c, t in zip(names, columns, types, strict=True)} | ends)
+
+
+def _parts(anchor: int, body: bytes) -> Iterator[tuple[int, int, int]]:
+    """(core, start, end) of the parts of a piece: neighbouring strings with one core, the CORE bytes
+    that all strings share whose first anchor lies in the same STEP places from their start."""
+    data = _BYTES[np.frombuffer(body, np.uint8)]
+    places = np.arange(len(body) - LENGTH + 1)
+    found = np.flatnonzero(runs(data, GRAM).view(np.int64) == anchor)
+    found = found[np.searchsorted(found, places)]
+    core = runs(data, CORE).view(np.int64)[found - (found - places) // STEP * STEP]
+    turns = [0, *(np.flatnonzero(core[1:] != core[:-1]) + 1).tolist(), len(core)]
+    for s, e in itertools.pairwise(turns):
+        yield int(core[s]), s, e
 
 
 def _emit_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stretches of positions with one anchor at which a repeated string can start, with their bytes."""
+    """Stretches of positions with one anchor at which a repeated string can start, with their bytes.
+    Those of very common anchors come in parts, with their core as anchor; of equal ones in a batch
+    the first by place has parts and the others are repeated throughout."""
+
+    def settle(out: list[tuple], far: dict[bytes, tuple[int, set]]) -> pa.RecordBatch:
+        gone: list[tuple] = []
+        for body, (a, found) in far.items():
+            (i, c, s), *others = sorted(found)
+            out += [(core, True, i, c, s + f, body[f:e + LENGTH - 1]) for core, f, e in _parts(a, body)]
+            gone += [(a, i, c, s, s + len(body) - LENGTH + 1) for i, c, s in others]
+        return _piece_batch(out, gone)
+
     for batch in batches:
         ids, contents = batch["doc_id"].to_pylist(), batch["content"].to_pylist()
         out: list[tuple] = []
+        far: dict[bytes, tuple[int, set]] = {}
+        n_far = 0
         for i, data in _texts(batch):
             least = _least(data)[1].view(np.int64)
             start = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
             end, anchor = np.append(start[1:], len(least)), least[start]
             hit = np.isin(anchor, batch["shared"][i].values.to_numpy())
             spread = np.isin(anchor[hit], batch["spread"][i].values.to_numpy())
-            for a, far, s, e in zip(anchor[hit].tolist(), spread.tolist(), start[hit].tolist(), end[hit].tolist(),
-                                    strict=True):
-                out.append((a, far, ids[i], contents[i], s, data[s:e + LENGTH - 1].tobytes()))
-            if len(out) > ROWS_OUT:
-                yield _piece_batch(out)
-                out = []
-        yield _piece_batch(out)
+            for a, is_far, s, e in zip(anchor[hit].tolist(), spread.tolist(), start[hit].tolist(), end[hit].tolist(),
+                                       strict=True):
+                body = data[s:e + LENGTH - 1].tobytes()
+                if is_far:
+                    far.setdefault(body, (a, set()))[1].add((ids[i], contents[i], s))
+                    n_far += 1
+                else:
+                    out.append((a, False, ids[i], contents[i], s, body))
+            if len(out) + n_far > ROWS_OUT:
+                yield settle(out, far)
+                out, far, n_far = [], {}, 0
+        yield settle(out, far)
 
 
 def _ranks(values: np.ndarray) -> np.ndarray:
@@ -376,10 +416,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         pieces = written(
             known.join(sources, (F.col("content") == F.col("source")) & (F.col("doc_id") == F.col("owner")))
             .select("doc_id", "content", "text", "shared", "spread").mapInArrow(_emit_pieces, PIECES), "pieces")
-        windows = written(pieces.where("spread").mapInArrow(_first_windows, WINDOWS), "windows")
-        far = (windows.where("body IS NULL").drop("body")
+        known_gone = pieces.where("body IS NULL").select("doc_id", "content", "start", "end")
+        pieces = pieces.where("body IS NOT NULL").drop("end")
+        common = (pieces.where("spread").groupBy("anchor").agg(F.count("*").alias("n"))
+                  .where(F.col("n") > SPREAD).select("anchor", F.lit(True).alias("common")))
+        # At most a key for each SPREAD rows; one join for all pieces, which stay where they are.
+        pieces = pieces.join(F.broadcast(common), "anchor", "left").withColumn(
+            "common", F.col("spread") & F.col("common").isNotNull())
+        order = ["anchor", "body", "doc_id", "content", "start"]
+        windows = written(pieces.where("common").drop("common")
+                          .repartitionByRange(shuffle_partitions(spark), *order)
+                          .sortWithinPartitions(*order).mapInArrow(_first_windows, WINDOWS), "windows")
+        far = (windows.where("body IS NULL").drop("body").union(known_gone)
                .union(_repeated(windows.where("body IS NOT NULL"))))
-        near = (pieces.where("NOT spread").drop("spread").repartition(shuffle_partitions(spark), "anchor")
+        near = (pieces.where("NOT common").drop("spread", "common").repartition(shuffle_partitions(spark), "anchor")
                 .sortWithinPartitions("anchor", "doc_id", "content", "start").mapInArrow(_sort_anchors, GONE))
         gone = written(near.union(far), "gone").groupBy("content").agg(
             F.collect_list(F.struct("start", "end")).alias("gone"))  # within a document, the owner

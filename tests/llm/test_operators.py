@@ -422,6 +422,52 @@ def test_byte_strings_of_common_anchors(spark, monkeypatch):
         assert by_id(got, "n_removed", "kept_sha256") == sorted(want, key=repr), spread
 
 
+def test_byte_strings_of_common_anchors_stay_few_rows(spark, monkeypatch):
+    """A phrase of very many documents in different surroundings, and near copies of a long text: the
+    rows made of their pieces are few a piece, not one for each suffix."""
+    draw = random.Random(12)
+    word = lambda n: "".join(draw.choices(string.ascii_lowercase, k=n))
+    phrase, text = word(40), word(900)
+    texts = [word(150) + phrase + word(150) for _ in range(120)] + [text[:k + 400] + "#" + text[k + 400:]
+                                                                    for k in range(60)]
+    n_rows, plain = {}, suffix_dedup.written
+
+    def counted(df, name):
+        out = plain(df, name)
+        n_rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(suffix_dedup, "written", counted)
+    monkeypatch.setattr(suffix_dedup, "SPREAD", 30)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = suffix_dedup.dedup_substrings(rows)
+    assert by_id(got, "n_removed", "kept_sha256") == sorted(removed_bytes(texts), key=repr)
+    assert n_rows["windows"] < 10 * len(texts)  # 5,327 with a row for each suffix
+    assert n_rows["pieces"] < 40 * len(texts)
+
+
+def test_equal_byte_strings_share_a_core():
+    """The parts of a piece cover its strings once each; equal strings of any two pieces meet."""
+    draw = random.Random(13)
+    pieces: dict[int, set[bytes]] = {}
+    period = "".join(draw.choices("abc", k=40))
+    for t in (period * 12 + "x" * 300, "x" * 200 + period * 5, "".join(draw.choices("ab", k=800)), period * 9):
+        data = np.frombuffer(t.encode(), np.uint8)
+        least = suffix_dedup._least(data)[1].view(np.int64)
+        turns = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(least)]
+        for s, e in itertools.pairwise(turns):
+            pieces.setdefault(int(least[s]), set()).add(data[s:e + 99].tobytes())
+    cores: dict[bytes, set[int]] = {}
+    for anchor, bodies in pieces.items():
+        for body in bodies:
+            parts = list(suffix_dedup._parts(anchor, body))
+            assert [k for _, s, e in parts for k in range(s, e)] == list(range(len(body) - 99))
+            for core, s, e in parts:
+                for k in range(s, e):
+                    cores.setdefault(body[k:k + 100], set()).add(core)
+    assert all(len(found) == 1 for found in cores.values()) and len(cores) > 800
+
+
 def test_byte_strings_travel_as_pieces(spark, monkeypatch):
     """What the operator writes stays near the size of the text, also where most of it repeats."""
     import os
