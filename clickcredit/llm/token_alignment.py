@@ -8,7 +8,8 @@ token of it. How many documents hold an id pair linked is counted over the whole
 Documents are put into blocks that hold about ``BLOCK_LINKS`` distinct links in total, each a
 row of one table in the shared folder. What is shuffled by id pair is one row per block and pair, not
 per document, so a pair that all documents hold is one short row a block. Counts come back
-to the blocks by a join, and each block's documents are summed in one Arrow row. The most frequent
+to the blocks by a join, and each block's documents are summed in one Arrow row. What a block has for
+each link of each document travels as compressed bytes, so that its row is small. The most frequent
 count of each A id is broadcast; it has no more rows than A's vocabulary.
 
 Tokens of a word with the white space before it don't depend on what is around it, and both
@@ -29,6 +30,7 @@ import json
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,11 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickcredit.llm.packing import _byte_spelling
-from clickcredit.llm.shared import id_and_text, written
+from clickcredit.llm.shared import id_and_text, small_batches, written
 
 BLOCK_LINKS = 1 << 18
-_CACHED = 200_000  # stretches
+_CACHED = 200_000  # stretches, half of them from before the last time the cache was full
 _CACHED_CHARS = 64  # longer stretches are rarely met again
+_SHARED = 32  # bytes of tokens per group; longer ones are rarely shared
 _EXPANDED = 1 << 20  # links of a group beyond which ids are counted before they are paired
 _STRETCH = re.compile(r"\s*\S+|\s+")
 # Fixed value: the split of byte-level tokenizer files that state use_regex.
@@ -49,7 +52,7 @@ _BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}
 _BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 BLOCK_SCHEMA = ("block string, ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, "
                 "n_links array<long>, groups array<string>, codes array<long>, held array<long>, "
-                "sizes array<int>, at array<int>, weight array<long>")
+                "sizes array<int>, at binary, weight binary")
 
 
 class TokenizerA:
@@ -153,6 +156,7 @@ class Pair:
         # Ids and tokens per group of A and of B as bytes, and the groups' text.
         self._known: dict[str, tuple[bytes, bytes, bytes, bytes, str]] = {}
         self._older = self._known  # of which what is met again moves on
+        self._counts: dict[bytes, bytes] = {}  # tokens per group that many stretches share
         self._misspelled: set[str] = set()  # stretches whose tokens spell something else
 
     def _encode(self, text: str, row: bool = False) -> tuple[np.ndarray, np.ndarray] | None:
@@ -182,8 +186,10 @@ class Pair:
         all_a, all_b, all_n_a, all_n_b = (x.tobytes() for x in (ids_a, ids_b, n_a, n_b))
         for k, s in enumerate(stretches):
             a, end_a, b, end_b, g, end_g = to_a[k], to_a[k + 1], to_b[k], to_b[k + 1], groups[k], groups[k + 1]
-            self._known[s] = (all_a[4 * a:4 * end_a], all_b[4 * b:4 * end_b], all_n_a[4 * g:4 * end_g],
-                              all_n_b[4 * g:4 * end_g], "".join(pieces[a + b:end_a + end_b]))
+            counts = all_n_a[4 * g:4 * end_g], all_n_b[4 * g:4 * end_g]
+            n_a, n_b = (self._counts.setdefault(n, n) if len(n) <= _SHARED else n for n in counts)
+            self._known[s] = (all_a[4 * a:4 * end_a], all_b[4 * b:4 * end_b], n_a, n_b,
+                              "".join(pieces[a + b:end_a + end_b]))
         return True
 
     def _learn(self, new: set[str]) -> None:
@@ -212,8 +218,8 @@ class Pair:
             cuts = self._grouped(*both)
             return *both, *cuts, "".join(self._text.pieces(*both, *cuts))[:-1]
         stretches = _STRETCH.findall(" " + text)
-        if len(self._known) > _CACHED:
-            self._known, self._older = {}, self._known
+        if 2 * len(self._known) > _CACHED:
+            self._known, self._older, self._counts = {}, self._known, {}
             self._misspelled.intersection_update(self._older)
         if new := set(stretches).difference(self._known):
             self._learn(new)
@@ -269,6 +275,18 @@ def links(ids_a: np.ndarray, ids_b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.n
     return _summed(np.concatenate(codes), np.concatenate(weights))
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """Integers from 0 on as compressed differences, as wide as the largest integer."""
+    values = values.astype(np.min_scalar_type(values.max(initial=0)).newbyteorder("<"))
+    return zlib.compress(np.diff(values, prepend=values.dtype.type(0)).tobytes(), 1)  # they wrap around
+
+
+def _unpacked(packed: bytes, n: int) -> np.ndarray:
+    raw = zlib.decompress(packed)
+    kind = f"<u{len(raw) // n if n else 1}"
+    return np.cumsum(np.frombuffer(raw, kind), dtype=kind).astype(np.int64)
+
+
 def _blocks(path_a: str, path_b: str, block_links: int, with_groups: bool):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = Pair(path_a, path_b)
@@ -280,13 +298,13 @@ def _blocks(path_a: str, path_b: str, block_links: int, with_groups: bool):
             every = np.concatenate([c for c, _ in found]) if found else np.zeros(0, np.int64)
             codes, at, held = np.unique(every, return_inverse=True, return_counts=True)
             columns = [[r[k] for r in rows] for k in range(6)]
-            values = [*columns, codes, held, np.array([len(c) for c, _ in found], np.int32), at.astype(np.int32),
-                      np.concatenate([w for _, w in found]) if found else np.zeros(0, np.int64)]
-            types = [pa.int64()] * 5 + [pa.string()] + [pa.int64()] * 2 + [pa.int32()] * 2 + [pa.int64()]
+            values = [*columns, codes, held, np.array([len(c) for c, _ in found], np.int32)]
+            types = [pa.int64()] * 5 + [pa.string()] + [pa.int64()] * 2 + [pa.int32()]
+            weight = np.concatenate([w for _, w in found]) if found else np.zeros(0, np.int64)
             lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, t))
                      for v, t in zip(values, types, strict=True)]
             return pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex]), *lists],
+                [pa.array([uuid.uuid4().hex]), *lists, *(pa.array([_packed(x)]) for x in (at, weight))],
                 names=["block", "ids", "n_a", "n_b", "n_groups", "n_links", "groups",
                        "codes", "held", "sizes", "at", "weight"])
 
@@ -325,8 +343,8 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 place = np.searchsorted(value("codes").to_numpy(), known.field("code").to_numpy())
                 counts[place] = known.field("n").to_numpy()
                 best[place] = known.field("best").to_numpy(zero_copy_only=False)
-            at, weight = value("at").to_numpy(), value("weight").to_numpy()
             bounds = np.append(0, np.cumsum(value("sizes").to_numpy()))
+            at, weight = (_unpacked(batch[name][row].as_py(), int(bounds[-1])) for name in ("at", "weight"))
             sums = [np.diff(np.append(0, np.cumsum(of[at] * weight))[bounds]) for of in (best, counts)]
             yield pa.RecordBatch.from_arrays(
                 [*(value(c) for c in ("ids", "n_a", "n_b", "n_groups", "n_links")), *map(pa.array, sums),
@@ -337,6 +355,7 @@ def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def aligned_blocks(docs: DataFrame, path_a: str, path_b: str, block_links: int = BLOCK_LINKS,
                    with_groups: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The table of blocks (``BLOCK_SCHEMA``), written to the shared folder."""
+    small_batches(docs.sparkSession)
     return written(id_and_text(docs, id_col, text_col).mapInArrow(
         _blocks(path_a, path_b, block_links, with_groups), BLOCK_SCHEMA), "aligned")
 

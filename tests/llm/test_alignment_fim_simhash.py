@@ -310,3 +310,30 @@ def test_blocks_do_not_depend_on_batches():
     rows = lambda size: [r for b in token_alignment._blocks(*PATHS, 1 << 18, True)(iter(table.to_batches(size)))
                          for r in b.drop_columns(["block"]).to_pylist()]
     assert rows(1) == rows(3)
+
+
+def test_cache_holds_its_bound(monkeypatch):
+    """What moved to the older half counts too."""
+    monkeypatch.setattr(token_alignment, "_CACHED", 40)
+    pair, most = token_alignment.Pair(*PATHS), 0
+    for n in range(100):
+        assert pair.align(" ".join(f"w{n}x{k}" for k in range(5)))
+        most = max(most, len({*pair._known, *pair._older}))
+    assert 20 < most <= 40 + 10  # a text more for each half
+
+
+def test_blocks_are_small_and_so_are_batches(spark):
+    """A block takes less than a byte a link; Spark's 10,000 whole texts are no batch."""
+    text = " ".join(f"word{k % 900}" for k in range(2000))
+    table = pa.table({"doc_id": list(range(200)), "text": [text] * 200})
+    [block] = token_alignment._blocks(*PATHS, 1 << 30, False)(iter(table.to_batches()))
+    links = sum(block["sizes"][0].as_py())
+    assert links > 100_000 and block.nbytes < links
+    token_alignment.align(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), *PATHS)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) < 10_000
+
+
+@pytest.mark.parametrize("values", [[], [0], [3, 0, 255], [0, 65535, 256], [2**32 + 1, 7, 2**62]])
+def test_packed_integers(values):
+    got = token_alignment._unpacked(token_alignment._packed(np.array(values, np.int64)), len(values))
+    assert got.dtype == np.int64 and got.tolist() == values
