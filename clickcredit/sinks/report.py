@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -62,9 +63,11 @@ def _order(report: DataFrame, where: Column | None = None) -> list[Column]:
             own(F.col("keyword")).asc()]
 
 
+_CSV = {"sep": "\t", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def _csv(writer):
-    return (writer.option("sep", "\t").option("lineSep", "\n")
-            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
+    return writer.options(**_CSV, lineSep="\n")
 
 
 def write_report(report_exact: DataFrame, path: str, *, single_file: bool = False,
@@ -113,6 +116,106 @@ def _dealt(rows: DataFrame, n_files: int, *ranges: Column | str) -> DataFrame:
     return rows.repartitionByRange(max(tasks, least), *ranges)
 
 
+def _local_folder(spark: SparkSession, root: str) -> str | None:
+    """The folder ``root`` of the local file system (or one mounted there); None if it is in another."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    where = files.makeQualified(path).toUri()
+    return where.getPath() if where.getScheme() == "file" else None
+
+
+def _staging(folder: str, header: str):
+    """Writes the lines of each place to a folder of the task's attempt; a row for each place."""
+
+    def stage(batches):
+        import os
+
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        own = f"{folder}/{task.partitionId()}-{task.taskAttemptId()}"
+        place, out, places = None, None, []
+        for batch in batches:
+            for at, line in zip(batch["place"].to_pylist(), batch["line"].to_pylist(), strict=True):
+                if at != place:
+                    if out:
+                        out.close()
+                    place = at
+                    places.append(at)
+                    os.makedirs(f"{own}/{at}")
+                    out = open(f"{own}/{at}/part-{task.partitionId():05d}-{os.path.basename(folder)[9:]}.c000.csv",
+                               "w", encoding="utf-8", newline="")
+                    out.write(header)
+                out.write(line + "\n")
+        if out:
+            out.close()
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.string()),
+                                          "staged": pa.array([own] * len(places), pa.string())})
+
+    return stage
+
+
+def _placing(folder: str):
+    """Puts the staged files of each place where its last report was; may be repeated."""
+
+    def put(batches):
+        import os
+        import shutil
+
+        for batch in batches:
+            for place, staged in zip(batch["place"].to_pylist(), batch["staged"].to_pylist(), strict=True):
+                first, *rest = (f"{own}/{place}" for own in staged)
+                for other in rest:
+                    for name in os.listdir(other):
+                        os.replace(f"{other}/{name}", f"{first}/{name}")
+                if os.path.isdir(first):  # else a task before this one has put it
+                    shutil.rmtree(f"{folder}/{place}", ignore_errors=True)
+                    os.makedirs(os.path.dirname(f"{folder}/{place}"), exist_ok=True)
+                    os.rename(first, f"{folder}/{place}")
+            yield batch.select(["place"])
+
+    return put
+
+
+def _path_name(value: Column) -> Column:
+    """A partition value as Spark names its folder."""
+    odd = "[\\x01-\\x1f\"#%'*/:=?\\\\\\x7f{\\[\\]^]"
+    parts = F.split(value, f"(?<={odd})|(?={odd})")
+    escaped = F.array_join(F.transform(parts, lambda c: F.when(
+        c.rlike(f"^{odd}$"), F.concat(F.lit("%"), F.lpad(F.hex(c), 2, "0"))).otherwise(c)), "")
+    return (F.when(value == "", F.lit("__HIVE_DEFAULT_PARTITION__"))
+            .when(value.rlike(odd), escaped).otherwise(value))
+
+
+def _write_folders(rows: DataFrame, folder: str, by: Sequence[str], header: bool) -> None:
+    """Write rows sorted by place to a folder each, as the CSV writer with dynamic overwrite does.
+
+    For the local file system, where Hadoop (without its native library) starts ``chmod`` processes for each
+    file and folder. Tasks write side by side to folders of their own; then each place is
+    replaced at once.
+    """
+    spark, job = rows.sparkSession, uuid.uuid4().hex
+    staging = f"{folder}/.staging-{job}"
+    place = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), _path_name(F.col(c))) for c in by])
+    lines = rows.select(place.alias("place"), F.to_csv(F.struct(*REPORT_HEADER), _CSV).alias("line"))
+    head = "\t".join(REPORT_HEADER) + "\n" if header else ""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"file://{folder}")
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    child = lambda name: spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, name)
+    files.mkdirs(root)
+    try:
+        (lines.mapInArrow(_staging(staging, head), "place string, staged string")
+         .write.parquet(f"file://{staging}/places"))
+        staged = spark.read.schema("place string, staged string").parquet(f"file://{staging}/places")
+        (staged.groupBy("place").agg(F.sort_array(F.collect_list("staged")).alias("staged"))
+         .mapInArrow(_placing(folder), "place string").write.format("noop").mode("overwrite").save())
+    finally:
+        files.delete(child(f".staging-{job}"), True)
+    files.create(child("_SUCCESS"), True).close()
+
+
 def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Sequence[str] = PLACE) -> None:
     """Write the reports of many inputs in one job, each to its own place under ``root``.
 
@@ -142,7 +245,11 @@ def write_file_reports(reports: DataFrame, places: DataFrame, root: str, by: Seq
             .select(*_text_columns(reports), *by))
     empty = (_dealt(empty, n_empty, *by).sortWithinPartitions(*by)
              .select(*[F.lit(n).alias(n) for n in REPORT_HEADER], *by))
+    folder = _local_folder(reports.sparkSession, root)
     for part, header in ((rows, True), (empty, False)):  # of an empty place, the header is the row
+        if folder is not None:
+            _write_folders(part, folder, by, header)
+            continue
         writer = part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by)
         _csv(writer.option("header", header)).csv(root)
 

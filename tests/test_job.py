@@ -234,3 +234,67 @@ def test_job_scans_its_input_once(spark, tmp_dir):
     assert sum(r.n_hits for r in counted.collect()) == 12
     source = open(os.path.join(os.path.dirname(__file__), "..", "clickcredit", "plans", "job.py")).read()
     assert "hits.count()" not in source
+
+
+def tree(root):
+    """Folder -> the texts of its files in the order of their names; the names of all other files."""
+    places, others = {}, []
+    for at, _, names in os.walk(root):
+        parts = sorted(n for n in names if n.startswith("part-"))
+        others += [n for n in names if n not in parts]
+        if parts:
+            places[os.path.relpath(at, root)] = [open(os.path.join(at, n), newline="").read() for n in parts]
+    return places, others
+
+
+def odd_reports(spark):
+    odd = ["plain", "", None, "ta\tb", 'quo"te', "new\nline", "re\rturn", "back\\slash", " spaces ", "#hash", "é日", "a,b", "'", '"', "\\"]
+    rows = [(f"f{k % 7}", w, v, k) for k, (w, v) in enumerate((w, v) for w in odd for v in odd)]
+    reports = spark.createDataFrame(rows, "source_file string, domain string, keyword string, n int").selectExpr(
+        "source_file", "domain", "keyword", "CAST(n + 0.005 AS decimal(38,10)) AS revenue")
+    return reports, spark.createDataFrame([(f"f{k}",) for k in range(12)], "source_file string")
+
+
+def test_local_reports_equal_those_of_the_csv_writer(spark, tmp_dir, monkeypatch):
+    """Same folders, lines and header-only files, with values to escape; places not given stay, those
+    given are replaced; no checksum file (made by a process each) and nothing staged is left."""
+    from pyspark.sql import functions as F
+
+    from clickcredit.sinks import report as sink
+    reports, files = odd_reports(spark)
+    by = ["day", "odd"]
+    name = F.concat(F.lit("a:b/c=d%e f^g[h]{i}\\"), F.col("source_file"), F.lit("é'\"#*?\x01\x7f"))
+    placed = lambda df: df.withColumns({
+        "odd": F.when(F.col("source_file") != "f3", name).when(F.lit(False), ""), "day": F.lit("2026-03-06")})
+    trees = []
+    for own in (True, False):
+        if not own:
+            monkeypatch.setattr(sink, "_local_folder", lambda *a: None)
+        out = os.path.join(tmp_dir, f"out{own}")
+        sink.write_file_reports(placed(reports), placed(files), out, by)
+        before = tree(out)
+        again = F.col("source_file").isin("f1", "f2", "f9")
+        sink.write_file_reports(placed(reports.where(again).where("keyword = 'plain'")), placed(files.where(again)), out, by)
+        trees.append((before, tree(out)))
+    (first, second), (first_csv, second_csv) = trees
+    assert first[0] == first_csv[0] and second[0] == second_csv[0] and first[0] != second[0]
+    assert len(first[0]) == 12 and any("__HIVE_DEFAULT_PARTITION__" in at for at in first[0])
+    assert {*first[1], *second[1]} == {"_SUCCESS", "._SUCCESS.crc"}
+
+
+def test_a_place_is_put_once(tmp_dir):
+    """Repeated after it was put, or broken off between two tasks' files, a place keeps all its files."""
+    import pyarrow as pa
+
+    from clickcredit.sinks import report as sink
+    out, place = os.path.join(tmp_dir, "out"), "year=2026/source_id=x"
+    for own, name in (("s/0-1", "part-0"), ("s/1-2", "part-1"), ("s/2-3", "part-2")):
+        os.makedirs(os.path.join(tmp_dir, own, place))
+        open(os.path.join(tmp_dir, own, place, name), "w").write(name)
+    os.makedirs(os.path.join(out, place))
+    open(os.path.join(out, place, "part-old"), "w").close()
+    os.replace(os.path.join(tmp_dir, "s/1-2", place, "part-1"), os.path.join(tmp_dir, "s/0-1", place, "part-1"))
+    batch = pa.RecordBatch.from_pydict({"place": [place], "staged": [[os.path.join(tmp_dir, s) for s in ("s/0-1", "s/1-2", "s/2-3")]]})
+    for _ in range(2):
+        assert [b.to_pydict() for b in sink._placing(out)(iter([batch]))] == [{"place": [place]}]
+        assert sorted(os.listdir(os.path.join(out, place))) == ["part-0", "part-1", "part-2"]
