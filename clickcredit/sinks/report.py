@@ -275,8 +275,76 @@ def read_file_reports(spark: SparkSession, root: str, by: Sequence[str] = PLACE)
         return spark.read.schema(schema).option("header", True).option("sep", "\t").csv(root)
 
 
+def _places(folder: str, by: Sequence[str]):
+    """The places under a folder, by its listing."""
+    by = list(by)
+
+    def find(batches):
+        import os
+
+        import pyarrow as pa
+
+        def below(at, columns):
+            if not columns:
+                yield at
+                return
+            with os.scandir(f"{folder}/{at}") as found:
+                names = [e.name for e in found if e.name.startswith(f"{columns[0]}=") and e.is_dir()]
+            for name in names:
+                yield from below(f"{at}/{name}" if at else name, columns[1:])
+
+        places = []
+        for _ in batches:
+            for place in below("", by):
+                places.append(place)
+                if len(places) == 10_000:
+                    yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.string())})
+                    places = []
+        yield pa.RecordBatch.from_pydict({"place": pa.array(places, pa.string())})
+
+    return find
+
+
+def _lines(folder: str, by: Sequence[str]):
+    """The lines of the files of places, with the values of the place."""
+    by = list(by)
+
+    def read(batches):
+        import os
+        from urllib.parse import unquote
+
+        import pyarrow as pa
+
+        def batch(rows):
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in (zip(*rows) if rows else [()] * (1 + len(by)))],
+                                              names=["value", *by])
+
+        rows = []
+        for places in batches:
+            for place in places["place"].to_pylist():
+                values = [v if (v := unquote(x.split("=", 1)[1])) != "__HIVE_DEFAULT_PARTITION__" else None
+                          for x in place.split("/")]
+                for name in sorted(os.listdir(f"{folder}/{place}")):
+                    if name[0] in "._":
+                        continue
+                    with open(f"{folder}/{place}/{name}", encoding="utf-8") as lines:
+                        for line in lines:
+                            rows.append((line.removesuffix("\n"), *values))
+                            if len(rows) == 10_000:
+                                yield batch(rows)
+                                rows = []
+        yield batch(rows)
+
+    return read
+
+
 def read_report_lines(spark: SparkSession, root: str, by: Sequence[str] = PLACE) -> DataFrame:
     """The text lines of all files under ``root`` with their places, headers included."""
     schema = ", ".join(["value string", *(f"{c} string" for c in by)])
+    folder = _local_folder(spark, root)
+    if folder is not None:  # the driver would hold a listing of all files
+        tasks = max(LISTING_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        return (spark.range(0, 1, 1, 1).mapInArrow(_places(folder, by), "place string")
+                .repartition(tasks, "place").mapInArrow(_lines(folder, by), schema))
     with _few_listing_tasks(spark):
         return spark.read.schema(schema).text(root)

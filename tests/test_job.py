@@ -266,7 +266,7 @@ def test_local_reports_equal_those_of_the_csv_writer(spark, tmp_dir, monkeypatch
     name = F.concat(F.lit("a:b/c=d%e f^g[h]{i}\\"), F.col("source_file"), F.lit("é'\"#*?\x01\x7f"))
     placed = lambda df: df.withColumns({
         "odd": F.when(F.col("source_file") != "f3", name).when(F.lit(False), ""), "day": F.lit("2026-03-06")})
-    trees = []
+    trees, lines = [], []
     for own in (True, False):
         if not own:
             monkeypatch.setattr(sink, "_local_folder", lambda *a: None)
@@ -276,6 +276,8 @@ def test_local_reports_equal_those_of_the_csv_writer(spark, tmp_dir, monkeypatch
         again = F.col("source_file").isin("f1", "f2", "f9")
         sink.write_file_reports(placed(reports.where(again).where("keyword = 'plain'")), placed(files.where(again)), out, by)
         trees.append((before, tree(out)))
+        lines.append(sorted(map(str, sink.read_report_lines(spark, os.path.join(tmp_dir, "outTrue"), by).collect())))
+    assert lines[0] == lines[1] and len(lines[0]) > 100 and "day='2026-03-06', odd=None" in str(lines[0])
     (first, second), (first_csv, second_csv) = trees
     assert first[0] == first_csv[0] and second[0] == second_csv[0] and first[0] != second[0]
     assert len(first[0]) == 12 and any("__HIVE_DEFAULT_PARTITION__" in at for at in first[0])
